@@ -7,10 +7,10 @@ from datetime import date
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Date, time and offset of an ISO-8601 text; separators between digits are optional.
-ISO_WITH_OFFSET = (
-    r"^(\d{4})-?(\d{2})-?(\d{2})[^0-9](\d{2})(?::?(\d{2}))?(?::?(\d{2}))?(?:[.,](\d+))?"
-    r"(Z|[+-]\d{2}(?::?\d{2})?)$"
+# ISO-8601 text: date, optional time, optional offset; separators between digits are optional.
+ISO_TEXT = (
+    r"^(\d{4})-?(\d{2})-?(\d{2})"
+    r"(?:[^0-9](\d{2})(?::?(\d{2}))?(?::?(\d{2}))?(?:[.,](\d+))?(Z|[+-]\d{2}(?::?\d{2})?)?)?$"
 )
 
 
@@ -19,37 +19,49 @@ def parse_instant(text: Column | str) -> Column:
     return F.try_to_timestamp(F.col(text) if isinstance(text, str) else text)
 
 
-def parse_instant_strict(text: Column) -> Column:
-    """Timestamp of an ISO-8601 text that names its offset, otherwise null."""
+def _part(text: Column, group: int) -> Column:
+    return F.regexp_extract(text, ISO_TEXT, group)
+
+
+def has_offset(text: Column) -> Column:
+    """The ISO text names its offset from UTC."""
+    return F.coalesce(_part(text, 8) != "", F.lit(False))
+
 
-    def part(group: int) -> Column:
-        return F.regexp_extract(text, ISO_WITH_OFFSET, group)
+def parse_iso(text: Column) -> Column:
+    """Timestamp of an ISO-8601 text, read as UTC without an offset; null for other text."""
 
     def two(group: int) -> Column:
-        return F.when(part(group) == "", "00").otherwise(part(group))
+        return F.when(_part(text, group) == "", "00").otherwise(_part(text, group))
 
-    offset = F.when(part(8) == "Z", "+00:00").otherwise(
-        F.regexp_replace(part(8), r"^([+-]\d{2}):?(\d{2})?$", "$1:$2")
+    digits = F.regexp_replace(_part(text, 8), "[Z:]", "")  # "", +hh or +hhmm
+    offset = F.rpad(F.when(digits == "", "+").otherwise(digits), 5, "0")
+    fraction = F.when(_part(text, 7) == "", "").otherwise(
+        F.concat(F.lit("."), F.substring(_part(text, 7), 1, 6))
     )
-    offset = F.when(F.length(offset) == 4, F.concat(offset, F.lit("00"))).otherwise(offset)
-    fraction = F.when(part(7) == "", "").otherwise(F.concat(F.lit("."), F.substring(part(7), 1, 6)))
     canonical = F.concat(
-        part(1), F.lit("-"), part(2), F.lit("-"), part(3), F.lit("T"),
-        part(4), F.lit(":"), two(5), F.lit(":"), two(6), fraction, offset,
+        _part(text, 1), F.lit("-"), _part(text, 2), F.lit("-"), _part(text, 3), F.lit("T"),
+        two(4), F.lit(":"), two(5), F.lit(":"), two(6), fraction,
+        F.substring(offset, 1, 3), F.lit(":"), F.substring(offset, 4, 2),
     )
-    return F.when(text.rlike(ISO_WITH_OFFSET), F.try_to_timestamp(canonical))
+    return F.when(text.rlike(ISO_TEXT), F.try_to_timestamp(canonical))
+
+
+def parse_instant_strict(text: Column) -> Column:
+    """Timestamp of an ISO-8601 text that names its offset, otherwise null."""
+    return F.when(has_offset(text), parse_iso(text))
 
 
 def local_date(text: Column) -> Column:
     """Calendar date written in the text, in its own offset."""
     return F.try_to_date(
-        F.concat_ws("-", *[F.regexp_extract(text, ISO_WITH_OFFSET, g) for g in (1, 2, 3)])
+        F.concat_ws("-", *[_part(text, g) for g in (1, 2, 3)])
     )
 
 
 def local_hour(text: Column) -> Column:
     """Hour written in the text, in its own offset."""
-    return F.regexp_extract(text, ISO_WITH_OFFSET, 4).try_cast("int")
+    return _part(text, 4).try_cast("int")
 
 
 def is_late(hours: int = 24, event: str = "event_timestamp", arrival: str = "ingestion_timestamp") -> Column:

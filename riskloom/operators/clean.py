@@ -97,6 +97,7 @@ def first_id(rows: DataFrame, event_date: str, key: str = "transaction_id") -> D
     """Least id of a date. Sort with limit keeps one row per task, so nothing is gathered."""
     return (
         rows.where(F.col("event_date") == F.lit(iso_date(event_date)).cast("date"))
+        .where(F.col(key).isNotNull())
         .select(key)
         .orderBy(key)
         .limit(1)
