@@ -8,6 +8,7 @@ from riskloom.operators.clean import clean_filter, dedup_latest, transform
 from riskloom.plans import features
 from riskloom.session import work_folder
 from riskloom.sources import star_schema as star
+from riskloom.sources.files import exists
 
 LIMIT = star.TABLE_THRESHOLD
 KEY = ["transaction_id"]
@@ -54,3 +55,16 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     path = work_folder(frame.sparkSession, label)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+_tables: dict[tuple[str, str, str], str] = {}
+
+
+def table_once(spark: SparkSession, sf_dir: str, name: str, build) -> str:
+    """Folder of a table that several queries only read; `build(path)` writes it the first time."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _tables or not exists(spark, _tables[key]):
+        path = work_folder(spark, name)
+        build(path)
+        _tables[key] = path
+    return _tables[key]

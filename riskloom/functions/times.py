@@ -12,6 +12,10 @@ ISO_TEXT = (
     r"^(\d{4})-?(\d{2})-?(\d{2})"
     r"(?:[^0-9](\d{2})(?::?(\d{2}))?(?::?(\d{2}))?(?:[.,](\d+))?(Z|[+-]\d{2}(?::?\d{2})?)?)?$"
 )
+ISO_USUAL = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:\d{2})?)?$"
+ISO_WITH_OFFSET = (
+    r"^\d{4}-?\d{2}-?\d{2}[^0-9]\d{2}(:?\d{2}){0,2}([.,]\d+)?(Z|[+-]\d{2}(:?\d{2})?)$"
+)
 
 
 def parse_instant(text: Column | str) -> Column:
@@ -25,12 +29,22 @@ def _part(text: Column, group: int) -> Column:
 
 def has_offset(text: Column) -> Column:
     """The ISO text names its offset from UTC."""
-    return F.coalesce(_part(text, 8) != "", F.lit(False))
+    return F.coalesce(text.rlike(ISO_WITH_OFFSET), F.lit(False))
 
 
 def parse_iso(text: Column) -> Column:
-    """Timestamp of an ISO-8601 text, read as UTC without an offset; null for other text."""
+    """Timestamp of an ISO-8601 text, read as UTC without an offset; null for other text.
+
+    Text in the usual layout is parsed as it stands; only the rarer spellings (no
+    separators, hour-only times, short offsets) are taken apart first.
+    """
+    return F.coalesce(
+        F.when(text.rlike(ISO_USUAL), F.try_to_timestamp(text)),
+        F.when(text.rlike(ISO_TEXT), F.try_to_timestamp(_usual_layout(text))),
+    )
+
 
+def _usual_layout(text: Column) -> Column:
     def two(group: int) -> Column:
         return F.when(_part(text, group) == "", "00").otherwise(_part(text, group))
 
@@ -39,12 +53,11 @@ def parse_iso(text: Column) -> Column:
     fraction = F.when(_part(text, 7) == "", "").otherwise(
         F.concat(F.lit("."), F.substring(_part(text, 7), 1, 6))
     )
-    canonical = F.concat(
+    return F.concat(
         _part(text, 1), F.lit("-"), _part(text, 2), F.lit("-"), _part(text, 3), F.lit("T"),
         two(4), F.lit(":"), two(5), F.lit(":"), two(6), fraction,
         F.substring(offset, 1, 3), F.lit(":"), F.substring(offset, 4, 2),
     )
-    return F.when(text.rlike(ISO_TEXT), F.try_to_timestamp(canonical))
 
 
 def parse_instant_strict(text: Column) -> Column:

@@ -57,11 +57,9 @@ def conformity_table(spark: SparkSession, mapping: Mapping[str, str] = COUNTRY_C
 def raw_rules(
     categories: list[str] = MERCHANT_CATEGORIES, methods: list[str] = PAYMENT_METHODS
 ) -> list[Rule]:
-    """Rules on text rows joined with `conformity_table` (column expected_currency)."""
+    """Rules on the rows of `_readable`."""
     identifier = F.coalesce(F.col("transaction_id"), F.lit(""))
-    moment = F.col("event_timestamp")
-    parsed = parse_iso(moment)
-    number = F.when(F.col("amount").rlike(_NUMBER), F.trim("amount").try_cast("double"))
+    parsed, number = F.col("_instant"), F.col("_number")
     known_country = F.col("expected_currency").isNotNull()
     return [
         row_rule("id_empty", identifier == ""),
@@ -70,7 +68,7 @@ def raw_rules(
             F.count_if(identifier != "") - F.count_distinct(F.when(identifier != "", identifier)),
         ),
         row_rule("timestamp_unparseable", parsed.isNull()),
-        row_rule("timestamp_without_offset", parsed.isNotNull() & ~has_offset(moment)),
+        row_rule("timestamp_without_offset", parsed.isNotNull() & ~has_offset(F.col("event_timestamp"))),
         row_rule("amount_not_numeric", number.isNull()),
         row_rule("amount_not_positive", number <= 0),
         row_rule("country_unknown", ~known_country),
@@ -86,10 +84,17 @@ def _listed(column: str, values: list[str]) -> Column:
     return F.coalesce(F.col(column).isin(*values), F.lit(False))
 
 
+def _readable(rows: DataFrame, conformity: DataFrame) -> DataFrame:
+    """Text rows with their expected currency and with timestamp and amount parsed once."""
+    number = F.when(F.col("amount").rlike(_NUMBER), F.trim("amount").try_cast("double"))
+    return rows.join(conformity, "country", "left").withColumns(
+        {"_instant": parse_iso(F.col("event_timestamp")), "_number": number}
+    )
+
+
 def raw_contract(rows: DataFrame, conformity: DataFrame, **lists) -> DataFrame:
     """Failures per rule over text rows, in one pass."""
-    joined = rows.join(conformity, "country", "left")
-    return evaluate(joined, "raw_transactions", raw_rules(**lists))
+    return evaluate(_readable(rows, conformity), "raw_transactions", raw_rules(**lists))
 
 
 def raw_summary(rows: DataFrame) -> DataFrame:
@@ -106,8 +111,8 @@ def first_errors(rows: DataFrame, conformity: DataFrame, limit: int = 20, **list
     """Up to `limit` violating rows with their broken rules, for a report."""
     from riskloom.quality.rules import violations
 
-    joined = rows.join(conformity, "country", "left")
-    return violations(joined, raw_rules(**lists)).select("transaction_id", "broken_rules").limit(limit)
+    readable = _readable(rows, conformity)
+    return violations(readable, raw_rules(**lists)).select("transaction_id", "broken_rules").limit(limit)
 
 
 def header_problems(found: list[str], expected: list[str]) -> list[str]:
