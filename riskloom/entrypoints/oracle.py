@@ -147,7 +147,7 @@ SELECT *, json_valid(raw_json) AS is_json,
 FROM records"""
 CTES["parsed"] = f"""
 SELECT raw_json, topic, kafka_partition, kafka_offset, kafka_timestamp,
-       CASE WHEN is_object THEN CAST(len(list_filter(json_keys(raw_json), k -> NOT list_contains({_FIELD_LIST}, k))) AS INTEGER) END
+       CASE WHEN is_object THEN CAST(len(list_filter(json_keys(raw_json), lambda k: NOT list_contains({_FIELD_LIST}, k))) AS INTEGER) END
            AS unexpected_field_count,
        {", ".join(_text(f) for f in _FIELDS if f != "amount")},
        CASE WHEN is_object THEN try_cast(raw_json ->> '$.amount' AS DOUBLE) END AS amount
@@ -199,9 +199,9 @@ def _kind(field: str) -> str:
 
 
 _ERRORS = [
-    f"CASE WHEN len(list_filter(json_keys(raw_json), k -> NOT list_contains({_FIELD_LIST}, k))) > 0 "
+    f"CASE WHEN len(list_filter(json_keys(raw_json), lambda k: NOT list_contains({_FIELD_LIST}, k))) > 0 "
     f"THEN 'unexpected_fields:' || array_to_string(list_sort(list_filter(json_keys(raw_json), "
-    f"k -> NOT list_contains({_FIELD_LIST}, k))), ',') END"
+    f"lambda k: NOT list_contains({_FIELD_LIST}, k))), ',') END"
 ]
 _ERRORS += [
     f"CASE WHEN COALESCE({_kind(f)}, 'NULL') = 'NULL' OR ({_kind(f)} = 'VARCHAR' AND raw_json ->> '$.{f}' = '') "
@@ -238,7 +238,7 @@ FROM json_kind"""
 CTES["strict"] = f"""
 SELECT *, CASE WHEN NOT is_json THEN ['invalid_json']
                WHEN NOT is_object THEN ['event_not_json_object']
-               ELSE list_sort(list_distinct(list_filter([{", ".join(_ERRORS)}], e -> e IS NOT NULL))) END AS errors
+               ELSE list_sort(list_distinct(list_filter([{", ".join(_ERRORS)}], lambda e: e IS NOT NULL))) END AS errors
 FROM json_values"""
 CTES["strict_valid"] = f"""
 SELECT {", ".join(f"raw_json ->> '$.{f}' AS {f}" for f in _FIELDS if f not in ("amount", "event_timestamp", "ingestion_timestamp"))},

@@ -122,8 +122,8 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     happened = F.when(n % 139 == 0, arrived + F.make_dt_interval(hours=F.lit(1))).otherwise(happened)
 
-    def iso(value: Column, offset: str = "+00:00") -> Column:
-        return F.date_format(value, f"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'{offset}'")
+    def iso(value: Column, offset: str = "'+00:00'") -> Column:
+        return F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS" + offset)
 
     amount = F.when(n % 109 == 0, "-1.00").when(n % 149 == 0, "1000001.00").otherwise(
         F.col("value").cast("decimal(18,2)").cast("string")
