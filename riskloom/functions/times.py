@@ -67,14 +67,16 @@ def parse_instant_strict(text: Column) -> Column:
 
 def local_date(text: Column) -> Column:
     """Calendar date written in the text, in its own offset."""
-    return F.try_to_date(
+    spelled = F.when(text.rlike(ISO_USUAL), F.substring(text, 1, 10)).otherwise(
         F.concat_ws("-", *[_part(text, g) for g in (1, 2, 3)])
     )
+    return F.try_to_date(spelled)
 
 
 def local_hour(text: Column) -> Column:
     """Hour written in the text, in its own offset."""
-    return _part(text, 4).try_cast("int")
+    spelled = F.when(text.rlike(ISO_USUAL), F.substring(text, 12, 2)).otherwise(_part(text, 4))
+    return spelled.try_cast("int")
 
 
 def is_late(hours: int = 24, event: str = "event_timestamp", arrival: str = "ingestion_timestamp") -> Column:

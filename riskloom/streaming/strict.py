@@ -57,14 +57,25 @@ def read_json(records: DataFrame, value: str = "value") -> DataFrame:
         """Text of a string field; null for every other kind."""
         return F.when(F.col(f"_kind_{name}") == "STRING", field(name, "string"))
 
-    kinds = {f"_kind_{name}": F.schema_of_variant(field(name, "variant")) for name in EVENT_FIELDS}
+    # One schema text per row names the kind of every field. Field by field is needed only
+    # where it nests or quotes names, because then the text cannot simply be cut up.
+    parsed = parsed.withColumn("_schema", F.schema_of_variant("_json"))
+    inside = F.substr(F.col("_schema"), F.lit(8), F.length("_schema") - 8)
+    simple = F.coalesce(~inside.rlike("[<`]"), F.lit(False))
     parsed = parsed.withColumns(
         {
-            "_is_object": F.coalesce(F.schema_of_variant("_json").startswith("OBJECT"), F.lit(False)),
+            "_is_object": F.coalesce(F.col("_schema").startswith("OBJECT"), F.lit(False)),
             "_keys": F.json_object_keys("raw_payload"),
-            **kinds,
+            "_kinds": F.when(simple, F.str_to_map(inside, F.lit(", "), F.lit(": "))),
         }
     )
+    kinds = {
+        f"_kind_{name}": F.when(F.col("_kinds").isNotNull(), F.try_element_at("_kinds", F.lit(name))).otherwise(
+            F.schema_of_variant(field(name, "variant"))
+        )
+        for name in EVENT_FIELDS
+    }
+    parsed = parsed.withColumns(kinds)
     amount = F.when(_is_number(F.col("_kind_amount")), field("amount", "double"))
     texts = {name: text(name) for name in EVENT_FIELDS if name != "amount"}
     parsed = parsed.withColumns({"amount": amount, **{f"_text_{n}": c for n, c in texts.items()}})
@@ -79,7 +90,7 @@ def _is_number(kind: Column) -> Column:
 def strict_errors(allowed_types: list[str] = EVENT_TYPES) -> Column:
     """Sorted distinct violation codes of a row of `read_json`; empty when valid."""
     kind = {name: F.col(f"_kind_{name}") for name in EVENT_FIELDS}
-    foreign = F.array_sort(F.array_except("_keys", F.array(*[F.lit(f) for f in EVENT_FIELDS])))
+    foreign = F.array_except("_keys", F.array(*[F.lit(f) for f in EVENT_FIELDS]))
     absent = {
         name: kind[name].isNull() | (kind[name] == "VOID")
         | (F.col(f"_text_{name}").eqNullSafe("") if name != "amount" else F.lit(False))
@@ -93,7 +104,7 @@ def strict_errors(allowed_types: list[str] = EVENT_TYPES) -> Column:
         return F.when(problem, F.lit(name))
 
     codes = [
-        F.when(F.size(foreign) > 0, F.concat(F.lit("unexpected_fields:"), F.array_join(foreign, ","))),
+        F.when(F.size(foreign) > 0, F.concat(F.lit("unexpected_fields:"), F.array_join(F.sort_array(foreign), ","))),
         *[code(problem, f"missing_{name}") for name, problem in absent.items()],
         *[code(kind[name] != "STRING", f"invalid_{name}") for name in _TEXT_FIELDS],
         code(~F.coalesce(good_amount, F.lit(False)), "invalid_amount"),
@@ -102,7 +113,10 @@ def strict_errors(allowed_types: list[str] = EVENT_TYPES) -> Column:
         code(arrived.isNull(), "invalid_ingestion_timestamp"),
         code(happened > arrived, "event_timestamp_after_ingestion_timestamp"),
     ]
-    listed = F.array_sort(F.array_distinct(F.array_compact(F.array(*codes))))
+    # Most rows are valid: find that out without building and sorting an array.
+    listed = F.when(F.concat_ws("", *codes) == "", F.array().cast("array<string>")).otherwise(
+        F.sort_array(F.array_distinct(F.array_compact(F.array(*codes))))
+    )
     return (
         F.when(F.col("raw_payload").isNull(), F.array(F.lit("event_not_json_object")))
         .when(F.col("_json").isNull(), F.array(F.lit("invalid_json")))
