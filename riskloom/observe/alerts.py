@@ -88,6 +88,7 @@ def metric_gauges(metrics: DataFrame, load_status: DataFrame, checks: DataFrame)
         (F.col("checks_observed") > 0).cast("double").alias("streaming_test_results_available"),
         F.col("checks_failed").cast("double").alias("streaming_test_failures"),
     )
+    # Three one-row tables side by side.
     return batches.crossJoin(load).crossJoin(stream_checks)
 
 

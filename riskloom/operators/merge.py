@@ -57,7 +57,6 @@ def touched_dates(target: DataFrame, stage: DataFrame, key: str = KEY) -> list:
 
     The list is bounded by the number of date partitions, which the driver knows anyway.
     """
-    # Keys known to be within staged dates need no search; the others may lie anywhere.
     old = target.select(key, DATE).join(stage.select(key), key, "left_semi").select(DATE)
     dates = old.unionByName(stage.select(DATE)).distinct()
     return sorted(row[0] for row in dates.collect())

@@ -30,9 +30,12 @@ def process(
     typed = transform(raw)
     candidates = typed if event_date is None else select_event_date(typed, event_date)
     raw_count = candidates.count()
+    started = spark.sql("select current_timestamp()").first()[0]
     rows = clean_transactions(candidates, newest).select(*PROCESSED.fieldNames())
     write_partitioned(rows, path, strategy, dynamic=event_date is not None)
     clean_count = _stored_rows(spark, path, event_date)
+    if event_date is not None:
+        _require_replaced(spark, path, event_date, started)
     rejected = raw_count - clean_count
     return {
         "raw_count": raw_count,
@@ -49,6 +52,14 @@ def _stored_rows(spark, path: str, event_date: str | None) -> int:
     return stored.count()
 
 
+def _require_replaced(spark, path: str, event_date: str, started) -> None:
+    """Dynamic overwrite leaves a date alone for which no row is written; do not take it for the new one."""
+    stored = spark.read.schema(PROCESSED).parquet(path).where(F.col("event_date") == F.lit(event_date).cast("date"))
+    oldest = stored.agg(F.min("processed_at")).first()[0]
+    if oldest is None or oldest < started:
+        raise RuntimeError(f"no row of event_date={event_date} passed the cleaning rules; its partition was not replaced")
+
+
 def process_and_verify(raw: DataFrame, path: str, event_date: str | None = None, **options) -> dict[str, float]:
     """Store, then compare the stored rows with a count of the cleaned rows."""
     metrics = process(raw, path, event_date, **options)

@@ -184,6 +184,7 @@ def partition_counts(spark: SparkSession, root: str, rows: DataFrame) -> DataFra
     logical = rows.agg(F.count_distinct("event_date").alias("logical_dates"))
     physical = folder_dates(spark, root).agg(F.count(F.lit(1)).alias("physical_dates"))
     files = file_inventory(spark, root, with_size=False).agg(F.count(F.lit(1)).alias("file_count"))
+    # Three one-row tables side by side.
     return logical.crossJoin(physical).crossJoin(files)
 
 

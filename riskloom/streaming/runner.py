@@ -104,6 +104,7 @@ def batch_counts(bronze: DataFrame, silver: DataFrame, risk_amount: float) -> Da
         F.count_if("is_late").alias("late_count"),
         F.count_if(F.col("amount") >= F.lit(float(risk_amount))).alias("risk_detected_count"),
     )
+    # Two one-row tables side by side.
     return taken.crossJoin(kept).withColumn("duplicate_count", F.col("valid_count") - F.col("clean_count"))
 
 
