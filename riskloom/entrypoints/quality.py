@@ -498,10 +498,11 @@ def j7(spark, d):
 
 @query(
     "q9_relationships",
-    """SELECT 'fct_transactions' AS table_name, 'relationship_merchant_id' AS "check",
-              (SELECT COUNT(*) FROM tx WHERE merchant_id NOT IN
-                 (SELECT printf('MERCH_%06d', s_suppkey) FROM supplier WHERE s_acctbal >= 0)) AS failures, 'fail' AS status
-       UNION ALL SELECT 'fct_transactions', 'relationship_customer_id', 0, 'pass'""",
+    """SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM (
+         SELECT 'fct_transactions' AS table_name, 'relationship_merchant_id' AS "check", COUNT(*) AS failures FROM tx
+           WHERE merchant_id NOT IN (SELECT printf('MERCH_%06d', s_suppkey) FROM supplier WHERE s_acctbal >= 0)
+         UNION ALL SELECT 'fct_transactions', 'relationship_customer_id', COUNT(*) FROM tx
+           WHERE customer_id NOT IN (SELECT printf('CUST_%06d', c_custkey) FROM customer))""",
 )
 def q9_relationships(spark, d):
     from riskloom.functions.ids import padded_id
