@@ -6,16 +6,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.entrypoints.registry import Query
-from riskloom.llm import line_dedup, source_mix
+from riskloom.llm import byte_bpe, html_blocks, line_dedup, source_mix, url_rules, vptree
 from riskloom.llm.common import table
 from riskloom.session import prepare
 
 QUERIES: dict[str, Query] = {}
 
 
+# Texts are long: batches sent to Python are cut by rows well before memory.
+BATCH_ROWS = "500"
+
+
+def ready(spark: SparkSession) -> SparkSession:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return prepare(spark)
+
+
 def query(name: str, sql: str | None = None):
     def register(run):
-        QUERIES[name] = Query(lambda spark, sf_dir: run(prepare(spark), sf_dir.rstrip("/")), sql)
+        QUERIES[name] = Query(lambda spark, sf_dir: run(ready(spark), sf_dir.rstrip("/")), sql)
         return run
     return register
 
@@ -79,3 +88,42 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return uses.join(F.broadcast(sources), F.col("source").eqNullSafe(F.col("name"))).select(
         "doc_id", F.col("mix_size").alias("size"), "source_size", "target",
         (F.col("mix_size") * F.col("mix_uses")).alias("taken"))
+
+
+@query("op3_vp_tree_search")
+def op3_vp_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    index = vptree.VpIndex.build(vectors)
+    return index.search(vectors.filter(F.col("vec_id") % 50 == 0), k=5, relax=1.0)
+
+
+@query("op4_html_blocks")
+def op4_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_blocks.extract(pages).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@query("op7_byte_bpe")
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bpe = vocabulary(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.decode(bpe.encode(docs)).select(
+        "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def vocabulary(spark: SparkSession) -> byte_bpe.ByteBpe:
+    import public_tokenizers
+
+    return byte_bpe.ByteBpe(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query("op10_url_rules")
+def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = [url_rules.HostRule("block", "net/"), url_rules.HostRule("allow", "example.net/en/"),
+             url_rules.HostRule("block", "example.com/de/"), url_rules.HostRule("allow", "org/fr/")]
+    labels = table(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("page_id"),
+        F.when((F.col("quality") == 0) | (F.col("toxic") == 1), "block").otherwise("allow").alias("verdict"))
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_rules.judge(pages, rules, labels)
