@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.entrypoints.registry import Query
-from riskloom.llm import byte_bpe, html_blocks, line_dedup, source_mix, url_rules, vptree
+from riskloom.llm import byte_bpe, html_blocks, line_dedup, source_mix, toxicity, url_rules, vptree
 from riskloom.llm.common import table
 from riskloom.session import prepare
 
@@ -127,3 +127,21 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when((F.col("quality") == 0) | (F.col("toxic") == 1), "block").otherwise("allow").alias("verdict"))
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_rules.judge(pages, rules, labels)
+
+
+def held_out() -> Column:
+    """Every third document by a checksum of its id: never learned from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.ToxicityModel:
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    labelled = docs.select("doc_id", "text").filter(~held_out()).join(labels, "doc_id")
+    return toxicity.ToxicityModel.fit(docs, labelled)
+
+
+@query("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity_model(spark, docs, sf_dir).score(docs, threshold=0.7).select(
+        "doc_id", held_out().alias("held_out"), "score", "predicted", "toxic_terms")
