@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.entrypoints.registry import Query
-from riskloom.llm import byte_bpe, html_blocks, line_dedup, source_mix, toxicity, url_rules, vptree
+from riskloom.llm import byte_bpe, html_blocks, line_dedup, source_mix, syncmers, toxicity, url_rules, vptree
 from riskloom.llm.common import table
 from riskloom.session import prepare
 
@@ -145,3 +145,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return toxicity_model(spark, docs, sf_dir).score(docs, threshold=0.7).select(
         "doc_id", held_out().alias("held_out"), "score", "predicted", "toxic_terms")
+
+
+@query("op5_closed_syncmers")
+def op5_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return syncmers.compare_edited(docs).select(
+        "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        "fingerprint", "edited_fingerprint", "near_edited", "near_next")
