@@ -16,8 +16,9 @@ independent, so repeated rows repeat and an empty table gives an empty one; othe
 from __future__ import annotations
 
 import base64
+import struct
 from collections.abc import Callable, Iterator
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pandas as pd
@@ -28,9 +29,11 @@ from pyspark.sql import functions as F
 from riskloom.llm.common import whole_text
 
 START = -1
-MEMO_PIECES = 200_000     # pieces kept by a worker; forgotten all at once when full
-MEMO_STATES = 200_000     # transitions of the deterministic machine kept by a worker
-MEMO_BYTES = 64           # longer pieces are not kept
+NEVER = 1 << 60
+MEMO_PIECES = 400_000     # pieces in each of a worker's two generations; the older one goes when the newer is full
+MEMO_PAIRS = 300_000      # answers about token pairs kept by a worker
+MEMO_STATES = 60_000      # transitions kept by a worker; later ones are worked out each time they are needed
+MEMO_CHARS = 32           # longer pieces are not kept
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -55,40 +58,65 @@ class Transducer:
                     self.token_at.append(START)
             self.token_at[node] = rank
         self.follows: dict[tuple[int, int], bool] = {}
-        self._forget()
-
-    def _forget(self) -> None:
-        # A path: place in the trie, token before it, tokens not yet emitted.
+        self.halves: dict[int, tuple[int, int]] = {}
+        # A path: place in the trie, token before it, tokens not yet emitted.  A state is a set of paths.
         self.states: list[tuple] = [((0, START, ()),)]
         self.number: dict[tuple, int] = {self.states[0]: 0}
         self.moves: list[dict[int, tuple[tuple[int, ...], int]]] = [{}]
         self.kept = 0
 
-    def merged(self, raw: bytes) -> list[int]:
-        """Plain merging, lowest rank first; only asked about one or two tokens' bytes."""
-        parts = [raw[i:i + 1] for i in range(len(raw))]
-        while len(parts) > 1:
-            rank, i = min((self.ranks.get(a + b, 1 << 60), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
-            if rank == 1 << 60:
-                break
-            parts[i:i + 2] = [parts[i] + parts[i + 1]]
-        return [self.ranks[p] for p in parts]
+    def _halves(self, token: int) -> tuple[int, int]:
+        """The two tokens whose merge made this one; a token that no merge makes has none (START, START)."""
+        known = self.halves.get(token)
+        if known is None:
+            raw = self.bytes_of[token]
+            parts = [raw[i:i + 1] for i in range(len(raw))]
+            while len(parts) > 2:
+                best = min(range(len(parts) - 1), key=lambda i: (self.ranks.get(parts[i] + parts[i + 1], NEVER), i))
+                if parts[best] + parts[best + 1] not in self.ranks:
+                    break
+                parts[best:best + 2] = [parts[best] + parts[best + 1]]
+            known = (self.ranks[parts[0]], self.ranks[parts[1]]) if len(parts) == 2 else (START, START)
+            self.halves[token] = known
+        return known
 
     def may_follow(self, before: int, token: int) -> bool:
+        """Do the two tokens' bytes encode to just these tokens?
+
+        Merges are undone from the last one back.  At any time a left and a right piece touch at the
+        border; had their bytes been a token of lower rank than the merge undone just now, that merge
+        across the border would have come first.  Of two equal ranks the left one merges first.
+        """
+        if len(self.bytes_of[token]) > 1 and self._halves(token)[0] == START:
+            return False
+        if before == START:
+            return True
         known = self.follows.get((before, token))
         if known is None:
-            if len(self.follows) >= MEMO_STATES:
+            left, right = before, token
+            done_left = done_right = NEVER       # rank of the merge that ended each piece's life
+            known = True
+            while True:
+                across = self.ranks.get(self.bytes_of[left] + self.bytes_of[right], NEVER)
+                if across < done_left and across <= done_right and across != NEVER:
+                    known = False
+                    break
+                split_left = len(self.bytes_of[left]) > 1 and (left > right or len(self.bytes_of[right]) == 1)
+                if split_left:
+                    done_left, left = left, self._halves(left)[1]
+                elif len(self.bytes_of[right]) > 1:
+                    done_right, right = right, self._halves(right)[0]
+                else:
+                    break
+            if len(self.follows) >= MEMO_PAIRS:
                 self.follows.clear()
-            own = self.bytes_of[token]
-            known = (self.merged(own) == [token] if before == START
-                     else self.merged(self.bytes_of[before] + own) == [before, token])
             self.follows[before, token] = known
         return known
 
-    def _move(self, state: int, byte: int) -> tuple[tuple[int, ...], int]:
+    def _move(self, paths: tuple, byte: int) -> tuple[tuple[int, ...], tuple]:
         """Determinise one step: advance every open path, add the one that just completed a token."""
         open_paths, ended = [], None
-        for node, before, pending in self.states[state]:
+        for node, before, pending in paths:
             to = self.children[node].get(byte)
             if to is None:
                 continue
@@ -99,17 +127,24 @@ class Transducer:
                 open_paths.append((to, before, pending))
         if ended is None:
             raise ValueError(f"byte {byte} is in no token")
-        paths = [*open_paths, ended]
-        agreed = 0
-        shortest = min(len(p[2]) for p in paths)
-        while agreed < shortest and len({p[2][agreed] for p in paths}) == 1:
-            agreed += 1
-        emitted = ended[2][:agreed]
-        to_state = tuple((node, before, pending[agreed:]) for node, before, pending in paths)
-        at = self.number.get(to_state)
+        agreed = len(ended[2])
+        for _, _, pending in open_paths:
+            same = 0
+            while same < agreed and same < len(pending) and pending[same] == ended[2][same]:
+                same += 1
+            agreed = same
+        open_paths.append(ended)
+        if agreed:
+            open_paths = [(node, before, pending[agreed:]) for node, before, pending in open_paths]
+        return ended[2][:agreed], tuple(open_paths)
+
+    def _learn(self, state: int, byte: int) -> tuple[tuple[int, ...], int]:
+        """A move that is met for the first time is kept, with the state it leads to."""
+        emitted, paths = self._move(self.states[state], byte)
+        at = self.number.get(paths)
         if at is None:
-            at = self.number[to_state] = len(self.states)
-            self.states.append(to_state)
+            at = self.number[paths] = len(self.states)
+            self.states.append(paths)
             self.moves.append({})
         self.moves[state][byte] = emitted, at
         self.kept += 1
@@ -119,16 +154,30 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        if self.kept >= MEMO_STATES:
-            self._forget()
         out: list[int] = []
         state, moves = 0, self.moves
-        for byte in piece:
+        for i, byte in enumerate(piece):
             move = moves[state].get(byte)
-            emitted, state = move if move is not None else self._move(state, byte)
+            if move is None:
+                if self.kept >= MEMO_STATES:
+                    return self._unkept(out, state, piece[i:])
+                move = self._learn(state, byte)
+            emitted, state = move
             if emitted:
                 out += emitted
-        out += next((pending for node, _, pending in self.states[state] if node == 0), ())
+        return self._finish(out, self.states[state])
+
+    def _unkept(self, out: list[int], state: int, rest: bytes) -> list[int]:
+        """The same machine for the rest of a piece, without keeping anything."""
+        paths = self.states[state]
+        for byte in rest:
+            emitted, paths = self._move(paths, byte)
+            out += emitted
+        return self._finish(out, paths)
+
+    @staticmethod
+    def _finish(out: list[int], paths: tuple) -> list[int]:
+        out += next(pending for node, _, pending in paths if node == 0)
         return out
 
 
@@ -180,10 +229,13 @@ class Codec:
     """Texts to packed ids (little-endian unsigned 32-bit) and back."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.machine, self.split = Transducer(ranks), regex.compile(pattern)
+        self.ranks, self.split = ranks, regex.compile(pattern)
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         size = max(ranks.values()) + 1
-        self.raw = [self.machine.bytes_of.get(i, b"") for i in range(size)]
+        self.raw = [b""] * size
+        for token, i in ranks.items():
+            self.raw[i] = token
         self.alone = np.zeros(size, bool)         # tokens that are whole characters
         self.text: list[str] = [""] * size
         for i, token in enumerate(self.raw):
@@ -193,18 +245,25 @@ class Codec:
             except UnicodeDecodeError:
                 pass
 
+    @cached_property
+    def machine(self) -> Transducer:
+        return Transducer(self.ranks)
+
     def _piece(self, piece: str) -> bytes:
-        raw = piece.encode("utf-8")
-        packed = np.array(self.machine.encode(raw), "<u4").tobytes()
-        if len(raw) <= MEMO_BYTES:
+        """A piece that the newer generation does not hold; pieces in use move over from the older one."""
+        packed = self.older.get(piece)
+        if packed is None:
+            ids = self.machine.encode(piece.encode("utf-8"))
+            packed = struct.pack(f"<{len(ids)}I", *ids)
+        if len(piece) <= MEMO_CHARS:
             if len(self.memo) >= MEMO_PIECES:
-                self.memo.clear()
+                self.older, self.memo = self.memo, {}
             self.memo[piece] = packed
         return packed
 
     def encode(self, text: str) -> bytes:
-        known, piece = self.memo.get, self._piece
-        return b"".join([known(m) or piece(m) for m in self.split.findall(text)])
+        memo, piece = self.memo, self._piece
+        return b"".join([memo.get(m) or piece(m) for m in self.split.findall(text)])
 
     def decode(self, packed: bytes) -> str:
         ids = np.frombuffer(packed, "<u4")
