@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.entrypoints.registry import Query
-from riskloom.llm import byte_bpe, html_blocks, line_dedup, source_mix, syncmers, toxicity, url_rules, vptree
+from riskloom.llm import byte_bpe, html_blocks, jaccard_join, line_dedup, source_mix, syncmers, toxicity, url_rules, vptree
 from riskloom.llm.common import table
 from riskloom.session import prepare
 
@@ -153,3 +153,8 @@ def op5_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.compare_edited(docs).select(
         "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
         "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
+@query("op8_jaccard_join")
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
