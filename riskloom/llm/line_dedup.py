@@ -104,7 +104,7 @@ class CuckooFilter:
 
 
 def _key(line: Column) -> Column:
-    return ascii_lower(F.regexp_replace(line, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", ""))
+    return ascii_lower(F.btrim(line, F.lit(" \t\n\x0b\x0c\r")))
 
 
 def _exact(key: Column) -> Column:
