@@ -30,7 +30,7 @@ from riskloom.llm.common import whole_text
 
 START = -1
 NEVER = 1 << 60
-MEMO_PIECES = 400_000     # pieces in each of a worker's two generations; the older one goes when the newer is full
+MEMO_PIECES = 300_000     # pieces in each of a worker's two generations; the older one goes when the newer is full
 MEMO_PAIRS = 300_000      # answers about token pairs kept by a worker
 MEMO_STATES = 60_000      # transitions kept by a worker; later ones are worked out each time they are needed
 MEMO_CHARS = 32           # longer pieces are not kept
