@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.entrypoints.registry import Query
-from riskloom.llm import byte_bpe, html_blocks, jaccard_join, line_dedup, source_mix, syncmers, toxicity, url_rules, vptree
+from riskloom.llm import byte_bpe, html_blocks, jaccard_join, license_scan, line_dedup, source_mix, syncmers, toxicity, url_rules, vptree
 from riskloom.llm.common import table
 from riskloom.session import prepare
 
@@ -158,3 +158,8 @@ def op5_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_jaccard_join")
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op6_license_scan")
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
