@@ -71,25 +71,25 @@ def _bitmap(tokens: np.ndarray) -> bytes:
     return np.packbits(bits).tobytes()
 
 
-def difference_bound(n: int, num: int = NUM, den: int = DEN) -> int:
-    """Largest difference of a set of n elements and any partner."""
-    return (den - num) * (n + n * den // num) // (den + num)
+def difference_bound(n: int, largest: int, num: int = NUM, den: int = DEN) -> int:
+    """Largest difference of a set of n elements and a partner of at most `largest`."""
+    return (den - num) * (n + min(largest, n * den // num)) // (den + num)
 
 
 def signatures(tokens: np.ndarray, num: int = NUM, den: int = DEN) -> list[tuple[int, np.ndarray, int]]:
     """(band, signatures, slack) per band of a set; slack: how many of them the pigeonhole can spare, negative: too few."""
     n, out = len(tokens), []
-    need = difference_bound(n, num, den) + 1
-    reach = n * num // den                   # size of the smallest partner, rounded down
-    if need == 1:                            # partners are equal sets, which are one node
+    if difference_bound(n, n * den // num, num, den) == 0:   # partners are equal sets, which are one node
         return out
     edges = [0, SMALL]
     while edges[-1] <= n:
         edges.append(edges[-1] * 2)
     for band in range(len(edges) - 1):
         low, high = edges[band], edges[band + 1]
-        if n < low or reach >= high:
+        # A pair meets in the band of its smaller set, so a set is also in the band below if partners are there.
+        if n < low or n * num >= high * den:
             continue
+        need = 1 + difference_bound(n, n * den // num if n < high else high - 1, num, den)
         segments = SMALL_SEGMENTS if not band else int(0.42 * high) + 3
         segment = _mixed(tokens + np.uint64(band)) % np.uint64(segments)
         order = np.argsort(segment, kind="stable")
@@ -112,30 +112,30 @@ def signatures(tokens: np.ndarray, num: int = NUM, den: int = DEN) -> list[tuple
     return out
 
 
-def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        sets = [shingles(t) for t in batch.t]
-        yield pd.DataFrame({"id": batch.id, "node": [_node(s) for s in sets], "n": [len(s) for s in sets],
-                            "bits": [_bitmap(s) for s in sets]})
+PASS = "sig long, node long, aux int, id long, n long, bits binary"
 
 
 def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One reading of the texts gives two kinds of rows.
+
+    A document: aux -1, its id, size and bitmap (and -2, once more, if it had too few signatures from the
+    start).  A signature: aux = 64 * slack + band; the other columns are null.
+    """
     for batch in batches:
-        sigs, nodes, slacks, bands = [np.empty(0, np.uint64)], [], [], []
-        for t in batch.t:
+        sigs, nodes, aux, docs = [], [], [], []
+        for doc, t in zip(batch.id, batch.t):
             tokens = shingles(t)
+            node, short = _node(tokens), False
             for band, own, slack in signatures(tokens):
-                sigs.append(own)
-                nodes.append(np.full(len(own), _node(tokens), np.int64))
-                slacks.append(np.full(len(own), slack, np.int32))
-                bands.append(np.full(len(own), band, np.int32))
-                if slack < 0:                    # a mark of its own: too few signatures from the start
-                    sigs.append(np.array([_node(tokens)], np.int64).view(np.uint64))
-                    nodes.append(np.array([_node(tokens)], np.int64))
-                    slacks.append(np.array([slack], np.int32))
-                    bands.append(np.array([-1], np.int32))
-        joined = [np.concatenate(x) if x else np.empty(0, np.int64) for x in (nodes, slacks, bands)]
-        yield pd.DataFrame({"sig": np.concatenate(sigs).view(np.int64), "node": joined[0], "slack": joined[1], "band": joined[2]})
+                short |= slack < 0
+                sigs.append(own.view(np.int64))
+                nodes.append(np.full(len(own), node, np.int64))
+                aux.append(np.full(len(own), 64 * max(slack, 0) + band, np.int32))
+            docs.append((node, node, -2 if short else -1, doc, len(tokens), _bitmap(tokens)))
+        if sigs:
+            yield pd.DataFrame({"sig": np.concatenate(sigs), "node": np.concatenate(nodes), "aux": np.concatenate(aux),
+                                "id": None, "n": None, "bits": None})
+        yield pd.DataFrame(docs, columns=["sig", "node", "aux", "id", "n", "bits"])
 
 
 def _packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -196,11 +196,16 @@ class JaccardJoin:
 
     def __init__(self, docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"):
         self.docs = docs.select(F.col(doc_id).alias("id"), whole_text(text).alias("t"))
-        self.rows = stored(self.docs.mapInPandas(_sets, "id long, node long, n long, bits binary"), "jaccard-rows")
-        filled = self.rows.filter("n > 0")
+        group = W.partitionBy("sig")
+        met = (self.docs.mapInPandas(_signed, PASS)
+               .withColumns({"low": F.min("node").over(group), "high": F.max("node").over(group)})
+               .filter("aux < 0 or low != high").drop("low", "high"))
+        # Most signatures are met by one set only and end here.
+        self.met = stored(met, "jaccard-met")
+        self.rows = self.met.filter("aux < 0").select("id", "node", "n", "bits")
         # One document stands for each distinct set.
-        self.nodes = stored(filled.groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bits").alias("bits")),
-                            "jaccard-nodes")
+        self.nodes = stored(self.rows.filter("n > 0").groupBy("node").agg(
+            F.min("id").alias("id"), F.first("n").alias("n"), F.first("bits").alias("bits")), "jaccard-nodes")
         self.edges: DataFrame | None = None
         self.labels: DataFrame | None = None
 
@@ -223,13 +228,17 @@ class JaccardJoin:
         both = both.filter((F.least("na", "nb") * DEN >= F.greatest("na", "nb") * NUM))
         return both.filter(F.pandas_udf(_may_link, "boolean")("bitsa", "bitsb", "na", "nb")).drop("bitsa", "bitsb", "na", "nb")
 
-    def _verify(self, pairs: DataFrame) -> None:
-        """Check pairs of different components on their shingles; links join the components."""
+    def _sets(self, pairs: DataFrame) -> DataFrame:
+        """Shingles of all sets in pairs, read anew from their texts: only plausible pairs get here."""
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("node"))
+        return stored(self._texts(ends).mapInPandas(_packed, "node long, set binary").dropDuplicates(["node"]), "sets")
+
+    def _verify(self, pairs: DataFrame, sets: DataFrame | None = None) -> None:
+        """Check pairs on their shingles; links join the components."""
         pairs = stored(pairs.select("a", "b"), "pairs")
         if pairs.isEmpty():
             return
-        sets = stored(self._texts(pairs.select(F.explode(F.array("a", "b")).alias("node")))
-                      .mapInPandas(_packed, "node long, set binary").dropDuplicates(["node"]), "sets")
+        sets = self._sets(pairs) if sets is None else sets
         full = (pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a")
                 .join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b"))
         links = stored(full.filter(F.pandas_udf(_linked, "boolean")("sa", "sb")).select("a", "b"), "links")
@@ -237,17 +246,16 @@ class JaccardJoin:
         self.labels = components(self.edges)
 
     def run(self) -> JaccardJoin:
-        signed = self._texts(self.nodes).mapInPandas(_signed, "sig long, node long, slack int, band int").distinct()
         group = W.partitionBy("sig")
-        met = (signed.withColumns({"c": F.count("*").over(group), "pivot": F.min("node").over(group)})
-               .filter("c > 1 or band < 0"))
-        met = stored(met, "jaccard-met")
+        met = self.met.filter("aux >= 0").select("sig", "node", "aux").dropDuplicates(["sig", "node"])
+        met = stored(met.withColumns({"c": F.count("*").over(group), "pivot": F.min("node").over(group)}), "jaccard-groups")
         # First each set with the pivot it shares most signatures with, then the other pivots it is not joined to yet.
         stars = met.filter("node != pivot").groupBy(F.col("pivot").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("shared"))
         stars = stored(self._plausible(stars), "jaccard-stars")
+        sets = self._sets(stars)
         best = W.partitionBy("b").orderBy(F.desc("shared"), "a")
-        self._verify(stars.withColumn("r", F.row_number().over(best)).filter("r = 1"))
-        self._verify(self._apart(stars))
+        self._verify(stars.withColumn("r", F.row_number().over(best)).filter("r = 1"), sets)
+        self._verify(self._apart(stars), sets)
         # Signatures whose sets are not all connected by now.
         known = self._comp(met, "node", "comp")
         open_sigs = (known.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
@@ -257,7 +265,7 @@ class JaccardJoin:
         left = few.select("sig", F.col("node").alias("a"), F.col("comp").alias("ca"))
         right = few.select("sig", F.col("node").alias("b"), F.col("comp").alias("cb"))
         pairs = left.join(right, "sig").filter("a < b and ca != cb").select("a", "b").distinct()
-        short = self._short_of_signatures(met, known)
+        short = self._short_of_signatures(known)
         self._verify(self._plausible(pairs))
         self._second_level(short)
         return self
@@ -265,11 +273,12 @@ class JaccardJoin:
     def _apart(self, pairs: DataFrame) -> DataFrame:
         return self._comp(self._comp(pairs, "a", "ca"), "b", "cb").filter("ca != cb")
 
-    def _short_of_signatures(self, met: DataFrame, known: DataFrame) -> DataFrame:
+    def _short_of_signatures(self, known: DataFrame) -> DataFrame:
         """Sets that cannot spare their frequent signatures, or had too few from the start."""
-        left_out = (known.filter(F.col("c") > FREQUENT).groupBy("node", "band").agg(F.count("*").alias("k"), F.min("slack").alias("slack"))
-                    .filter("k > slack").select("node"))
-        return stored(left_out.unionAll(met.filter("band < 0").select("node")).distinct(), "jaccard-short")
+        left_out = (known.filter(F.col("c") > FREQUENT).groupBy("node", "aux").agg(F.count("*").alias("k"))
+                    .filter("k > aux div 64").select("node"))
+        few = self.met.filter("aux = -2").select("node")
+        return stored(left_out.unionAll(few).distinct(), "jaccard-short")
 
     def _second_level(self, short: DataFrame) -> None:
         """Segments of one shingle each: every short set looks up its H + 1 rarest shingles among all short sets."""
