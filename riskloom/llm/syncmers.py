@@ -1,14 +1,16 @@
 """Document fingerprints from closed syncmers, by DataFrame functions only.
 
-A k-mer of characters is chosen if the smallest of its inner s-mers (by hash, the leftmost of equal ones)
-stands at its left or right edge.  The choice depends on the k-mer alone, so the same passage gives the
-same anchors wherever it stands, and a text's anchors are those of its parts but for the k - 1 places
-around each border.  A fingerprint is the ascending list of the SKETCH smallest distinct anchor hashes;
+A text is a string of words; a k-mer of words is chosen if the smallest of its inner s-mers (by hash, the
+leftmost of equal ones) stands at its left or right edge.  The choice depends on the k-mer alone, so the
+same passage gives the same anchors wherever it stands, and a text's anchors are those of its parts but for
+the k - 1 places around each border.  A fingerprint is the ascending list of the SKETCH smallest distinct anchor hashes;
 likeness is the share of common hashes among the smallest of both, an estimate of the anchors' Jaccard
 similarity that is exact below SKETCH anchors.
 
-Defined results: a missing or empty text has the empty fingerprint, and two of them are alike (1.0); a
-text shorter than K is a single anchor; equal texts have equal fingerprints; the next document is the
+Words, not characters, are the letters of the k-mers: that is a sixth of the places, all of them array elements.
+
+Defined results: a missing or empty text and one without words has the empty fingerprint, and two of them
+are alike (1.0); a text of fewer than K words is a single anchor; equal texts have equal fingerprints; the next document is the
 next row by (doc_id, text), after the last the first, a single row is its own next; a missing doc_id comes
 first; an empty table gives an empty one; extra columns are not read.
 """
@@ -19,9 +21,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import whole_text
+from riskloom.llm.common import whole_text, words
 
-K, S = 12, 5
+K, S = 3, 1               # words in a k-mer and in an s-mer
 INNER = K - S + 1         # s-mers in a k-mer; 2 of INNER k-mers are chosen on average
 SKETCH = 64
 HEX = 8                   # hex digits of a hash in the fingerprint
@@ -29,49 +31,54 @@ BUCKET_ROWS = 2_000       # documents that share a window in small tables
 MAX_BUCKETS = 4_096       # ranges of doc_id; larger tables have more rows in each
 
 
-def _at(raw: Column, start: Column, length: int) -> Column:
-    """Characters of UTF-32 text: four bytes each, so any place is found at once."""
-    return F.substring(raw, start * 4 + 1, F.lit(4 * length))
+def _hash(*parts: Column) -> Column:
+    """Non-negative 32-bit hash."""
+    return F.shiftrightunsigned(F.xxhash64(*parts), 32)
+
 
+def _places(array: Column, width: int) -> Column:
+    return F.when(F.size(array) >= width, F.sequence(F.lit(0), F.size(array) - width)).otherwise(F.array().cast("array<int>"))
 
-def _hash(raw: Column) -> Column:
-    """Non-negative 32-bit hash."""
-    return F.shiftrightunsigned(F.xxhash64(raw), 32)
+
+def _runs(hashes: Column, width: int) -> Column:
+    """Hash of each run of `width` elements."""
+    return F.transform(_places(hashes, width), lambda i: _hash(*[F.get(hashes, i + j) for j in range(width)]))
 
 
 def _with_hashes(frame: DataFrame, text: str, out: str) -> DataFrame:
-    """Adds `out`: {raw, h}, the text in UTF-32 and the hash of each of its s-mers."""
-    frame = frame.withColumn(out, F.encode(F.col(text), "UTF-32"))
-    n = F.length(out) / 4
-    places = F.when(n >= K, F.sequence(F.lit(0), (n - S).cast("int"))).otherwise(F.array().cast("array<int>"))
-    return frame.withColumn(out, F.struct(F.col(out).alias("raw"), F.transform(places, lambda i: _hash(_at(F.col(out), i, S))).alias("h")))
+    """Adds `out`: hashes of the words of a text."""
+    return frame.withColumn(out, F.transform(words(F.col(text)), lambda w: _hash(w)))
 
 
 def _chosen(h: Column) -> Column:
-    """Start places of the closed syncmers, given the hashes of all s-mers."""
-    places = F.when(F.size(h) >= INNER, F.sequence(F.lit(0), F.size(h) - INNER)).otherwise(F.array().cast("array<int>"))
+    """Start places of the closed syncmers, given the hashes of the words."""
+    inner = h if S == 1 else _runs(h, S)
 
     def closed(i: Column) -> Column:
         # Smallest at the left edge, or smaller at the right edge than everything before it.
-        least = F.array_min(F.slice(h, i + 2, INNER - 2))
-        left, right = F.get(h, i), F.get(h, i + (INNER - 1))
-        return (left <= F.least(least, right)) | (right < F.least(least, left))
+        mers = [F.get(inner, i + j) for j in range(INNER)]
+        return (mers[0] <= F.least(*mers[1:])) | (mers[-1] < F.least(*mers[:-1]))
+
+    return F.filter(_places(h, K), closed)
+
 
-    return F.filter(places, closed)
+def _anchor_places(h: Column) -> Column:
+    few = F.when(F.size(h) > 0, F.array(F.lit(0))).otherwise(F.array().cast("array<int>"))
+    return F.when(F.size(h) < K, few).otherwise(_chosen(h))
 
 
-def _anchor_hashes(raw: Column, places: Column) -> Column:
-    whole = F.when(F.length(raw) > 0, F.array(_hash(raw))).otherwise(F.array().cast("array<bigint>"))
-    return F.when(F.length(raw) < 4 * K, whole).otherwise(F.transform(places, lambda i: _hash(_at(raw, i, K))))
+def _anchor_hashes(h: Column, places: Column) -> Column:
+    whole = F.transform(places, lambda _: F.aggregate(h, F.lit(0).cast("bigint"), lambda a, x: _hash(a, x)))
+    return F.when(F.size(h) < K, whole).otherwise(
+        F.transform(places, lambda i: _hash(*[F.get(h, i + j) for j in range(K)])))
 
 
 def anchors(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per anchor for positional matching: doc_id, position (code points from 0), anchor (hash)."""
-    frame = _with_hashes(docs.select(doc_id, whole_text(text).alias("__t")), "__t", "__x")
-    frame = frame.withColumn("__at", _chosen(F.col("__x.h")))
-    frame = frame.withColumn("__at", F.when((F.length("__x.raw") < 4 * K) & (F.length("__x.raw") > 0), F.array(F.lit(0))).otherwise(F.col("__at")))
-    pairs = F.arrays_zip(F.col("__at").alias("position"), _anchor_hashes(F.col("__x.raw"), F.col("__at")).alias("anchor"))
-    return frame.select(doc_id, F.inline(pairs))
+    """One row per anchor for positional matching: doc_id, position (words from 0), anchor (hash)."""
+    frame = _with_hashes(docs.select(doc_id, whole_text(text).alias("__t")), "__t", "__h")
+    frame = frame.withColumn("position", _anchor_places(F.col("__h")))
+    frame = frame.withColumn("anchor", _anchor_hashes(F.col("__h"), F.col("position")))
+    return frame.select(doc_id, F.inline(F.arrays_zip("position", "anchor")))
 
 
 def _sketch(hashes: Column) -> Column:
@@ -91,8 +98,9 @@ def likeness(a: Column, b: Column) -> Column:
 
 def fingerprint(docs: DataFrame, *, text: str = "text", out: str = "sketch") -> DataFrame:
     """Adds the sketch (array of hashes) of the whole text."""
-    frame = _with_hashes(docs.withColumn("__t", whole_text(text)), "__t", "__x")
-    return frame.withColumn(out, _sketch(_anchor_hashes(F.col("__x.raw"), _chosen(F.col("__x.h"))))).drop("__t", "__x")
+    frame = _with_hashes(docs.withColumn("__t", whole_text(text)), "__t", "__h")
+    frame = frame.withColumn("__at", _anchor_places(F.col("__h")))
+    return frame.withColumn(out, _sketch(_anchor_hashes(F.col("__h"), F.col("__at")))).drop("__t", "__h", "__at")
 
 
 def _buckets(docs: DataFrame, doc_id: str) -> tuple[Column, int]:
