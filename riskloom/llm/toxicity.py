@@ -298,7 +298,7 @@ def fit_lexicon(labelled: DataFrame, counts: np.ndarray, text: str, label: str)
                     if not (old and any(e in old for e in own)):
                         for e in own | {""}:                  # the empty entry counts documents
                             found[e] = found.get(e, 0) + 1
-                yield pd.DataFrame({"entry": list(found), "n": list(found.values())})
+                yield pd.DataFrame({"entry": pd.Series(list(found), dtype=object), "n": list(found.values())})
 
         return some.mapInPandas(read, "entry string, n long").groupBy("entry").agg(F.sum("n").alias("n"))
 
