@@ -129,7 +129,7 @@ def mix(docs: DataFrame, *, sources: Column | None = None, weigh=cycle_weights,
     Row columns kept: all of `docs` but the text.  Bounded on the driver: one sum per pattern.
     """
     member = sources if sources is not None else F.array(F.col("source"))
-    rest = [c for c in docs.columns if c != text]
+    rest = [c for c in docs.columns if c not in (text, "mix_size", "mix_uses")]
     sized = stored(docs.select(
         *rest,
         F.regexp_count(whole_text(text), F.lit(WORD)).cast("long").alias("__size"),
@@ -151,20 +151,20 @@ def mix(docs: DataFrame, *, sources: Column | None = None, weigh=cycle_weights,
     quota = F.broadcast(quota)  # at most MAX_PATTERNS rows
     bins = sized.groupBy("__pattern", "__bin").agg(F.sum("__size").alias("n"))
     before = W.partitionBy("__pattern").orderBy("__bin").rowsBetween(W.unboundedPreceding, -1)
-    bins = bins.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    edge = (bins.join(quota, "__pattern").filter("start <= __rest and __rest < start + n")
-            .select("__pattern", F.col("__bin").alias("edge"), "start"))
+    bins = bins.withColumn("__start", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    edge = (bins.join(quota, "__pattern").filter("__start <= __rest and __rest < __start + n")
+            .select("__pattern", F.col("__bin").alias("__edge"), "__start"))
     # The bin where a pattern's remainder runs out is decided row by row; all others as a whole.
-    inside = sized.join(F.broadcast(edge), "__pattern").filter("__bin = edge").join(quota, "__pattern")
+    inside = sized.join(F.broadcast(edge), "__pattern").filter("__bin = __edge").join(quota, "__pattern")
     order = ["__draw", doc_id, "__size"]
     row_before = W.partitionBy("__pattern").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-    inside = inside.withColumn("sum", F.col("start") + F.coalesce(F.sum("__size").over(row_before), F.lit(0)))
-    last = (inside.filter("2 * sum + __size <= 2 * __rest").groupBy("__pattern")
-            .agg(F.max(F.struct("__draw", F.col(doc_id).alias("id"), "__size")).alias("last")))
-    cut = F.broadcast(edge.join(last, "__pattern", "left").select("__pattern", "edge", "last"))
+    inside = inside.withColumn("__sum", F.col("__start") + F.coalesce(F.sum("__size").over(row_before), F.lit(0)))
+    last = (inside.filter("2 * __sum + __size <= 2 * __rest").groupBy("__pattern")
+            .agg(F.max(F.struct("__draw", F.col(doc_id).alias("id"), "__size")).alias("__last")))
+    cut = F.broadcast(edge.join(last, "__pattern", "left").select("__pattern", "__edge", "__last"))
     once_more = (F.col("__rest") > 0) & (
-        (F.col("__bin") < F.col("edge"))
-        | ((F.col("__bin") == F.col("edge")) & (F.struct("__draw", F.col(doc_id).alias("id"), "__size") <= F.col("last"))))
+        (F.col("__bin") < F.col("__edge"))
+        | ((F.col("__bin") == F.col("__edge")) & (F.struct("__draw", F.col(doc_id).alias("id"), "__size") <= F.col("__last"))))
     out = sized.join(quota, "__pattern").join(cut, "__pattern", "left")
     uses = F.col("__full") + F.coalesce(once_more, F.lit(False)).cast("long")
     return out.select(*rest, F.col("__size").alias("mix_size"),

@@ -7,7 +7,7 @@ matches them against the URLs.
 
 Defined results: a missing URL or one without `://` has an empty host and path, fits no rule and is
 allowed; equal URLs are judged equally; without labels or frequent combinations everything else is
-allowed; an empty table gives an empty one; other columns are kept.
+allowed; an empty table gives an empty one; other columns are kept, but for those named like a result.
 """
 
 from __future__ import annotations
@@ -115,4 +115,5 @@ def judge(urls: DataFrame, host_rules: list[HostRule], labels: DataFrame | None
     hit = hit.select(F.col("tokens").alias("__tokens"), F.lit(True).alias("__hit"))
     judged = rows.join(hit, "__tokens", "left")
     verdict = F.coalesce(verdict_of, F.when(F.col("__hit"), BLOCK).otherwise(ALLOW))
-    return judged.withColumn("verdict", verdict).select(*urls.columns, "host", "path", "rule", "verdict")
+    return judged.withColumn("verdict", verdict).select(
+        *[c for c in urls.columns if c not in ("host", "path", "rule", "verdict")], "host", "path", "rule", "verdict")
