@@ -6,7 +6,7 @@ than H segments, one of them must be equal in both sets (pigeonhole).  In the ba
 is matched together with its one-deletion neighbourhood, which is worth two differences.  Every set gets an
 allocation by cost: signatures that very many sets share are left out, and a set that keeps too few for the
 pigeonhole goes to a second level where segments are single shingles and its H + 1 rarest ones are looked
-up.  Candidates pass an exact bound on small bitmaps and are then verified on the shingles themselves.
+up.  Candidates pass an exact bound on small sketches and are then verified on the shingles themselves.
 
 Groups of copies are never paired up: equal sets are one node, the members of a signature are first
 compared with one of them, and what is connected by then is not compared again.
@@ -36,7 +36,8 @@ NUM, DEN = 75, 100        # similarity as a fraction
 SMALL = 14                # smaller sets: three segments with one-deletion neighbourhoods
 SMALL_SEGMENTS = 3
 FREQUENT = 32             # signatures shared by more sets are left out where the pigeonhole allows it
-BITS = 1024
+CELLS = 512               # counters of a sketch
+SENT_IDS = 200_000        # ids sent to every task at most; more are joined by a shuffle
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -65,10 +66,9 @@ def _node(tokens: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def _bitmap(tokens: np.ndarray) -> bytes:
-    bits = np.zeros(BITS, np.uint8)
-    bits[(tokens % np.uint64(BITS)).astype(np.int64)] = 1
-    return np.packbits(bits).tobytes()
+def _sketch(tokens: np.ndarray) -> bytes:
+    """How many shingles fall in each cell, up to 255."""
+    return np.minimum(np.bincount((tokens % np.uint64(CELLS)).astype(np.int64), minlength=CELLS), 255).astype(np.uint8).tobytes()
 
 
 def difference_bound(n: int, largest: int, num: int = NUM, den: int = DEN) -> int:
@@ -118,7 +118,7 @@ PASS = "sig long, node long, aux int, id long, n long, bits binary"
 def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """One reading of the texts gives two kinds of rows.
 
-    A document: aux -1, its id, size and bitmap (and -2, once more, if it had too few signatures from the
+    A document: aux -1, its id, size and sketch (and -2, once more, if it had too few signatures from the
     start).  A signature: aux = 64 * slack + band; the other columns are null.
     """
     for batch in batches:
@@ -131,7 +131,7 @@ def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 sigs.append(own.view(np.int64))
                 nodes.append(np.full(len(own), node, np.int64))
                 aux.append(np.full(len(own), 64 * max(slack, 0) + band, np.int32))
-            docs.append((node, node, -2 if short else -1, doc, len(tokens), _bitmap(tokens)))
+            docs.append((node, node, -2 if short else -1, doc, len(tokens), _sketch(tokens)))
         if sigs:
             yield pd.DataFrame({"sig": np.concatenate(sigs), "node": np.concatenate(nodes), "aux": np.concatenate(aux),
                                 "id": None, "n": None, "bits": None})
@@ -162,13 +162,13 @@ def _linked(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Serie
 
 
 def _may_link(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    """Bits that differ are elements that differ, so too many of them rule a link out."""
+    """Cells that differ by k need k elements that differ, so too large a difference rules a link out."""
     for a, b, n, m in batches:
         if not len(a):
             yield pd.Series([], dtype=bool)
             continue
-        x = np.frombuffer(b"".join(a), np.uint8) ^ np.frombuffer(b"".join(b), np.uint8)
-        differ = np.bitwise_count(x).reshape(len(a), -1).sum(1, dtype=np.int64)
+        x, y = (np.frombuffer(b"".join(side), np.uint8).reshape(len(a), CELLS).astype(np.int16) for side in (a, b))
+        differ = np.abs(x - y).sum(1, dtype=np.int64)
         yield pd.Series((DEN + NUM) * differ <= (DEN - NUM) * (n.to_numpy() + m.to_numpy()))
 
 
@@ -211,7 +211,9 @@ class JaccardJoin:
 
     def _texts(self, nodes: DataFrame) -> DataFrame:
         """Texts of the documents that stand for the given nodes."""
-        some = self.nodes.join(nodes.select("node").distinct(), "node").select("id").distinct()
+        some = stored(self.nodes.join(nodes.select("node").distinct(), "node").select("id").distinct(), "ids")
+        if some.count() <= SENT_IDS:
+            some = F.broadcast(some)         # the texts stay where they are
         return self.docs.join(some, self.docs.id.eqNullSafe(some.id), "left_semi").select("t")
 
     def _comp(self, rows: DataFrame, node: str, out: str) -> DataFrame:
@@ -222,7 +224,7 @@ class JaccardJoin:
                 .withColumn(out, F.coalesce("__c", node)).drop("__n", "__c"))
 
     def _plausible(self, pairs: DataFrame) -> DataFrame:
-        """Distinct pairs (a, b) that sizes and bitmaps allow."""
+        """Distinct pairs (a, b) that sizes and sketches allow."""
         side = lambda name: self.nodes.select(F.col("node").alias(name), F.col("n").alias(f"n{name}"), F.col("bits").alias(f"bits{name}"))
         both = pairs.join(side("a"), "a").join(side("b"), "b")
         both = both.filter((F.least("na", "nb") * DEN >= F.greatest("na", "nb") * NUM))
@@ -231,7 +233,7 @@ class JaccardJoin:
     def _sets(self, pairs: DataFrame) -> DataFrame:
         """Shingles of all sets in pairs, read anew from their texts: only plausible pairs get here."""
         ends = pairs.select(F.explode(F.array("a", "b")).alias("node"))
-        return stored(self._texts(ends).mapInPandas(_packed, "node long, set binary").dropDuplicates(["node"]), "sets")
+        return stored(self._texts(ends).mapInPandas(_packed, "node long, set binary"), "sets")
 
     def _verify(self, pairs: DataFrame, sets: DataFrame | None = None) -> None:
         """Check pairs on their shingles; links join the components."""
