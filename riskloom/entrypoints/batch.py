@@ -67,9 +67,9 @@ def f3(spark, d):
     return features.high_risk_filter(star.transactions(spark, d), LIMIT)
 
 
-@query("f13_amount_above", "SELECT transaction_id, amount FROM tx WHERE amount > 100")
+@query("f13_amount_above", "SELECT transaction_id, amount FROM tx WHERE amount > 30000")
 def f13(spark, d):
-    return ops.amount_above(star.transactions(spark, d, ["transaction_id", "amount"]), 100)
+    return ops.amount_above(star.transactions(spark, d, ["transaction_id", "amount"]), 30_000)
 
 
 @query(

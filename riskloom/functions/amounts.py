@@ -2,10 +2,10 @@
 
 A sum of doubles depends on the order in which tasks deliver their parts, so two
 runs of the same job can differ in the last digit. Amounts are summed as decimals
-instead: ISO 4217 currencies have at most four decimals, and the result is the
-same for every partitioning. Should a value not fit the decimal (an infinite or
-NaN amount, or one beyond 18 integer digits), the whole group falls back to the
-double sum, so no row is left out.
+instead, so the result is the same for every partitioning. An amount that the
+decimal does not hold exactly (NaN, an infinite one, one with more than ten
+decimals or 18 integer digits) is summed as a double beside them; no amount is
+rounded and no group changes its way.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-EXACT = "decimal(22,4)"
+EXACT = "decimal(28,10)"
 
 
 def _col(value: Column | str) -> Column:
@@ -21,12 +21,14 @@ def _col(value: Column | str) -> Column:
 
 
 def money_sum(amount: Column | str) -> Column:
-    """Exact sum as double."""
+    """Sum as double: exact decimals plus the doubles that are none."""
     amount = _col(amount)
     # 0 * NaN and 0 * inf are NaN, so this is the plain test for "finite".
-    exact = F.when(amount * 0 == 0, amount).try_cast(EXACT)
-    fits = F.count(amount) == F.count(exact)
-    return F.when(fits, F.sum(exact).cast("double")).otherwise(F.sum(amount))
+    decimal = F.when(amount * 0 == 0, amount).try_cast(EXACT)
+    exact = F.when(decimal.cast("double") == amount, decimal)
+    rest = F.when(exact.isNull(), amount.cast("double"))
+    of_exact, of_rest = F.sum(exact).cast("double"), F.sum(rest)
+    return F.coalesce(of_exact + of_rest, of_exact, of_rest)
 
 
 def money_avg(amount: Column | str) -> Column:

@@ -55,12 +55,17 @@ def first_source_row(raw: DataFrame, ids: DataFrame, key: str = "transaction_id"
     return raw.join(ids.select(key), key, "left_semi")
 
 
+def sent_if_small(mapping: DataFrame, rows: int = 10_000) -> DataFrame:
+    """A mapping of at most `rows` rows goes to every task, so the other side is not dealt out by its few keys."""
+    return F.broadcast(mapping) if mapping.limit(rows + 1).count() <= rows else mapping
+
+
 def currency_mismatch(rows: DataFrame, conformity: DataFrame) -> DataFrame:
     """Rows whose country is unknown or whose currency is not the country's.
 
     `conformity` holds one row per country (country, expected_currency).
     """
-    joined = rows.join(conformity, "country", "left")
+    joined = rows.join(sent_if_small(conformity), "country", "left")
     known = F.col("expected_currency").isNotNull()
     return joined.where(~known | distinct_from(F.col("currency"), F.col("expected_currency"))).withColumn(
         "problem", F.when(known, "currency_mismatch").otherwise("unknown_country")

@@ -12,6 +12,7 @@ from riskloom.functions.predicates import any_of, in_unit_range, is_blank
 from riskloom.functions.risk import HIGH_VALUE, is_high_risk, is_high_value
 from riskloom.functions.times import has_offset, parse_iso
 from riskloom.operators.compare import (
+    sent_if_small,
     count_mismatch,
     diff_full_outer,
     file_inventory,
@@ -87,7 +88,7 @@ def _listed(column: str, values: list[str]) -> Column:
 def _readable(rows: DataFrame, conformity: DataFrame) -> DataFrame:
     """Text rows with their expected currency and with timestamp and amount parsed once."""
     number = F.when(F.col("amount").rlike(_NUMBER), F.trim("amount").try_cast("double"))
-    return rows.join(conformity, "country", "left").withColumns(
+    return rows.join(sent_if_small(conformity), "country", "left").withColumns(
         {"_instant": parse_iso(F.col("event_timestamp")), "_number": number}
     )
 
@@ -107,12 +108,13 @@ def raw_summary(rows: DataFrame) -> DataFrame:
     )
 
 
-def first_errors(rows: DataFrame, conformity: DataFrame, limit: int = 20, **lists) -> DataFrame:
-    """Up to `limit` violating rows with their broken rules, for a report."""
+def first_errors(rows: DataFrame, conformity: DataFrame, limit: int | None = 20, **lists) -> DataFrame:
+    """The first `limit` violating rows by id with their broken rules, for a report; None gives all."""
     from riskloom.quality.rules import violations
 
     readable = _readable(rows, conformity)
-    return violations(readable, raw_rules(**lists)).select("transaction_id", "broken_rules").limit(limit)
+    broken = violations(readable, raw_rules(**lists)).select("transaction_id", "broken_rules")
+    return broken if limit is None else broken.orderBy("transaction_id", "broken_rules").limit(limit)
 
 
 def header_problems(found: list[str], expected: list[str]) -> list[str]:

@@ -12,8 +12,8 @@ LOAD_STATUS = "observation_timestamp string, success boolean, details string"
 
 
 def _json_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Missing files give an empty table, unreadable documents are dropped."""
-    reader = spark.read.schema(schema).option("mode", "DROPMALFORMED")
+    """Missing files give an empty table; an unreadable document fails the read."""
+    reader = spark.read.schema(schema).option("mode", "FAILFAST")
     try:
         return reader.json(path)
     except AnalysisException as error:
@@ -35,6 +35,20 @@ def read_check_results(spark: SparkSession, path: str) -> DataFrame:
     return _json_or_empty(spark, path, CHECK_RESULT)
 
 
+def readable_and_broken(spark: SparkSession, path: str, schema) -> tuple[DataFrame, int]:
+    """For a report that must not stop: the readable documents, and how many could not be read."""
+    try:
+        lines = spark.read.text(path)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return spark.createDataFrame([], schema), 0
+    ddl = schema if isinstance(schema, str) else schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")
+    parsed = lines.filter("trim(value) != ''").select(
+        F.from_json("value", f"{ddl}, _broken string", {"columnNameOfCorruptRecord": "_broken"}).alias("r")).select("r.*")
+    return parsed.filter("_broken is null").drop("_broken"), parsed.filter("_broken is not null").count()
+
+
 def failed_checks(results: DataFrame) -> DataFrame:
     """One row: checks seen and checks that did not pass."""
     return results.agg(

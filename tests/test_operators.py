@@ -19,7 +19,15 @@ from riskloom.sources.files import child_names
 from riskloom.sources.transactions import read_raw
 
 
-def test_money_sum_falls_back_to_doubles(spark):
+def test_money_sum_rounds_nothing(spark):
+    cases = {"five": ([0.00004] * 10_000, 0.4), "six": ([0.12345] * 10, 1.2345), "large": ([1e20, 0.1, 0.2], 1e20),
+             "tiny": ([1e-12, 1e-12], 2e-12), "mixed": ([1e-12, 0.5], 0.5 + 1e-12), "inf": ([float("inf"), 1.0], float("inf"))}
+    rows = spark.createDataFrame([(k, x) for k, (values, _) in cases.items() for x in values], "k string, amount double")
+    found = {r["k"]: r["s"] for r in rows.groupBy("k").agg(money_sum("amount").alias("s")).collect()}
+    assert found == {k: total for k, (_, total) in cases.items()}
+
+
+def test_money_sum_keeps_nan_and_null(spark):
     rows = spark.createDataFrame([("a", 0.1), ("a", 0.2), ("b", float("nan")), ("b", 1.0), ("c", None)], "k string, amount double")
     found = {r["k"]: (r["s"], r["m"]) for r in rows.groupBy("k").agg(money_sum("amount").alias("s"), money_avg("amount").alias("m")).collect()}
     assert found["a"] == (0.3, 0.15)

@@ -7,7 +7,8 @@ from riskloom.observe import alerts, observations
 from riskloom.operators.merge import merge_streaming
 from riskloom.schemas import BATCH_METRICS, CHECK_RESULT
 from riskloom.sources.events import SourceSpec
-from riskloom.sources.results import LOAD_STATUS, read_batch_metrics
+from riskloom.schemas import BATCH_METRICS
+from riskloom.sources.results import LOAD_STATUS, read_batch_metrics, readable_and_broken
 from riskloom.streaming import metrics, runner, strict
 
 EVENT = {
@@ -145,3 +146,15 @@ def test_observation_alerts(spark):
 def test_empty_alert_payload(spark):
     payload = spark.createDataFrame([('{"status": "firing", "alerts": []}',), ("{}",)], "value string")
     assert alerts.normalize_alert_payload(payload).count() == 0
+
+
+def test_cut_off_metrics_file_is_an_error(spark, tmp_path):
+    good = '{"batch_id": 0, "input_count": 10, "clean_count": 10, "invalid_count": 0, "duplicate_count": 0, "reconciliation": true}'
+    for batch, text in enumerate([good, good[:60]]):
+        folder = tmp_path / f"batch_id={batch}"
+        folder.mkdir()
+        (folder / "part.json").write_text(text)
+    with pytest.raises(Exception, match="MALFORMED"):
+        metrics.validate_stream(read_batch_metrics(spark, str(tmp_path)), 1.0)
+    readable, broken = readable_and_broken(spark, f"{tmp_path}/*", BATCH_METRICS)
+    assert broken == 1 and readable.first()["input_count"] == 10
