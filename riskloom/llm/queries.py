@@ -135,9 +135,8 @@ def held_out() -> Column:
 
 
 def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.ToxicityModel:
-    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    labelled = docs.select("doc_id", "text").filter(~held_out()).join(labels, "doc_id")
-    return toxicity.ToxicityModel.fit(docs, labelled)
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(~held_out())
+    return toxicity.ToxicityModel.fit(docs, labels)
 
 
 @query("op1_toxicity")

@@ -8,7 +8,7 @@ the posterior of the label given the entries found.
 
 Defined results: a missing or empty text has no entries and gets the score of a document without any;
 how often an entry is repeated does not matter; equal texts get equal scores; rows without a label are
-scored but teach nothing; without labelled rows of both kinds every score is 0; an empty table gives an
+scored but teach nothing; of several labels of one id the toxic one counts; without labelled rows of both kinds every score is 0; an empty table gives an
 empty one; other columns are kept and never read for the score.
 """
 
@@ -39,6 +39,7 @@ LEET = {
     "*": "aeiou", "#": "h", "%": "x", "?": "", "&": "",
 }
 SUBSTITUTE, INSERT, REPEAT, JOIN, PART = 2.0, 3.0, 1.2, 0.2, 3.0
+MAX_LABELLED = 20_000              # labelled rows the lexicon is learned from at most, in a seeded order
 MAX_LEXICON = 20_000               # entries kept, best evidence first
 MIN_TOXIC = 4                      # toxic training documents an entry needs
 MIN_ODDS, MIN_EVIDENCE = 2.5, 6.0  # log odds and log likelihood gain an entry needs
@@ -155,27 +156,42 @@ def squeezed(word: str) -> str:
 
 
 class Reader:
-    """Words of a text after restoring its disguised spans."""
+    """Words of a text after restoring its disguised spans, and the evidence in them."""
 
     def __init__(self, decoder: Decoder, lexicon: Lexicon | None = None):
         self.decoder = decoder
-        # Doubled letters are natural: such a word is read anew only where its squeezed form is an entry's.
-        self.doubles = {}
-        for e in (lexicon.weights if lexicon else {}):
+        self.known = lexicon.weights if lexicon else {}
+        self.weight_of: dict[str, float] = {}
+        # Doubled letters are natural: such a word is read anew only where its squeezed form begins like an entry's.
+        self.doubles: dict[str, str] = {}
+        for e in self.known:
             self.doubles.setdefault(squeezed(e.rstrip("-")), e.rstrip("-"))
 
     def words(self, text: str) -> set[str]:
         folded = fold(text)
         out = set(_PLAIN.findall(folded))
-        if self.doubles:
-            for w in list(out):
-                s = squeezed(w)
-                if s != w:
-                    out.update(self.doubles[s[:n]] + s[n:] for n in range(4, len(s) + 1) if s[:n] in self.doubles)
         for span in disguised(folded):
             out.update(self.decoder.restore(span).split())
         return out
 
+    def evidence(self, text: str) -> dict[str, float]:
+        """Weight of every word that is an entry or begins with one: the strongest of its entries."""
+        weight_of, out = self.weight_of, {}
+        for w in self.words(text):
+            weight = weight_of.get(w)
+            if weight is None:
+                if len(weight_of) >= MEMO:
+                    weight_of.clear()
+                weight = weight_of[w] = self._weight(w)
+            if weight:
+                out[w] = weight
+        return out
+
+    def _weight(self, word: str) -> float:
+        s = squeezed(word)
+        forms = {word} if s == word else {word} | {self.doubles[s[:n]] + s[n:] for n in range(4, len(s) + 1) if s[:n] in self.doubles}
+        return max((self.known[e] for form in forms for e in entries_of(form) if e in self.known), default=0.0)
+
 
 def disguised(folded: str) -> set[str]:
     """Written spans that may hide a word: single characters in a row, and words with a noise pattern."""
@@ -200,12 +216,11 @@ def restore_text(decoder: Decoder, text: str) -> str:
     return _SPAN.sub(lambda m: decoder.restore(m.group()) if m["spaced"] or _NOISE.search(m["word"]) else m.group(), folded)
 
 
-def score_words(lexicon: Lexicon, words: set[str]) -> tuple[float, list[str]]:
-    """Score and the words that gave it.  A word and its beginnings are one piece of evidence: the strongest counts."""
+def score_text(lexicon: Lexicon, reader: Reader, text: str) -> tuple[float, list[str]]:
+    """Score and the words that gave it.  A word and its beginnings are one piece of evidence."""
     if not lexicon.fitted:
         return 0.0, []
-    known = lexicon.weights
-    found = {w: max(known[e] for e in own) for w in words if (own := [e for e in entries_of(w) if e in known])}
+    found = reader.evidence(text)
     evidence = math.fsum(found.values()) - lexicon.bar
     return 1.0 / (1.0 + math.exp(-max(-50.0, min(50.0, evidence + LOGIT)))), sorted(found)
 
@@ -217,9 +232,17 @@ class ToxicityModel:
         self.sent = spark.sparkContext.broadcast((counts, lexicon))
 
     @classmethod
-    def fit(cls, corpus: DataFrame, labelled: DataFrame, *, text: str = "text", label: str = "toxic") -> ToxicityModel:
-        """The character model reads all texts of `corpus`, the lexicon all rows of `labelled` with a label."""
+    def fit(cls, corpus: DataFrame, labels: DataFrame, *, text: str = "text", label: str = "toxic", key_id: str = "doc_id") -> ToxicityModel:
+        """The character model reads all texts of `corpus`, the lexicon those of at most MAX_LABELLED rows of `labels`.
+
+        `labels` (key_id, label) is small by that bound and is sent to the texts, which stay where they are.
+        """
         counts = corpus_counts(corpus, text)
+        some = (labels.filter(F.col(label).isNotNull() & F.col(key_id).isNotNull()).groupBy(key_id).agg(F.max(label).alias(label))
+                .orderBy(F.xxhash64(key_id), key_id).limit(MAX_LABELLED))
+        some = stored(some.select(F.col(key_id).alias("__id"), F.col(label).alias("__label")), "toxic-labels")
+        labelled = (corpus.select(F.col(key_id).alias("__id"), F.col(text).alias(text)).join(F.broadcast(some), "__id")
+                    .select(text, F.col("__label").alias(label)))
         return cls(corpus.sparkSession, counts, fit_lexicon(labelled, counts, text, label))
 
     def score(self, docs: DataFrame, *, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -230,7 +253,7 @@ class ToxicityModel:
             counts, lexicon = sent.value
             reader = Reader(_decoder(counts.tobytes()), lexicon)
             for batch in batches:
-                got = [score_words(lexicon, reader.words(t)) for t in batch]
+                got = [score_text(lexicon, reader, t) for t in batch]
                 yield pd.DataFrame({"score": [s for s, _ in got], "terms": [f for _, f in got]})
 
         scored = docs.withColumn("__s", F.pandas_udf(run, "score double, terms array<string>")(whole_text(text)))
