@@ -17,7 +17,7 @@ from tests.comparison import connect, difference
 SF_DIR = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["op2_line_dedup", "op9_source_mix"])
+@pytest.mark.parametrize("name", ["op2_line_dedup", "op8_jaccard_join", "op9_source_mix"])
 def test_query_equals_its_sql(spark, name):
     from riskloom.llm.queries import QUERIES
 
