@@ -17,10 +17,7 @@ NEWEST = ["event_timestamp", "source_offset"]
 
 def processed(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """Deduplicated transactions with the given columns (all without any)."""
-    if columns:
-        read = list(dict.fromkeys([*columns, *KEY, *NEWEST]))
-        return dedup_latest(star.transactions(spark, sf_dir, read), KEY, NEWEST).select(*columns)
-    return dedup_latest(star.transactions(spark, sf_dir), KEY, NEWEST)
+    return star.latest_transactions(spark, sf_dir, columns or None)
 
 
 def typed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -57,10 +57,10 @@ def s3(spark, d):
     return scans.read_partition(spark, _processed_table(spark, d), _DAY)
 
 
-@query("s6_external_table", "SELECT n_regionkey, COUNT(*) AS nations FROM nation GROUP BY n_regionkey")
+@query("s6_external_table", "SELECT l_returnflag, COUNT(*) AS line_count FROM lineitem GROUP BY l_returnflag")
 def s6(spark, d):
-    scans.register_external(spark, "nation_files", f"{d}/nation.parquet")
-    return spark.sql("SELECT n_regionkey, COUNT(*) AS nations FROM nation_files GROUP BY n_regionkey")
+    scans.register_external(spark, "lineitem_files", f"{d}/lineitem.parquet")
+    return spark.sql("SELECT l_returnflag, COUNT(*) AS line_count FROM lineitem_files GROUP BY l_returnflag")
 
 
 @query(
@@ -79,9 +79,7 @@ def s9(spark, d):
 
 @query("k1_baseline_write", f"SELECT {_TX} FROM processed")
 def k1(spark, d):
-    # Every task writes every partition it holds, so the hour (24 values) is the partition here.
-    path = _stored_processed(spark, d, strategy="baseline", partition_by="event_hour")
-    return spark.read.parquet(path).withColumn("event_hour", F.col("event_hour").cast("int"))
+    return scans.read_processed(spark, _stored_processed(spark, d, strategy="baseline"))
 
 
 @query("k2_gathered_write", f"SELECT {_TX} FROM processed")

@@ -206,14 +206,18 @@ def t11(spark, d):
 
 @query(
     "a21_quarantine_triage",
-    """SELECT array_to_string(errors, ';') AS error_reason, 'run-1' AS run_id, COUNT(*) AS records
-       FROM strict WHERE len(errors) > 0 GROUP BY error_reason""",
+    """SELECT array_to_string(errors, ';') AS error_reason,
+              CASE WHEN regexp_matches(errors[1], '^(missing|invalid)_') THEN regexp_replace(errors[1], '^(missing|invalid)_', '')
+                   WHEN starts_with(errors[1], 'unexpected_fields:') THEN regexp_extract(errors[1], '^unexpected_fields:([^,]*)', 1)
+                   WHEN errors[1] = 'event_timestamp_after_ingestion_timestamp' THEN 'event_timestamp' END AS error_field,
+              'run-1' AS run_id, COUNT(*) AS records
+       FROM strict WHERE len(errors) > 0 GROUP BY ALL""",
 )
 def a21(spark, d):
     from riskloom.observe.observations import quarantine_triage
 
     rows = strict.quarantine_rows(judged(spark, d), RUN)
-    return quarantine_triage(rows, ["error_reason", "run_id"])
+    return quarantine_triage(rows)
 
 
 @query(

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.ids import padded_id
+from riskloom.operators.clean import dedup_latest
 
 # Currency per region key, fixed values.
 REGION_CURRENCY = {0: "USD", 1: "CAD", 2: "GBP", 3: "INR", 4: "EUR"}
@@ -73,9 +74,21 @@ TRANSACTION_COLUMNS = list(_COLUMNS)
 
 def transactions(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None) -> DataFrame:
     """Typed transactions, one row per lineitem, copies of an id included."""
-    names = list(columns or TRANSACTION_COLUMNS)
+    return _described(spark, sf_dir, table(spark, sf_dir, "lineitem"), list(columns or TRANSACTION_COLUMNS))
+
+
+def latest_transactions(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None) -> DataFrame:
+    """The newest copy of every transaction; copies go before anything is joined to them."""
+    keys = ["transaction_id", "event_timestamp", "source_offset"]
+    lines = table(spark, sf_dir, "lineitem")
+    lines = lines.select("*", *[_COLUMNS[name][1]().alias(f"_{name}") for name in keys])
+    newest = dedup_latest(lines, ["_transaction_id"], ["_event_timestamp", "_source_offset"])
+    return _described(spark, sf_dir, newest.drop(*[f"_{name}" for name in keys]), list(columns or TRANSACTION_COLUMNS))
+
+
+def _described(spark: SparkSession, sf_dir: str, rows: DataFrame, names: list[str]) -> DataFrame:
+    """Columns of lines, with the tables joined that a named column needs."""
     needed = {other for name in names for other in _COLUMNS[name][0]}
-    rows = table(spark, sf_dir, "lineitem")
     for other, (left, right) in _JOINS.items():
         if other in needed:
             rows = rows.join(table(spark, sf_dir, other), F.col(left) == F.col(right), "left")
