@@ -172,6 +172,11 @@ def _may_link(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series
         yield pd.Series((DEN + NUM) * differ <= (DEN - NUM) * (n.to_numpy() + m.to_numpy()))
 
 
+def sent_if_small(rows: DataFrame) -> DataFrame:
+    """Stored rows of two numbers: up to SENT_IDS of them go to every task, more are joined by a shuffle."""
+    return F.broadcast(rows) if rows.count() <= SENT_IDS else rows
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp) of all nodes in edges (a, b), by contraction.
 
@@ -179,16 +184,15 @@ def components(edges: DataFrame) -> DataFrame:
     shrinks by a constant share each time.  Each step is stored in the shared folder.
     """
     edges = stored(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
-    labels = stored(edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("comp", F.col("node")), "labels")
+    labels = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("comp", F.col("node"))
     while not edges.isEmpty():
-        hook = stored(edges.groupBy(F.col("b").alias("from")).agg(F.min("a").alias("to")), "hooks")
+        hook = sent_if_small(stored(edges.groupBy(F.col("b").alias("from")).agg(F.min("a").alias("to")), "hooks"))
         for end in ("a", "b"):
             edges = (edges.join(hook, F.col(end) == F.col("from"), "left")
                      .withColumn(end, F.coalesce("to", end)).drop("from", "to"))
-        labels = stored(labels.join(hook, F.col("comp") == F.col("from"), "left")
-                        .select("node", F.coalesce("to", "comp").alias("comp")), "labels")
+        labels = labels.join(hook, F.col("comp") == F.col("from"), "left").select("node", F.coalesce("to", "comp").alias("comp"))
         edges = stored(edges.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
-    return labels
+    return stored(labels, "labels")
 
 
 class JaccardJoin:
@@ -206,7 +210,6 @@ class JaccardJoin:
         # One document stands for each distinct set.
         self.nodes = stored(self.rows.filter("n > 0").groupBy("node").agg(
             F.min("id").alias("id"), F.first("n").alias("n"), F.first("bits").alias("bits")), "jaccard-nodes")
-        self.edges: DataFrame | None = None
         self.labels: DataFrame | None = None
 
     def _texts(self, nodes: DataFrame) -> DataFrame:
@@ -219,7 +222,7 @@ class JaccardJoin:
     def _comp(self, rows: DataFrame, node: str, out: str) -> DataFrame:
         if self.labels is None:
             return rows.withColumn(out, F.col(node))
-        known = self.labels.select(F.col("node").alias("__n"), F.col("comp").alias("__c"))
+        known = sent_if_small(self.labels.select(F.col("node").alias("__n"), F.col("comp").alias("__c")))
         return (rows.join(known, F.col(node) == F.col("__n"), "left")
                 .withColumn(out, F.coalesce("__c", node)).drop("__n", "__c"))
 
@@ -244,8 +247,15 @@ class JaccardJoin:
         full = (pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a")
                 .join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b"))
         links = stored(full.filter(F.pandas_udf(_linked, "boolean")("sa", "sb")).select("a", "b"), "links")
-        self.edges = links if self.edges is None else self.edges.unionAll(links)
-        self.labels = components(self.edges)
+        # Only what is new is contracted: components so far are the nodes of the new edges.
+        joined = self._comp(self._comp(links, "a", "ca"), "b", "cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")).filter("a != b")
+        fresh = components(joined)
+        if self.labels is not None:
+            new = sent_if_small(fresh.select(F.col("node").alias("__was"), F.col("comp").alias("__is")))
+            old = (self.labels.join(new, F.col("comp") == F.col("__was"), "left")
+                   .select("node", F.coalesce("__is", "comp").alias("comp")))
+            fresh = stored(old.unionAll(fresh.join(self.labels.select("node"), "node", "left_anti")), "labels")
+        self.labels = fresh
 
     def run(self) -> JaccardJoin:
         group = W.partitionBy("sig")
