@@ -36,6 +36,7 @@ NUM, DEN = 75, 100        # similarity as a fraction
 SMALL = 14                # smaller sets: three segments with one-deletion neighbourhoods
 SMALL_SEGMENTS = 3
 FREQUENT = 32             # signatures shared by more sets are left out where the pigeonhole allows it
+PIVOTS = 16               # pivots that a set of many signatures is compared with in the second round
 CELLS = 512               # counters of a sketch
 SENT_IDS = 200_000        # ids sent to every task at most; more are joined by a shuffle
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
@@ -260,19 +261,24 @@ class JaccardJoin:
     def run(self) -> JaccardJoin:
         group = W.partitionBy("sig")
         met = self.met.filter("aux >= 0").select("sig", "node", "aux").dropDuplicates(["sig", "node"])
-        met = stored(met.withColumns({"c": F.count("*").over(group), "pivot": F.min("node").over(group)}), "jaccard-groups")
+        met = met.withColumn("c", F.count("*").over(group))
+        # The pivot of a signature is its set with the most company: the unedited one among its copies.
+        central = met.groupBy("node").agg(F.sum("c").alias("company"))
+        met = met.join(central, "node").withColumn("pivot", F.max(F.struct("company", "node")).over(group)["node"]).drop("company")
+        met = stored(met, "jaccard-groups")
         # First each set with the pivot it shares most signatures with, then the other pivots it is not joined to yet.
-        stars = met.filter("node != pivot").groupBy(F.col("pivot").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("shared"))
+        stars = self._stars(met).groupBy("a", "b").agg(F.count("*").alias("shared"))
         stars = stored(self._plausible(stars), "jaccard-stars")
         sets = self._sets(stars)
         best = W.partitionBy("b").orderBy(F.desc("shared"), "a")
         self._verify(stars.withColumn("r", F.row_number().over(best)).filter("r = 1"), sets)
         self._verify(self._apart(stars), sets)
-        # Signatures whose sets are not all connected by now.
-        known = self._comp(met, "node", "comp")
-        open_sigs = (known.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
-                     .filter("x != y").select("sig"))
-        known = stored(known.join(open_sigs, "sig", "left_semi"), "jaccard-open")
+        # Copies that are far from that pivot: once more with pivots that differ from signature to signature.
+        open_rows = self._open(met)
+        turn = F.struct(F.xxhash64(F.pmod(F.col("sig"), F.lit(PIVOTS)), "node"), "node")
+        others = open_rows.withColumn("pivot", F.max(turn).over(group)["node"])
+        self._verify(self._plausible(self._apart(self._stars(others).distinct()).select("a", "b")))
+        known = self._open(open_rows.drop("comp"))
         few = known.filter(F.col("c") <= FREQUENT)
         left = few.select("sig", F.col("node").alias("a"), F.col("comp").alias("ca"))
         right = few.select("sig", F.col("node").alias("b"), F.col("comp").alias("cb"))
@@ -282,6 +288,17 @@ class JaccardJoin:
         self._second_level(short)
         return self
 
+    @staticmethod
+    def _stars(met: DataFrame) -> DataFrame:
+        """Pairs (a, b) of a pivot and another set of its signature, in a fixed order."""
+        return met.filter("node != pivot").select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b"))
+
+    def _open(self, met: DataFrame) -> DataFrame:
+        """Rows of the signatures whose sets are not all connected by now."""
+        known = self._comp(met, "node", "comp")
+        open_sigs = known.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x != y").select("sig")
+        return stored(known.join(open_sigs, "sig", "left_semi"), "jaccard-open")
+
     def _apart(self, pairs: DataFrame) -> DataFrame:
         return self._comp(self._comp(pairs, "a", "ca"), "b", "cb").filter("ca != cb")
 
@@ -303,13 +320,13 @@ class JaccardJoin:
         rarest = W.partitionBy("node").orderBy("c", "token")
         alone = F.col("n") - F.count("*").over(W.partitionBy("node"))
         bound = F.floor((F.col("n") + F.floor(F.col("n") * DEN / NUM)) * (DEN - NUM) / (DEN + NUM)) + 1
-        picks = (sized.withColumns({"r": F.row_number().over(rarest), "alone": alone})
-                 .filter(F.col("r") + F.col("alone") <= bound))
-        left = picks.select("token", F.col("node").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"))
-        right = sized.select("token", F.col("node").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"))
-        pairs = (left.join(right, "token").filter("ca != cb")
-                 .filter(F.least("na", "nb") * DEN >= F.greatest("na", "nb") * NUM)
-                 .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        picks = (sized.withColumn("left_over", F.col("n") - (F.row_number().over(rarest) + alone) + 1)
+                 .filter(F.col("n") - F.col("left_over") < bound))
+        side = lambda name: picks.select("token", F.col("node").alias(name), F.col("comp").alias(f"c{name}"),
+                                         F.col("n").alias(f"n{name}"), F.col("left_over").alias(f"l{name}"))
+        # At the first shingle of the common order that both have, no more can be common than both have left over.
+        enough = F.least("la", "lb") * (DEN + NUM) >= (F.col("na") + F.col("nb")) * NUM
+        pairs = side("a").join(side("b"), "token").filter(F.expr("a < b and ca != cb") & enough).select("a", "b").distinct()
         self._verify(self._plausible(pairs))
 
     def result(self, doc_id: str = "doc_id") -> DataFrame:
