@@ -1,15 +1,18 @@
 """Main text of raw pages by line-block distribution.
 
 Markup is stripped to lines: block tags end a line, inline tags vanish, and a removed part (script,
-menu, advert, form, reader comments, ...) leaves a gap of empty lines.  The text lengths of every
+menu, advert, form, reader comments, ...) leaves a gap of `WINDOW` empty lines.  The lengths of every
 window of `WINDOW` lines are summed; a window that rises to the threshold is a surge point, the next
 one that falls to nothing is a dive point, and the lines between them are kept, short ones included.
-A page that marks its article needs no guess about its extent: there the threshold is one character;
-elsewhere a window must reach `SURGE` characters outside links.
-
-Defined results: missing, empty or markup-only html gives the empty text; an element left open ends
-with its page, but a removed part never runs over the begin of the article; rows are independent, so
-repeated rows repeat and an empty table gives an empty one; other columns are kept.
+A line counts its characters, or nothing if most of them are in links; a line inside <article> or
+<main> counts `BONUS` more.  The threshold is `SURGE`, or the highest window of a page that has none
+so high.  A region that does not surge is kept if no line of links parts it from a kept one beside it, or if it
+lies in a row of such regions between two that surge.
+
+Defined results: missing, empty or markup-only html gives the empty text, as does text of fewer than
+`SURGE` characters without any block tag; an element left open ends with its page, but a removed part
+never runs over the begin of the article; rows are independent, so repeated rows repeat and an empty
+table gives an empty one; other columns are kept.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from pyspark.sql import functions as F
 
 WINDOW = 3
 SURGE = 80
+BONUS = SURGE // 2        # what the mark of an article adds to a line, so that two lines in a window surge
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<raw>script|style|noscript|template|svg|iframe|textarea|select|object|canvas|title|math)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
@@ -55,14 +59,14 @@ def _is_removed(name: str, rest: str, in_article: bool) -> bool:
 
 
 def page_lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
-    """(text, characters in links, inside the article) per line, and whether the page marks an article."""
+    """(text, characters in links, inside the article) per line, and whether the page has block tags."""
     lines: list[tuple[str, int, bool]] = []
     parts: list[str] = []
     linked = at = in_article = 0
-    in_link = marked = False
+    in_link = marked = has_blocks = False
     skipping, depth = "", 0
 
-    def close(gap: int = 1) -> None:
+    def close(gap: int = 0) -> None:
         nonlocal linked
         text = " ".join(entities.unescape("".join(parts)).split())
         parts.clear()
@@ -99,26 +103,29 @@ def page_lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
             parts.append(" ")
         elif name in BLOCKS:
             close()
+            has_blocks = True
             if name in ("article", "main"):
                 marked = True
                 in_article = max(0, in_article + (-1 if ends else 1))
     if not skipping:
         parts.append(page[at:])
-    close(0)
-    return lines, marked
+    close()
+    return lines, has_blocks
+
+
+def _length(text: str, linked: int, inside: bool) -> int:
+    return (len(text) if 2 * linked <= len(text) else 0) + (BONUS if inside and text else 0)
 
 
 def main_text(page: str | None) -> str:
-    lines, marked = page_lines(page or "")
-    if marked and any(inside for _, _, inside in lines):
-        lines = [line if line[2] else ("", 0, False) for line in lines]
-        lengths, surge = [len(text) for text, _, _ in lines], 1
-    else:
-        lengths, surge = [len(text) if 2 * linked <= len(text) else 0 for text, linked, _ in lines], SURGE
-    kept: list[str] = []
+    lines, has_blocks = page_lines(page or "")
+    lengths = [_length(*line) for line in lines]
     # Distribution over sliding windows: block i is lines i .. i + WINDOW - 1.
     block = [sum(lengths[i:i + WINDOW]) for i in range(len(lengths))]
-    i = 0
+    surge = min(SURGE, max(block, default=0)) if has_blocks else SURGE
+    # Regions between dive points: first line, line after the last, whether it surges, whether links part it from the one before.
+    regions: list[tuple[int, int, bool, bool]] = []
+    i = end = 0
     while i < len(block):
         if not block[i]:
             i += 1
@@ -126,12 +133,30 @@ def main_text(page: str | None) -> str:
         dive = i
         while dive < len(block) and block[dive]:
             dive += 1
-        if max(block[i:dive]) >= surge:
-            kept += [text for (text, _, _), n in zip(lines[i:dive + WINDOW - 1], lengths[i:dive + WINDOW - 1]) if n]
-        i = dive + WINDOW - 1
+        at = [j for j in range(i, min(dive + WINDOW - 1, len(lines))) if lengths[j]]
+        links = any(text for text, _, _ in lines[end:at[0]])
+        regions.append((at[0], at[-1] + 1, max(block[i:dive]) >= surge, links))
+        i, end = dive + WINDOW - 1, at[-1] + 1
+    kept: list[str] = []
+    for first, last in _kept(regions):
+        kept += [text for text, _, _ in lines[first:last] if text]
     return "\n".join(kept)
 
 
+def _kept(regions: list[tuple[int, int, bool, bool]]) -> list[tuple[int, int]]:
+    """Regions that surge, those beside one, and those between two, in each row of regions that no links part."""
+    out: list[tuple[int, int]] = []
+    row: list[tuple[int, int, bool, bool]] = []
+    for region in [*regions, None]:
+        if row and (region is None or region[3]):
+            surging = [i for i, r in enumerate(row) if r[2]]
+            if surging:
+                out += [r[:2] for r in row[max(0, surging[0] - 1):surging[-1] + 2]]
+            row = []
+        row.append(region)
+    return out
+
+
 def _main_texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for batch in batches:
         yield pd.Series([main_text(page) for page in batch], dtype=object)

@@ -74,6 +74,39 @@ def test_html_main_text(body, text):
     assert html_blocks.main_text(PAGE % body) == text
 
 
+LINKS = "<ul>" + "<li><a href=/x>One of many links to other pages</a></li>" * 4 + "</ul>"
+LONG = "long text " * 12
+
+
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+@pytest.mark.parametrize("body, text", [
+    ("<h1>A short page</h1><div><p>Of two lines.</p></div>", "A short page\nOf two lines."),
+    ("<div><div><h1>Head</h1></div></div><div><div><p>" + LONG + "</p></div></div><div><ul><li>One</li></ul></div><div><h2>Next</h2></div>"
+     "<div><p>Short.</p></div>", f"Head\n{LONG.strip()}\nOne\nNext\nShort."),
+    ("<p>" + LONG + "</p><aside>no</aside><p>Beside.</p><form>no</form><p>Between.</p><aside>no</aside><p>Three.</p><form>no</form><p>" + LONG + "</p>",
+     f"{LONG.strip()}\nBeside.\nBetween.\nThree.\n{LONG.strip()}"),
+    ("<p>" + LONG + "</p><p><a href=/>A link</a></p><p>End.</p>", f"{LONG.strip()}\nA link\nEnd."),
+])
+def test_html_main_text_needs_no_article_tag(tag, body, text):
+    assert html_blocks.main_text(PAGE % f"<{tag}>{body}</{tag}>") == text
+
+
+@pytest.mark.parametrize("body, text", [
+    ("<article><p>" + LONG + "</p></article><div><p>Outside. " + LONG + "</p></div>", f"{LONG.strip()}\nOutside. {LONG.strip()}"),
+    ("<article><p>" + LONG + "</p></article>" + LINKS + "<div>Small print</div>", LONG.strip()),
+    ("<div>Slogan</div>" + LINKS + "<div><p>" + LONG + "</p></div>", LONG.strip()),
+    ("<article><p>" + LONG + "</p>" + LINKS + "</article>", "\n".join([LONG.strip()] + ["One of many links to other pages"] * 4)),
+])
+def test_html_windows_decide_beside_an_article(body, text):
+    assert html_blocks.main_text(PAGE % body) == text
+
+
+def test_html_pages_of_the_table_with_article_as_div(spark):
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect()]
+    for page in pages:
+        assert html_blocks.main_text(page.replace("<article", "<div").replace("</article", "</div")) == html_blocks.main_text(page) != ""
+
+
 def test_html_frames(spark, clash):
     pages = spark.createDataFrame([(1, None), (2, ""), (3, "<p"), (4, PAGE % ("<article><p>" + "w " * 50_000 + "</p></article>")), (4, "x")],
                                   "page_id long, html string")
