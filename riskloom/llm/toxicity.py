@@ -1,6 +1,7 @@
 """Toxicity of deobfuscated text by a noisy-channel decoder and a learned lexicon.
 
-Words written in leetspeak, s p a c e d out or with repeeeated letters are lattices of possible letters.
+Words written in leetspeak, s p a c e d out or with repeeeated letters, or in several of these ways, are lattices of
+possible letters; a written span of any length is one lattice.
 A Viterbi search finds the reading that is likeliest under a character 4-gram model of the whole corpus
 times the cost of the disguise; the restored words, not the written ones, are scored.  The lexicon holds
 words and word beginnings that labelled toxic documents use far more often than clean ones; a score is
@@ -49,9 +50,16 @@ STEMS = (4, 5, 6, 7, 8)            # lengths of word beginnings that can become
 THRESHOLD = 0.7
 LOGIT = math.log(THRESHOLD / (1 - THRESHOLD))
 MEMO = 200_000                     # spans a worker keeps
-PART_CHARS = 60                    # a longer span is decoded in overlapping-free parts of this length
-
-_SPACED = r"(?<![^\s])(?:[^\W_][\s.\-_*·]){3,}[^\W_](?![^\s])"
+MEMO_CHARS = 200                   # a longer span is not kept
+BLOCK = 4_096                      # characters after which the readings of a span are packed into strings
+
+# Three or more letters, digits or leet symbols, each alone or repeated, parted by blanks or punctuation, which may also stand
+# around them.
+_LETTER = r"[a-z0-9@$!|+(<{\[*#%]"
+_SPACED = (rf"(?<!\S)[\"'(\[{{<]{{0,2}}(?P<first>{_LETTER})(?P=first)*+(?:[\s.,;:?'\"\-_/~=)\]}}>]++(?P<next>{_LETTER})(?P=next)*+){{2,}}"
+           r"[.,;:?!'\"\-_/~=)\]}>*]*+(?!\S)")
+_READABLE = re.compile(r"[a-z0-9@$!|+(<{\[#%]")   # stars alone could be any vowels
+_MAYBE_SPACED = re.compile(_SPACED)
 _SPAN = re.compile(rf"(?P<spaced>{_SPACED})|(?P<word>\S+)")
 _PLAIN = re.compile(r"[a-z]+")
 _NOISE = re.compile(r"[a-z][^a-z\s]+[a-z]|[0-9@$!|+*][a-z]|[a-z][0-9@$!|+]|([a-z])\1\1")
@@ -96,42 +104,75 @@ class Decoder:
         """The likeliest words behind a written span (folded); words are parted by blanks."""
         out = self.known.get(span)
         if out is None:
-            out = " ".join(self._viterbi(span[i:i + PART_CHARS]) for i in range(0, len(span), PART_CHARS))
-            if len(self.known) >= MEMO:
-                self.known.clear()
-            self.known[span] = out
+            out = self._viterbi(span) if _READABLE.search(span) else span
+            if len(span) <= MEMO_CHARS:
+                if len(self.known) >= MEMO:
+                    self.known.clear()
+                self.known[span] = out
         return out
 
     def _viterbi(self, span: str) -> str:
-        # State: last three symbols and the last written letter read; value: cost and the reading so far.
+        # State: last three symbols and the last written letter read; value: cost and the reading so far, a chain of
+        # (reading before, text added), so that a step costs the same however long the span is.
         cost, square = self.cost, SYMBOLS * SYMBOLS
-        states: dict[tuple[int, str], tuple[float, str]] = {(0, ""): (0.0, "")}
-        for c in span:
-            following: dict[tuple[int, str], tuple[float, str]] = {}
-
-            def offer(key, value, text):
-                old = following.get(key)
-                if old is None or value < old[0]:
-                    following[key] = value, text
-
-            letter = "a" <= c <= "z"
-            readings = [(c, 0.0)] if letter else [(x, SUBSTITUTE) for x in LEET.get(c, "")]
+        states: dict[tuple[int, str], tuple[float, tuple | None]] = {(0, ""): (0.0, None)}
+        for at, c in enumerate(span, 1):
+            following: dict[tuple[int, str], tuple[float, tuple | None]] = {}
+            letter, space = "a" <= c <= "z", c.isspace()
+            readings = [(c, ord(c) - 96, 0.0)] if letter else [(x, ord(x) - 96, SUBSTITUTE) for x in LEET.get(c, "")]
+            blank = space or not c.isalnum()
+            skip = JOIN if space else INSERT / 2 if blank else INSERT
             for (history, last), (so_far, text) in states.items():
-                row = cost[history]
-                for x, extra in readings:
-                    s = ord(x) - 96
-                    offer(((history % square) * SYMBOLS + s, x), so_far + extra + row[s], text + x)
+                row, moved = cost[history], (history % square) * SYMBOLS
+                for x, symbol, extra in readings:
+                    key, value = (moved + symbol, x), so_far + extra + row[symbol]
+                    old = following.get(key)
+                    if old is None or value < old[0]:
+                        following[key] = value, (text, x)
                     if x == last:                       # one letter written twice
-                        offer((history, last), so_far + REPEAT + extra, text)
+                        key, value = (history, last), so_far + REPEAT + extra
+                        old = following.get(key)
+                        if old is None or value < old[0]:
+                            following[key] = value, text
                 if not letter:
-                    blank = c.isspace() or not c.isalnum()
-                    offer((history, ""), so_far + (JOIN if c.isspace() else INSERT / 2 if blank else INSERT), text)
+                    key, value = (history, last if blank else ""), so_far + skip   # repeated letters can be spaced, too
+                    old = following.get(key)
+                    if old is None or value < old[0]:
+                        following[key] = value, text
                     if blank and history % SYMBOLS:      # a real end of word
-                        offer(((history % square) * SYMBOLS, ""), so_far + PART + row[0], text + " ")
+                        key, value = (moved, ""), so_far + PART + row[0]
+                        old = following.get(key)
+                        if old is None or value < old[0]:
+                            following[key] = value, (text, " ")
             # Exact: every state is kept, and a symbol has only a few readings.
             states = following
+            if not at % BLOCK:
+                states = _packed(states)
         ends = [(value + (cost[history][0] if history % SYMBOLS else 0.0), text) for (history, _), (value, text) in states.items()]
-        return min(ends)[1].strip()
+        return _written(min(ends, key=lambda end: end[0])[1]).strip()
+
+
+def _packed(states: dict) -> dict:
+    """The same states; what each has added since the last packing is one string (of two characters or more)."""
+    done: dict[int, tuple | None] = {}
+    out = {}
+    for key, (value, text) in states.items():
+        if id(text) not in done:
+            parts, node = [], text
+            while node is not None and len(node[1]) == 1:
+                parts.append(node[1])
+                node = node[0]
+            done[id(text)] = (node, "".join(reversed(parts))) if parts else node
+        out[key] = value, done[id(text)]
+    return out
+
+
+def _written(text: tuple | None) -> str:
+    parts = []
+    while text is not None:
+        text, part = text
+        parts.append(part)
+    return "".join(reversed(parts))
 
 
 @dataclass(frozen=True)
@@ -207,7 +248,6 @@ def disguised(folded: str) -> set[str]:
 
 
 _WORD_END = re.compile(r"\s|\Z")
-_MAYBE_SPACED = re.compile(_SPACED)
 
 
 def restore_text(decoder: Decoder, text: str) -> str:

@@ -195,6 +195,28 @@ def test_disguised_words_are_restored_and_scored(spark, docs, clash, model):
     assert model.score(docs([])).count() == 0
 
 
+def test_disguises_together_are_restored(model):
+    decoder = toxicity.Decoder(model.sent.value[0])
+    read = lambda t: toxicity.restore_text(decoder, t)
+    spaced = ["i d i o t.", "(i d i o t!)", "i d ! o t", "1 d 1 0 t", "i  d  i   o t", "i\td\ni o t", "i . d . i . o . t", "i.d.!.o.t", "i - d - i - o - t",
+              "iii d i ooo t", "i i d i o o o t", "i i d ! o 0 t,"]
+    assert [read(t) for t in spaced] == ["idiot"] * len(spaced)
+    assert [read(t) for t in ("$ t u p ! d", "m 0 r 0 n", "m o r * n", "r u n", "* * *")] == ["stupid", "moron", "moron", "run", "* * *"]
+    assert read("y o u   i d ! o t ,  g o a w a y") == "you idiot go away"
+
+
+def test_long_spans_are_one_lattice(model, monkeypatch):
+    decoder = toxicity.Decoder(model.sent.value[0])
+    for n in range(20):
+        letters = ("andbeans" * 5)[:20 + n] + "youidiotgoaway"
+        assert "idiot" in toxicity.restore_text(decoder, " ".join(letters)), n
+        assert "youidiotgoaway" in toxicity.restore_text(decoder, "1t" + letters * 2), n
+    span = " ".join("the river and stupid idiot people walk today. 1".replace(" ", "") * 200)
+    whole = decoder._viterbi(span)
+    monkeypatch.setattr(toxicity, "BLOCK", 7)
+    assert decoder._viterbi(span) == whole and whole.count("idiot") == 200
+
+
 def test_without_labels_of_both_kinds_every_score_is_zero(spark, docs):
     frame = docs(CLEAN).withColumn("toxic", F.lit(0))
     assert {r.score for r in toxicity.ToxicityModel.fit(frame, frame).score(docs(TOXIC)).collect()} == {0.0}
