@@ -3,9 +3,9 @@
 A text is a string of words; a k-mer of words is chosen if the smallest of its inner s-mers (by hash, the
 leftmost of equal ones) stands at its left or right edge.  The choice depends on the k-mer alone, so the
 same passage gives the same anchors wherever it stands, and a text's anchors are those of its parts but for
-the k - 1 places around each border.  A fingerprint is the ascending list of the SKETCH smallest distinct anchor hashes;
-likeness is the share of common hashes among the smallest of both, an estimate of the anchors' Jaccard
-similarity that is exact below SKETCH anchors.
+the k - 1 places around each border.  A fingerprint is a digest of all anchors with their positions, followed by the
+ascending list of the SKETCH smallest distinct anchor hashes; likeness is the Jaccard similarity of all distinct
+anchors of both texts.
 
 Words, not characters, are the letters of the k-mers: that is a sixth of the places, all of them array elements.
 
@@ -25,7 +25,7 @@ from riskloom.llm.common import whole_text, words
 
 K, S = 3, 1               # words in a k-mer and in an s-mer
 INNER = K - S + 1         # s-mers in a k-mer; 2 of INNER k-mers are chosen on average
-SKETCH = 64
+SKETCH = 64               # hashes that a fingerprint lists beside its digest
 HEX = 8                   # hex digits of a hash in the fingerprint
 BUCKET_ROWS = 2_000       # documents that share a window in small tables
 MAX_BUCKETS = 4_096       # ranges of doc_id; larger tables have more rows in each
@@ -81,26 +81,29 @@ def anchors(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> D
     return frame.select(doc_id, F.inline(F.arrays_zip("position", "anchor")))
 
 
-def _sketch(hashes: Column) -> Column:
-    return F.slice(F.array_sort(F.array_distinct(hashes)), 1, SKETCH)
-
-
-def _text_of(sketch: Column) -> Column:
-    return F.array_join(F.transform(sketch, lambda x: F.lower(F.lpad(F.hex(x), HEX, "0"))), "")
+def _text_of(anchors: Column, digest: Column) -> Column:
+    """Fingerprint: 32 hex digits of the digest, HEX for each of the smallest hashes; empty without anchors."""
+    hexed = lambda x, width: F.lower(F.lpad(F.hex(x), width, "0"))
+    smallest = F.array_join(F.transform(F.slice(F.array_sort(anchors), 1, SKETCH), lambda x: hexed(x, HEX)), "")
+    return F.when(F.size(anchors) == 0, F.lit("")).otherwise(
+        F.concat(hexed(digest["a"], 16), hexed(digest["b"], 16), smallest))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Estimated Jaccard similarity of two sketches."""
-    union = F.slice(F.array_sort(F.array_union(a, b)), 1, SKETCH)
-    common = F.size(F.array_intersect(F.array_intersect(a, b), union))
-    return F.when(F.size(union) == 0, F.lit(1.0)).otherwise(common / F.size(union))
+    """Jaccard similarity of two arrays of distinct hashes; two empty ones are alike."""
+    common = F.size(F.array_intersect(a, b))
+    return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).otherwise(common / (F.size(a) + F.size(b) - common))
 
 
-def fingerprint(docs: DataFrame, *, text: str = "text", out: str = "sketch") -> DataFrame:
-    """Adds the sketch (array of hashes) of the whole text."""
+def distinct_anchors(docs: DataFrame, *, text: str = "text", out: str = "anchors", digest: str | None = None) -> DataFrame:
+    """Adds the distinct anchor hashes of the whole text, and if asked for the digest of all anchors with their positions."""
     frame = _with_hashes(docs.withColumn("__t", whole_text(text)), "__t", "__h")
     frame = frame.withColumn("__at", _anchor_places(F.col("__h")))
-    return frame.withColumn(out, _sketch(_anchor_hashes(F.col("__h"), F.col("__at")))).drop("__t", "__h", "__at")
+    frame = frame.withColumn("__all", _anchor_hashes(F.col("__h"), F.col("__at")))
+    if digest:
+        halves = [F.xxhash64(F.lit(half), "__at", "__all").alias("ab"[half]) for half in (0, 1)]
+        frame = frame.withColumn(digest, F.struct(*halves))
+    return frame.withColumn(out, F.array_distinct("__all")).drop("__t", "__h", "__at", "__all")
 
 
 def _buckets(docs: DataFrame, doc_id: str) -> tuple[Column, int]:
@@ -119,7 +122,7 @@ def _buckets(docs: DataFrame, doc_id: str) -> tuple[Column, int]:
 
 
 def with_next(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, text, sketch, next_text, next_sketch): the next document by ascending doc_id, after the last the first.
+    """(doc_id, text, next_text): the next document by ascending doc_id, after the last the first.
 
     Rows are ordered inside ranges of doc_id; the first row of each range is also placed at the end of the
     range before it, so no window spans the whole table.
@@ -139,9 +142,8 @@ def with_next(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") ->
     else:
         rows = rows.withColumn("guest", F.lit(False))
     order = W.partitionBy("bucket").orderBy("guest", F.asc_nulls_first("id"), "t")
-    dealt = fingerprint(rows.repartition("bucket"), text="t")
-    return (dealt.withColumns({"next_text": F.lead("t").over(order), "next_sketch": F.lead("sketch").over(order)})
-            .filter(~F.col("guest")).select(F.col("id").alias(doc_id), F.col("t").alias(text), "sketch", "next_text", "next_sketch"))
+    return (rows.withColumn("next_text", F.lead("t").over(order)).filter(~F.col("guest"))
+            .select(F.col("id").alias(doc_id), F.col("t").alias(text), "next_text"))
 
 
 def edited(rows: DataFrame, *, text: str = "text", share: int = 4) -> DataFrame:
@@ -152,8 +154,16 @@ def edited(rows: DataFrame, *, text: str = "text", share: int = 4) -> DataFrame:
 
 
 def compare_edited(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: its text, edited text, both sketches, and the likeness to the edited and to the next text."""
-    rows = fingerprint(edited(with_next(docs, doc_id=doc_id, text=text), text=text), text="edited", out="edited_sketch")
+    """Per document: its text, edited text, both fingerprints, and the likeness to the edited and to the next text.
+
+    Anchors are worked out per row after the window, which carries texts only.
+    """
+    rows = edited(with_next(docs, doc_id=doc_id, text=text), text=text)
+    rows = distinct_anchors(rows, text=text, digest="digest")
+    rows = distinct_anchors(rows, text="edited", out="edited_anchors", digest="edited_digest")
+    rows = distinct_anchors(rows, text="next_text", out="next_anchors")
     return rows.withColumns({
-        "fingerprint": _text_of(F.col("sketch")), "edited_fingerprint": _text_of(F.col("edited_sketch")),
-        "near_edited": likeness(F.col("sketch"), F.col("edited_sketch")), "near_next": likeness(F.col("sketch"), F.col("next_sketch"))})
+        "fingerprint": _text_of(F.col("anchors"), F.col("digest")),
+        "edited_fingerprint": _text_of(F.col("edited_anchors"), F.col("edited_digest")),
+        "near_edited": likeness(F.col("anchors"), F.col("edited_anchors")),
+        "near_next": likeness(F.col("anchors"), F.col("next_anchors"))})

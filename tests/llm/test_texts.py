@@ -147,6 +147,26 @@ def test_edited_texts_and_fingerprints(spark, docs, clash, monkeypatch):
     assert syncmers.compare_edited(docs(["alone and only"])).first().near_next == 1.0
 
 
+def test_likeness_and_fingerprint_cover_the_whole_text(spark, docs):
+    rnd = random.Random(3)
+    words = [f"w{rnd.randrange(10 ** 6)}" for _ in range(5000)]
+    passage = [f"p{rnd.randrange(10 ** 6)}" for _ in range(50)]
+    again = words[:2000] + [f"e{i}" for i in range(20)] + words[2020:]                    # 20 words edited
+    shared = [f"v{rnd.randrange(10 ** 6)}" for _ in range(5000)] + passage
+    texts = [" ".join(t) for t in (words, again, words + passage, shared, passage * 3, passage * 4)]
+    found = {i: set() for i in range(len(texts))}
+    for r in syncmers.anchors(docs(texts)).collect():
+        found[r.doc_id].add(r.anchor)
+    rows = {r.doc_id: r for r in syncmers.compare_edited(docs(texts)).collect()}
+    for i in found:
+        a, b = found[i], found[(i + 1) % len(texts)]
+        assert rows[i].near_next == pytest.approx(len(a & b) / len(a | b))
+    assert 0.98 < rows[0].near_next < 1 and 0 < rows[2].near_next < 0.01
+    assert len({r.fingerprint for r in rows.values()}) == len(texts)
+    for r in rows.values():
+        assert r.fingerprint[32:] == "".join(f"{x:08x}" for x in sorted(found[r.doc_id])[:64])
+
+
 def test_license_scan_equals_brute_force(spark, docs, clash):
     rnd = random.Random(2)
     filler = lambda n: " ".join(rnd.choice(["alpha", "beta", "gamma", "the", "license", "under"]) for _ in range(n))
