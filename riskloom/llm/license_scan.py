@@ -16,6 +16,9 @@ are one document; ties are all reported; an empty table gives an empty one; extr
 from __future__ import annotations
 
 import math
+import re
+from functools import lru_cache
+from importlib.resources import files
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,6 +52,47 @@ NOTICES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
 
+# Further header variants and namings, used beside NOTICES and the full texts.
+HEADERS = {
+    "AGPL-3.0-header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public "
+        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "BSD-3-Clause": "Licensed under the BSD 3-Clause License.",
+    "BSD-style": "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
+    "CC-BY-4.0-short": "Licensed under CC BY 4.0.",
+    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+    "CC-BY-SA-4.0-short": "Licensed under CC BY-SA 4.0.",
+    "CC-BY-NC-4.0-long": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
+    "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+    "EPL-2.0-header": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is "
+        "available at"),
+    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
+    "GPL-2.0-header": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+        "published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    "ISC": "Released under the ISC License.",
+    "LGPL-header": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+        "License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    "MIT-licensed": "Licensed under the MIT License.",
+    "Unlicense": "This is free and unencumbered software released into the public domain.",
+}
+PASSAGE = 36              # words of a passage of a full text; its name is the license's and "#" with a number
+
+
+@lru_cache(maxsize=1)
+def all_templates() -> dict[str, str]:
+    """NOTICES, HEADERS and the full texts in `license_texts`, split into passages; a last short one is filled from before."""
+    out = NOTICES | HEADERS
+    for file in sorted((files(__package__) / "license_texts").iterdir(), key=lambda f: f.name):
+        words = [w for w in re.split(r"[\W_]+", file.read_text(encoding="utf-8")) if w]
+        for n, start in enumerate(range(0, len(words), PASSAGE)):
+            at = max(0, min(start, len(words) - PASSAGE))
+            out[f"{file.name.removesuffix('.txt')}-text#{n}"] = " ".join(words[at:at + PASSAGE])
+    return out
+
 
 def bands_for(size: int, rows: int = 1, contained: float = CONTAINED, collision: float = COLLISION) -> int:
     """Bands of a class: its shortest template has size / 2 + 1 shingles (size 1: one), its windows 2 size."""
@@ -108,14 +152,19 @@ class LicenseScanner:
         self.spark = spark
 
     @staticmethod
-    def _holding(anchors: list[int]) -> Column:
-        return F.filter("at", lambda i: F.get(F.col("sh"), i).isin(anchors))
+    def _among(value: str, anchors: list[int]) -> str:
+        # As SQL: thousands of literals are parsed at once instead of being sent to the JVM one by one.
+        return f"{value} in ({', '.join(f'{a}L' for a in anchors)})"
+
+    @classmethod
+    def _holding(cls, anchors: list[int]) -> Column:
+        return F.expr(f"filter(at, i -> {cls._among('get(sh, i)', anchors)})")
 
     def windows(self, docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
         """Windows (doc_id, size, k, sh) in which some band of a template can agree."""
         rows = with_shingles(docs.select(doc_id, text), text, "sh").select(doc_id, "sh")
         every = sorted({a for own in self.anchors.values() for a in own})
-        places = F.filter(F.transform("sh", lambda x, i: F.when(x.isin(every), i)), lambda i: i.isNotNull())
+        places = F.expr(f"filter(transform(sh, (x, i) -> if({self._among('x', every)}, i, null)), i -> i is not null)")
         # The few places are worked out once, before anything is made of them.
         rows = rows.select(doc_id, "sh", F.explode(F.array(places)).alias("at")).filter("size(at) > 0")
         wanted = []
@@ -145,9 +194,12 @@ class LicenseScanner:
 
 
 def scan_documents(docs: DataFrame, templates: dict[str, str] | None = None, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_licenses, licenses (names in order, joined by commas; empty if none)."""
+    """One row per document: doc_id, n_licenses, licenses (names in order, joined by commas; empty if none).
+
+    A template's name counts up to "#", so the passages of one license are one name.
+    """
     found = LicenseScanner(docs.sparkSession, templates).scan(docs, doc_id=doc_id, text=text)
-    per_doc = found.groupBy(F.col(doc_id).alias("__id")).agg(F.array_sort(F.collect_set("license")).alias("names"))
+    per_doc = found.groupBy(F.col(doc_id).alias("__id")).agg(F.array_sort(F.collect_set(F.substring_index("license", "#", 1))).alias("names"))
     return (docs.select(doc_id).join(per_doc, F.col(doc_id).eqNullSafe(F.col("__id")), "left")
             .select(doc_id, F.when(F.col("names").isNull(), 0).otherwise(F.size("names")).cast("long").alias("n_licenses"),
                     F.coalesce(F.array_join("names", ","), F.lit("")).alias("licenses")))

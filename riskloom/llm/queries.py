@@ -182,4 +182,4 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op6_license_scan")
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.scan_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return license_scan.scan_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), license_scan.all_templates())

@@ -187,6 +187,23 @@ def test_license_scan_equals_brute_force(spark, docs, clash):
     assert license_scan.scan_documents(docs([])).count() == 0
 
 
+def test_full_license_texts_edited_and_partial(spark, docs):
+    from importlib.resources import files
+
+    texts = {f.name[:-4]: f.read_text(encoding="utf-8").split() for f in (files("riskloom.llm") / "license_texts").iterdir()}
+    assert len(license_scan.all_templates()) <= license_scan.MAX_TEMPLATES and len(texts) >= 14
+    planted = []
+    for name, words in sorted(texts.items()):
+        edited = [("edited" if i % 60 == 30 else w) for i, w in enumerate(words)]
+        middle = max(0, len(words) // 2 - 40)
+        planted += [(f"{name}-text", " ".join(t)) for t in (words, ["before"] * 17 + edited + ["after"] * 9, words[middle:middle + 90])]
+    planted += [(name, "Some words. " + text + " More words.") for name, text in license_scan.HEADERS.items()] + [("", "plain words " * 200)]
+    rows = {r.doc_id: r for r in license_scan.scan_documents(docs([t for _, t in planted]), license_scan.all_templates()).collect()}
+    for i, (name, _) in enumerate(planted):
+        assert name in rows[i].licenses.split(","), (i, name, rows[i].licenses)
+        assert rows[i].n_licenses == (len(rows[i].licenses.split(",")) if name else 0)
+
+
 def test_bands_give_the_promised_collisions():
     for size in (1, 2, 4, 8, 16, 32):
         shortest = size // 2 + 1 if size > 1 else 1
