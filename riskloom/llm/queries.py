@@ -6,19 +6,34 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.entrypoints.registry import Query
-from riskloom.llm import byte_bpe, html_blocks, jaccard_join, license_scan, line_dedup, source_mix, syncmers, toxicity, url_rules, vptree
+from riskloom.llm import (
+    byte_bpe,
+    html_blocks,
+    jaccard_join,
+    license_scan,
+    line_dedup,
+    maxscore,
+    pair_bounds,
+    source_mix,
+    syncmers,
+    toxicity,
+    url_rules,
+    vptree,
+    zone_negatives,
+)
 from riskloom.llm.common import table
 from riskloom.session import prepare
 
 QUERIES: dict[str, Query] = {}
 
 
-# Texts are long: batches sent to Python are cut by rows well before memory.
-BATCH_ROWS = "500"
+# Texts are long: batches sent to Python are cut by rows and bytes well before memory.
+BATCH_ROWS, BATCH_BYTES = "500", "48m"
 
 
 def ready(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return prepare(spark)
 
 
@@ -183,3 +198,79 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_license_scan")
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), license_scan.all_templates())
+
+
+@query("op11_maxscore", """
+WITH whole AS (
+  SELECT DISTINCT vec_id, [floor(256 * x::DOUBLE) for x in embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), asked AS (
+  SELECT vec_id AS query_id, min(v) AS q FROM whole WHERE vec_id % 50 = 0 GROUP BY vec_id
+), scored AS (
+  SELECT query_id, vec_id, list_inner_product(q, v)::BIGINT AS score FROM asked JOIN whole ON vec_id <> query_id AND len(q) = len(v)
+)
+SELECT query_id, (row_number() OVER best)::INTEGER AS rank, vec_id, score
+FROM scored WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER best <= 5
+""")
+def op11_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return maxscore.MaxScoreIndex.build(vectors).search(vectors.filter(F.col("vec_id") % 50 == 0), k=5)
+
+
+@query("op12_pair_bounds", r"""
+WITH words AS (
+  SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents
+), sizes AS (
+  SELECT d, doc_id, len(ws)::BIGINT AS n FROM words WHERE len(ws) > 0
+), corpus AS (
+  SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM sizes
+), freq AS (
+  SELECT d, term, count(*)::BIGINT AS tf FROM (SELECT d, unnest(ws) AS term FROM words) GROUP BY ALL
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM freq, corpus GROUP BY term, docs
+), items AS (
+  SELECT item_id, min(text) AS text FROM benchmark GROUP BY item_id
+), asked AS (
+  SELECT item_id, term, count(*)::BIGINT AS r FROM (
+    SELECT item_id, unnest(regexp_extract_all(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM items) GROUP BY ALL
+), scored AS (
+  SELECT item_id, doc_id, d, sum(r * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms))))::BIGINT AS score
+  FROM asked JOIN freq USING (term) JOIN weights USING (term) JOIN sizes USING (d), corpus GROUP BY item_id, doc_id, d
+)
+SELECT item_id, (row_number() OVER best)::INTEGER AS rank, doc_id, score FROM scored WHERE score > 0
+WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) QUALIFY row_number() OVER best <= 20
+""")
+def op12_pair_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pair_bounds.rank_documents(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"), k=20)
+
+
+@query("op13_zone_negatives", """
+WITH whole AS (
+  SELECT DISTINCT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * x::DOUBLE) for x in embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), anchors AS (
+  SELECT id AS anchor_id, unnest(min({'label': label, 'n': len(v), 'q': v})) FROM whole WHERE id % 100 = 0 GROUP BY id
+), scored AS (
+  SELECT anchor_id, id, whole.label = anchors.label AS same, list_inner_product(q, v)::BIGINT AS score
+  FROM anchors JOIN whole ON id <> anchor_id AND n = len(v)
+), positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score, row_number() OVER best AS win FROM scored WHERE same
+  WINDOW best AS (PARTITION BY anchor_id ORDER BY score DESC, id) QUALIFY row_number() OVER best <= 5
+)
+SELECT anchor_id, positive_id, (row_number() OVER best)::INTEGER AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW best AS (PARTITION BY anchor_id, win ORDER BY score DESC, id) QUALIFY row_number() OVER best <= 10
+""")
+def op13_zone_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return zone_negatives.mine(vectors, F.col("id") % 100 == 0, label=moved)
