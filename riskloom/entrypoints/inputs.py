@@ -40,7 +40,7 @@ _NEEDS = {
 
 
 def feature(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return features.FEATURE_TABLES[name].build(processed(spark, sf_dir, *_NEEDS[name]), LIMIT)
+    return features.FEATURE_TABLES[name].build(processed(spark, sf_dir, *_NEEDS[name]), LIMIT, star.value_sources(spark, sf_dir))
 
 
 def high_risk(spark: SparkSession, sf_dir: str) -> DataFrame:

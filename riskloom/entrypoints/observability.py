@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from riskloom.entrypoints.inputs import feature, processed
 from riskloom.entrypoints.registry import query
 from riskloom.entrypoints.streams import RUN, _basic_run, judged
+from riskloom.functions.times import epoch_seconds
 from riskloom.observe import alerts, observations
+from riskloom.quality.rules import evaluate, not_null
+from riskloom.schemas import BATCH_METRICS
+from riskloom.session import work_folder
 from riskloom.sources import star_schema as star
-from riskloom.sources.results import read_batch_metrics
+from riskloom.sources.results import LOAD_STATUS, read_batch_metrics, tolerant
 from riskloom.streaming import strict
 
 _NOW = "2024-02-01 00:00:00"
@@ -95,7 +100,7 @@ def n7(spark, d):
     return found.select("table_name", "severity", "status", "metric_value")
 
 
-_HALF_HOUR = "TIMESTAMP '2024-01-10 12:00:00'"
+_NOON = "TIMESTAMP '2024-01-10 12:00:00'"
 
 
 @query(
@@ -104,14 +109,58 @@ _HALF_HOUR = "TIMESTAMP '2024-01-10 12:00:00'"
                CAST(COUNT(*) FILTER (WHERE len(errors) > 0) AS DOUBLE) AS invalid_records,
                CAST(0 AS DOUBLE) AS sink_write_failures,
                CAST(COUNT(*) FILTER (WHERE len(errors) > 0) AS DOUBLE) / greatest(COUNT(*), 1) AS invalid_ratio
-        FROM strict WHERE COALESCE(arrived_at, {_HALF_HOUR}) > {_HALF_HOUR} - INTERVAL 300 MINUTES
-          AND COALESCE(arrived_at, {_HALF_HOUR}) <= {_HALF_HOUR}""",
+        FROM (SELECT errors, {_NOON} - to_seconds(COALESCE(CAST(epoch(arrived_at) AS BIGINT) % 3600, 0)) AS at FROM strict)
+        WHERE at > {_NOON} - INTERVAL 5 MINUTES""",
 )
 def n9(spark, d):
-    # Observation time is the arrival; records without a readable one count at the window's end.
+    # Arrivals are dealt over the hour before; records without a readable one count at the window's end.
     now = F.lit("2024-01-10 12:00:00").cast("timestamp")
-    rows = strict.observation_rows(judged(spark, d), RUN, F.coalesce("ingestion_timestamp", now))
-    return alerts.window_counts(rows, now, 300)
+    age = F.coalesce(F.floor(F.unix_micros("ingestion_timestamp") / 1_000_000) % 3600, F.lit(0))
+    rows = strict.observation_rows(judged(spark, d), RUN, now - F.make_dt_interval(secs=age.cast("decimal(18,6)")))
+    return alerts.window_counts(rows, now, 5)
+
+
+_PER_MINUTE = """
+    SELECT CAST(floor(epoch(arrived_at) / 60) AS BIGINT) AS minute, COUNT(*) FILTER (WHERE len(errors) = 0) AS valid,
+           COUNT(*) FILTER (WHERE len(errors) > 0) AS invalid, COUNT(*) FILTER (WHERE list_contains(errors, 'invalid_amount')) AS failures
+    FROM strict WHERE arrived_at IS NOT NULL GROUP BY minute"""
+
+
+@query(
+    "n9_windowed_alerts",
+    f"""SELECT alert_name, severity, to_timestamp((since + hold) * 60) AT TIME ZONE 'UTC' AS fired_at,
+               to_timestamp(last * 60) AT TIME ZONE 'UTC' AS ended_at
+        FROM (SELECT alert_name, severity, hold, run, MIN(evaluated) AS since, MAX(evaluated) AS last
+              FROM (SELECT *, evaluated - row_number() OVER (PARTITION BY alert_name ORDER BY evaluated) AS run
+                    FROM (SELECT evaluated, unnest([
+                            {{'alert_name': 'invalid_record_rate_high', 'severity': 'CRITICAL', 'hold': 5,
+                              'firing': invalid_5 / greatest(valid_5 + invalid_5, 1) > 0.10}},
+                            {{'alert_name': 'no_recent_valid_records', 'severity': 'WARNING', 'hold': 1,
+                              'firing': valid_10 = 0 AND evaluated >= first_minute + 9}},
+                            {{'alert_name': 'sink_write_failure', 'severity': 'CRITICAL', 'hold': 0, 'firing': failures_5 > 0}}], recursive := true)
+                          FROM (SELECT evaluated, first_minute, COALESCE(SUM(valid) FILTER (WHERE minute > evaluated - 5), 0) AS valid_5,
+                                       COALESCE(SUM(invalid) FILTER (WHERE minute > evaluated - 5), 0) AS invalid_5,
+                                       COALESCE(SUM(failures) FILTER (WHERE minute > evaluated - 5), 0) AS failures_5,
+                                       COALESCE(SUM(valid), 0) AS valid_10
+                                FROM (SELECT first_minute, unnest(range(first_minute, last_minute + 1)) AS evaluated
+                                      FROM (SELECT MIN(minute) AS first_minute, MAX(minute) AS last_minute FROM ({_PER_MINUTE})))
+                                LEFT JOIN ({_PER_MINUTE}) ON minute BETWEEN evaluated - 9 AND evaluated
+                                GROUP BY evaluated, first_minute))
+                    WHERE firing)
+              GROUP BY alert_name, severity, hold, run)
+        WHERE last - since >= hold""",
+)
+def n9_alerts(spark, d):
+    """Counters of a stream that is started anew every day, sampled each minute; a bad amount stands for a failed write."""
+    seen = judged(spark, d).where("ingestion_timestamp is not null").select(
+        F.date_trunc("minute", "ingestion_timestamp").alias("at"),
+        F.explode(F.array_compact(F.array(
+            F.when(strict.is_valid(), "valid_records").otherwise("invalid_records"),
+            F.when(F.array_contains("errors", "invalid_amount"), "sink_write_failures")))).alias("metric_name"))
+    counted = seen.groupBy(F.to_date("at").cast("string").alias("job"), "metric_name", "at").agg(F.count(F.lit(1)).alias("n"))
+    so_far = Window.partitionBy("job", "metric_name").orderBy("at")
+    samples = counted.withColumn("value", F.sum("n").over(so_far)).drop("n")
+    return alerts.windowed_alerts(samples)
 
 
 @query(
@@ -132,11 +181,25 @@ def n10(spark, d):
     return alerts.normalize_alert_payload(bad.select(payload.alias("value"))).drop("alert_timestamp")
 
 
-@query("n8_gauge_alerts")
+@query(
+    "n8_gauge_alerts",
+    """SELECT alert_name, severity, 'transaction_event_stream' AS pipeline_name
+       FROM (SELECT COUNT(*) AS taken, COUNT(*) FILTER (WHERE NOT is_valid) AS invalid FROM bronze),
+            (SELECT unnest([{'alert_name': 'NoRecentStreamingBatch', 'severity': 'WARNING'},
+                            {'alert_name': 'StreamingReportsUnreadable', 'severity': 'WARNING'},
+                            {'alert_name': 'StreamingDlqEventsDetected', 'severity': 'WARNING'},
+                            {'alert_name': 'StreamingInvalidRecordRateHigh', 'severity': 'CRITICAL'}], recursive := true))
+       WHERE CASE alert_name WHEN 'StreamingDlqEventsDetected' THEN invalid > 0
+                             WHEN 'StreamingInvalidRecordRateHigh' THEN invalid / taken > 0.10 ELSE taken > 0 END""",
+)
 def n8(spark, d):
-    metrics = read_batch_metrics(spark, _basic_run(spark, d).path("metrics"))
-    status = spark.createDataFrame([], "observation_timestamp string, success boolean, details string")
-    from riskloom.quality.rules import evaluate, not_null
-
+    """Reports of a finished run beside one that is cut off, looked at 400 seconds after the last batch."""
+    folder = work_folder(spark, "reports")
+    run = read_batch_metrics(spark, _basic_run(spark, d).path("metrics"))
+    run.write.json(folder)
+    spark.createDataFrame([('{"pipeline_name": "p", "batch_id": ',)], "value string").write.mode("append").text(folder)
+    reports = tolerant(spark, folder, BATCH_METRICS)
+    status = spark.createDataFrame([], LOAD_STATUS)
     checks = evaluate(processed(spark, d, "transaction_id"), "processed_transactions", [not_null("transaction_id")])
-    return alerts.gauge_alerts(alerts.metric_gauges(metrics, status, checks))
+    last = run.agg(F.max(epoch_seconds("processing_timestamp"))).first()[0]
+    return alerts.gauge_alerts(alerts.metric_gauges(reports, status, checks), F.timestamp_seconds(F.lit(last + 400)))

@@ -15,6 +15,7 @@ from riskloom.session import work_folder
 from riskloom.sinks import tables
 from riskloom.sources import star_schema as star
 from riskloom.sources import transactions as scans
+from riskloom.sources.files import delete_folder
 
 _DAY = "1998-07-04"
 _COLUMNS = [c for c in PROCESSED.fieldNames() if c not in ("source_file", "processed_at")]
@@ -117,9 +118,35 @@ def k14(spark, d):
     return scans.read_processed(spark, _stored_processed(spark, d, cluster_by=["merchant_id", "customer_id"]))
 
 
-@query("k15_retention", f"SELECT {_TX} FROM processed WHERE event_date >= DATE '2001-06-01' - 7")
+def _by_month(spark, d):
+    return processed(spark, d, *_COLUMNS).withColumn("event_month", F.trunc("event_date", "month"))
+
+
+@query("k15_retention", f"SELECT {_TX} FROM processed WHERE date_trunc('month', event_date) >= DATE '1999-06-01' - 1000")
 def k15(spark, d):
-    return tables.within_retention(processed(spark, d, *_COLUMNS), "event_date", 7, "2001-06-01")
+    """Folders of months that are past the retention go; what is left is read back."""
+    path = work_folder(spark, "retention")
+    tables.write_partitioned(_by_month(spark, d), path, partition_by="event_month")
+    tables.apply_retention(spark, path, "event_month", 1000, "1999-06-01")
+    return spark.read.parquet(path).select(*_COLUMNS)
+
+
+@query(
+    "q11_write_check",
+    """SELECT COUNT(*) AS written_rows, COUNT(*) AS stored_rows,
+              COUNT(*) FILTER (WHERE event_date BETWEEN DATE '1995-03-01' AND DATE '1995-03-31') AS lost_rows FROM processed""",
+)
+def q11(spark, d):
+    """Rows that entered a write, rows in its files, and what the check says is lost when a folder is gone."""
+    path = work_folder(spark, "checked")
+    written = tables.write_checked(_by_month(spark, d), path, partition_by="event_month")
+    stored = tables.stored_rows(spark, path)
+    delete_folder(spark, f"{path}/event_month=1995-03-01")
+    try:
+        lost = written - tables.verify_write(spark, path, written)
+    except RuntimeError:
+        lost = written - tables.stored_rows(spark, path)
+    return spark.createDataFrame([(written, stored, lost)], "written_rows long, stored_rows long, lost_rows long")
 
 
 # --- merges --------------------------------------------------------------------------------

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from riskloom.entrypoints.inputs import table_once
+from riskloom.entrypoints.inputs import stored, table_once
 from riskloom.entrypoints.oracle import CTES
 from riskloom.entrypoints.registry import query
 from riskloom.functions.times import is_late, is_late_whole_hours
 from riskloom.operators import merge
 from riskloom.operators.clean import dedup_latest
+from riskloom.operators.compare import file_inventory, inventory_diff
 from riskloom.plans import models
 from riskloom.quality import rulesets
 from riskloom.schemas import BRONZE, SILVER
@@ -18,6 +20,7 @@ from riskloom.sources import star_schema as star
 from riskloom.sources.events import SourceSpec, decode_records, read_events_jsonl
 from riskloom.sources.results import read_batch_metrics
 from riskloom.streaming import basic, metrics, runner, strict
+from riskloom.streaming.live import LiveCounters
 
 TYPES = star.EVENT_TYPES
 LIMIT = star.EVENT_THRESHOLD
@@ -387,8 +390,10 @@ def q9_stream(spark, d):
 
 
 def _record_files(spark, d):
-    """All records as files of a record stream, several per micro-batch."""
-    write = lambda path: star.event_records(spark, d).repartition(12, "offset").write.parquet(path)
+    """All records as files of a record stream, several per micro-batch; copies of an id are in one file."""
+    repeats = (F.col("offset") % 25 == 0) & (F.col("offset") > 0)
+    first = F.when(repeats, F.col("offset") - 1).otherwise(F.col("offset"))
+    write = lambda path: star.event_records(spark, d).repartition(12, first).write.parquet(path)
     return table_once(spark, d, "records", write)
 
 
@@ -432,18 +437,100 @@ def t13(spark, d):
     return spark.read.parquet(f"{_basic_run(spark, d).root}/dead-letters/batch_id=*")
 
 
+_ACCOUNTING = """
+    SELECT CAST(COUNT(*) AS BIGINT) AS input_count, clean_count, COUNT(*) FILTER (WHERE NOT is_valid) AS invalid_count,
+           COUNT(*) FILTER (WHERE is_valid) - clean_count AS duplicate_count, late_count,
+           COUNT(*) FILTER (WHERE unexpected_field_count > 0) AS schema_drift_count,
+           COUNT(*) FILTER (WHERE NOT is_valid) AS dlq_count, risk_alert_count
+    FROM bronze, (SELECT COUNT(*) AS clean_count, COUNT(*) FILTER (WHERE is_late) AS late_count,
+                         COUNT(*) FILTER (WHERE amount >= 200) AS risk_alert_count FROM silver)
+    GROUP BY clean_count, late_count, risk_alert_count"""
+
+
 @query(
     "t5_batch_accounting",
-    """SELECT CAST(COUNT(*) AS BIGINT) AS input_count, COUNT(*) FILTER (WHERE NOT is_valid) AS invalid_count,
-              COUNT(*) FILTER (WHERE unexpected_field_count > 0) AS schema_drift_count,
-              COUNT(*) FILTER (WHERE NOT is_valid) AS dlq_count, CAST(3 AS BIGINT) AS batch_count,
-              CAST(0 AS BIGINT) AS unreconciled_batches FROM bronze""",
+    f"""SELECT *, CAST(12 // 4 AS BIGINT) AS batch_count, input_count - clean_count - invalid_count - duplicate_count
+              AS unreconciled_batches, CAST(invalid_count AS DOUBLE) / input_count AS invalid_rate FROM ({_ACCOUNTING})""",
 )
 def t5(spark, d):
-    summary = metrics.summarize_metrics(read_batch_metrics(spark, _basic_run(spark, d).path("metrics")))
-    return summary.select(
-        "input_count", "invalid_count", "schema_drift_count", "dlq_count", "batch_count", "unreconciled_batches"
-    )
+    return metrics.summarize_metrics(read_batch_metrics(spark, _basic_run(spark, d).path("metrics")))
+
+
+def _failing_at(batch: int):
+    """A callback that breaks the run off once, when the outputs of a batch are stored but not committed."""
+    left = [batch]
+
+    def done(batch_id: int) -> None:
+        if batch_id in left:
+            left.remove(batch_id)
+            raise RuntimeError("the run is broken off here")
+
+    return done
+
+
+def _resumed_run(spark, d, profile):
+    """Config and live counters of a run that broke off in its second batch and was started again, by new objects."""
+    config = _config(spark, d, f"stream-resumed-{profile}", batch_stored=_failing_at(1))
+    try:
+        runner.start_stream(spark, config, profile, available_now=True, live=LiveCounters(spark, config.root, profile))
+    except StreamingQueryException:
+        pass
+    counters = LiveCounters(spark, config.root, profile)
+    runner.start_stream(spark, config, profile, available_now=True, live=counters)
+    return config, counters
+
+
+@query(
+    "t9_resumed_run",
+    f"""SELECT a.*, CAST(12 // 4 AS BIGINT) AS batch_count, CAST(0 AS BIGINT) AS rewritten_files, bronze_rows, silver_rows
+        FROM ({_ACCOUNTING}) a, (SELECT COUNT(*) AS bronze_rows FROM bronze), (SELECT COUNT(*) AS silver_rows FROM silver)""",
+)
+def t9(spark, d):
+    """A killed and resumed run leaves what an undisturbed one leaves, and a third start writes nothing."""
+    config, _ = _resumed_run(spark, d, "basic")
+    before = file_inventory(spark, config.root)
+    before = stored(before, "files-before")
+    fingerprint = metrics.fingerprint(spark, config.path("metrics"))
+    runner.start_stream(spark, config, available_now=True)
+    metrics.verify_restart(fingerprint, metrics.fingerprint(spark, config.path("metrics")))
+    layers = lambda files: files.where(~F.col("path").contains("/checkpoint-"))
+    written = inventory_diff(layers(before), layers(file_inventory(spark, config.root))).agg(F.count(F.lit(1)).alias("rewritten_files"))
+    rows = [runner.read_layer(spark, config, name).agg(F.count(F.lit(1)).alias(f"{name}_rows")) for name in ("bronze", "silver")]
+    total = metrics.summarize_metrics(read_batch_metrics(spark, config.path("metrics"))).drop("unreconciled_batches", "invalid_rate")
+    return total.crossJoin(written).crossJoin(rows[0]).crossJoin(rows[1])  # one row each
+
+
+def _counter_rows(spark, counters):
+    return spark.createDataFrame(sorted(counters.totals().items()), "metric_name string, records long")
+
+
+@query(
+    "t12_live_counters",
+    """SELECT 'valid_records' AS metric_name, COUNT(*) FILTER (WHERE len(errors) = 0) AS records FROM strict
+       UNION ALL SELECT 'invalid_records', COUNT(*) FILTER (WHERE len(errors) > 0) FROM strict
+       UNION ALL SELECT 'sink_write_failures', COUNT(*) FILTER (WHERE len(errors) = 0 AND (happened_at IS NULL OR arrived_at IS NULL)) FROM strict""",
+)
+def t12(spark, d):
+    return _counter_rows(spark, _resumed_run(spark, d, "strict")[1])
+
+
+@query(
+    "t12_live_counters_basic",
+    """SELECT 'input_count' AS metric_name, COUNT(*) AS records FROM bronze
+       UNION ALL SELECT 'invalid_count', COUNT(*) FILTER (WHERE NOT is_valid) FROM bronze
+       UNION ALL SELECT 'schema_drift_count', COUNT(*) FILTER (WHERE unexpected_field_count > 0) FROM bronze""",
+)
+def t12_basic(spark, d):
+    return _counter_rows(spark, _resumed_run(spark, d, "basic")[1])
+
+
+@query("t3_interval_run", f"SELECT {_BRONZE} FROM bronze")
+def t3(spark, d):
+    """An interval run that is stopped at its maximal runtime, wherever it is; a second run takes the rest."""
+    config = _config(spark, d, "stream-interval")
+    runner.start_stream(spark, config, interval="1 second", max_runtime=8)
+    runner.start_stream(spark, config, available_now=True)
+    return runner.read_layer(spark, config, "bronze")
 
 
 @query("k8_batch_metrics")
@@ -451,12 +538,28 @@ def k8(spark, d):
     return read_batch_metrics(spark, _basic_run(spark, d).path("metrics"))
 
 
-@query("m5_streaming_merge", f"SELECT {_SILVER} FROM silver")
+# Later copies of every 40th event: another amount, one day on.
+_MOVED = """CASE WHEN kafka_offset % 40 = 7 THEN event_timestamp + INTERVAL 1 DAY ELSE event_timestamp END AS event_timestamp,
+            CASE WHEN kafka_offset % 40 = 7 THEN event_date + 1 ELSE event_date END AS event_date,
+            CASE WHEN kafka_offset % 40 = 7 THEN amount + 1 ELSE amount END AS amount,
+            CASE WHEN kafka_offset % 40 = 7 THEN ingestion_timestamp + INTERVAL 1 DAY ELSE ingestion_timestamp END AS ingestion_timestamp"""
+
+
+@query(
+    "m5_streaming_merge",
+    f"SELECT {_SILVER} FROM (SELECT * EXCLUDE (event_timestamp, event_date, amount, ingestion_timestamp), {_MOVED} FROM silver)",
+)
 def m5(spark, d):
+    """The first load creates the target; the second brings later copies, some on another date, and old ones, which lose."""
     path = work_folder(spark, "stream-target")
-    stored = runner.read_layer(spark, _basic_run(spark, d), "silver")
-    merge.merge_streaming(spark, path, stored)
-    merge.merge_streaming(spark, path, stored)  # a second load changes nothing
+    rows = runner.read_layer(spark, _basic_run(spark, d), "silver")
+    merge.merge_streaming(spark, path, rows)
+    day = F.make_dt_interval(days=F.lit(1))
+    later = rows.where("kafka_offset % 40 = 7").withColumns({
+        "event_timestamp": F.col("event_timestamp") + day, "event_date": F.date_add("event_date", 1),
+        "amount": F.col("amount") + 1, "ingestion_timestamp": F.col("ingestion_timestamp") + day,
+    })
+    merge.merge_streaming(spark, path, rows.where("kafka_offset % 40 = 7").unionByName(later))
     return spark.read.parquet(path).select(*_SILVER.split(", "))
 
 

@@ -20,17 +20,27 @@ def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def money_sum(amount: Column | str) -> Column:
-    """Sum as double: exact decimals plus the doubles that are none."""
+def money_parts(amount: Column | str) -> tuple[Column, Column]:
+    """What a money sum adds up: the exact decimal of an amount, and the double of one that has none."""
     amount = _col(amount)
     # 0 * NaN and 0 * inf are NaN, so this is the plain test for "finite".
     decimal = F.when(amount * 0 == 0, amount).try_cast(EXACT)
     exact = F.when(decimal.cast("double") == amount, decimal)
-    rest = F.when(exact.isNull(), amount.cast("double"))
-    of_exact, of_rest = F.sum(exact).cast("double"), F.sum(rest)
+    return exact, F.when(exact.isNull(), amount.cast("double"))
+
+
+def money_total(of_exact: Column, of_rest: Column) -> Column:
+    """The sum as double from the sums of both parts."""
+    of_exact = of_exact.cast("double")
     return F.coalesce(of_exact + of_rest, of_exact, of_rest)
 
 
+def money_sum(amount: Column | str) -> Column:
+    """Sum as double: exact decimals plus the doubles that are none."""
+    exact, rest = money_parts(amount)
+    return money_total(F.sum(exact), F.sum(rest))
+
+
 def money_avg(amount: Column | str) -> Column:
     """Exact sum divided by the number of amounts; null for an empty group."""
     amount = _col(amount)

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from riskloom.functions.amounts import money_avg, money_sum
+from riskloom.functions.amounts import money_avg, money_parts, money_sum, money_total
+from riskloom.operators.distinct import Part
 
 HIGH_VALUE = 1000.0  # default threshold; every operator takes its own
 
-_DISTINCT = {
+DISTINCT = {
     "distinct_customers": "customer_id",
     "distinct_merchants": "merchant_id",
     "distinct_categories": "merchant_category",
@@ -43,8 +44,8 @@ def risk_tier(rate: str = "fraud_rate") -> Column:
 
 def measure(name: str, threshold: float = HIGH_VALUE) -> Column:
     """Aggregate expression behind one feature column."""
-    if name in _DISTINCT:
-        return F.count_distinct(_DISTINCT[name]).alias(name)
+    if name in DISTINCT:
+        return F.count_distinct(DISTINCT[name]).alias(name)
     fraud = F.sum(F.col("is_fraud").cast("int"))
     table = {
         "transaction_count": lambda: F.count(F.lit(1)),
@@ -59,3 +60,36 @@ def measure(name: str, threshold: float = HIGH_VALUE) -> Column:
         "last_seen_at": lambda: F.max("event_timestamp"),
     }
     return table[name]().alias(name)
+
+
+def parts(threshold: float = HIGH_VALUE) -> dict[str, Part]:
+    """Mergeable aggregates from which `from_parts` makes the measures."""
+    exact, rest = money_parts("amount")
+    return {
+        "_rows": Part(F.count(F.lit(1)), F.sum),
+        "_exact": Part(F.sum(exact), F.sum),
+        "_rest": Part(F.sum(rest), F.sum),
+        "_amounts": Part(F.count("amount"), F.sum),
+        "_least": Part(F.min("amount"), F.min),
+        "_most": Part(F.max("amount"), F.max),
+        "_frauds": Part(F.sum(F.col("is_fraud").cast("int")), F.sum),
+        "_judged": Part(F.count("is_fraud"), F.sum),
+        "_high": Part(F.count_if(is_high_value(threshold)), F.sum),
+        "_first": Part(F.min("event_timestamp"), F.min),
+        "_last": Part(F.max("event_timestamp"), F.max),
+    }
+
+
+# Measure -> the parts it is made of, and how.
+FROM_PARTS = {
+    "transaction_count": (("_rows",), lambda rows: rows),
+    "total_amount": (("_exact", "_rest"), money_total),
+    "avg_amount": (("_exact", "_rest", "_amounts"), lambda exact, rest, n: F.try_divide(money_total(exact, rest), n)),
+    "min_amount": (("_least",), lambda least: least),
+    "max_amount": (("_most",), lambda most: most),
+    "fraud_count": (("_frauds",), lambda frauds: frauds),
+    "fraud_rate": (("_frauds", "_judged"), F.try_divide),
+    "high_value_transaction_count": (("_high",), lambda high: high),
+    "first_seen_at": (("_first",), lambda first: first),
+    "last_seen_at": (("_last",), lambda last: last),
+}

@@ -13,6 +13,7 @@ ISO_TEXT = (
     r"(?:[^0-9](\d{2})(?::?(\d{2}))?(?::?(\d{2}))?(?:[.,](\d+))?(Z|[+-]\d{2}(?::?\d{2})?)?)?$"
 )
 ISO_USUAL = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:\d{2})?)?$"
+ISO_PLAIN = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?(?:Z|[+-]\d{2}:\d{2})$"
 ISO_WITH_OFFSET = (
     r"^\d{4}-?\d{2}-?\d{2}[^0-9]\d{2}(:?\d{2}){0,2}([.,]\d+)?(Z|[+-]\d{2}(:?\d{2})?)$"
 )
@@ -60,22 +61,30 @@ def _usual_layout(text: Column) -> Column:
     )
 
 
-def parse_instant_strict(text: Column) -> Column:
-    """Timestamp of an ISO-8601 text that names its offset, otherwise null."""
-    return F.when(has_offset(text), parse_iso(text))
+def is_plain_instant(text: Column) -> Column:
+    """The text is an instant in the usual layout, with its offset."""
+    return F.coalesce(text.rlike(ISO_PLAIN), F.lit(False))
 
 
-def local_date(text: Column) -> Column:
+def parse_instant_strict(text: Column, plain: Column | None = None) -> Column:
+    """Timestamp of an ISO-8601 text that names its offset, otherwise null; `plain` is `is_plain_instant`, if known."""
+    rare = F.when(has_offset(text), parse_iso(text))
+    return F.when(is_plain_instant(text) if plain is None else plain, F.try_to_timestamp(text)).otherwise(rare)
+
+
+def local_date(text: Column, plain: Column | None = None) -> Column:
     """Calendar date written in the text, in its own offset."""
-    spelled = F.when(text.rlike(ISO_USUAL), F.substring(text, 1, 10)).otherwise(
+    usual = text.rlike(ISO_USUAL) if plain is None else plain
+    spelled = F.when(usual, F.substring(text, 1, 10)).otherwise(
         F.concat_ws("-", *[_part(text, g) for g in (1, 2, 3)])
     )
     return F.try_to_date(spelled)
 
 
-def local_hour(text: Column) -> Column:
+def local_hour(text: Column, plain: Column | None = None) -> Column:
     """Hour written in the text, in its own offset."""
-    spelled = F.when(text.rlike(ISO_USUAL), F.substring(text, 12, 2)).otherwise(_part(text, 4))
+    usual = text.rlike(ISO_USUAL) if plain is None else plain
+    spelled = F.when(usual, F.substring(text, 12, 2)).otherwise(_part(text, 4))
     return spelled.try_cast("int")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskloom.functions.times import epoch_seconds
@@ -61,8 +62,16 @@ _COUNTS = {
 
 
 def metric_gauges(metrics: DataFrame, load_status: DataFrame, checks: DataFrame) -> DataFrame:
-    """One row of eighteen gauges over batch metrics, load status and stream check results."""
+    """One row of gauges over batch metrics, load status and stream check results.
+
+    Tables read tolerantly (`results.tolerant`) hold their unreadable documents as rows with `_broken` text;
+    these are counted as a gauge and left out of all others.
+    """
     n = F.count(F.lit(1))
+    broken = [t.where("_broken is not null").select("_broken") for t in (metrics, load_status, checks) if "_broken" in t.columns]
+    unreadable = union_all(*broken).agg(n.cast("double").alias("streaming_unreadable_documents")) if broken else None
+    metrics, load_status, checks = (
+        t.where("_broken is null").drop("_broken") if "_broken" in t.columns else t for t in (metrics, load_status, checks))
     batches = metrics.agg(
         (n > 0).cast("double").alias("streaming_batch_metrics_available"),
         n.cast("double").alias("streaming_batches_total"),
@@ -88,8 +97,9 @@ def metric_gauges(metrics: DataFrame, load_status: DataFrame, checks: DataFrame)
         (F.col("checks_observed") > 0).cast("double").alias("streaming_test_results_available"),
         F.col("checks_failed").cast("double").alias("streaming_test_failures"),
     )
-    # Three one-row tables side by side.
-    return batches.crossJoin(load).crossJoin(stream_checks)
+    # One-row tables side by side.
+    gauges = batches.crossJoin(load).crossJoin(stream_checks)
+    return gauges.withColumn("streaming_unreadable_documents", F.lit(0.0)) if unreadable is None else gauges.crossJoin(unreadable)
 
 
 # Alert name -> severity, pipeline, condition over the gauges (`now` is epoch seconds).
@@ -113,6 +123,9 @@ GAUGE_RULES = {
     "StreamingTestsFailed": (
         "CRITICAL", "streaming_models", "streaming_test_results_available = 1 and streaming_test_failures > 0",
     ),
+    "StreamingReportsUnreadable": (
+        "WARNING", "transaction_event_stream", "streaming_unreadable_documents > 0",
+    ),
     "StreamingDataFreshnessMissed": (
         "CRITICAL", "transaction_event_stream",
         "streaming_batch_metrics_available = 1 and now - streaming_last_batch_timestamp_seconds > 900",
@@ -156,14 +169,66 @@ def window_counts(observations: DataFrame, now: Column, minutes: int) -> DataFra
     return counted.withColumn("invalid_ratio", F.col("invalid_records") / all_records)
 
 
-def windowed_alerts(observations: DataFrame, now: Column, max_ratio: float = 0.10) -> DataFrame:
-    """Too many invalid records in 5 minutes, no valid one in 10, any write failure in 5."""
-    five, ten = window_counts(observations, now, 5), window_counts(observations, now, 10)
-    return union_all(
-        five.where(F.col("invalid_ratio") > max_ratio).select(F.lit("invalid_record_rate_high").alias("alert_name")),
-        ten.where("valid_records = 0").select(F.lit("no_recent_valid_records").alias("alert_name")),
-        five.where("sink_write_failures > 0").select(F.lit("sink_write_failure").alias("alert_name")),
+def increases(samples: DataFrame) -> DataFrame:
+    """Samples (job, metric_name, at, value) of counters that only grow, with what each grew by since the one before.
+
+    A job's counters begin at zero; a value below the one before means that they began anew.
+    """
+    series = W.partitionBy("job", "metric_name").orderBy("at", "value")
+    before = F.coalesce(F.lag("value").over(series), F.lit(0))
+    return samples.withColumn("increase", F.when(F.col("value") >= before, F.col("value") - before).otherwise(F.col("value")))
+
+
+# Alert name -> severity, minutes it has to hold before it fires (fixed values), condition at an evaluation.
+WINDOW_RULES = {
+    "invalid_record_rate_high": ("CRITICAL", 5, "invalid_5 / greatest(valid_5 + invalid_5, 1) > {ratio}"),
+    "no_recent_valid_records": ("WARNING", 1, "valid_10 = 0 and evaluated >= first_minute + 9"),
+    "sink_write_failure": ("CRITICAL", 0, "failures_5 > 0"),
+}
+
+
+def window_sums(samples: DataFrame) -> DataFrame:
+    """Per minute from the first sample to the last: what the counters grew by in the last five and ten minutes.
+
+    Every minute is sent to the ten evaluations that look back on it, so no task sees the whole time line.
+    """
+    def grown(metric: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("metric_name") == metric, F.col("increase"))), F.lit(0))
+
+    per_minute = increases(samples).groupBy(F.floor(F.unix_timestamp("at") / 60).cast("long").alias("minute")).agg(
+        grown("valid_records").alias("valid"), grown("invalid_records").alias("invalid"),
+        grown("sink_write_failures").alias("failures"),
     )
+    seen_from = per_minute.withColumn("evaluated", F.explode(F.sequence(F.col("minute"), F.col("minute") + 9)))
+    recent = F.col("evaluated") - F.col("minute") < 5
+    sums = seen_from.groupBy("evaluated").agg(
+        F.sum(F.when(recent, F.col("valid"))).alias("valid_5"), F.sum(F.when(recent, F.col("invalid"))).alias("invalid_5"),
+        F.sum(F.when(recent, F.col("failures"))).alias("failures_5"), F.sum("valid").alias("valid_10"),
+    )
+    span = per_minute.agg(F.min("minute").alias("first_minute"), F.max("minute").alias("last_minute")).where("first_minute is not null")
+    grid = span.select("first_minute", F.explode(F.sequence("first_minute", "last_minute")).alias("evaluated"))
+    return grid.join(sums, "evaluated", "left").fillna(0)
+
+
+def windowed_alerts(samples: DataFrame, max_ratio: float = 0.10) -> DataFrame:
+    """Each time a rule fired: alert_name, severity, fired_at, ended_at (its last evaluation that held).
+
+    Rules are evaluated every minute: too many invalid records in five minutes, no valid one in ten, any write
+    failure in five.  A rule fires once it has held for its minutes, and once for as long as it holds.
+    """
+    rules = [
+        F.struct(F.lit(name).alias("alert_name"), F.lit(severity).alias("severity"), F.lit(hold).alias("hold"),
+                 F.expr(condition.format(ratio=max_ratio)).alias("firing"))
+        for name, (severity, hold, condition) in WINDOW_RULES.items()
+    ]
+    holds = window_sums(samples).select("evaluated", F.explode(F.array(*rules)).alias("r")).select("evaluated", "r.*").where("firing")
+    # Minutes without a gap share the difference of minute and row number; there is one row per rule and minute.
+    run = F.col("evaluated") - F.row_number().over(W.partitionBy("alert_name").orderBy("evaluated"))
+    runs = holds.withColumn("run", run).groupBy("alert_name", "severity", "hold", "run").agg(
+        F.min("evaluated").alias("since"), F.max("evaluated").alias("last"))
+    moment = lambda minute: F.timestamp_seconds(minute * 60)
+    return runs.where("last - since >= hold").select(
+        "alert_name", "severity", moment(F.col("since") + F.col("hold")).alias("fired_at"), moment(F.col("last")).alias("ended_at"))
 
 
 # --- outside payloads --------------------------------------------------------------------------

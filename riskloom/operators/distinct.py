@@ -1,0 +1,95 @@
+"""Exact distinct counts beside other aggregates, without repeating rows for each counted column.
+
+Several `count(distinct ...)` in one aggregation make Spark copy every row once per counted column.  Here a
+column with few values is counted by a bitmap instead: its values get positions, a broadcast join gives each
+row its bit, and the bits of a group are or-ed in words of 64, which is an ordinary hash aggregation with a
+small fixed buffer.  A column with more values is counted by grouping twice: by the keys and the value, then
+by the keys, where each value is one row; that also spreads a hot key over its values.  Columns beyond the
+first of that kind are counted on their own and joined by the keys.
+
+How many values a column has is measured, not assumed, and only sets of at most MAX_POSITIONS reach the driver.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+MAX_POSITIONS = 4_096
+WORD_BITS = 64
+
+
+@dataclass(frozen=True)
+class Part:
+    """An aggregate that can be merged: `start` over rows, `merge` over the results of `start`."""
+
+    start: Column
+    merge: Callable[[Column], Column]
+
+
+def small_domains(sources: dict[str, DataFrame], limit: int = MAX_POSITIONS) -> dict[str, list]:
+    """Per column with at most `limit` values its values; `sources` names a table that holds all of them.
+
+    Columns of one table are looked at together: a sketch first, so that no large set is ever gathered.
+    """
+    by_table: dict[int, tuple[DataFrame, list[str]]] = {}
+    for column, table in sources.items():
+        by_table.setdefault(id(table), (table, []))[1].append(column)
+    out = {}
+    for table, columns in by_table.values():
+        about = table.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in columns]).first()
+        few = [c for c in columns if about[c] <= limit]
+        if few:
+            found = table.agg(*[F.collect_set(c).alias(c) for c in few]).first()
+            out |= {c: found[c] for c in few if len(found[c]) <= limit}
+    return out
+
+
+def _marked(rows: DataFrame, column: str, values: list) -> DataFrame:
+    """Add the word and the bit of the column's value; none for a missing value."""
+    kind = rows.schema[column].dataType.simpleString()
+    bits = [(v, i // WORD_BITS, _signed(1 << i % WORD_BITS)) for i, v in enumerate(sorted(values))]
+    table = rows.sparkSession.createDataFrame(bits, f"__v {kind}, __word_{column} int, __bit_{column} long")
+    return rows.join(F.broadcast(table), F.col(column) == F.col("__v"), "left").drop("__v")  # at most MAX_POSITIONS rows
+
+
+def _signed(word: int) -> int:
+    return word - (1 << 64) if word >> 63 else word
+
+
+def grouped(rows: DataFrame, keys: list[str], parts: dict[str, Part], distinct: dict[str, str], domains: dict[str, list]) -> DataFrame:
+    """Keys, the merged `parts`, and per name in `distinct` the exact number of different values of its column.
+
+    `domains` are columns whose values are known (see `small_domains`); all others are counted by grouping.
+    """
+    words: dict[str, list[str]] = {}
+    every = dict(parts)
+    for name, column in distinct.items():
+        if column in domains:
+            rows = _marked(rows, column, domains[column])
+            words[name] = []
+            for i in range(-(-len(domains[column]) // WORD_BITS)):
+                word = f"__{name}_{i}"
+                every[word] = Part(F.bit_or(F.when(F.col(f"__word_{column}") == i, F.col(f"__bit_{column}"))), F.bit_or)
+                words[name].append(word)
+    many = {name: column for name, column in distinct.items() if column not in domains}
+    first = next(iter(many), None)
+    if first is None:
+        out = rows.groupBy(*keys).agg(*[p.start.alias(n) for n, p in every.items()])
+    else:
+        value = f"__value_{first}"
+        once = rows.withColumn(value, F.col(many[first])).groupBy(*keys, value).agg(*[p.start.alias(n) for n, p in every.items()])
+        out = once.groupBy(*keys).agg(*[p.merge(F.col(n)).alias(n) for n, p in every.items()], F.count(value).alias(first))
+    for name, counted in words.items():
+        total = reduce(Column.__add__, [F.coalesce(F.bit_count(w), F.lit(0)) for w in counted], F.lit(0))
+        out = out.withColumn(name, total.cast("long")).drop(*counted)
+    for name in list(many)[1:]:
+        renamed = [F.col(k).alias(f"__k_{k}") for k in keys]
+        count = rows.select(*renamed, F.col(many[name]).alias("__v")).distinct().groupBy(*[f"__k_{k}" for k in keys]).agg(F.count("__v").alias(name))
+        same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys])
+        out = out.join(count, same, "left").drop(*[f"__k_{k}" for k in keys])
+    return out

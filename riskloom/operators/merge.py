@@ -1,12 +1,16 @@
 """Upserts into date-partitioned Parquet tables.
 
 Only the dates a merge touches are rewritten: those of the staged rows and those at
-which their keys lie now. Merged rows are stored in the shared working folder first
-and then swapped in, so nothing is overwritten while it is still being read.
+which their keys lie now. Merged rows are written once, into a hidden folder of the
+table, and the finished date folders are then moved into place. A merge that breaks off
+before they are all written leaves the table as it was; one that breaks off between the
+moves is finished by the next merge.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,10 +26,13 @@ from riskloom.quality.rules import (
 )
 from riskloom.session import work_folder
 from riskloom.sinks.tables import write_partitioned
-from riskloom.sources.files import child_names, delete_folder, exists
+from riskloom.sources.files import child_names, delete_folder, exists, move_folder
 
 KEY = "transaction_id"
 DATE = "event_date"
+SENT_KEYS = 1_000_000   # staged ids sent to every task at most; more are joined by a shuffle
+PENDING = "_merge-"     # folders that readers of a table do not see
+FOLDERS = "folder string, filled boolean"
 
 
 def table_metrics(rows: DataFrame, key: str = KEY) -> DataFrame:
@@ -53,11 +60,14 @@ def merge_upsert(target: DataFrame, stage: DataFrame, key: str = KEY) -> DataFra
 
 
 def touched_dates(target: DataFrame, stage: DataFrame, key: str = KEY) -> list:
-    """Dates a merge changes. Of the target only key and date are read.
+    """Dates a merge changes. Of the target only key and date are read, and not shuffled for a stage of usual size.
 
     The list is bounded by the number of date partitions, which the driver knows anyway.
     """
-    old = target.select(key, DATE).join(stage.select(key), key, "left_semi").select(DATE)
+    keys = stage.select(key)
+    if keys.count() <= SENT_KEYS:
+        keys = F.broadcast(keys)
+    old = target.select(key, DATE).join(keys, key, "left_semi").select(DATE)
     dates = old.unionByName(stage.select(DATE)).distinct()
     return sorted(row[0] for row in dates.collect())
 
@@ -68,6 +78,7 @@ def merge_into(spark: SparkSession, path: str, stage: DataFrame, key: str = KEY)
     Running the same merge again changes nothing, also after a run that broke off
     between the steps.
     """
+    finish_merges(spark, path)
     staged_at = work_folder(spark, "merge-stage")
     stage.write.parquet(staged_at)
     stage = spark.read.schema(stage.schema).parquet(staged_at)
@@ -76,22 +87,43 @@ def merge_into(spark: SparkSession, path: str, stage: DataFrame, key: str = KEY)
     dates = touched_dates(target, stage, key)
     # Literal dates prune the scan to the touched folders.
     merged = merge_upsert(target.where(F.col(DATE).isin(dates)), stage, key)
-    merged_at = work_folder(spark, "merge-result")
-    write_partitioned(merged, merged_at)
-
-    # Each date lies ready as its own folder; swapping in needs no further shuffle.
-    ready = spark.read.schema(target.schema).parquet(merged_at)
-    write_partitioned(ready, path, strategy="baseline", dynamic=True)
-    filled = set(child_names(spark, merged_at))
-    for day in dates:
-        if f"{DATE}={day.isoformat()}" not in filled:
-            # All rows of this date moved elsewhere; dynamic overwrite would keep it.
-            delete_folder(spark, f"{path}/{DATE}={day.isoformat()}")
-    delete_folder(spark, merged_at)
+    pending = f"{path}/{PENDING}{uuid.uuid4().hex}"
+    write_partitioned(merged, f"{pending}/new")
+    # Once this list is complete the merge is decided; until then it has not happened.
+    filled = set(child_names(spark, f"{pending}/new"))
+    folders = [f"{DATE}={day.isoformat()}" for day in dates]
+    listed = spark.createDataFrame([(name, name in filled) for name in folders], FOLDERS)
+    listed.coalesce(1).write.json(f"{pending}/folders")
+    _move_in(spark, path, pending)
     delete_folder(spark, staged_at)
     return dates
 
 
+def _move_in(spark: SparkSession, path: str, pending: str) -> None:
+    """Replace each listed date folder by the new one, or by nothing if all its rows moved elsewhere.
+
+    Can be repeated at any point: a folder to be filled that is not among the new ones any more is in place.
+    """
+    new = set(child_names(spark, f"{pending}/new"))
+    for name, filled in spark.read.schema(FOLDERS).json(f"{pending}/folders").collect():
+        if name in new or not filled:
+            delete_folder(spark, f"{path}/{name}")
+        if name in new:
+            move_folder(spark, f"{pending}/new/{name}", f"{path}/{name}")
+    delete_folder(spark, pending)
+
+
+def finish_merges(spark: SparkSession, path: str) -> int:
+    """Complete decided merges that broke off while folders were moved, drop undecided ones; returns how many there were."""
+    found = [f"{path}/{name}" for name in child_names(spark, path) if name.startswith(PENDING)]
+    for pending in found:
+        if exists(spark, f"{pending}/folders/_SUCCESS"):
+            _move_in(spark, path, pending)
+        else:
+            delete_folder(spark, pending)
+    return len(found)
+
+
 def require_unique(rows: DataFrame, table: str, key: str = KEY) -> None:
     require_all(evaluate(rows, table, [grain(key)]))
 

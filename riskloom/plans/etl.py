@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from riskloom.operators.clean import clean_filter, dedup_latest, select_event_date, transform
 from riskloom.schemas import PROCESSED
-from riskloom.sinks.tables import verify_write, write_partitioned
+from riskloom.sinks.tables import write_checked
 
 # Newest copy of an id first; the other columns only settle exact ties.
 NEWEST = ["event_timestamp", "amount", "device_id", "merchant_id", "customer_id"]
@@ -23,8 +23,8 @@ def process(
 ) -> dict[str, float]:
     """Type, clean, deduplicate and store; with a date only that partition is replaced.
 
-    Raw rows are counted over no columns (a bare line count for CSV), clean rows from the
-    footers of the stored files, so the cleaning plan itself runs once.
+    Raw rows are counted over no columns (a bare line count for CSV), clean rows while they are
+    written, so the cleaning plan itself runs once; the files must then hold just as many.
     """
     spark = raw.sparkSession
     typed = transform(raw)
@@ -32,8 +32,7 @@ def process(
     raw_count = candidates.count()
     started = spark.sql("select current_timestamp()").first()[0]
     rows = clean_transactions(candidates, newest).select(*PROCESSED.fieldNames())
-    write_partitioned(rows, path, strategy, dynamic=event_date is not None)
-    clean_count = _stored_rows(spark, path, event_date)
+    clean_count = write_checked(rows, path, event_date, strategy=strategy)
     if event_date is not None:
         _require_replaced(spark, path, event_date, started)
     rejected = raw_count - clean_count
@@ -45,27 +44,9 @@ def process(
     }
 
 
-def _stored_rows(spark, path: str, event_date: str | None) -> int:
-    stored = spark.read.schema(PROCESSED).parquet(path)
-    if event_date is not None:
-        stored = stored.where(F.col("event_date") == F.lit(event_date).cast("date"))
-    return stored.count()
-
-
 def _require_replaced(spark, path: str, event_date: str, started) -> None:
     """Dynamic overwrite leaves a date alone for which no row is written; do not take it for the new one."""
     stored = spark.read.schema(PROCESSED).parquet(path).where(F.col("event_date") == F.lit(event_date).cast("date"))
     oldest = stored.agg(F.min("processed_at")).first()[0]
     if oldest is None or oldest < started:
         raise RuntimeError(f"no row of event_date={event_date} passed the cleaning rules; its partition was not replaced")
-
-
-def process_and_verify(raw: DataFrame, path: str, event_date: str | None = None, **options) -> dict[str, float]:
-    """Store, then compare the stored rows with a count of the cleaned rows."""
-    metrics = process(raw, path, event_date, **options)
-    typed = transform(raw)
-    if event_date is not None:
-        typed = select_event_date(typed, event_date)
-    keys = clean_filter(typed).select("transaction_id").distinct().count()
-    verify_write(raw.sparkSession, path, keys, event_date)
-    return metrics

@@ -1,8 +1,7 @@
 """Risk feature tables, each declared by its keys and its measures.
 
-Distinct counts stay exact. Spark turns them into one Expand over narrow rows
-(keys and the counted value only) and removes repeats inside each map task before
-the shuffle, so a hot key is spread over (key, value) pairs first.
+Distinct counts are exact and made without copying rows (see `operators.distinct`):
+columns with few values as bitmaps, one with many by grouping twice.
 """
 
 from __future__ import annotations
@@ -12,7 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions.risk import HIGH_VALUE, is_high_risk, measure, risk_reason
+from riskloom.functions.risk import DISTINCT, FROM_PARTS, HIGH_VALUE, is_high_risk, measure, parts, risk_reason
+from riskloom.operators.distinct import grouped, small_domains
 from riskloom.schemas import STAGING
 
 _COMMON = ["transaction_count", "total_amount", "avg_amount"]
@@ -27,9 +27,27 @@ class FeatureTable:
     keys: tuple[str, ...]
     measures: tuple[str, ...]
 
-    def build(self, transactions: DataFrame, threshold: float = HIGH_VALUE) -> DataFrame:
-        columns = [measure(name, threshold) for name in self.measures]
-        return transactions.groupBy(*self.keys).agg(*columns)
+    @property
+    def counted(self) -> dict[str, str]:
+        """Measures that count different values, with their columns."""
+        return {name: DISTINCT[name] for name in self.measures if name in DISTINCT}
+
+    def build(
+        self, transactions: DataFrame, threshold: float = HIGH_VALUE, sources: dict[str, DataFrame] | None = None,
+    ) -> DataFrame:
+        """The table; `sources` may name, per counted column, a smaller table that holds all its values."""
+        if not self.counted:
+            return transactions.groupBy(*self.keys).agg(*[measure(name, threshold) for name in self.measures])
+        domains = small_domains({c: (sources or {}).get(c, transactions) for c in self.counted.values()})
+        needed = {part for name in self.measures if name in FROM_PARTS for part in FROM_PARTS[name][0]}
+        merged = grouped(transactions, list(self.keys), {n: p for n, p in parts(threshold).items() if n in needed},
+                         self.counted, domains)
+        columns = [
+            F.col(name) if name in self.counted
+            else FROM_PARTS[name][1](*[F.col(part) for part in FROM_PARTS[name][0]]).alias(name)
+            for name in self.measures
+        ]
+        return merged.select(*self.keys, *columns)
 
 
 DAILY = FeatureTable(

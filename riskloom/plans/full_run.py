@@ -12,10 +12,11 @@ from riskloom.operators.merge import build_fct
 from riskloom.plans import features, models
 from riskloom.plans.etl import process
 from riskloom.quality import rulesets
-from riskloom.quality.rules import require_all
+from riskloom.quality.rules import require_all, require_none
+from riskloom.schemas import RAW_TRANSACTION
 from riskloom.sinks.tables import write_counted, write_feature
 from riskloom.sources.registry import Catalog
-from riskloom.sources.transactions import read_processed, read_raw, read_raw_text
+from riskloom.sources.transactions import csv_header, read_processed, read_raw, read_raw_text
 
 
 @dataclass(frozen=True)
@@ -37,11 +38,13 @@ def build_features(spark: SparkSession, processed: DataFrame, root: str, thresho
     return counts
 
 
-def build_catalog(spark: SparkSession, root: str, threshold: float, full_refresh: bool = False) -> Catalog:
+def build_catalog(
+    spark: SparkSession, root: str, threshold: float, full_refresh: bool = False, processed_root: str | None = None,
+) -> Catalog:
     """Staging views, fact, dimensions and marts over the stored tables."""
     catalog = Catalog(spark, f"{root}/models")
     names = [*features.FEATURE_TABLES, "high_risk_transactions"]
-    catalog.add_source("processed_transactions", read_processed(spark, f"{root}/processed"))
+    catalog.add_source("processed_transactions", read_processed(spark, processed_root or f"{root}/processed"))
     for name in names:
         catalog.add_source(name, spark.read.parquet(f"{root}/features/{name}"))
     for name in ["processed_transactions", *names]:
@@ -78,14 +81,29 @@ def model_results(catalog: Catalog) -> DataFrame:
     )
 
 
+def check_processed(spark: SparkSession, path: str, rows: int | None = None) -> DataFrame:
+    """The processed table, once its schema, rows, dates and folders are as they should be."""
+    require_none("processed_transactions", "schema", rulesets.schema_problems(spark.read.parquet(path).schema))
+    processed = read_processed(spark, path)
+    require_all(rulesets.processed_contract(processed, rows=rows))
+    dates = rulesets.date_bounds(processed).first()["event_date_count"]
+    require_all(rulesets.inventory_contract(spark, path, partitions=dates))
+    if not rulesets.partition_mismatch(spark, path, processed).isEmpty():
+        raise RuntimeError("folders and rows of the processed table name different dates")
+    return processed
+
+
 def run_full(spark: SparkSession, config: BatchConfig) -> dict:
     """Run everything in order; a failed contract stops the later steps."""
+    require_none("raw_transactions", "header",
+                 rulesets.header_problems(csv_header(spark, config.raw), RAW_TRANSACTION.fieldNames()))
     text = read_raw_text(spark, config.raw)
     require_all(rulesets.raw_contract(text, rulesets.conformity_table(spark)))
     metrics = process(read_raw(spark, config.raw, with_file=True), f"{config.root}/processed")
-    processed = read_processed(spark, f"{config.root}/processed")
-    require_all(rulesets.processed_contract(processed, rows=metrics["clean_count"]))
+    processed = check_processed(spark, f"{config.root}/processed", metrics["clean_count"])
     counts = build_features(spark, processed, f"{config.root}/features", config.threshold)
+    for name in features.FEATURE_TABLES:
+        require_all(rulesets.inventory_contract(spark, f"{config.root}/features/{name}", flat=True))
 
     tables = {"processed_transactions": processed}
     tables |= {name: spark.read.parquet(f"{config.root}/features/{name}") for name in counts}
@@ -94,9 +112,14 @@ def run_full(spark: SparkSession, config: BatchConfig) -> dict:
         "segment_risk_summary": {"transactions": metrics["clean_count"]},
     }
     require_all(rulesets.warehouse_contract(tables, expect, config.threshold))
-    catalog = build_catalog(spark, config.root, config.threshold, config.full_refresh)
+    return {**metrics, **counts, "models": build_models(spark, config.root, config.threshold, config.full_refresh)}
+
+
+def build_models(spark: SparkSession, root: str, threshold: float, full_refresh: bool = False) -> list[str]:
+    """Build all models, store the results of their checks, and raise for a failed one."""
+    catalog = build_catalog(spark, root, threshold, full_refresh)
     catalog.build_all()
     results = model_results(catalog)
-    results.write.mode("overwrite").json(f"{config.root}/check-results")
-    require_all(spark.read.schema(results.schema).json(f"{config.root}/check-results"))
-    return {**metrics, **counts, "models": catalog.model_names()}
+    results.write.mode("overwrite").json(f"{root}/check-results")
+    require_all(spark.read.schema(results.schema).json(f"{root}/check-results"))
+    return catalog.model_names()

@@ -4,27 +4,48 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from riskloom.functions.risk import HIGH_VALUE
 from riskloom.functions.times import iso_date
 from riskloom.generate.late import late_fixture, late_id
 from riskloom.operators.merge import late_merge_row, merge_partition, snapshot_partition
 from riskloom.plans.etl import process
+from riskloom.plans.full_run import build_catalog, build_features, model_results
 from riskloom.quality.rules import require_all
-from riskloom.quality.rulesets import partition_mismatch, processed_contract
+from riskloom.quality.rulesets import partition_mismatch, processed_contract, warehouse_contract
 from riskloom.schemas import RAW_TRANSACTION
 
 
 def run_incremental(
     spark: SparkSession, raw: DataFrame, processed_root: str, target_root: str, event_date: str,
-    source_file: bool = True, newest: list[str] | None = None,
+    source_file: bool = True, newest: list[str] | None = None, marts_root: str | None = None, threshold: float = HIGH_VALUE,
 ) -> dict:
-    """Process one date, check its partition, merge it into the target."""
+    """Process one date, check its partition, merge it into the target.
+
+    With `marts_root` the run goes on: features and models are built from the merged target, in the order of
+    their dependencies, and a failed check of one ends the run with an error.
+    """
     metrics = process(raw, processed_root, event_date, newest=newest)
     stored = spark.read.parquet(processed_root).where(f"event_date = date'{iso_date(event_date)}'")
     require_all(processed_contract(stored, dates=1, source_file=source_file))
     wrong = partition_mismatch(spark, f"{processed_root}/event_date={event_date}", stored)
     if not wrong.isEmpty():
         raise RuntimeError("folders and rows of the processed date differ")
-    return {**metrics, **merge_partition(spark, processed_root, target_root, event_date)}
+    result = {**metrics, **merge_partition(spark, processed_root, target_root, event_date)}
+    return result if marts_root is None else {**result, **refresh_marts(spark, target_root, marts_root, threshold)}
+
+
+def refresh_marts(spark: SparkSession, target_root: str, marts_root: str, threshold: float = HIGH_VALUE) -> dict:
+    """Rebuild what depends on the target and check it: rows per feature table and the models built."""
+    target = spark.read.parquet(target_root)
+    counts = build_features(spark, target, f"{marts_root}/features", threshold)
+    tables = {name: spark.read.parquet(f"{marts_root}/features/{name}") for name in counts}
+    rows = target.count()
+    expect = {name: {"transactions": rows} for name in ("daily_transaction_summary", "segment_risk_summary")}
+    require_all(warehouse_contract(tables, expect, threshold))
+    catalog = build_catalog(spark, marts_root, threshold, processed_root=target_root)
+    catalog.build_all()
+    require_all(model_results(catalog))
+    return {**counts, "models": catalog.model_names()}
 
 
 def late_data_scenario(

@@ -115,3 +115,9 @@ def require_all(results: DataFrame) -> DataFrame:
         row = failed[0]
         raise ContractError(row["table_name"], row["check"], 0, row["failures"])
     return results
+
+
+def require_none(table: str, contract: str, problems: list[str]) -> None:
+    """Raise for problems found on the driver, such as those of a header or a schema."""
+    if problems:
+        raise ContractError(table, contract, "no problem", "; ".join(problems))

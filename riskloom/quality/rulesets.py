@@ -284,26 +284,24 @@ def high_risk_violations(rows: DataFrame, threshold: float = HIGH_VALUE) -> Data
 
 # --- warehouse ----------------------------------------------------------------------------
 
+# Columns no processed transaction may lack.
+REQUIRED = ["transaction_id", "event_timestamp", "event_date", "customer_id", "merchant_id"]
 
-def contract_row(rows: DataFrame) -> DataFrame:
-    """Counts and bounds of processed transactions as one row, from one pass."""
-    def null(column: str) -> Column:
-        return F.count_if(F.col(column).isNull())
 
+def contract_row(rows: DataFrame) -> DataFrame:
+    """What the contract of processed transactions looks at, as numbers in one row: counts, distinct values, gaps, bounds."""
+    broken = {
+        "invalid_amount_rows": ~F.coalesce(F.col("amount") > 0, F.lit(False)),
+        "invalid_event_hour_rows": ~F.coalesce(F.col("event_hour").between(0, 23), F.lit(False)),
+        **{f"null_{name}s": F.col(name).isNull() for name in REQUIRED},
+    }
+    seen = {"unique_transaction_ids": "transaction_id", "distinct_event_dates": "event_date"}
     return rows.agg(
         F.count(F.lit(1)).alias("row_count"),
-        F.count_distinct("transaction_id").alias("unique_transaction_ids"),
-        null("transaction_id").alias("null_transaction_ids"),
-        null("event_timestamp").alias("null_event_timestamps"),
-        null("event_date").alias("null_event_dates"),
-        null("customer_id").alias("null_customer_ids"),
-        null("merchant_id").alias("null_merchant_ids"),
-        F.count_if(F.col("amount").isNull() | (F.col("amount") <= 0)).alias("invalid_amount_rows"),
-        F.count_if(~F.coalesce(F.col("event_hour").between(0, 23), F.lit(False))).alias("invalid_event_hour_rows"),
         F.count_if("is_fraud").alias("fraud_rows"),
-        F.count_distinct("event_date").alias("distinct_event_dates"),
-        F.min("event_date").alias("min_event_date"),
-        F.max("event_date").alias("max_event_date"),
+        *[F.count_if(bad).alias(name) for name, bad in broken.items()],
+        *[F.count_distinct(column).alias(name) for name, column in seen.items()],
+        *[bound("event_date").alias(f"{bound.__name__}_event_date") for bound in (F.min, F.max)],
     )
 
 

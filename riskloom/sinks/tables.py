@@ -99,15 +99,37 @@ def load_table(rows: DataFrame, name: str, path: str | None = None, partition_by
 
 def verify_write(spark: SparkSession, path: str, expected: int, event_date: str | None = None) -> int:
     """Compare stored rows with the expected number; only file footers are read for a whole table."""
-    stored = spark.read.parquet(path)
-    if event_date is not None:
-        stored = stored.where(F.col("event_date") == F.lit(iso_date(event_date)).cast("date"))
-    found = stored.count()
+    found = stored_rows(spark, path, event_date)
     if found != expected:
         raise RuntimeError(f"{path}: expected {expected} rows, found {found}")
     return found
 
 
+def stored_rows(spark: SparkSession, path: str, event_date: str | None = None) -> int:
+    """Rows on storage, of one date or of all."""
+    stored = spark.read.parquet(path)
+    if event_date is not None:
+        stored = stored.where(F.col("event_date") == F.lit(iso_date(event_date)).cast("date"))
+    return stored.count()
+
+
+def write_checked(rows: DataFrame, path: str, event_date: str | None = None, **options) -> int:
+    """Write a partitioned table, or with a date that partition of it; returns the rows written.
+
+    Two independent counts are compared: the rows that entered the write, observed while it ran, and the rows
+    in the footers of the stored files.  A task that ran twice, because its executor was lost, is observed twice; so
+    on a difference the rows are counted once more before the write is called wrong.
+    """
+    seen = Observation("rows_written")
+    write_partitioned(rows.observe(seen, F.count(F.lit(1)).alias("n")), path, dynamic=event_date is not None, **options)
+    spark, expected = rows.sparkSession, seen.get["n"]
+    if not expected:
+        return 0  # no file to read; a date that is replaced by nothing is the caller's matter
+    if stored_rows(spark, path, event_date) != expected:
+        expected = rows.count()
+    return verify_write(spark, path, expected, event_date)
+
+
 def within_retention(rows: DataFrame, date_col: str, days: int, as_of: str) -> DataFrame:
     """Rows whose date is at most `days` before `as_of`."""
     oldest = date.fromisoformat(iso_date(as_of)) - timedelta(days=days)

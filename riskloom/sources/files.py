@@ -22,6 +22,13 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     system.delete(folder, True)
 
 
+def move_folder(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder; the place it goes to must be free."""
+    system, folder = _open(spark, path)
+    if not system.rename(folder, _open(spark, to)[1]):
+        raise OSError(f"{path} could not be moved to {to}")
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the direct children, sorted; empty for a missing folder."""
     system, folder = _open(spark, path)

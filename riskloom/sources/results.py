@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from riskloom.schemas import BATCH_METRICS, CHECK_RESULT
@@ -35,18 +36,18 @@ def read_check_results(spark: SparkSession, path: str) -> DataFrame:
     return _json_or_empty(spark, path, CHECK_RESULT)
 
 
-def readable_and_broken(spark: SparkSession, path: str, schema) -> tuple[DataFrame, int]:
-    """For a report that must not stop: the readable documents, and how many could not be read."""
+def tolerant(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """For a report that must not stop: every document, one that cannot be read with its text in `_broken`."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    schema = T.StructType([*schema.fields, T.StructField("_broken", T.StringType())])
     try:
         lines = spark.read.text(path)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
-        return spark.createDataFrame([], schema), 0
-    ddl = schema if isinstance(schema, str) else schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")
-    parsed = lines.filter("trim(value) != ''").select(
-        F.from_json("value", f"{ddl}, _broken string", {"columnNameOfCorruptRecord": "_broken"}).alias("r")).select("r.*")
-    return parsed.filter("_broken is null").drop("_broken"), parsed.filter("_broken is not null").count()
+        return spark.createDataFrame([], schema)
+    read = F.from_json("value", schema, {"columnNameOfCorruptRecord": "_broken"})
+    return lines.where("trim(value) != ''").select(read.alias("r")).select("r.*")
 
 
 def failed_checks(results: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.quality.rules import Rule, evaluate, require_all, row_rule
 from riskloom.sources.files import child_names
 from riskloom.sources.results import read_batch_metrics
 
@@ -25,24 +26,25 @@ def summarize_metrics(metrics: DataFrame) -> DataFrame:
     return totals.withColumn("invalid_rate", rate)
 
 
+def stream_rules(max_invalid_rate: float) -> list[Rule]:
+    """What the totals of a sound run satisfy."""
+    handled = F.col("clean_count") + F.col("invalid_count") + F.col("duplicate_count")
+    return [
+        row_rule("some_batch", F.col("batch_count") == 0),
+        row_rule("batches_reconcile", F.col("unreconciled_batches") > 0),
+        row_rule("totals_reconcile", F.col("input_count") != handled),
+        row_rule("dead_letters_are_invalid", F.col("dlq_count") > F.col("invalid_count")),
+        row_rule("invalid_share", F.col("invalid_rate") > max_invalid_rate),
+    ]
+
+
 def validate_stream(metrics: DataFrame, max_invalid_rate: float = 0.10) -> dict:
-    """Summary of a sound run; raises when counts do not reconcile or too much is invalid."""
-    if not 0 <= max_invalid_rate <= 1:
-        raise ValueError("max_invalid_rate must be between 0 and 1")
-    total = summarize_metrics(metrics).first().asDict()
-    accounted = total["clean_count"] + total["invalid_count"] + total["duplicate_count"]
-    problems = {
-        "no batch metrics found": total["batch_count"] == 0,
-        "more dead letters than invalid events": total["dlq_count"] > total["invalid_count"],
-        "a batch does not reconcile": total["unreconciled_batches"] > 0,
-        "totals do not reconcile": total["input_count"] != accounted,
-        f"invalid rate {total['invalid_rate']:.4f} is above {max_invalid_rate:.4f}":
-            total["invalid_rate"] > max_invalid_rate,
-    }
-    for message, found in problems.items():
-        if found:
-            raise RuntimeError(message)
-    return {**total, "status": "PASS"}
+    """Totals of a sound run; raises a ContractError for any other."""
+    if max_invalid_rate < 0 or max_invalid_rate > 1:
+        raise ValueError(f"a share is between 0 and 1, not {max_invalid_rate}")
+    total = summarize_metrics(metrics).first()
+    require_all(evaluate(metrics.sparkSession.createDataFrame([total]), "stream", stream_rules(max_invalid_rate)))
+    return {**total.asDict(), "status": "PASS"}
 
 
 def fingerprint(spark: SparkSession, root: str) -> dict:

@@ -30,6 +30,7 @@ from riskloom.schemas import (
 )
 from riskloom.sources.events import SourceSpec, decode_records, open_stream
 from riskloom.streaming import basic, strict
+from riskloom.streaming.live import LiveCounters
 
 MessageSink = Callable[[DataFrame, int], None]
 PIPELINE_NAME = "transaction_event_stream"  # fixed value of the metrics
@@ -45,6 +46,7 @@ class StreamConfig:
     risk_amount: float = HIGH_VALUE
     dead_letters: MessageSink | None = None
     risk_messages: MessageSink | None = None
+    batch_stored: Callable[[int], None] | None = None  # called when a batch's outputs are stored, before its commit
 
     def __post_init__(self):
         if self.late_hours < 0:
@@ -178,11 +180,13 @@ def start_stream(
     available_now: bool = False,
     interval: str = "5 seconds",
     max_runtime: int | None = None,
+    live: LiveCounters | None = None,
 ) -> StreamingQuery:
     """Run the stream.
 
     available_now  process what is there and end
     max_runtime    with interval triggers: stop after so many seconds
+    live           counters that follow the run; they stay registered while it goes on
     Offsets are kept under the root, so a restart continues where the last run ended.
     """
     if max_runtime is not None and max_runtime < 1:
@@ -197,15 +201,26 @@ def start_stream(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         fan_out(batch, batch_id, config)
+        if config.batch_stored:
+            config.batch_stored(batch_id)
 
+    if live is not None:
+        rows = live.on_rows(rows)
+        spark.streams.addListener(live)
     writer = rows.writeStream.foreachBatch(handle).option("checkpointLocation", config.path(f"checkpoint-{profile}"))
-    if available_now:
-        query = writer.trigger(availableNow=True).start()
-        query.awaitTermination()
+    trigger = {"availableNow": True} if available_now else {"processingTime": interval}
+    query = writer.trigger(**trigger).start()
+    if not available_now and max_runtime is None:
         return query
-    query = writer.trigger(processingTime=interval).start()
-    if max_runtime is not None:
-        query.awaitTermination(max_runtime)
-        if query.isActive:
-            query.stop()
+    try:
+        if available_now:
+            query.awaitTermination()
+        else:
+            query.awaitTermination(max_runtime)
+            if query.isActive:
+                query.stop()
+    finally:
+        if live is not None:
+            live.wait()
+            spark.streams.removeListener(live)
     return query

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions.predicates import any_of
-from riskloom.functions.times import local_date, local_hour, parse_instant_strict
+from riskloom.functions.times import is_plain_instant, local_date, local_hour, parse_instant_strict
 from riskloom.operators.compare import union_all
 from riskloom.plans.models import MAX_EVENT_AMOUNT
 from riskloom.schemas import (
@@ -41,46 +41,41 @@ def decode_payload(value: Column) -> Column:
     return F.make_valid_utf8(value.cast("string"))
 
 
+# The schema of a payload that holds the contract's fields, each of its kind, and nothing else; keys are in order there.
+_USUAL = "^OBJECT<" + ", ".join(
+    f"{name}: " + (r"(?:BIGINT|DOUBLE|FLOAT|DECIMAL\(\d+,\d+\))" if name == "amount" else "STRING") for name in sorted(EVENT_FIELDS)
+) + ">$"
+_EVENT = "struct<" + ", ".join(f"{name}: string" for name in EVENT_FIELDS if name != "amount") + ">"
+
+
 def read_json(records: DataFrame, value: str = "value") -> DataFrame:
     """Add raw_payload, and per contract field its JSON kind and its text.
 
-    Three projections on purpose: each expensive result is computed once and then
-    referred to as a column.
+    Most payloads have the usual shape, which the schema of the parsed variant shows at a glance; the kinds of
+    single fields are looked up for the others alone.  Several projections on purpose: each expensive result is
+    computed once and then referred to as a column.
     """
     parsed = records.withColumn("raw_payload", decode_payload(F.col(value)))
     parsed = parsed.withColumn("_json", F.try_parse_json("raw_payload"))
-
-    def field(name: str, kind: str) -> Column:
-        return F.try_variant_get("_json", f"$.{name}", kind)
-
-    def text(name: str) -> Column:
-        """Text of a string field; null for every other kind."""
-        return F.when(F.col(f"_kind_{name}") == "STRING", field(name, "string"))
-
-    # One schema text per row names the kind of every field. Field by field is needed only
-    # where it nests or quotes names, because then the text cannot simply be cut up.
     parsed = parsed.withColumn("_schema", F.schema_of_variant("_json"))
-    inside = F.substr(F.col("_schema"), F.lit(8), F.length("_schema") - 8)
-    simple = F.coalesce(~inside.rlike("[<`]"), F.lit(False))
-    parsed = parsed.withColumns(
-        {
-            "_is_object": F.coalesce(F.col("_schema").startswith("OBJECT"), F.lit(False)),
-            "_keys": F.json_object_keys("raw_payload"),
-            "_kinds": F.when(simple, F.str_to_map(inside, F.lit(", "), F.lit(": "))),
-        }
-    )
-    kinds = {
-        f"_kind_{name}": F.when(F.col("_kinds").isNotNull(), F.try_element_at("_kinds", F.lit(name))).otherwise(
-            F.schema_of_variant(field(name, "variant"))
-        )
-        for name in EVENT_FIELDS
-    }
-    parsed = parsed.withColumns(kinds)
-    amount = F.when(_is_number(F.col("_kind_amount")), field("amount", "double"))
-    texts = {name: text(name) for name in EVENT_FIELDS if name != "amount"}
-    parsed = parsed.withColumns({"amount": amount, **{f"_text_{n}": c for n, c in texts.items()}})
-    moments = {f"_at_{name}": parse_instant_strict(F.col(f"_text_{name}")) for name in _MOMENTS}
-    return parsed.withColumns(moments)
+    parsed = parsed.withColumns({
+        "_usual": F.coalesce(F.col("_schema").rlike(_USUAL), F.lit(False)),
+        "_is_object": F.coalesce(F.col("_schema").startswith("OBJECT"), F.lit(False)),
+        "_event": F.try_variant_get("_json", "$", _EVENT),
+        "_amount": F.try_variant_get("_json", "$.amount", "double"),
+    })
+    fields = F.when(F.col("_is_object") & ~F.col("_usual"), F.try_variant_get("_json", "$", "map<string, variant>"))
+    parsed = parsed.withColumn("_kinds", F.transform_values(fields, lambda _, field: F.schema_of_variant(field)))
+
+    def kind(name: str) -> Column:
+        return F.when(F.col("_usual"), "DOUBLE" if name == "amount" else "STRING").otherwise(F.try_element_at("_kinds", F.lit(name)))
+
+    parsed = parsed.withColumns({f"_kind_{name}": kind(name) for name in EVENT_FIELDS})
+    # The text of a string field; null for every other kind.
+    texts = {f"_text_{n}": F.when(F.col(f"_kind_{n}") == "STRING", F.col(f"_event.{n}")) for n in EVENT_FIELDS if n != "amount"}
+    parsed = parsed.withColumns({"amount": F.when(_is_number(F.col("_kind_amount")), F.col("_amount")), **texts})
+    parsed = parsed.withColumns({f"_plain_{n}": is_plain_instant(F.col(f"_text_{n}")) for n in _MOMENTS})
+    return parsed.withColumns({f"_at_{n}": parse_instant_strict(F.col(f"_text_{n}"), F.col(f"_plain_{n}")) for n in _MOMENTS})
 
 
 def _is_number(kind: Column) -> Column:
@@ -90,7 +85,7 @@ def _is_number(kind: Column) -> Column:
 def strict_errors(allowed_types: list[str] = EVENT_TYPES) -> Column:
     """Sorted distinct violation codes of a row of `read_json`; empty when valid."""
     kind = {name: F.col(f"_kind_{name}") for name in EVENT_FIELDS}
-    foreign = F.array_except("_keys", F.array(*[F.lit(f) for f in EVENT_FIELDS]))
+    foreign = F.array_except(F.map_keys("_kinds"), F.array(*[F.lit(f) for f in EVENT_FIELDS]))
     absent = {
         name: kind[name].isNull() | (kind[name] == "VOID")
         | (F.col(f"_text_{name}").eqNullSafe("") if name != "amount" else F.lit(False))
@@ -114,7 +109,9 @@ def strict_errors(allowed_types: list[str] = EVENT_TYPES) -> Column:
         code(happened > arrived, "event_timestamp_after_ingestion_timestamp"),
     ]
     # Most rows are valid: find that out without building and sorting an array.
-    listed = F.when(F.concat_ws("", *codes) == "", F.array().cast("array<string>")).otherwise(
+    filled = F.concat_ws("", *[F.when(F.col(f"_text_{n}") == "", "x") for n in EVENT_FIELDS if n != "amount"]) == ""
+    valid = F.col("_usual") & filled & good_amount & known_type & happened.isNotNull() & (happened <= arrived)
+    listed = F.when(F.coalesce(valid, F.lit(False)), F.array().cast("array<string>")).otherwise(
         F.sort_array(F.array_distinct(F.array_compact(F.array(*codes))))
     )
     return (
@@ -135,8 +132,8 @@ def judge(records: DataFrame, allowed_types: list[str] = EVENT_TYPES, value: str
         *texts,
         "amount",
         *[F.col(f"_at_{n}").alias(n) for n in _MOMENTS],
-        local_date(F.col("_text_event_timestamp")).alias("event_date"),
-        local_hour(F.col("_text_event_timestamp")).alias("event_hour"),
+        local_date(F.col("_text_event_timestamp"), F.col("_plain_event_timestamp")).alias("event_date"),
+        local_hour(F.col("_text_event_timestamp"), F.col("_plain_event_timestamp")).alias("event_hour"),
     )
     # Explode of a one-element array keeps every later filter above this point; pushed
     # below it, a filter would repeat the parsing once for each column it mentions.

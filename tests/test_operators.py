@@ -1,3 +1,5 @@
+import glob
+import os
 import random
 from datetime import date
 
@@ -10,12 +12,13 @@ from riskloom.generate.events import generate_events
 from riskloom.generate.transactions import generate_transactions
 from riskloom.operators import compare, merge
 from riskloom.operators.clean import clean_filter, dedup_latest, transform
+from riskloom.operators.distinct import Part, grouped, small_domains
 from riskloom.operators.rank import percent_rank
 from riskloom.plans.etl import process
 from riskloom.quality.rules import ContractError, evaluate, not_null, require_all, unique
 from riskloom.schemas import RAW_TRANSACTION
 from riskloom.sinks import tables
-from riskloom.sources.files import child_names
+from riskloom.sources.files import child_names, delete_folder
 from riskloom.sources.transactions import read_raw
 
 
@@ -144,3 +147,92 @@ def test_generated_events_hold_the_planned_faults(spark):
     assert len({r["transaction_id"] for r in generate_events(spark, 5, 3, duplicate_every=1).collect()}) == 1
     with pytest.raises(ValueError):
         generate_events(spark, -1, 3)
+
+
+@pytest.mark.parametrize("limit", [0, 4, 4_096])
+def test_distinct_counts_by_bitmaps_and_by_grouping(spark, limit):
+    """Every mixture of small and large domains gives what count(distinct) gives, missing keys and values included."""
+    rnd = random.Random(limit)
+    rows = [(rnd.choice(["a", "b", None, "hot", "hot", "hot"]), rnd.choice([None, *range(4)]), rnd.choice([None, *"xyzuvw"]),
+             rnd.choice([None, rnd.randrange(200)]), rnd.choice([None, rnd.randrange(9)])) for _ in range(900)]
+    frame = spark.createDataFrame(rows, "k string, few int, some string, many long, n int")
+    columns = {"d_few": "few", "d_some": "some", "d_many": "many"}
+    domains = small_domains(dict.fromkeys(columns.values(), frame), limit)
+    assert set(domains) == {0: set(), 4: {"few"}, 4_096: {"few", "some", "many"}}[limit]
+    parts = {"rows": Part(F.count(F.lit(1)), F.sum), "total": Part(F.sum("n"), F.sum), "least": Part(F.min("n"), F.min)}
+    found = grouped(frame, ["k"], parts, columns, domains)
+    expected = frame.groupBy("k").agg(F.count(F.lit(1)), F.sum("n"), F.min("n"), *[F.count_distinct(c) for c in columns.values()])
+    assert sorted(map(tuple, found.select("k", *parts, *columns).collect()), key=str) == sorted(map(tuple, expected.collect()), key=str)
+    assert grouped(frame.limit(0), ["k"], parts, columns, domains).count() == 0
+
+
+def _table(spark, path, rows):
+    frame = spark.createDataFrame(rows, "transaction_id string, event_date string, amount int")
+    frame = frame.withColumn("event_date", F.to_date("event_date"))
+    if path:
+        frame.write.partitionBy("event_date").parquet(path)
+    return frame
+
+
+@pytest.mark.parametrize("broken_at", ["write", "list", 0, 1, 2])
+def test_merge_that_breaks_off_is_finished_or_undone(spark, tmp_path, monkeypatch, broken_at):
+    path = str(tmp_path / "t")
+    _table(spark, path, [("a", "2026-01-01", 1), ("b", "2026-01-02", 2), ("c", "2026-01-03", 3), ("d", "2026-01-04", 4)])
+    stage = _table(spark, None, [("a", "2026-01-02", 10), ("e", "2026-01-03", 50)])     # the first date is emptied
+    rows = lambda: sorted((r[0], str(r[2]), r[1]) for r in spark.read.parquet(path).collect())
+    before, after = rows(), [("a", "2026-01-02", 10), ("b", "2026-01-02", 2), ("c", "2026-01-03", 3), ("d", "2026-01-04", 4),
+                             ("e", "2026-01-03", 50)]
+    real = {"write": merge.write_partitioned, "move": merge.move_folder, "in": merge._move_in}
+    moves = iter(range(10))
+
+    def breaking(*args, **kwargs):
+        raise OSError("broken off")
+
+    def move(*args):
+        if next(moves) == broken_at:
+            raise OSError("broken off")
+        real["move"](*args)
+
+    if broken_at == "write":
+        monkeypatch.setattr(merge, "write_partitioned", lambda rows, to: (real["write"](rows, to), breaking()))
+    elif broken_at == "list":
+        monkeypatch.setattr(merge, "child_names", breaking)
+        monkeypatch.setattr(merge, "finish_merges", lambda *a: 0)
+    else:
+        monkeypatch.setattr(merge, "move_folder", move)
+    if broken_at == 2:                       # there are two folders to move
+        assert merge.merge_into(spark, path, stage) and rows() == after
+        return
+    with pytest.raises(OSError):
+        merge.merge_into(spark, path, stage)
+    monkeypatch.undo()
+    if isinstance(broken_at, str):
+        assert rows() == before              # not decided yet: as it was
+    assert merge.finish_merges(spark, path) == 1
+    assert rows() == (before if isinstance(broken_at, str) else after)
+    for _ in range(2):
+        assert [str(d) for d in merge.merge_into(spark, path, stage)][-2:] == ["2026-01-02", "2026-01-03"]
+        assert rows() == after and merge.finish_merges(spark, path) == 0
+
+
+def test_merge_writes_touched_dates_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    _table(spark, path, [(f"t{i}", f"2026-01-{1 + i % 9:02d}", i) for i in range(90)])
+    untouched = {f: os.path.getmtime(f) for f in glob.glob(f"{path}/event_date=2026-01-0[3-9]/*.parquet")}
+    merge.merge_into(spark, path, _table(spark, None, [("t0", "2026-01-01", 7), ("t1", "2026-01-02", 8)]))
+    assert untouched == {f: os.path.getmtime(f) for f in glob.glob(f"{path}/event_date=2026-01-0[3-9]/*.parquet")}
+    assert not [n for n in os.listdir(path) if n.startswith("_merge")]
+
+
+def test_checked_write_counts_twice(spark, tmp_path):
+    from riskloom.sinks.tables import verify_write, write_checked
+
+    path = str(tmp_path / "t")
+    rows = _table(spark, None, [(f"t{i}", f"2026-01-{1 + i % 3:02d}", i) for i in range(30)])
+    assert write_checked(rows, path) == 30
+    assert write_checked(rows.where("event_date = date'2026-01-02' and amount > 10"), path, "2026-01-02") == 6
+    assert verify_write(spark, path, 26) == 26
+    delete_folder(spark, f"{path}/event_date=2026-01-03")
+    with pytest.raises(RuntimeError, match="expected 26 rows, found 16"):
+        verify_write(spark, path, 26)
+    assert write_checked(rows.limit(0), str(tmp_path / "empty")) == 0

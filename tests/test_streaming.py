@@ -1,4 +1,5 @@
 import json
+from datetime import datetime, timezone
 
 import pytest
 
@@ -8,8 +9,8 @@ from riskloom.operators.merge import merge_streaming
 from riskloom.schemas import BATCH_METRICS, CHECK_RESULT
 from riskloom.sources.events import SourceSpec
 from riskloom.schemas import BATCH_METRICS
-from riskloom.sources.results import LOAD_STATUS, read_batch_metrics, readable_and_broken
-from riskloom.streaming import metrics, runner, strict
+from riskloom.sources.results import LOAD_STATUS, read_batch_metrics, tolerant
+from riskloom.streaming import live, metrics, runner, strict
 
 EVENT = {
     "transaction_id": "t1", "event_timestamp": "2026-07-15T23:30:00-02:00", "customer_id": "c", "merchant_id": "m",
@@ -123,7 +124,7 @@ def test_gauges_and_their_alerts(spark):
     load, checks = spark.createDataFrame([], LOAD_STATUS), spark.createDataFrame([], CHECK_RESULT)
     row = {"input_count": 10, "clean_count": 8, "invalid_count": 2, "dlq_count": 2}
     gauges = alerts.metric_gauges(_metrics(spark, row), load, checks)
-    assert gauges.first()["streaming_invalid_record_ratio"] == 0.2 and len(gauges.columns) == 18
+    assert gauges.first()["streaming_invalid_record_ratio"] == 0.2 and len(gauges.columns) == 19
     now = F.lit("2026-07-15 12:01:00").cast("timestamp")
     names = {r["alert_name"] for r in alerts.gauge_alerts(gauges, now).collect()}
     assert names == {"StreamingInvalidRecordRateHigh", "StreamingDlqEventsDetected"}
@@ -156,5 +157,53 @@ def test_cut_off_metrics_file_is_an_error(spark, tmp_path):
         (folder / "part.json").write_text(text)
     with pytest.raises(Exception, match="MALFORMED"):
         metrics.validate_stream(read_batch_metrics(spark, str(tmp_path)), 1.0)
-    readable, broken = readable_and_broken(spark, f"{tmp_path}/*", BATCH_METRICS)
-    assert broken == 1 and readable.first()["input_count"] == 10
+    read = tolerant(spark, f"{tmp_path}/*", BATCH_METRICS)
+    assert read.where("_broken is not null").count() == 1 and read.where("_broken is null").first()["input_count"] == 10
+    assert tolerant(spark, f"{tmp_path}/absent", "a string, b struct<c: int, d: array<string>>").count() == 0
+
+
+def _samples(spark, rows):
+    return spark.createDataFrame(
+        [(job, metric, datetime(2026, 1, 1, 10, minute, tzinfo=timezone.utc), value) for job, metric, minute, value in rows],
+        "job string, metric_name string, at timestamp, value long")
+
+
+def test_counters_that_begin_anew_lose_nothing(spark):
+    rows = _samples(spark, [("j", "m", 0, 5), ("j", "m", 1, 9), ("j", "m", 2, 2), ("j", "m", 3, 2), ("k", "m", 2, 4)])
+    found = alerts.increases(rows).orderBy("job", "at").collect()
+    assert [r["increase"] for r in found] == [5, 4, 2, 0, 4]
+
+
+def test_each_window_rule_fires_once(spark):
+    valid = [("j", "valid_records", m, 10 * (m + 1)) for m in (*range(8), *range(20, 31))]
+    bad = [("j", "invalid_records", m, 1 + 5 * max(0, m - 22)) for m in range(20, 31)]     # more than a tenth of a window from minute 25 on
+    failed = [("j", "sink_write_failures", 25, 1)]
+    fired = alerts.windowed_alerts(_samples(spark, valid + bad + failed)).orderBy("fired_at").collect()
+    minute = lambda t: t.minute
+    assert [(r["alert_name"], minute(r["fired_at"]), minute(r["ended_at"])) for r in fired] == [
+        ("no_recent_valid_records", 18, 19), ("sink_write_failure", 25, 29), ("invalid_record_rate_high", 30, 30)]
+    assert alerts.windowed_alerts(_samples(spark, valid).limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("profile", ["basic", "strict"])
+def test_live_counters_go_on_after_a_killed_batch(spark, tmp_path, profile):
+    broken = [1]
+
+    def stored(batch_id):
+        if batch_id in broken:
+            broken.remove(batch_id)
+            raise RuntimeError("killed")
+
+    config = _stream(spark, tmp_path, files=3, per_trigger=1, batch_stored=stored)
+    first = live.LiveCounters(spark, config.root, profile)
+    with pytest.raises(Exception, match="killed"):
+        runner.start_stream(spark, config, profile, available_now=True, live=first)
+    second = live.LiveCounters(spark, config.root, profile)
+    assert sum(second.totals().values()) > sum(first.totals().values()) > 0     # the killed batch is stored, not committed
+    runner.start_stream(spark, config, profile, available_now=True, live=second)
+    rows = {"basic": {"input_count": 200, "invalid_count": 19, "schema_drift_count": second.totals().get("schema_drift_count")},
+            "strict": {"valid_records": 181, "invalid_records": 19, "sink_write_failures": 0}}[profile]
+    assert second.totals() == rows
+    stored_now = live.stored_counts(spark, config.root, profile).drop("batch_id").groupBy().sum().first()
+    assert list(stored_now) == [rows[n] for n in (live.BASIC if profile == "basic" else live.STRICT)]
+    assert live.LiveCounters(spark, config.root, profile).totals() == rows
