@@ -109,8 +109,8 @@ _NOON = "TIMESTAMP '2024-01-10 12:00:00'"
                CAST(COUNT(*) FILTER (WHERE len(errors) > 0) AS DOUBLE) AS invalid_records,
                CAST(0 AS DOUBLE) AS sink_write_failures,
                CAST(COUNT(*) FILTER (WHERE len(errors) > 0) AS DOUBLE) / greatest(COUNT(*), 1) AS invalid_ratio
-        FROM (SELECT errors, {_NOON} - to_seconds(COALESCE(CAST(epoch(arrived_at) AS BIGINT) % 3600, 0)) AS at FROM strict)
-        WHERE at > {_NOON} - INTERVAL 5 MINUTES""",
+        FROM (SELECT errors, {_NOON} - to_seconds(COALESCE(CAST(floor(epoch(arrived_at)) AS BIGINT) % 3600, 0)) AS seen_at FROM strict)
+        WHERE seen_at > {_NOON} - INTERVAL 5 MINUTES""",
 )
 def n9(spark, d):
     # Arrivals are dealt over the hour before; records without a readable one count at the window's end.

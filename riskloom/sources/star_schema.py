@@ -95,22 +95,6 @@ def _described(spark: SparkSession, sf_dir: str, rows: DataFrame, names: list[st
     return rows.select(*[_COLUMNS[name][1]().alias(name) for name in names])
 
 
-# Column -> the smallest table from which all its values can be made.
-_HELD_BY = {
-    "customer_id": "orders", "country": "nation", "merchant_category": "part", "payment_method": "orders",
-    "merchant_id": "lineitem", "event_date": "lineitem",
-}
-
-
-def value_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Per column a table that holds every value transactions can have there (and perhaps more)."""
-    by_table = {
-        name: table(spark, sf_dir, name).select(*[_COLUMNS[c][1]().alias(c) for c, held in _HELD_BY.items() if held == name])
-        for name in set(_HELD_BY.values())
-    }
-    return {column: by_table[name] for column, name in _HELD_BY.items()}
-
-
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same rows as raw text-timestamp input, with faults the tables lack.
 

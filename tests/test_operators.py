@@ -12,7 +12,6 @@ from riskloom.generate.events import generate_events
 from riskloom.generate.transactions import generate_transactions
 from riskloom.operators import compare, merge
 from riskloom.operators.clean import clean_filter, dedup_latest, transform
-from riskloom.operators.distinct import Part, grouped, small_domains
 from riskloom.operators.rank import percent_rank
 from riskloom.plans.etl import process
 from riskloom.quality.rules import ContractError, evaluate, not_null, require_all, unique
@@ -149,23 +148,6 @@ def test_generated_events_hold_the_planned_faults(spark):
         generate_events(spark, -1, 3)
 
 
-@pytest.mark.parametrize("limit", [0, 4, 4_096])
-def test_distinct_counts_by_bitmaps_and_by_grouping(spark, limit):
-    """Every mixture of small and large domains gives what count(distinct) gives, missing keys and values included."""
-    rnd = random.Random(limit)
-    rows = [(rnd.choice(["a", "b", None, "hot", "hot", "hot"]), rnd.choice([None, *range(4)]), rnd.choice([None, *"xyzuvw"]),
-             rnd.choice([None, rnd.randrange(200)]), rnd.choice([None, rnd.randrange(9)])) for _ in range(900)]
-    frame = spark.createDataFrame(rows, "k string, few int, some string, many long, n int")
-    columns = {"d_few": "few", "d_some": "some", "d_many": "many"}
-    domains = small_domains(dict.fromkeys(columns.values(), frame), limit)
-    assert set(domains) == {0: set(), 4: {"few"}, 4_096: {"few", "some", "many"}}[limit]
-    parts = {"rows": Part(F.count(F.lit(1)), F.sum), "total": Part(F.sum("n"), F.sum), "least": Part(F.min("n"), F.min)}
-    found = grouped(frame, ["k"], parts, columns, domains)
-    expected = frame.groupBy("k").agg(F.count(F.lit(1)), F.sum("n"), F.min("n"), *[F.count_distinct(c) for c in columns.values()])
-    assert sorted(map(tuple, found.select("k", *parts, *columns).collect()), key=str) == sorted(map(tuple, expected.collect()), key=str)
-    assert grouped(frame.limit(0), ["k"], parts, columns, domains).count() == 0
-
-
 def _table(spark, path, rows):
     frame = spark.createDataFrame(rows, "transaction_id string, event_date string, amount int")
     frame = frame.withColumn("event_date", F.to_date("event_date"))
