@@ -3,7 +3,9 @@
 Vectors are dealt to shards by a hash of their id; each shard is a tree of balls around vantage
 points.  On unit vectors the chord length is a metric that orders like the cosine, so a subtree is cut
 off when the triangle inequality puts it outside the current k-th distance times `relax`: 1 keeps the
-search exact, smaller values cut more and may miss neighbours.  Scores come from the original vectors.
+search exact, smaller values cut more and may miss neighbours.  Distances are held as two bounds that follow
+from the rounding error of the cosine, which for nearly equal vectors is far smaller than that of their
+distance; so nothing is cut off because of rounding.  Scores come from the original vectors.
 
 Defined results: vectors that are null, zero or hold null or non-finite components take no part;
 vectors of different length never meet; a query never finds rows with its own id; rows repeated with
@@ -26,7 +28,7 @@ from riskloom.llm.common import stored
 SHARD_ROWS = 8_192        # vectors a tree should hold
 QUERY_BLOCK = 1_024       # queries that visit a tree together
 LEAF = 64
-EPS = 1e-9                # distances are compared with this slack, so rounding never cuts a tie
+ULP = 2.0 ** -53          # relative rounding error of a double
 INDEX_SCHEMA = "dim int, shard int, tree binary"
 
 
@@ -36,6 +38,14 @@ def _scores(query: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     return dots / (np.sqrt((vectors * vectors).sum(1)) * np.sqrt((query * query).sum()))
 
 
+def _chords(cosines: np.ndarray | float, error: float) -> tuple[np.ndarray, np.ndarray]:
+    """Bounds of the distance of unit vectors whose cosine is known up to `error`."""
+    square = 2.0 - 2.0 * np.asarray(cosines)
+    least = np.sqrt(np.maximum(0.0, square - 2.0 * error)) * (1.0 - 4 * ULP)
+    most = np.sqrt(np.maximum(0.0, square + 2.0 * error)) * (1.0 + 4 * ULP)
+    return least, most
+
+
 class VpTree:
     """Equal vectors are one point with all their ids; ids are kept in ascending order."""
 
@@ -47,6 +57,8 @@ class VpTree:
         by_point = np.argsort(owner, kind="stable")
         self.ids = np.split(ids[by_point], np.cumsum(np.bincount(owner))[:-1])
         self.unit = self.points / np.sqrt((self.points ** 2).sum(1))[:, None]
+        # Two normalised vectors and their inner product: a few roundings for each component.
+        self.error = 4.0 * (self.points.shape[1] + 8) * ULP
         self.nodes: list[tuple] = []
         self._grow(np.arange(len(self.points)))
 
@@ -56,29 +68,27 @@ class VpTree:
         self.nodes.append((members,))
         if len(members) > LEAF:
             vantage, rest = members[0], members[1:]
-            far = self._distance(self.unit[rest], self.unit[vantage][None])[:, 0]
-            order = np.argsort(far, kind="stable")
+            cosines = self.unit[rest] @ self.unit[vantage]
+            order = np.argsort(-cosines, kind="stable")
             half = len(order) // 2
-            children = tuple((self._grow(rest[part]), far[part[0]], far[part[-1]])
-                             for part in (order[:half], order[half:]))
+            children = tuple((self._grow(rest[part]), float(_chords(cosines[part[0]], self.error)[0]),
+                              float(_chords(cosines[part[-1]], self.error)[1])) for part in (order[:half], order[half:]))
             self.nodes[at] = (vantage, *children)
         return at
 
-    @staticmethod
-    def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (a @ b.T)))
+    def _distance(self, queries: np.ndarray, members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return _chords(queries @ self.unit[members].T, self.error)
 
     def search(self, ids: np.ndarray, vectors: np.ndarray, k: int, relax: float) -> list[list[tuple[float, int]]]:
         """For each query its k best (score, id).  Two walks: down to the home leaf for a first radius, then over all that remain."""
         unit = vectors / np.sqrt((vectors ** 2).sum(1))[:, None]
         best: list[list[tuple[float, int]]] = [[] for _ in ids]
-        radius = np.full(len(ids), np.inf)
-        seen: set[tuple[int, int]] = set()
+        radius = np.full(len(ids), 4.0)     # more than any distance
 
         def look(queries: np.ndarray, members: np.ndarray) -> None:
-            far = self._distance(unit[queries], self.unit[members])
+            far, _ = self._distance(unit[queries], members)
             for row, q in enumerate(queries.tolist()):
-                near = members[far[row] <= radius[q] + EPS]
+                near = members[far[row] <= radius[q]]
                 if not len(near):
                     continue
                 for point, score in zip(near.tolist(), _scores(vectors[q], self.points[near]).tolist()):
@@ -87,7 +97,7 @@ class VpTree:
                 best[q].sort(key=lambda x: (-x[0], x[1]))
                 del best[q][k:]
                 if len(best[q]) == k:
-                    radius[q] = np.sqrt(max(0.0, 2.0 - 2.0 * best[q][-1][0]))
+                    radius[q] = _chords(best[q][-1][0], self.error)[1]   # never less than the k-th distance
 
         home: dict[int, list[int]] = {}
         level = {0: np.arange(len(ids))}
@@ -100,7 +110,7 @@ class VpTree:
                     home.setdefault(at, []).extend(queries.tolist())
                     continue
                 vantage, (near, _, edge), (far_child, _, _) = node
-                inside = self._distance(unit[queries], self.unit[vantage][None])[:, 0] <= edge
+                inside = self._distance(unit[queries], np.array([vantage]))[0][:, 0] <= edge
                 for child, part in ((near, queries[inside]), (far_child, queries[~inside])):
                     if len(part):
                         following[child] = part
@@ -116,10 +126,11 @@ class VpTree:
                     look(queries, node[0])
                 continue
             look(queries, np.array([node[0]]))
-            far = self._distance(unit[queries], self.unit[node[0]][None])[:, 0]
-            reach = radius[queries] * relax + EPS
+            least, most = (d[:, 0] for d in self._distance(unit[queries], np.array([node[0]])))
+            reach = radius[queries] * relax
+            slack = 8 * ULP * (2.0 + reach)       # of the sums themselves
             for child, low, high in node[1:]:
-                part = queries[(far - reach <= high) & (far + reach >= low)]
+                part = queries[(least - reach <= high + slack) & (most + reach >= low - slack)]
                 if len(part):
                     stack.append((child, part))
         return best
