@@ -6,8 +6,9 @@ is free, every repetition costs more than the one before.  Whole documents are t
 seeded order until a pattern's flow is used up.
 
 Defined results: a missing source is a source of its own and comes last; a missing or empty text
-has size 0, its document is never taken; equal rows are interchangeable and each is decided by
-itself; an empty table gives no rows and no flow; further columns are carried along.
+has size 0, its document is never taken; every row is a document and decided by itself, also where an
+id is repeated or missing (rows alike in id, source and size are interchangeable); an empty table gives
+no rows and no flow; further columns are carried along.
 """
 
 from __future__ import annotations
@@ -122,21 +123,23 @@ def cycle_weights(sources: list) -> dict:
 
 
 def mix(docs: DataFrame, *, sources: Column | None = None, weigh=cycle_weights, max_uses: int = 3,
-        seed: str = SEED, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, Mix]:
-    """Each row's key columns with `mix_size`, `mix_uses` (how often the mix takes the document) and the plan.
+        seed: str = SEED, doc_id: str = "doc_id", text: str = "text", keep_text: bool = False) -> tuple[DataFrame, Mix]:
+    """Each row's columns with `mix_size`, `mix_uses` (how often the mix takes the document) and the plan.
 
     `sources` is an array of the sources a row belongs to; without it the column `source` alone.
-    Row columns kept: all of `docs` but the text.  Bounded on the driver: one sum per pattern.
+    Row columns kept: all of `docs` but the text, with `keep_text` all.  Bounded on the driver: one sum per pattern.
     """
     member = sources if sources is not None else F.array(F.col("source"))
-    rest = [c for c in docs.columns if c not in (text, "mix_size", "mix_uses")]
+    rest = [c for c in docs.columns if (c != text or keep_text) and c not in ("mix_size", "mix_uses")]
+    # __row numbers the stored rows, so that rows alike in everything else are decided one by one.
     sized = stored(docs.select(
         *rest,
         F.regexp_count(whole_text(text), F.lit(WORD)).cast("long").alias("__size"),
         F.array_sort(F.array_distinct(member)).alias("__pattern"),
         F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))).cast("binary")).alias("__draw"),
+        F.monotonically_increasing_id().alias("__row"),
     ), "mix-sizes")
-    sized = sized.withColumn("__bin", F.substring("__draw", 1, 3))
+    sized = sized.withColumns({"__bin": F.substring("__draw", 1, 3), "__key": F.struct("__draw", F.col(doc_id).alias("id"), "__size")})
     sums = sized.groupBy("__pattern").agg(F.sum("__size").alias("n")).limit(MAX_PATTERNS + 1).collect()
     if len(sums) > MAX_PATTERNS:
         raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
@@ -149,36 +152,56 @@ def mix(docs: DataFrame, *, sources: Column | None = None, weigh=cycle_weights,
         [(list(p), plan.taken[p] // n if n else 0, plan.taken[p] % n if n else 0) for p, n in pattern_sizes.items()],
         "__pattern array<string>, __full long, __rest long")
     quota = F.broadcast(quota)  # at most MAX_PATTERNS rows
-    bins = sized.groupBy("__pattern", "__bin").agg(F.sum("__size").alias("n"))
-    before = W.partitionBy("__pattern").orderBy("__bin").rowsBetween(W.unboundedPreceding, -1)
-    bins = bins.withColumn("__start", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    edge = (bins.join(quota, "__pattern").filter("__start <= __rest and __rest < __start + n")
-            .select("__pattern", F.col("__bin").alias("__edge"), "__start"))
-    # The bin where a pattern's remainder runs out is decided row by row; all others as a whole.
-    inside = sized.join(F.broadcast(edge), "__pattern").filter("__bin = __edge").join(quota, "__pattern")
-    order = ["__draw", doc_id, "__size"]
-    row_before = W.partitionBy("__pattern").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-    inside = inside.withColumn("__sum", F.col("__start") + F.coalesce(F.sum("__size").over(row_before), F.lit(0)))
-    last = (inside.filter("2 * __sum + __size <= 2 * __rest").groupBy("__pattern")
-            .agg(F.max(F.struct("__draw", F.col(doc_id).alias("id"), "__size")).alias("__last")))
-    cut = F.broadcast(edge.join(last, "__pattern", "left").select("__pattern", "__edge", "__last"))
+    cut = F.broadcast(stored(_cut(sized, quota), "mix-cut"))  # one row per pattern
     once_more = (F.col("__rest") > 0) & (
         (F.col("__bin") < F.col("__edge"))
-        | ((F.col("__bin") == F.col("__edge")) & (F.struct("__draw", F.col(doc_id).alias("id"), "__size") <= F.col("__last"))))
+        | ((F.col("__bin") == F.col("__edge")) & (F.col("__key") < F.col("__last")))
+        | ((F.col("__key") == F.col("__last")) & (F.col("__row") <= F.col("__last_row"))))
     out = sized.join(quota, "__pattern").join(cut, "__pattern", "left")
     uses = F.col("__full") + F.coalesce(once_more, F.lit(False)).cast("long")
     return out.select(*rest, F.col("__size").alias("mix_size"),
                       F.when(F.col("__size") > 0, uses).otherwise(0).alias("mix_uses")), plan
 
 
+def _cut(sized: DataFrame, quota: DataFrame) -> DataFrame:
+    """Per pattern the last row in draw order that is used once more: its bin, its key and its number.
+
+    Found level by level, so that no task sees all rows of a pattern, nor all that share a key: sums of bins, of
+    the keys of one bin, row counts of the partitions that hold one key, the rows of that key in one of them.
+    A row is used if the words before it and half its own fit into the remainder, which no later one can then miss.
+    """
+    def running(value: str, *order: str, within: tuple[str, ...] = ("__pattern",)) -> Column:
+        before = W.partitionBy(*within).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+        return F.coalesce(F.sum(value).over(before), F.lit(0))
+
+    bins = sized.groupBy("__pattern", "__bin").agg(F.sum("__size").alias("n")).withColumn("__start", running("n", "__bin"))
+    edge = (bins.join(quota, "__pattern").filter("__start <= __rest and __rest < __start + n")
+            .select("__pattern", F.col("__bin").alias("__edge"), "__start", "__rest"))
+    inside = sized.join(F.broadcast(edge), "__pattern").filter("__bin = __edge")
+    keys = (inside.groupBy("__pattern", "__edge", "__start", "__rest", "__key").agg(F.count("*").alias("copies"))
+            .withColumn("words", F.col("copies") * F.col("__key.__size")))
+    keys = keys.withColumn("before", F.col("__start") + running("words", "__key"))
+    # Of a key's rows, which are of one size, so many fit.
+    size = F.col("__key.__size")
+    room = F.greatest(2 * (F.col("__rest") - F.col("before")) + size, F.lit(0))
+    fitting = F.when(size == 0, F.col("copies")).otherwise(F.least(F.call_function("div", room, 2 * size), F.col("copies")))
+    keys = keys.withColumn("fitting", fitting).filter("fitting > 0 and 2 * before <= 2 * __rest")
+    last = keys.groupBy("__pattern", "__edge").agg(F.max(F.struct("__key", "fitting")).alias("m")).select(
+        "__pattern", "__edge", F.col("m.__key").alias("__last"), F.col("m.fitting").alias("__fit"))
+    rows = inside.select("__pattern", "__key", "__row").join(F.broadcast(last), "__pattern").filter("__key = __last")
+    rows = rows.withColumn("__part", F.shiftright("__row", 33))
+    parts = rows.groupBy("__pattern", "__part").agg(F.count("*").alias("n"), F.first("__fit").alias("__fit"))
+    parts = parts.withColumn("done", running("n", "__part")).filter("done < __fit and __fit <= done + n")
+    at = rows.drop("__fit").join(F.broadcast(parts.select("__pattern", "__part", "__fit", "done")), ["__pattern", "__part"])
+    place = F.row_number().over(W.partitionBy("__pattern").orderBy("__row"))
+    last_row = at.withColumn("place", F.col("done") + place).filter("place = __fit").select("__pattern", F.col("__row").alias("__last_row"))
+    # A bin in which nothing fits still parts the bins before it from those behind it.
+    return edge.select("__pattern", "__edge").join(last.drop("__edge", "__fit"), "__pattern", "left").join(last_row, "__pattern", "left")
+
+
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: every taken document as often as it is used, columns as before."""
-    from pyspark.sql import types as T
-
-    uses, _ = mix(docs, **options)
-    id_col = options.get("doc_id", "doc_id")
-    chosen = uses.filter("mix_uses > 0").select(F.col(id_col).alias("__id"), F.col("mix_uses").cast(T.IntegerType()))
-    # Repeated rows share their decision by id; each stays a row of its own.
-    chosen = chosen.groupBy("__id").agg(F.max("mix_uses").alias("mix_uses"))
-    return (docs.join(chosen, F.col(id_col).eqNullSafe(F.col("__id")))
-            .withColumn("__copy", F.explode(F.expr("sequence(1, mix_uses)"))).select(*docs.columns))
+    own = {c: f"__own_{c}" for c in ("mix_size", "mix_uses") if c in docs.columns}
+    uses, _ = mix(docs.withColumnsRenamed(own), keep_text=True, **options)
+    each = uses.filter("mix_uses > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_uses"))))
+    return each.drop("mix_size", "mix_uses").withColumnsRenamed({there: c for c, there in own.items()}).select(*docs.columns)

@@ -112,6 +112,20 @@ def test_mix_hits_targets_and_reruns_agree(spark, clash):
     assert mixed.columns == frame.columns and mixed.count() == sum(r.mix_uses for r in first if r.mix_size)
 
 
+@pytest.mark.parametrize("ids, size, extra", [([7] * 1000, 2, 1000), ([None] * 300, 2, 1200), ([5] * 400 + list(range(400)), 3, 700)])
+def test_mix_decides_rows_of_one_id_one_by_one(spark, ids, size, extra):
+    rows = [(i, "a", "w " * size) for i in ids] + [(10_000 + i, "b", "w " * 4) for i in range(extra // 4)]
+    frame = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(3)
+    uses, plan = source_mix.mix(frame)
+    taken = {r.source: r.t for r in uses.groupBy("source").agg(F.sum(F.col("mix_size") * F.col("mix_uses")).alias("t")).collect()}
+    for source, target in plan.targets.items():
+        assert abs(taken[source] - target) <= 4
+    mixed = source_mix.mixed_documents(frame.withColumn("mix_size", F.lit("x")))
+    assert mixed.columns == [*frame.columns, "mix_size"]
+    words = {r.source: r.n for r in mixed.groupBy("source").agg(F.sum(F.regexp_count("text", F.lit("w"))).alias("n")).collect()}
+    assert words == taken
+
+
 def test_overlapping_membership(spark):
     frame = spark.createDataFrame([(i, ["a", "b"] if i % 2 else ["a"], "w w") for i in range(100)], "doc_id long, sets array<string>, text string")
     uses, plan = source_mix.mix(frame, sources=F.col("sets"), weigh=lambda s: {"a": 1.0, "b": 1.0})
@@ -148,6 +162,22 @@ def test_search_is_exact_at_factor_one_and_good_below(spark, clash):
     assert vptree.VpIndex.build(frame.limit(0)).search(queries.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["scaled", "noisy", "opposite"])
+def test_search_is_exact_among_nearly_equal_vectors(kind):
+    rng = np.random.default_rng(len(kind))
+    base = rng.normal(size=(40, 64))
+    own = base[rng.integers(0, 40, 500)]
+    change = {"scaled": own * rng.uniform(0.1, 9, (500, 1)), "noisy": own + rng.normal(size=own.shape) * 1e-9,
+              "opposite": own * rng.choice([-1.0, 1.0], (500, 1))}[kind]
+    ids = np.arange(500)
+    tree = vptree.VpTree(ids, change)
+    found = tree.search(ids, change, 5, 1.0)
+    for i in range(500):
+        scores = vptree._scores(change[i], change)
+        best = [j for j in np.lexsort((ids, -scores)).tolist() if j != i][:5]
+        assert [j for _, j in found[i]] == best, i
+
+
 # Jaccard links
 
 def _plain_links(rows):
@@ -199,6 +229,14 @@ def test_links_equal_brute_force(spark, clash, monkeypatch, frequent):
     assert got == _plain_links(rows)
 
 
+def test_pipeline_keeps_one_row_of_a_group_whatever_its_id(spark):
+    long, other = " ".join(f"w{i}" for i in range(60)), " ".join(f"v{i}" for i in range(60))
+    rows = [(3, long), (3, long), (2, long + " end"), (None, long), (None, other), (None, other), (9, other), (5, ""), (5, ""), (None, "")]
+    frame = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.near_copies(spark, frame, SF_DIR).collect()]
+    assert collections.Counter(kept) == collections.Counter([(2, long + " end"), (9, other), (5, ""), (5, ""), (None, "")])
+
+
 def test_no_documents_no_links(spark, docs):
     assert jaccard_join.link_documents(docs([])).count() == 0
 
