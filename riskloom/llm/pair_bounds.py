@@ -75,7 +75,7 @@ def neighbours(order: dict) -> list[tuple[int, int]]:
 CHUNK_SCHEMA = "docs long, terms long, term array<int>, df array<long>, chunk binary"
 
 
-def _chunks(batches: Iterator[pd.DataFrame], vocabulary: dict[bytes, int]) -> Iterator[pd.DataFrame]:
+def _chunks(batches: Iterator[pd.DataFrame], vocabulary: dict[bytes, int], chunk_docs: int = CHUNK_DOCS) -> Iterator[pd.DataFrame]:
     """Posting lists of chunks of documents: ids and sizes by place, and (term, place, occurrences) by term."""
     ids, missing, sizes, held, places, counts, load = [], [], [], [], [], [], 0
 
@@ -102,7 +102,7 @@ def _chunks(batches: Iterator[pd.DataFrame], vocabulary: dict[bytes, int]) -> It
             ids.append(doc)
             sizes.append(len(words))
             load += len(found)
-            if len(ids) >= CHUNK_DOCS or load >= CHUNK_POSTINGS:
+            if len(ids) >= chunk_docs or load >= CHUNK_POSTINGS:
                 yield closed()
                 ids, missing, sizes, held, places, counts, load = [], [], [], [], [], [], 0
     if ids:
@@ -207,13 +207,13 @@ class PairIndex:
         return max(1, int(np.sort(sums)[-wanted]))
 
 
-def _rank_block(docs: DataFrame, items: Items, k: int) -> DataFrame:
+def _rank_block(docs: DataFrame, items: Items, k: int, chunk_docs: int) -> DataFrame:
     """item (number), doc, score: the k best of every task."""
     spark = docs.sparkSession
     vocabulary = spark.sparkContext.broadcast(items.vocabulary)
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield from _chunks(batches, vocabulary.value)
+        yield from _chunks(batches, vocabulary.value, chunk_docs)
 
     chunks = stored(docs.mapInPandas(read, CHUNK_SCHEMA), "postings")
     totals = chunks.agg(F.coalesce(F.sum("docs"), F.lit(0)).alias("docs"), F.coalesce(F.sum("terms"), F.lit(0)).alias("terms")).first()
@@ -239,7 +239,8 @@ def _rank_block(docs: DataFrame, items: Items, k: int) -> DataFrame:
 
 
 def rank_documents(docs: DataFrame, items: DataFrame, *, k: int = 20, doc_id: str = "doc_id", text: str = "text",
-                   item_id: str = "item_id", item_text: str = "text", item_chars: int = ITEM_CHARS) -> DataFrame:
+                   item_id: str = "item_id", item_text: str = "text", item_chars: int = ITEM_CHARS,
+                   chunk_docs: int = CHUNK_DOCS) -> DataFrame:
     """item_id, rank (from 1), doc_id, score of each item's k best documents."""
     spark = docs.sparkSession
     number = F.col(doc_id).cast("long")
@@ -254,7 +255,7 @@ def rank_documents(docs: DataFrame, items: DataFrame, *, k: int = 20, doc_id: st
     for block in range(blocks):
         rows = [(r.key, r.t) for r in dealt.filter(F.col("block") == block).select("key", "t").orderBy("key").collect()]
         names = spark.createDataFrame([(i, key) for i, (key, _) in enumerate(rows)], f"item int, item_id {asked.schema['key'].dataType.simpleString()}")
-        found = _rank_block(docs, Items(rows), k).join(F.broadcast(names), "item")
+        found = _rank_block(docs, Items(rows), k, chunk_docs).join(F.broadcast(names), "item")
         out = found if out is None else out.unionAll(found)
     best = W.partitionBy("item_id").orderBy(F.desc("score"), F.asc_nulls_last("doc"))
     return (out.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
