@@ -5,16 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from riskloom.entrypoints.inputs import feature, processed
+from riskloom.entrypoints.inputs import feature, processed, typed
 from riskloom.entrypoints.registry import query
-from riskloom.entrypoints.streams import RUN, _basic_run, judged
+from riskloom.entrypoints.streams import _ACCOUNTING, RUN, _basic_run, judged
 from riskloom.functions.times import epoch_seconds
 from riskloom.observe import alerts, observations
+from riskloom.observe.collect import Collection, collect
+from riskloom.operators.merge import late_merge_row
 from riskloom.quality.rules import evaluate, not_null
 from riskloom.schemas import BATCH_METRICS
 from riskloom.session import work_folder
+from riskloom.sinks import tables
 from riskloom.sources import star_schema as star
-from riskloom.sources.results import LOAD_STATUS, read_batch_metrics, tolerant
+from riskloom.sources.results import LOAD_STATUS, read_batch_metrics, read_load_status, tolerant
 from riskloom.streaming import strict
 
 _NOW = "2024-02-01 00:00:00"
@@ -84,12 +87,75 @@ def n4(spark, d):
     return observations.table_observations(rows, RUN, 100350, 31).select("metric_name", "metric_value", "status")
 
 
-@query("n3_stream_observations")
+_STREAM_OBSERVED = f"""
+    SELECT 'transaction_event_stream' AS pipeline_name, 'run-1' AS run_id, 'streaming_transaction_events' AS table_name, metric_name,
+           CAST(value AS DOUBLE) AS metric_value, CAST(low AS DOUBLE) AS expected_min, CAST(high AS DOUBLE) AS expected_max,
+           CASE WHEN value < low OR value > high THEN 'FAIL' ELSE 'PASS' END AS status,
+           CASE WHEN value < low OR value > high THEN 'CRITICAL' ELSE 'INFO' END AS severity, '' AS details
+    FROM (SELECT 'clean_event_count' AS metric_name, clean_count AS value, 1 AS low, NULL AS high FROM ({_ACCOUNTING})
+          UNION ALL SELECT 'invalid_event_rate', invalid_count / input_count, 0, 0.10 FROM ({_ACCOUNTING})
+          UNION ALL SELECT 'reconciled_batches', 12 // 4, 12 // 4, 12 // 4
+          UNION ALL SELECT 'schema_drift_count', schema_drift_count, 0, 0 FROM ({_ACCOUNTING}))"""
+
+
+@query("n3_stream_observations", _STREAM_OBSERVED)
 def n3(spark, d):
     metrics = read_batch_metrics(spark, _basic_run(spark, d).path("metrics"))
     return observations.stream_observations(metrics, RUN).drop("observation_timestamp")
 
 
+@query(
+    "n6_collected_observations",
+    f"""{_STREAM_OBSERVED}
+        UNION ALL SELECT 'models', 'run-1', 'check_results', 'failed_nodes', CAST(failed AS DOUBLE), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE),
+                         CASE WHEN failed > 0 THEN 'FAIL' ELSE 'PASS' END, CASE WHEN failed > 0 THEN 'CRITICAL' ELSE 'INFO' END,
+                         'nodes_observed=2'
+        FROM (SELECT CAST(COUNT(*) FILTER (WHERE transaction_id IS NULL) > 0 AS INTEGER)
+                     + CAST(COUNT(*) FILTER (WHERE event_date IS NULL) > 0 AS INTEGER) AS failed FROM typed)
+        UNION ALL SELECT 'stored_evidence', 'run-1', 'merge_evidence', 'duplicate_rows', CAST(n AS DOUBLE), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE),
+                         CASE WHEN n > 0 THEN 'FAIL' ELSE 'PASS' END, CASE WHEN n > 0 THEN 'CRITICAL' ELSE 'INFO' END, ''
+        FROM (SELECT COUNT(*) - COUNT(DISTINCT transaction_id) AS n FROM tx)
+        UNION ALL SELECT 'stored_evidence', 'run-1', 'scale_results', 'reconciled_scale_runs', CAST(1 AS DOUBLE), CAST(1 AS DOUBLE),
+                         CAST(1 AS DOUBLE), 'PASS', 'INFO', '' FROM (SELECT COUNT(*) AS n FROM tx) WHERE n > 0
+        UNION ALL SELECT 'warehouse', 'run-1', 'processed_transactions', 'collection_success', CAST(0 AS DOUBLE), CAST(1 AS DOUBLE),
+                         CAST(1 AS DOUBLE), 'FAIL', 'CRITICAL', 'AnalysisException'""",
+)
+def n6(spark, d):
+    """One collection over what runs have stored; the processed table is not there, which is an observation, too."""
+    folder = work_folder(spark, "results")
+    evaluate(typed(spark, d), "processed", [not_null("transaction_id"), not_null("event_date")]).write.json(f"{folder}/checks")
+    tx = star.transactions(spark, d, ["transaction_id"])
+    row = late_merge_row(tx.withColumn("amount", F.lit(1.0)), "-", "-", 1.0).first()
+    tables.write_evidence(spark, {"event_date": "1998-07-04", **row.asDict()}, f"{folder}/merges")
+    tables.write_evidence(spark, {"rows": tx.count(), "seconds": 1.0, "status": "PASSED"}, f"{folder}/scale")
+    where = Collection(transactions=f"{folder}/absent", batch_metrics=_basic_run(spark, d).path("metrics"),
+                       check_results=f"{folder}/checks", scale_results=f"{folder}/scale", merge_evidence=f"{folder}/merges")
+    found = collect(spark, where, RUN, f"{folder}/observations").drop("observation_timestamp")
+    return found.withColumn("details", F.regexp_extract("details", "^[^:]*", 0))
+
+
+@query(
+    "k17_load_status",
+    """SELECT COUNT(*) > 0 AS success, CAST(COUNT(*) AS VARCHAR) AS details FROM processed
+       UNION ALL SELECT COUNT(*) < 0, 'RuntimeError' FROM processed""",
+)
+def k17(spark, d):
+    """A load that succeeds and one that fails, as their status rows tell."""
+    folder = work_folder(spark, "loads")
+    rows = processed(spark, d, "transaction_id")
+    tables.with_status(spark, f"{folder}/good", rows.count)
+
+    def failing():
+        raise RuntimeError("the target is gone")
+
+    try:
+        tables.with_status(spark, f"{folder}/bad", failing)
+    except RuntimeError:
+        pass
+    status = read_load_status(spark, f"{folder}/*")
+    return status.select("success", F.regexp_extract("details", "^[^:]*", 0).alias("details"))
+
+
 @query(
     "n7_alerts",
     f"""SELECT merchant_id AS table_name, severity, status, value AS metric_value FROM ({_MERCHANT}) WHERE status = 'FAIL'""",

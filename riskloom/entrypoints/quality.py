@@ -135,22 +135,26 @@ def conformity(spark, d):
 
 
 _STAMP = "regexp_matches(event_timestamp, '^[0-9]{4}-')"
+_RAW_BAD = {
+    "id_empty": "COALESCE(transaction_id, '') = ''",
+    "timestamp_unparseable": f"NOT {_STAMP}",
+    "timestamp_without_offset": f"{_STAMP} AND NOT suffix(event_timestamp, '+00:00')",
+    "amount_not_numeric": "try_cast(amount AS DOUBLE) IS NULL",
+    "amount_not_positive": "try_cast(amount AS DOUBLE) <= 0",
+    "country_unknown": "expected_currency IS NULL",
+    "currency_mismatch": "expected_currency IS NOT NULL AND currency IS DISTINCT FROM expected_currency",
+    "category_unknown": f"COALESCE(merchant_category NOT IN ({str(_CATEGORIES)[1:-1]}), true)",
+    "payment_method_unknown": f"COALESCE(payment_method NOT IN ({str(_METHODS)[1:-1]}), true)",
+    "is_fraud_not_boolean": "is_fraud NOT IN ('True', 'False')",
+}
+_BROKEN = ", ".join(f"CASE WHEN {bad} THEN '{name}' END" for name, bad in _RAW_BAD.items())
 
 
 @query(
     "q1_raw_contract",
     _result("raw_transactions", "conformed", {
-        "id_empty": _bad("COALESCE(transaction_id, '') = ''"),
+        **{name: _bad(bad) for name, bad in _RAW_BAD.items()},
         "id_duplicate": "COUNT(transaction_id) - COUNT(DISTINCT transaction_id)",
-        "timestamp_unparseable": _bad(f"NOT {_STAMP}"),
-        "timestamp_without_offset": _bad(f"{_STAMP} AND NOT suffix(event_timestamp, '+00:00')"),
-        "amount_not_numeric": _bad("try_cast(amount AS DOUBLE) IS NULL"),
-        "amount_not_positive": _bad("try_cast(amount AS DOUBLE) <= 0"),
-        "country_unknown": _bad("expected_currency IS NULL"),
-        "currency_mismatch": _bad("expected_currency IS NOT NULL AND currency IS DISTINCT FROM expected_currency"),
-        "category_unknown": _bad(f"COALESCE(merchant_category NOT IN ({str(_CATEGORIES)[1:-1]}), true)"),
-        "payment_method_unknown": _bad(f"COALESCE(payment_method NOT IN ({str(_METHODS)[1:-1]}), true)"),
-        "is_fraud_not_boolean": _bad("is_fraud NOT IN ('True', 'False')"),
         "not_empty": "CASE WHEN COUNT(*) = 0 THEN 1 ELSE 0 END",
     }),
 )
@@ -167,7 +171,12 @@ def q1_summary(spark, d):
     return rulesets.raw_summary(raw_text(spark, d))
 
 
-@query("q1_first_errors")
+@query(
+    "q1_first_errors",
+    f"""SELECT transaction_id, broken_rules FROM (
+          SELECT transaction_id, list_sort(list_filter([{_BROKEN}], lambda r: r IS NOT NULL)) AS broken_rules FROM conformed)
+        WHERE len(broken_rules) > 0 ORDER BY transaction_id NULLS FIRST, broken_rules LIMIT 20""",
+)
 def q1_errors(spark, d):
     return rulesets.first_errors(raw_text(spark, d), conformity(spark, d), categories=_CATEGORIES, methods=_METHODS)
 
@@ -230,14 +239,17 @@ def a15(spark, d):
 # --- feature contracts ---------------------------------------------------------------------------
 
 
-@query("q3_customer_contract", _result("customer_risk_features", "bad_customers", _party("customer_id")))
+_ROWS = "CASE WHEN COUNT(*) != {} THEN 1 ELSE 0 END"
+
+
+@query("q3_customer_contract", _result("customer_risk_features", "bad_customers", {**_party("customer_id"), "expected_rows": _ROWS.format(15_000)}))
 def q3(spark, d):
-    return rulesets.customer_contract(spoil(feature(spark, d, "customer_risk_features")))
+    return rulesets.customer_contract(spoil(feature(spark, d, "customer_risk_features")), 15_000)
 
 
-@query("q4_merchant_contract", _result("merchant_risk_features", "bad_merchants", _party("merchant_id")))
+@query("q4_merchant_contract", _result("merchant_risk_features", "bad_merchants", {**_party("merchant_id"), "expected_rows": _ROWS.format(100)}))
 def q4(spark, d):
-    return rulesets.merchant_contract(spoil(feature(spark, d, "merchant_risk_features")))
+    return rulesets.merchant_contract(spoil(feature(spark, d, "merchant_risk_features")), 100)
 
 
 _TOTAL_CHECK = "CASE WHEN COALESCE(SUM(transaction_count), 0) != 100350 THEN 1 ELSE 0 END"
@@ -248,11 +260,11 @@ _TOTAL_CHECK = "CASE WHEN COALESCE(SUM(transaction_count), 0) != 100350 THEN 1 E
     _result("daily_transaction_summary", "bad_daily", {
         **_shared(["event_date"]),
         "amount_order": _bad("NOT COALESCE(min_amount > 0 AND min_amount <= avg_amount AND avg_amount <= max_amount, false)"),
-        "total_transaction_count": _TOTAL_CHECK,
+        "total_transaction_count": _TOTAL_CHECK, "expected_rows": _ROWS.format(31),
     }),
 )
 def q5(spark, d):
-    return rulesets.daily_contract(spoil(feature(spark, d, "daily_transaction_summary")), transactions=100350)
+    return rulesets.daily_contract(spoil(feature(spark, d, "daily_transaction_summary")), 31, 100350)
 
 
 _SEGMENT_RULES = {
@@ -264,10 +276,10 @@ _SEGMENT_RULES = {
 
 @query(
     "q6_segment_contract",
-    _result("segment_risk_summary", "bad_segments", {**_SEGMENT_RULES, "total_transaction_count": _TOTAL_CHECK}),
+    _result("segment_risk_summary", "bad_segments", {**_SEGMENT_RULES, "total_transaction_count": _TOTAL_CHECK, "expected_rows": _ROWS.format(140)}),
 )
 def q6(spark, d):
-    return rulesets.segment_contract(spoil(feature(spark, d, "segment_risk_summary")), transactions=100350)
+    return rulesets.segment_contract(spoil(feature(spark, d, "segment_risk_summary")), 140, 100350)
 
 
 def _high_risk_rules(limit: int) -> dict[str, str]:
@@ -284,9 +296,9 @@ def _high_risk_rules(limit: int) -> dict[str, str]:
 
 
 # Rows labelled at 90,000 are checked at 95,000, so some labels must be found wrong.
-@query("q7_high_risk_contract", _result("high_risk_transactions", "high_risk", _high_risk_rules(95000)))
+@query("q7_high_risk_contract", _result("high_risk_transactions", "high_risk", {**_high_risk_rules(95000), "expected_rows": _ROWS.format(2_000)}))
 def q7(spark, d):
-    return rulesets.high_risk_contract(high_risk(spark, d), 95000.0)
+    return rulesets.high_risk_contract(high_risk(spark, d), 95000.0, 2_000)
 
 
 @query(
@@ -317,6 +329,11 @@ _PROCESSED_RULES = {
     "amount_not_positive": _bad("amount IS NULL OR amount <= 0"),
     "hour_out_of_range": _bad("event_hour IS NULL OR event_hour NOT BETWEEN 0 AND 23"),
     "expected_rows": "CASE WHEN COUNT(*) != 100350 THEN 1 ELSE 0 END",
+    "expected_dates": "CASE WHEN COUNT(DISTINCT event_date) != 31 THEN 1 ELSE 0 END",
+    "expected_fraud_rows": "CASE WHEN COUNT(*) FILTER (WHERE is_fraud) != 500 THEN 1 ELSE 0 END",
+    "expected_unique_ids": "CASE WHEN COUNT(DISTINCT transaction_id) != COUNT(*) THEN 1 ELSE 0 END",
+    "expected_first_date": "CASE WHEN MIN(event_date) != DATE '1992-01-02' THEN 1 ELSE 0 END",
+    "expected_last_date": "CASE WHEN MAX(event_date) != DATE '1998-07-04' THEN 1 ELSE 0 END",
 }
 _WAREHOUSE = [
     _result("processed_transactions", "processed", _PROCESSED_RULES),
@@ -334,47 +351,83 @@ _WAREHOUSE = [
 
 @query("q8_warehouse_contract", " UNION ALL ".join(f"SELECT * FROM ({sql})" for sql in _WAREHOUSE))
 def q8(spark, d):
+    unique = processed(spark, d, "transaction_id").count()
     expect = {
-        "processed_transactions": {"rows": 100350, "source_file": False},
+        "processed_transactions": {
+            "rows": 100350, "dates": 31, "source_file": False, "fraud_rows": 500, "unique_ids": unique,
+            "first_date": "1992-01-02", "last_date": "1998-07-04",
+        },
         "daily_transaction_summary": {"transactions": 100350},
         "segment_risk_summary": {"rows": 140},
     }
     return rulesets.warehouse_contract(_clean_tables(spark, d), expect, LIMIT)
 
 
+# Dimensions in which keys ending in 7 are missing and those ending in 3 are one; dates by their day of the month.
+_KEY = "CASE right({0}, 1) WHEN '7' THEN NULL WHEN '3' THEN 'SAME' ELSE {0} END"
+_DATE_KEY = "CASE dayofmonth(event_date) WHEN 7 THEN NULL WHEN 3 THEN DATE '1900-01-01' ELSE event_date END"
+CTES["bad_dim_customer"] = f"SELECT {_KEY.format('customer_id')} AS customer_id FROM (SELECT DISTINCT customer_id FROM processed)"
+CTES["bad_dim_merchant"] = f"SELECT {_KEY.format('merchant_id')} AS merchant_id FROM (SELECT DISTINCT merchant_id FROM processed)"
+CTES["bad_dim_date"] = f"SELECT {_DATE_KEY} AS event_date FROM (SELECT DISTINCT event_date FROM processed)"
+CTES["bad_high_risk"] = "SELECT * REPLACE (CASE WHEN right(transaction_id, 1) = '1' THEN 'a whim' ELSE risk_reason END AS risk_reason) FROM high_risk"
+
+
+def _nulls(*columns: str) -> dict[str, str]:
+    return {f"not_null_{c}": _bad(f"{c} IS NULL") for c in columns}
+
+
+def _unique(column: str) -> dict[str, str]:
+    return {f"unique_{column}": f"COUNT({column}) - COUNT(DISTINCT {column})"}
+
+
+def _spoiled_date(frame):
+    return frame.withColumns({
+        "event_date": F.when(F.col("transaction_count") % 29 == 0, F.lit(None)).when(
+            F.col("transaction_count") % 31 == 0, F.lit("1900-01-01").cast("date")).otherwise(F.col("event_date"))})
+
+
+CTES["bad_dates"] = """SELECT * REPLACE (CASE WHEN transaction_count % 29 = 0 THEN NULL WHEN transaction_count % 31 = 0
+                                         THEN DATE '1900-01-01' ELSE event_date END AS event_date) FROM bad_daily"""
+
+
 @query(
     "q9_model_checks",
     " UNION ALL ".join(
         f"SELECT * FROM ({sql})"
         for sql in [
-            _result("dim_customer", "processed", {
-                "not_null_customer_id": _bad("customer_id IS NULL"), "unique_customer_id": "COUNT(*) * 0",
-            }),
-            _result("fct_transactions", "tx", {
-                "not_null_transaction_id": _bad("transaction_id IS NULL"),
-                "unique_transaction_id": "COUNT(transaction_id) - COUNT(DISTINCT transaction_id)",
-                "not_null_event_date": _bad("event_date IS NULL"),
-                "not_null_customer_id": _bad("customer_id IS NULL"),
-                "not_null_merchant_id": _bad("merchant_id IS NULL"),
+            _result("dim_customer", "bad_dim_customer", {**_nulls("customer_id"), **_unique("customer_id")}),
+            _result("dim_merchant", "bad_dim_merchant", {**_nulls("merchant_id"), **_unique("merchant_id")}),
+            _result("dim_date", "bad_dim_date", {**_nulls("event_date"), **_unique("event_date")}),
+            _result("fct_transactions", "typed", {
+                **_nulls("transaction_id", "event_date", "customer_id", "merchant_id"), **_unique("transaction_id"),
             }),
-            _result("stg_high_risk_transactions", "high_risk", {
-                "not_null_transaction_id": _bad("transaction_id IS NULL"),
-                "unique_transaction_id": "COUNT(transaction_id) - COUNT(DISTINCT transaction_id)",
-                "accepted_risk_reason": "COUNT(*) * 0",
-            }),
-            _result("stg_merchant_risk_features", "bad_merchants", {
-                "not_null_merchant_id": _bad("merchant_id IS NULL"), "unique_merchant_id": "COUNT(*) * 0",
-                "not_null_fraud_rate": _bad("fraud_rate IS NULL"),
+            _result("stg_high_risk_transactions", "bad_high_risk", {
+                **_nulls("transaction_id"), **_unique("transaction_id"), "accepted_risk_reason": _bad("risk_reason = 'a whim'"),
             }),
+            _result("stg_customer_risk_features", "bad_customers", {**_nulls("customer_id", "fraud_rate"), **_unique("customer_id")}),
+            _result("stg_merchant_risk_features", "bad_merchants", {**_nulls("merchant_id", "fraud_rate"), **_unique("merchant_id")}),
+            _result("stg_daily_transaction_summary", "bad_dates", {**_nulls("event_date", "fraud_rate"), **_unique("event_date")}),
+            _result("stg_segment_risk_summary", "bad_segments", _nulls(*rulesets.SEGMENT_KEY, "fraud_rate")),
         ]
     ),
 )
 def q9(spark, d):
+    """Every declared check of the nine models, on tables with faults."""
+    fact = stored(processed(spark, d), "processed")
+    made = {name: stored(t.build(fact, LIMIT), name) for name, t in features.FEATURE_TABLES.items()}
+    risky = features.high_risk(fact, LIMIT)
+    key = lambda dim, name: dim.select(F.expr(_KEY.format(name)).alias(name))
     tables = {
-        "fct_transactions": star.transactions(spark, d),  # copies of ids are left in on purpose
-        "dim_customer": models.dim_customer(processed(spark, d, "customer_id", "event_timestamp", "country", "merchant_id")),
-        "stg_high_risk_transactions": high_risk(spark, d),
-        "stg_merchant_risk_features": spoil(feature(spark, d, "merchant_risk_features")),
+        "fct_transactions": typed(spark, d),  # copies of ids and missing values are left in on purpose
+        "dim_customer": key(models.dim_customer(fact), "customer_id"),
+        "dim_merchant": key(models.dim_merchant(fact), "merchant_id"),
+        "dim_date": models.dim_date(fact).select(F.expr(_DATE_KEY).alias("event_date")),
+        "stg_high_risk_transactions": risky.withColumn(
+            "risk_reason", F.when(F.right("transaction_id", F.lit(1)) == "1", "a whim").otherwise(F.col("risk_reason"))),
+        "stg_customer_risk_features": spoil(made["customer_risk_features"]),
+        "stg_merchant_risk_features": spoil(made["merchant_risk_features"]),
+        "stg_daily_transaction_summary": _spoiled_date(spoil(made["daily_transaction_summary"])),
+        "stg_segment_risk_summary": spoil(made["segment_risk_summary"]),
     }
     return rulesets.model_checks(tables, {name: rulesets.MODEL_RULES[name]() for name in tables})
 
@@ -452,11 +505,14 @@ def u1(spark, d):
 
 @query(
     "q10e_segment_grain",
-    """SELECT country, merchant_category, COUNT(*) AS duplicate_count FROM segment
-       GROUP BY country, merchant_category HAVING COUNT(*) > 1""",
+    """SELECT country, merchant_category, payment_method, COUNT(*) AS duplicate_count
+       FROM (SELECT country, merchant_category, payment_method FROM segment
+             UNION ALL SELECT country, merchant_category, payment_method FROM segment WHERE transaction_count % 3 = 0)
+       GROUP BY ALL HAVING COUNT(*) > 1""",
 )
 def q10e(spark, d):
-    return compare.duplicate_keys(feature(spark, d, "segment_risk_summary"), ["country", "merchant_category"])
+    segments = stored(feature(spark, d, "segment_risk_summary"), "segments")
+    return compare.duplicate_keys(segments.unionAll(segments.where("transaction_count % 3 = 0")), rulesets.SEGMENT_KEY)
 
 
 @query(

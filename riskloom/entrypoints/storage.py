@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from riskloom.entrypoints.inputs import NEWEST, clean, feature, processed, table_once
 from riskloom.entrypoints.oracle import CTES
 from riskloom.entrypoints.registry import query
+from riskloom.functions.times import epoch_seconds, iso_utc
 from riskloom.generate.late import late_fixture
 from riskloom.operators import merge
-from riskloom.plans import etl, incremental, models
+from riskloom.plans import etl, features, incremental, models
+from riskloom.quality import rulesets
 from riskloom.schemas import PROCESSED, RAW_TRANSACTION
 from riskloom.session import work_folder
 from riskloom.sinks import tables
@@ -266,7 +270,13 @@ def g3(spark, d):
     return late_fixture(star.raw_transactions(spark, d), clean(spark, d), _DAY, tuple(NEWEST))
 
 
-@query("m7_late_data_scenario")
+@query(
+    "m7_late_data_scenario",
+    f"""SELECT '{_DAY}' AS event_date, n AS baseline_rows, n AS first_merge_rows, n AS same_date_rerun_rows, n + 1 AS late_merge_rows,
+               CAST(1 AS BIGINT) AS rows_added_by_late_batch, CAST(0 AS BIGINT) AS duplicate_rows, CAST(1 AS BIGINT) AS late_transaction_rows,
+               CAST(1 AS BIGINT) AS corrected_transaction_rows, 'PASSED' AS verification
+        FROM (SELECT COUNT(*) AS n FROM clean_latest WHERE event_date = DATE '{_DAY}')""",
+)
 def m7(spark, d):
     evidence = incremental.late_data_scenario(
         spark, _raw_once(spark, d), _canonical(spark, d), work_folder(spark, "late"), _DAY
@@ -305,7 +315,12 @@ def m4(spark, d):
     stored, path = work_folder(spark, "stg"), work_folder(spark, "fct")
     tables.write_partitioned(fact, stored)
     stg = models.fct_select(spark.read.parquet(stored))
-    merge.build_fct(spark, path, stg.where(f"processed_at < timestamp'{_SPLIT}'"))
+    # Some later rows are there already in an earlier state, on another date; the second load corrects them.
+    later = f"processed_at >= timestamp'{_SPLIT}'"
+    earlier = stg.where(f"{later} and amount > 50000").withColumns({
+        "amount": F.col("amount") - 1, "event_date": F.date_sub("event_date", 1),
+        "processed_at": F.lit(_SPLIT).cast("timestamp") - F.expr("interval 1 day")})
+    merge.build_fct(spark, path, stg.where(f"not ({later})").unionByName(earlier))
     merge.build_fct(spark, path, stg)
     return scans.read_processed(spark, path).select(*_COLUMNS)
 
@@ -317,6 +332,70 @@ def m6(spark, d):
     return scans.read_processed(spark, path)
 
 
+@query("s8_stored_evidence", "SELECT COUNT(*) AS row_count, COUNT(DISTINCT transaction_id) AS unique_ids, 'PASSED' AS status FROM tx")
+def s8(spark, d):
+    """A result row written as CSV with a header and read back by its schema."""
+    path = work_folder(spark, "evidence")
+    row = merge.table_metrics(star.transactions(spark, d, ["transaction_id"])).first()
+    tables.write_evidence(spark, {**row.asDict(), "status": "PASSED"}, path)
+    return scans.read_evidence(spark, path, "row_count long, unique_ids long, status string")
+
+
+@query(
+    "k11_events_as_json_lines",
+    """SELECT '{"country":"' || country || '","event_hour":' || event_hour || ',"merchant_id":"' || merchant_id
+              || '","transaction_id":"' || transaction_id || '"}' AS value FROM tx""",
+)
+def k11(spark, d):
+    """One JSON object per line, keys in alphabetical order."""
+    path = work_folder(spark, "json-lines")
+    tables.write_events_jsonl(star.transactions(spark, d, ["transaction_id", "merchant_id", "event_hour", "country"]), path)
+    return spark.read.text(path)
+
+
+@query("k9_replaced_table", "SELECT event_date, COUNT(*) AS row_count FROM processed GROUP BY event_date")
+def k9(spark, d):
+    """A named table loaded twice, read by its name while it is replaced; the second load stands alone."""
+    name = f"daily_{uuid.uuid4().hex}"
+    daily = processed(spark, d, "event_date").groupBy("event_date").agg(F.count(F.lit(1)).alias("row_count"))
+    tables.load_table(daily.withColumn("row_count", F.lit(-1).cast("long")), name, work_folder(spark, "named"))
+    tables.load_table(daily, name, work_folder(spark, "named"))
+    return spark.table(name)
+
+
+@query(
+    "q12_inventory_contract",
+    """SELECT 'processed' AS table_name, 'not_empty' AS "check", CAST(COUNT(*) = 0 AS BIGINT) AS failures,
+              CASE WHEN COUNT(*) = 0 THEN 'fail' ELSE 'pass' END AS status FROM processed
+       UNION ALL SELECT 'processed', 'expected_partitions', CAST(COUNT(DISTINCT date_trunc('month', event_date)) != 31 AS BIGINT),
+              CASE WHEN COUNT(DISTINCT date_trunc('month', event_date)) != 31 THEN 'fail' ELSE 'pass' END FROM processed
+       UNION ALL SELECT 'processed', 'date_folder_in_flat_table', COUNT(DISTINCT date_trunc('month', event_date)), 'fail' FROM processed""",
+)
+def q12(spark, d):
+    """Folders by month, checked against 31 of them and as if the table were flat; months are gathered, one file each."""
+    root = f"{work_folder(spark, 'inventory')}/processed"
+    months = processed(spark, d, "event_date", "amount").withColumn("event_date", F.trunc("event_date", "month"))
+    tables.write_partitioned(months.repartition("event_date"), root, "baseline")
+    return rulesets.inventory_contract(spark, root, partitions=31, flat=True)
+
+
+@query(
+    "x5_iso_utc",
+    "SELECT transaction_id, strftime(event_timestamp, '%Y-%m-%dT%H:%M:%SZ') AS text, CAST(floor(epoch(event_timestamp)) AS BIGINT) AS seconds FROM tx",
+)
+def x5(spark, d):
+    """An instant as ISO text, and the text as seconds again."""
+    text = iso_utc(F.col("event_timestamp"))
+    return star.transactions(spark, d, ["transaction_id", "event_timestamp"]).select("transaction_id", text.alias("text")).withColumn(
+        "seconds", epoch_seconds("text"))
+
+
+@query("p14_stamped_features", "SELECT merchant_id, transaction_count, TRUE AS stamped FROM merchant_features")
+def p14(spark, d):
+    stamped = features.add_generated_at(feature(spark, d, "merchant_risk_features"))
+    return stamped.select("merchant_id", "transaction_count", F.col("feature_generated_at").isNotNull().alias("stamped"))
+
+
 # --- whole batch -------------------------------------------------------------------------------
 
 

@@ -340,13 +340,19 @@ def j4(spark, d):
     return rulesets.reconcile_quality(staged, _disturbed(models.event_quality(staged)))
 
 
-@query("q10g_stream_marts_reconcile", "SELECT 0 AS trend_rows, 0 AS quality_rows, 0 AS summary_rows FROM (SELECT COUNT(*) FROM events)")
+@query(
+    "q10g_stream_marts_reconcile",
+    """SELECT * FROM (SELECT CAST(COUNT(*) AS INTEGER) AS trend_rows FROM trends WHERE event_count % 3 = 0 OR event_count % 10 = 0),
+                     (SELECT CAST(COUNT(*) AS INTEGER) AS quality_rows FROM quality WHERE event_count % 3 = 0 OR event_count % 10 = 0),
+                     (SELECT CAST(COUNT(*) AS INTEGER) AS summary_rows FROM summary WHERE event_count % 3 = 0 AND event_count % 10 != 0)""",
+)
 def q10g(spark, d):
+    """Rows that the three reconciliations find in disturbed marts; the summary's looks at the mart's own dates only."""
     staged = stg(spark, d)
     found = {
-        "trend_rows": rulesets.reconcile_trends(staged, models.realtime_trends(staged, LIMIT)),
-        "quality_rows": rulesets.reconcile_quality(staged, models.event_quality(staged)),
-        "summary_rows": rulesets.reconcile_summary(staged, models.streaming_risk_summary(staged, LIMIT)),
+        "trend_rows": rulesets.reconcile_trends(staged, _disturbed(models.realtime_trends(staged, LIMIT))),
+        "quality_rows": rulesets.reconcile_quality(staged, _disturbed(models.event_quality(staged))),
+        "summary_rows": rulesets.reconcile_summary(staged, _disturbed(models.streaming_risk_summary(staged, LIMIT))),
     }
     rows = [frame.agg(F.count(F.lit(1)).cast("int").alias(name)) for name, frame in found.items()]
     return rows[0].crossJoin(rows[1]).crossJoin(rows[2])
@@ -372,18 +378,50 @@ def f16(spark, d):
     return rulesets.blank_reasons(blanked)
 
 
+def _failures(table: str, source: str, rules: dict[str, str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{name}' AS \"check\", CAST({count} AS BIGINT) AS failures FROM {source}" for name, count in rules.items())
+
+
+_MISSING = "COUNT(*) FILTER (WHERE {} IS NULL)"
+_TWICE = "COUNT({0}) - COUNT(DISTINCT {0})"
+_FOREIGN = "COUNT(*) FILTER (WHERE event_type NOT IN ('authorization', 'purchase', 'refund'))"
+# Marts in which dates and counts are missing or the same where the count says so.
+_MART_DATE = "CASE WHEN event_count % 4 = 0 THEN NULL WHEN event_count % 4 = 1 THEN DATE '1900-01-01' ELSE event_date END"
+_MART_COUNT = "CASE WHEN event_count % 6 = 0 THEN NULL ELSE event_count END"
+for _mart in ("trends", "quality", "summary"):
+    CTES[f"bad_{_mart}"] = f"SELECT * REPLACE ({_MART_DATE} AS event_date, {_MART_COUNT} AS event_count) FROM {_mart}"
+CTES["bad_stg"] = "SELECT * REPLACE (CASE WHEN amount > 400 THEN NULL ELSE amount END AS amount) FROM stg_local"
+
+
 @query(
     "q9_stream_model_checks",
-    """SELECT 'mart_realtime_risk_trends' AS table_name, "check", failures, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM (
-         SELECT 'not_null_event_date' AS "check", 0 AS failures UNION ALL SELECT 'not_null_event_hour', 0
-         UNION ALL SELECT 'not_null_event_type', 0
-         UNION ALL SELECT 'accepted_event_type', COUNT(*) FILTER (WHERE event_type NOT IN ('authorization', 'purchase', 'refund')) FROM trends
-         UNION ALL SELECT 'not_null_event_count', 0)""",
+    "SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM (" + " UNION ALL ".join([
+        _failures("stg_streaming_transaction_events", "bad_stg", {
+            "not_null_transaction_id": _MISSING.format("transaction_id"), "unique_transaction_id": _TWICE.format("transaction_id"),
+            "not_null_event_date": _MISSING.format("event_date"), "accepted_event_type": _FOREIGN, "not_null_amount": _MISSING.format("amount")}),
+        _failures("mart_streaming_risk_summary", "bad_summary", {
+            "not_null_event_date": _MISSING.format("event_date"), "unique_event_date": _TWICE.format("event_date")}),
+        _failures("mart_streaming_event_quality", "bad_quality", {
+            "not_null_event_date": _MISSING.format("event_date"), "unique_event_date": _TWICE.format("event_date"),
+            "not_null_event_count": _MISSING.format("event_count")}),
+        _failures("mart_realtime_risk_trends", "bad_trends", {
+            "not_null_event_date": _MISSING.format("event_date"), "not_null_event_hour": _MISSING.format("event_hour"),
+            "not_null_event_type": _MISSING.format("event_type"), "accepted_event_type": _FOREIGN,
+            "not_null_event_count": _MISSING.format("event_count")}),
+    ]) + ")",
 )
 def q9_stream(spark, d):
-    rules = rulesets.stream_model_rules()
-    name = "mart_realtime_risk_trends"
-    return rulesets.model_checks({name: models.realtime_trends(stg(spark, d), LIMIT)}, {name: rules[name]})
+    """Every declared check of the four stream models, on tables with faults."""
+    staged = stored(stg(spark, d), "staged")
+    bad = lambda mart: mart.withColumns({"event_date": F.expr(_MART_DATE), "event_count": F.expr(_MART_COUNT)})
+    tables = {
+        "stg_streaming_transaction_events": staged.withColumn("amount", F.when(~(F.col("amount") > 400), F.col("amount"))),
+        "mart_streaming_risk_summary": bad(models.streaming_risk_summary(staged, LIMIT)),
+        "mart_streaming_event_quality": bad(models.event_quality(staged)),
+        "mart_realtime_risk_trends": bad(models.realtime_trends(staged, LIMIT)),
+    }
+    return rulesets.model_checks(tables, rulesets.stream_model_rules())
 
 
 # --- real streams over stored records --------------------------------------------------------------
@@ -456,6 +494,18 @@ def t5(spark, d):
     return metrics.summarize_metrics(read_batch_metrics(spark, _basic_run(spark, d).path("metrics")))
 
 
+@query(
+    "t8_stream_validation",
+    f"""SELECT *, CAST(12 // 4 AS BIGINT) AS batch_count, input_count - clean_count - invalid_count - duplicate_count AS unreconciled_batches,
+               CAST(invalid_count AS DOUBLE) / input_count AS invalid_rate, 'PASS' AS status FROM ({_ACCOUNTING})
+        WHERE input_count = clean_count + invalid_count + duplicate_count AND invalid_count <= 0.5 * input_count""",
+)
+def t8(spark, d):
+    total = metrics.validate_stream(read_batch_metrics(spark, _basic_run(spark, d).path("metrics")), 0.5)
+    kinds = {int: "long", float: "double", str: "string"}
+    return spark.createDataFrame([tuple(total.values())], ", ".join(f"{n} {kinds[type(v)]}" for n, v in total.items()))
+
+
 def _failing_at(batch: int):
     """A callback that breaks the run off once, when the outputs of a batch are stored but not committed."""
     left = [batch]

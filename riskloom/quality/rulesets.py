@@ -135,7 +135,11 @@ def schema_problems(found: T.StructType, expected: T.StructType = PROCESSED) ->
     )
 
 
-def processed_rules(rows: int | None = None, dates: int | None = None, source_file: bool = True) -> list[Rule]:
+def processed_rules(
+    rows: int | None = None, dates: int | None = None, source_file: bool = True, fraud_rows: int | None = None,
+    unique_ids: int | None = None, first_date: str | None = None, last_date: str | None = None,
+) -> list[Rule]:
+    """Rules of every processed table, and the exact numbers and date bounds one of them should have."""
     checks = [
         not_empty(),
         grain("transaction_id"),
@@ -150,7 +154,13 @@ def processed_rules(rows: int | None = None, dates: int | None = None, source_fi
         checks.append(not_null("source_file"))
     if dates is not None:
         checks.append(expected_value("expected_dates", F.count_distinct("event_date"), dates))
-    return checks
+    exact = {
+        "expected_fraud_rows": (F.count_if("is_fraud"), fraud_rows),
+        "expected_unique_ids": (F.count_distinct("transaction_id"), unique_ids),
+        "expected_first_date": (F.min("event_date").cast("string"), first_date),
+        "expected_last_date": (F.max("event_date").cast("string"), last_date),
+    }
+    return checks + [expected_value(name, found, value) for name, (found, value) in exact.items() if value is not None]
 
 
 def processed_contract(transactions: DataFrame, **expect) -> DataFrame:
@@ -308,9 +318,7 @@ def contract_row(rows: DataFrame) -> DataFrame:
 def warehouse_contract(tables: Mapping[str, DataFrame], expect: Mapping[str, Mapping], threshold: float) -> DataFrame:
     """All six table contracts; `expect` holds the exact numbers per table (may be empty)."""
     build = {
-        "processed_transactions": lambda t, e: processed_contract(
-            t, rows=e.get("rows"), dates=e.get("dates"), source_file=e.get("source_file", True)
-        ),
+        "processed_transactions": lambda t, e: processed_contract(t, **e),
         "daily_transaction_summary": lambda t, e: daily_contract(t, e.get("rows"), e.get("transactions")),
         "customer_risk_features": lambda t, e: customer_contract(t, e.get("rows")),
         "merchant_risk_features": lambda t, e: merchant_contract(t, e.get("rows")),
