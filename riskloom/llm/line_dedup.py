@@ -4,7 +4,8 @@ A `LineIndex` counts, for every line key, the documents that hold it.  Keys at o
 are *blocked*; each shard keeps its blocked keys in a cuckoo filter.  Cleaning probes the filters first
 and asks the exact counts only about positives, so a line is dropped by the counts alone.  Documents can
 be added and deleted: counts rise and fall, and keys crossing the threshold enter or leave the filters
-(a cuckoo filter can delete), which makes dedup reversible.
+(a cuckoo filter can delete), which makes dedup reversible.  A filter without room is made anew from the exact
+counts, and when all are well filled their keys are dealt to more shards.
 
 Defined results: a missing text is one empty line; a line whose key is shorter than `min_chars` is never
 blocked; a key counts once per document however often it is repeated there; equal rows count as
@@ -132,14 +133,20 @@ class LineIndex:
         refs = stored(cls._counted(docs, text, min_chars), "line-refs")
         blocked = refs.filter(F.col("n_docs") >= min_docs)
         shards = max(1, -(-blocked.count() // SHARD_KEYS))
+        return cls(refs, stored(cls._filled(blocked, shards), "line-filters"), shards, min_docs, min_chars)
+
+    @staticmethod
+    def _filled(blocked: DataFrame, shards: int, only: DataFrame | None = None) -> DataFrame:
+        """Filters of all blocked keys, or of those in some shards."""
         hashes = blocked.select(_shard(F.col("digest"), shards).alias("shard"), _filter_hash(F.col("digest")).alias("h"))
+        if only is not None:
+            hashes = hashes.join(only, "shard", "left_semi")
 
         def fill(key, rows: pd.DataFrame) -> pd.DataFrame:
             return pd.DataFrame({"shard": [key[0]], "prints": [CuckooFilter.of(np.unique(rows.h.to_numpy().view(np.uint64))).dump()]})
 
         # One row per distinct key and a bounded number of keys a shard: groups cannot be hot.
-        filters = stored(hashes.groupBy("shard").applyInPandas(fill, FILTER_SCHEMA), "line-filters")
-        return cls(refs, filters, shards, min_docs, min_chars)
+        return hashes.groupBy("shard").applyInPandas(fill, FILTER_SCHEMA)
 
     @staticmethod
     def _counted(docs: DataFrame, text: str, min_chars: int) -> DataFrame:
@@ -152,7 +159,7 @@ class LineIndex:
         return self._changed(docs, text, 1)
 
     def remove(self, docs: DataFrame, text: str = "text") -> LineIndex:
-        """Take documents out again; they must have been added before."""
+        """Take documents out again; a ValueError if they hold lines that the index counts in fewer documents."""
         return self._changed(docs, text, -1)
 
     def _changed(self, docs: DataFrame, text: str, sign: int) -> LineIndex:
@@ -160,7 +167,14 @@ class LineIndex:
         both = stored(self.refs.join(change, "digest", "full").select(
             "digest", F.coalesce("n_docs", F.lit(0)).alias("was"),
             (F.coalesce("n_docs", F.lit(0)) + sign * F.coalesce("by", F.lit(0))).alias("n_docs")), "line-changes")
+        if sign < 0 and not both.filter("n_docs < 0").isEmpty():
+            raise ValueError("documents to be removed were never added")
         limit = F.lit(self.min_docs)
+        refs, blocked = both.filter("n_docs > 0").select("digest", "n_docs"), both.filter(F.col("n_docs") >= limit).select("digest")
+        needed = -(-blocked.count() // SHARD_KEYS)
+        if needed > self.shards:
+            # Room for as many again: the keys of all shards are dealt anew, from the exact counts, only at each doubling.
+            return LineIndex(refs, stored(self._filled(blocked, 2 * needed), "line-filters"), 2 * needed, self.min_docs, self.min_chars)
         crossing = both.filter((F.col("was") >= limit) != (F.col("n_docs") >= limit)).select(
             _shard(F.col("digest"), self.shards).alias("shard"), _filter_hash(F.col("digest")).alias("h"),
             (F.col("n_docs") >= limit).alias("enters"))
@@ -170,13 +184,14 @@ class LineIndex:
             out = CuckooFilter.load(old.prints.iloc[0]) if len(old) else CuckooFilter.sized_for(len(rows))
             for h in hashes[~enters]:
                 out.delete(h)
-            if not all([out.insert(h) for h in hashes[enters]]):
-                raise RuntimeError(f"shard {key[0]} is full: rebuild the index with more shards")
-            return pd.DataFrame({"shard": [key[0]], "prints": [out.dump()]})
+            room = all([out.insert(h) for h in hashes[enters]])
+            return pd.DataFrame({"shard": [key[0]], "prints": [out.dump() if room else None]})
 
         filters = stored(self.filters.groupBy("shard").cogroup(crossing.groupBy("shard")).applyInPandas(apply, FILTER_SCHEMA),
                          "line-filters")
-        refs = both.filter("n_docs > 0").select("digest", "n_docs")
+        full = filters.filter("prints is null").select("shard")
+        if not full.isEmpty():                 # a shard without room is made anew from the exact counts, larger
+            filters = stored(filters.filter("prints is not null").unionAll(self._filled(blocked, self.shards, full)), "line-filters")
         return LineIndex(refs, filters, self.shards, self.min_docs, self.min_chars)
 
     def _suspects(self, docs: DataFrame, key_id: str, text: str) -> DataFrame:

@@ -54,6 +54,25 @@ def test_line_dedup_is_reversible(spark, docs, clash, monkeypatch):
     assert line_dedup.dedup_lines(docs([])).count() == 0
 
 
+def test_index_grows_from_nothing(spark, docs, monkeypatch):
+    monkeypatch.setattr(line_dedup, "SHARD_KEYS", 400)
+    index, texts, shards = line_dedup.LineIndex.build(docs([]), min_docs=2), [], set()
+    for step, n in enumerate((30, 270, 900)):
+        more = [f"line {step} {i}\nown {step} {i} {j}" for i in range(n) for j in range(2)]
+        index = index.add(docs(more, start=len(texts)))
+        texts += more
+        shards.add(index.shards)
+        held = index.filters.collect()
+        assert sum(np.count_nonzero(np.frombuffer(r.prints, np.uint16)) for r in held) <= 30 + 270 + 900
+    assert len(shards) > 1
+    assert _cleaned(index, docs(texts)) == _plain_dedup(texts, texts, 2)
+    gone = texts[:400]
+    less = index.remove(docs(gone))
+    assert _cleaned(less, docs(texts)) == _plain_dedup(texts, texts[400:], 2)
+    with pytest.raises(ValueError):
+        less.remove(docs(gone))
+
+
 def test_filters_in_rounds_find_the_same(spark, docs, monkeypatch):
     texts = [f"common {i % 40}\nown {i}" for i in range(200)]
     monkeypatch.setattr(line_dedup, "SHARD_KEYS", 10)
