@@ -39,6 +39,7 @@ FREQUENT = 32             # signatures shared by more sets are left out where th
 PIVOTS = 16               # pivots that a set of many signatures is compared with in the second round
 CELLS = 512               # counters of a sketch
 SENT_IDS = 200_000        # ids sent to every task at most; more are joined by a shuffle
+KNOWN_SETS = 200_000      # sets a task remembers, to give the signatures of copies only once
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -119,20 +120,29 @@ PASS = "sig long, node long, aux int, id long, n long, bits binary"
 def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """One reading of the texts gives two kinds of rows.
 
-    A document: aux -1, its id, size and sketch (and -2, once more, if it had too few signatures from the
-    start).  A signature: aux = 64 * slack + band; the other columns are null.
+    A document: aux -1, its id, size and sketch (and aux -2 if it had too few signatures from the start); its sig
+    is only a number to deal it by.  A signature: aux = 64 * slack + band; the other columns are null.  A task
+    gives sketch and signatures of a set that many documents share with the first of them.
     """
+    known: set[int] = set()
+    row = 0
     for batch in batches:
         sigs, nodes, aux, docs = [], [], [], []
         for doc, t in zip(batch.id, batch.t):
             tokens = shingles(t)
-            node, short = _node(tokens), False
-            for band, own, slack in signatures(tokens):
+            node, short, row = _node(tokens), False, row + 1
+            first = node not in known
+            for band, own, slack in signatures(tokens) if first else ():
                 short |= slack < 0
                 sigs.append(own.view(np.int64))
                 nodes.append(np.full(len(own), node, np.int64))
                 aux.append(np.full(len(own), 64 * max(slack, 0) + band, np.int32))
-            docs.append((node, node, -2 if short else -1, doc, len(tokens), _sketch(tokens)))
+            spread = (node + row * 0x9E3779B97F4A7C15 + (1 << 63)) % (1 << 64) - (1 << 63)
+            docs.append((spread, node, -2 if short else -1, doc, len(tokens), _sketch(tokens) if first else None))
+            if first:
+                if len(known) >= KNOWN_SETS:
+                    known.clear()
+                known.add(node)
         if sigs:
             yield pd.DataFrame({"sig": np.concatenate(sigs), "node": np.concatenate(nodes), "aux": np.concatenate(aux),
                                 "id": None, "n": None, "bits": None})
@@ -202,15 +212,15 @@ class JaccardJoin:
     def __init__(self, docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"):
         self.docs = docs.select(F.col(doc_id).alias("id"), whole_text(text).alias("t"))
         group = W.partitionBy("sig")
-        met = (self.docs.mapInPandas(_signed, PASS)
-               .withColumns({"low": F.min("node").over(group), "high": F.max("node").over(group)})
-               .filter("aux < 0 or low != high").drop("low", "high"))
-        # Most signatures are met by one set only and end here.
+        # One shuffle by signature: each set once, and how many sets there are.  Most signatures are met by one set and end here.
+        met = self.docs.mapInPandas(_signed, PASS).withColumn("before", F.lag("node").over(group.orderBy("node")))
+        met = met.filter("aux < 0 or before is null or before != node").drop("before")
+        met = met.withColumn("c", F.count(F.when(F.col("aux") >= 0, F.lit(1))).over(group)).filter("aux < 0 or c > 1")
         self.met = stored(met, "jaccard-met")
         self.rows = self.met.filter("aux < 0").select("id", "node", "n", "bits")
         # One document stands for each distinct set.
         self.nodes = stored(self.rows.filter("n > 0").groupBy("node").agg(
-            F.min("id").alias("id"), F.first("n").alias("n"), F.first("bits").alias("bits")), "jaccard-nodes")
+            F.min("id").alias("id"), F.first("n").alias("n"), F.first("bits", ignorenulls=True).alias("bits")), "jaccard-nodes")
         self.labels: DataFrame | None = None
 
     def _texts(self, nodes: DataFrame) -> DataFrame:
@@ -229,9 +239,13 @@ class JaccardJoin:
 
     def _plausible(self, pairs: DataFrame) -> DataFrame:
         """Distinct pairs (a, b) that sizes and sketches allow."""
-        side = lambda name: self.nodes.select(F.col("node").alias(name), F.col("n").alias(f"n{name}"), F.col("bits").alias(f"bits{name}"))
-        both = pairs.join(side("a"), "a").join(side("b"), "b")
+        def side(name: str, column: str) -> DataFrame:
+            return self.nodes.select(F.col("node").alias(name), F.col(column).alias(f"{column}{name}"))
+
+        # Sizes rule most pairs out before the sketches, which are long, are joined.
+        both = pairs.join(side("a", "n"), "a").join(side("b", "n"), "b")
         both = both.filter((F.least("na", "nb") * DEN >= F.greatest("na", "nb") * NUM))
+        both = both.join(side("b", "bits"), "b").join(side("a", "bits"), "a")
         return both.filter(F.pandas_udf(_may_link, "boolean")("bitsa", "bitsb", "na", "nb")).drop("bitsa", "bitsb", "na", "nb")
 
     def _sets(self, pairs: DataFrame) -> DataFrame:
@@ -260,8 +274,7 @@ class JaccardJoin:
 
     def run(self) -> JaccardJoin:
         group = W.partitionBy("sig")
-        met = self.met.filter("aux >= 0").select("sig", "node", "aux").dropDuplicates(["sig", "node"])
-        met = met.withColumn("c", F.count("*").over(group))
+        met = self.met.filter("aux >= 0").select("sig", "node", "aux", "c")
         # The pivot of a signature is its set with the most company: the unedited one among its copies.
         central = met.groupBy("node").agg(F.sum("c").alias("company"))
         met = met.join(central, "node").withColumn("pivot", F.max(F.struct("company", "node")).over(group)["node"]).drop("company")
