@@ -294,8 +294,9 @@ def test_mined_rules_equal_all_combinations(spark):
     rnd = random.Random(4)
     data = [(sorted(rnd.sample("abcdef", rnd.randint(1, 4))),) for _ in range(200)]
     data = [(t, "block" if "a" in t and "b" in t or rnd.random() < 0.1 else "allow") for (t,) in data]
-    got = {tuple(r.tokens) for r in url_rules.mine_rules(spark.createDataFrame(data, "tokens array<string>, verdict string"),
-                                                         min_support=0.02, min_confidence=0.7).collect()}
+    rules, classes = url_rules.mine_rules(spark.createDataFrame(data, "tokens array<string>, verdict string"), min_rows=4, min_confidence=0.7)
+    got = {tuple(r.tokens) for r in rules.collect()}
+    assert all(r["token"] == r["class"] for r in classes.collect())
     sure = {}
     for size in range(1, 5):
         for combo in itertools.combinations("abcdef", size):
@@ -307,6 +308,20 @@ def test_mined_rules_equal_all_combinations(spark):
     assert got == want and ("a", "b") in got
 
 
+def test_repeated_long_urls_and_rare_hosts_are_learned(spark):
+    words = "/".join(f"word{chr(97 + i)}{chr(97 + j)}" for i in range(5) for j in range(8))
+    rows = [(i, f"http://long.example/{words}") for i in range(60)]                    # forty words, always together
+    rows += [(100 + i, f"http://ok.example/{'news' if i % 2 else 'blog'}/x{chr(97 + i % 20)}") for i in range(6_000)]
+    rows += [(9_000 + i, f"http://rare.example/{chr(97 + i % 20)}{chr(97 + i // 20)}") for i in range(55)]   # under one in a hundred
+    new = [(20_000, "http://else.example/wordaa"), (20_001, "http://rare.example/new"), (20_002, "http://ok.example/news/new")]
+    bad = [i for i, u in rows if "ok." not in u]
+    labels = spark.createDataFrame([(i, "block" if i in set(bad) else "allow") for i, _ in rows], "page_id long, verdict string")
+    frame = spark.createDataFrame(rows + new, "page_id long, url string")
+    verdicts = {r.page_id: r.verdict for r in url_rules.judge(frame, RULES, labels).collect()}
+    assert {verdicts[i] for i in bad} == {"block"} and {verdicts[i] for i, u in rows if "ok." in u} == {"allow"}
+    assert [verdicts[i] for i, _ in new] == ["block", "block", "allow"]
+
+
 # Pipeline
 
 def test_pipeline_stages_against_brute_force(spark):
