@@ -10,6 +10,7 @@ empty line, it is linked with nothing, but it holds no words, so no mix takes it
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,12 +38,26 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return _documents(line_dedup.dedup_lines(docs.select(*COLUMNS), min_docs=10, min_chars=1))
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """`docs` with a number of its own for every row, the same at every reading: a hash of the file and the place in it."""
+    try:
+        return docs.select(*COLUMNS, F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("row"))
+    except AnalysisException:      # rows that are not read from files are stored with numbers
+        return stored(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "numbered")
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of linked documents stays."""
+    """One document of each group of linked documents stays: that with the smallest id, a missing one being the last.
+
+    Rows are linked by a number of their own, so of rows that repeat an id, or lack one, one stays, too; only
+    documents without words are linked with nothing and all stay.
+    """
     ready(spark)
-    docs = docs.select(*COLUMNS)
-    kept = jaccard_join.link_documents(docs).filter("doc_id <=> component_id").select(F.col("doc_id").alias("kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept")), "left_semi").select(*COLUMNS)
+    numbered = _numbered(docs)
+    linked = jaccard_join.link_documents(numbered, doc_id="row").join(numbered.select("row", "doc_id"), "row")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("lacks"), "doc_id", "row"))
+    kept = linked.groupBy("component_id").agg(first.alias("first")).select(F.col("first.row").alias("row"))
+    return numbered.join(kept, "row", "left_semi").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +69,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document (packed little-endian unsigned 32-bit), and whether they decode to its text."""
     bpe = vocabulary(ready(spark))
-    rows = bpe.decode(bpe.encode(docs.select(*COLUMNS)))
+    rows = bpe.round_trip(docs.select(*COLUMNS))
     return rows.select("doc_id", "lang", "source", "n_chars", (F.length("ids") / 4).cast("long").alias("n_tokens"),
                        F.sha2("ids", 256).alias("ids_sha256"),
                        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
