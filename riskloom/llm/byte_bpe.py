@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import base64
 import struct
+from array import array
 from collections.abc import Callable, Iterator
 from functools import cache, cached_property
 
@@ -30,8 +31,9 @@ from riskloom.llm.common import whole_text
 
 START = -1
 NEVER = 1 << 60
-MEMO_PIECES = 300_000     # pieces in each of a worker's two generations; the older one goes when the newer is full
-MEMO_PAIRS = 300_000      # answers about token pairs kept by a worker
+MEMO_BYTES = 20_000_000   # estimated size of each of a worker's two generations of pieces; the older goes when the newer is full
+ENTRY_BYTES = 200         # of a remembered piece besides its characters and ids
+MEMO_PAIRS = 100_000      # answers about token pairs kept by a worker
 MEMO_STATES = 60_000      # transitions kept by a worker; later ones are worked out each time they are needed
 MEMO_CHARS = 32           # longer pieces are not kept
 
@@ -47,14 +49,16 @@ class Transducer:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks, self.bytes_of = ranks, {rank: token for token, rank in ranks.items()}
-        self.children: list[dict[int, int]] = [{}]
-        self.token_at: list[int] = [START]
+        # The token trie: child[node * 256 + byte], whether a node has children, the token that ends there.
+        self.child: dict[int, int] = {}
+        self.inner, self.token_at = bytearray(1), array("i", [START])
         for token, rank in ranks.items():
             node = 0
             for byte in token:
-                node = self.children[node].setdefault(byte, len(self.children))
-                if node == len(self.children):
-                    self.children.append({})
+                self.inner[node] = 1
+                node = self.child.setdefault(node << 8 | byte, len(self.token_at))
+                if node == len(self.token_at):
+                    self.inner.append(0)
                     self.token_at.append(START)
             self.token_at[node] = rank
         self.follows: dict[tuple[int, int], bool] = {}
@@ -117,13 +121,13 @@ class Transducer:
         """Determinise one step: advance every open path, add the one that just completed a token."""
         open_paths, ended = [], None
         for node, before, pending in paths:
-            to = self.children[node].get(byte)
+            to = self.child.get(node << 8 | byte)
             if to is None:
                 continue
             token = self.token_at[to]
             if ended is None and token != START and self.may_follow(before, token):
                 ended = (0, token, (*pending, token))
-            if self.children[to]:
+            if self.inner[to]:
                 open_paths.append((to, before, pending))
         if ended is None:
             raise ValueError(f"byte {byte} is in no token")
@@ -232,6 +236,7 @@ class Codec:
         self.ranks, self.split = ranks, regex.compile(pattern)
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.held = 0                             # estimated bytes of the newer generation
         size = max(ranks.values()) + 1
         self.raw = [b""] * size
         for token, i in ranks.items():
@@ -256,9 +261,10 @@ class Codec:
             ids = self.machine.encode(piece.encode("utf-8"))
             packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(piece) <= MEMO_CHARS:
-            if len(self.memo) >= MEMO_PIECES:
-                self.older, self.memo = self.memo, {}
+            if self.held >= MEMO_BYTES:
+                self.older, self.memo, self.held = self.memo, {}, 0
             self.memo[piece] = packed
+            self.held += ENTRY_BYTES + 4 * len(piece) + len(packed)
         return packed
 
     def encode(self, text: str) -> bytes:
@@ -314,6 +320,20 @@ class ByteBpe:
         """Adds `ids`: the token ids of the whole text, packed as little-endian unsigned 32-bit integers."""
         return docs.withColumn(ids, self._mapped("binary", lambda codec: codec.encode)(whole_text(text)))
 
+    def round_trip(self, docs: DataFrame, *, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+        """Adds `ids` and `decoded`, what the ids stand for, in one pass: a task has one Python worker with one vocabulary."""
+        sent = self.sent
+
+        @F.pandas_udf("ids binary, decoded string")
+        def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            codec = _codec(*sent.value)
+            for batch in batches:
+                packed = [codec.encode(x) for x in batch]
+                yield pd.DataFrame({"ids": packed, "decoded": [codec.decode(p) for p in packed]}, dtype=object)
+
+        both = docs.withColumn("__both", run(whole_text(text)))
+        return both.withColumns({ids: F.col("__both.ids"), decoded: F.col("__both.decoded")}).drop("__both")
+
     def decode(self, rows: DataFrame, *, ids: str = "ids", text: str = "decoded") -> DataFrame:
         """Adds `text`: what packed ids stand for; missing ids decode to the empty text."""
         return rows.withColumn(text, self._mapped("string", lambda codec: codec.decode)(F.coalesce(F.col(ids), F.lit(b""))))

@@ -122,7 +122,7 @@ def op4_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     bpe = vocabulary(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return bpe.decode(bpe.encode(docs)).select(
+    return bpe.round_trip(docs).select(
         "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

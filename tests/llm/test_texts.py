@@ -37,7 +37,7 @@ def test_bpe_equals_plain_merging(codec, plain):
 
 def test_bpe_beyond_its_memos(plain, monkeypatch):
     monkeypatch.setattr(byte_bpe, "MEMO_STATES", 20)
-    monkeypatch.setattr(byte_bpe, "MEMO_PIECES", 5)
+    monkeypatch.setattr(byte_bpe, "MEMO_BYTES", 1_000)
     small = byte_bpe.Codec(RANKS, public_tokenizers.PATTERN)
     for text in ["thandonerheti ofquemente schlichkeitung"] * 2 + ODD[:5]:
         assert np.frombuffer(small.encode(text), "<u4").tolist() == plain.encode_ordinary(text)
@@ -55,7 +55,9 @@ def test_bpe_frames(spark, docs, clash):
     bpe = byte_bpe.ByteBpe(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     rows = bpe.decode(bpe.encode(clash(docs([None, "", "a b", "a b"])), ids="ids")).orderBy("doc_id").collect()
     assert [r.decoded for r in rows] == ["", "", "a b", "a b"] and rows[0].ids == b""
-    assert bpe.decode(bpe.encode(docs([]))).count() == 0
+    both = bpe.round_trip(clash(docs([None, "", "a b", "a b"])), ids="ids").orderBy("doc_id").collect()
+    assert [(r.ids, r.decoded) for r in both] == [(r.ids, r.decoded) for r in rows]
+    assert bpe.decode(bpe.encode(docs([]))).count() == 0 and bpe.round_trip(docs([])).count() == 0
 
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body>
@@ -101,6 +103,44 @@ def test_html_windows_decide_beside_an_article(body, text):
     assert html_blocks.main_text(PAGE % body) == text
 
 
+BODY = "<p>" + LONG + "</p><p>short</p>"
+
+
+@pytest.mark.parametrize("part", [
+    '<article class="post no-sidebar">%s</article>', '<div class="wrapper sidebar-right">%s</div>', '<div class="lesson social-studies">%s</div>',
+    '<div class="page no-comments">%s</div>', '<article class="sidebar">%s</article>', '<div class="post"><div class="has-banner">%s</div></div>',
+])
+def test_html_a_part_that_holds_the_text_stays_whatever_it_is_called(part):
+    assert html_blocks.main_text(PAGE % (part % BODY)) == LONG.strip() + "\nshort"
+
+
+@pytest.mark.parametrize("body, text", [
+    ("<div>" + BODY + '<div class="comments"><p>' + 3 * LONG + '</p></div><div class="comment-list">Me too</div></div>', LONG.strip() + "\nshort"),
+    ("<article>" + BODY + '</article><article class="comment"><p>' + 3 * LONG + "</p></article>", LONG.strip() + "\nshort"),
+    ("<div><p>" + LONG + "</p><aside>x</aside><p>one</p><aside>x</aside><p>two</p><aside>x</aside><p>three</p></div><p>(c) 2024 Somebody</p>",
+     LONG.strip() + "\none\ntwo\nthree"),
+    ('<div><p>' + LONG + '<a title="a > b" href=x>link</a> &lt;p&gt; 1 < 2</p></div>', LONG + "link <p> 1 < 2"),
+])
+def test_html_ends_of_an_article_and_what_stands_around_it(body, text):
+    assert html_blocks.main_text(PAGE % body) == text
+
+
+def test_html_text_without_tags_is_text():
+    assert [html_blocks.main_text(t) for t in ("x" * 79, "x" * 80, "<b>a</b> b", "<p>a</p>")] == ["x" * 79, "x" * 80, "a b", "a"]
+
+
+@pytest.mark.parametrize("attack", ["<a ", '<a "', "<!", "<!--", "<", "</div>", "<script ", '<a href="', '<div class="no-sidebar">', "<div>x", "<p>&", "<a href=x>"])
+def test_html_reading_is_linear(attack):
+    import time
+
+    took = []
+    for size in (100_000, 400_000):
+        started = time.process_time()
+        html_blocks.main_text(attack * (size // len(attack)))
+        took.append(time.process_time() - started)
+    assert took[1] < 12 * took[0] + 0.5
+
+
 def test_html_pages_of_the_table_with_article_as_div(spark):
     pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect()]
     for page in pages:
@@ -111,7 +151,7 @@ def test_html_frames(spark, clash):
     pages = spark.createDataFrame([(1, None), (2, ""), (3, "<p"), (4, PAGE % ("<article><p>" + "w " * 50_000 + "</p></article>")), (4, "x")],
                                   "page_id long, html string")
     rows = [r.text for r in html_blocks.extract(clash(pages)).orderBy("page_id", F.length("html").desc()).collect()]
-    assert rows[0] == rows[1] == "" and len(rows[3]) == 99_999 and rows[4] == ""
+    assert rows[0] == rows[1] == "" and len(rows[3]) == 99_999 and rows[4] == "x"
     assert html_blocks.extract(pages.limit(0)).count() == 0
 
 
