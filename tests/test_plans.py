@@ -56,3 +56,23 @@ def test_fully_rejected_date_is_not_taken_for_replaced(spark, tmp_path):
         process(bad, path, "2026-01-01")
     with pytest.raises(RuntimeError):  # nothing selected: refused before any write
         process(good, path, str(date(2026, 1, 2)))
+
+
+def test_rank_join_back_gathers_no_hot_key(spark):
+    """Nine rows in ten share one order key; after the shuffle no partition holds much more than its share."""
+    from pyspark.sql import functions as F
+
+    from riskloom.operators.rank import percent_rank
+
+    rows = spark.range(20_000).select("id", F.when(F.col("id") % 10 == 0, F.col("id")).otherwise(-1).cast("double").alias("rate"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ranked = percent_rank(rows, ["rate"])
+        sizes = [r["count"] for r in ranked.groupBy(F.spark_partition_id()).count().collect()]
+        hot = ranked.where("rate = -1").agg(F.min("risk_percentile"), F.max("risk_percentile"), F.count("*")).first()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert max(sizes) < 2 * 20_000 / len(sizes) and len(sizes) > 1
+    assert tuple(hot) == (0.0, 0.0, 18_000)
