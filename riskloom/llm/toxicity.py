@@ -49,8 +49,8 @@ BAR = 0.6                          # share of a spotless entry's weight at which
 STEMS = (4, 5, 6, 7, 8)            # lengths of word beginnings that can become entries
 THRESHOLD = 0.7
 LOGIT = math.log(THRESHOLD / (1 - THRESHOLD))
-MEMO = 200_000                     # spans a worker keeps
-MEMO_CHARS = 200                   # a longer span is not kept
+MEMO = 60_000                      # spans, and words, that a worker keeps
+MEMO_CHARS = 100                   # a longer span is not kept
 BLOCK = 4_096                      # characters after which the readings of a span are packed into strings
 
 # Three or more letters, digits or leet symbols, each alone or repeated, parted by blanks or punctuation, which may also stand
