@@ -34,6 +34,7 @@ SCALE = 256
 SHARD_ROWS = 8_192        # vectors a shard should hold
 QUERY_BLOCK = 4_096       # queries that visit a shard together
 WINDOW = 2_048            # vectors whose postings have a bound of their own
+DENSE = 4                 # a list is kept in full from one vector in so many on
 PROBED = 8                # non-essential terms probed between two tests
 INDEX_SCHEMA = "dim int, shard int, postings binary"
 
@@ -78,33 +79,37 @@ def packed(vectors: pd.Series) -> np.ndarray:
 class Postings:
     """The posting lists of one shard, cut into windows of vectors."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, window: int = WINDOW):
         norm = (vectors.astype(np.float64) ** 2).sum(1)
         order = np.lexsort((ids, -norm))
-        self.ids, self.vectors, self.largest = ids[order], np.ascontiguousarray(vectors[order]), magnitude(vectors)
+        self.ids, self.columns, self.largest = ids[order], np.ascontiguousarray(vectors[order].T), magnitude(vectors)
         self.windows = []
-        for start in range(0, len(ids), WINDOW):
-            part = self.vectors[start:start + WINDOW]
-            lists = []
-            for values in part.T:
+        for start in range(0, len(ids), window):
+            columns = self.columns[:, start:start + window]
+            size, lists = columns.shape[1], []
+            for values in columns:
                 for sign in (1, -1):
-                    holders = np.flatnonzero(values * sign > 0)
-                    lists.append((holders.astype(np.int32), values[holders] * sign))
+                    impacts = np.maximum(values * sign, 0)
+                    holders = np.flatnonzero(impacts).astype(np.int32)
+                    # A list that most vectors are in is kept with a place for each of them.
+                    lists.append((None, impacts) if DENSE * len(holders) > size else (holders, impacts[holders]))
             top = np.array([impacts.max(initial=0) for _, impacts in lists], np.int64)
-            self.windows.append((start, len(part), lists, top))
+            self.windows.append((start, size, lists, top))
         self.traversed = 0        # postings read by searches, for tests
 
     def search(self, own: int, query: np.ndarray, k: int) -> list[tuple[int, int]]:
         """The k best (score, id) for a query vector."""
         kind = exact_type(len(query), self.largest, magnitude(query))
-        if self.vectors.dtype != kind:
-            self.vectors = self.vectors.astype(kind)
-        vectors, query = self.vectors, query.astype(kind)
+        if self.columns.dtype != kind:
+            self.columns = self.columns.astype(kind)
+            self.windows = [(start, size, [(holders, impacts.astype(kind)) for holders, impacts in lists], top)
+                            for start, size, lists, top in self.windows]
+        query = query.astype(kind)
         weight = np.abs(query)
         held = np.flatnonzero(weight)
         terms = 2 * held + (query[held] < 0)
         weight = weight[held]
-        scores, ids = np.empty(0, vectors.dtype), np.empty(0, np.int64)
+        scores, ids = np.empty(0, kind), np.empty(0, np.int64)
         worst = None              # the k-th best score so far
         for start, size, lists, top in self.windows:
             bounds = weight * top[terms]
@@ -114,11 +119,14 @@ class Postings:
             if worst is not None and left[0] < worst:
                 continue
             essential = len(order) if worst is None else int(np.argmax(left < worst)) if (left < worst).any() else len(order)
-            sums = np.zeros(size, vectors.dtype)
+            sums = np.zeros(size, kind)
             for i in order[:essential].tolist():
                 holders, impacts = lists[terms[i]]
-                sums[holders] += weight[i] * impacts
-                self.traversed += len(holders)
+                if holders is None:
+                    sums += weight[i] * impacts
+                else:
+                    sums[holders] += weight[i] * impacts
+                self.traversed += len(impacts)
             if worst is None or worst <= 0:
                 found = np.arange(size)
             else:
@@ -126,13 +134,13 @@ class Postings:
             found = found[self.ids[start + found] != own]
             # First what lowers the sums of the essential components, then the other components.
             dims = held[order[:essential]]
-            part = (vectors[np.ix_(start + found, dims)] @ query[dims]) if len(dims) else np.zeros(len(found), vectors.dtype)
+            part = self._probed(start, size, found, dims, query)
             for at in range(essential, len(order) + 1, PROBED):
                 if worst is not None:
                     open_ = part + left[at] >= worst
                     found, part = found[open_], part[open_]
                 dims = held[order[at:at + PROBED]]
-                part = part + vectors[np.ix_(start + found, dims)] @ query[dims]
+                part = part + self._probed(start, size, found, dims, query)
             if worst is not None:
                 found, part = found[part >= worst], part[part >= worst]
             scores, ids = np.r_[scores, part], np.r_[ids, self.ids[start + found]]
@@ -142,6 +150,12 @@ class Postings:
                 worst = scores[-1]
         return [(int(s), int(i)) for s, i in zip(scores, ids)]
 
+    def _probed(self, start: int, size: int, found: np.ndarray, dims: np.ndarray, query: np.ndarray) -> np.ndarray:
+        """Inner products over some components of the vectors found in a window."""
+        if 8 * len(found) > size:             # whole components are read faster than many single places
+            return (query[dims] @ self.columns[dims, start:start + size])[found]
+        return query[dims] @ self.columns[np.ix_(dims, start + found)]
+
 
 class MaxScoreIndex:
     """Posting lists of all vectors, one row per shard, stored in the shared folder."""
@@ -150,14 +164,15 @@ class MaxScoreIndex:
         self.shards, self.count = shards, count
 
     @classmethod
-    def build(cls, vectors: DataFrame, *, key_id: str = "vec_id", vector: str = "embedding", shard_rows: int = SHARD_ROWS) -> MaxScoreIndex:
+    def build(cls, vectors: DataFrame, *, key_id: str = "vec_id", vector: str = "embedding", shard_rows: int = SHARD_ROWS,
+              window: int = WINDOW) -> MaxScoreIndex:
         rows = whole_vectors(vectors, key_id, vector)
         count = max(1, -(-rows.count() // shard_rows))
         # By id and vector: neither rows of one id nor copies of one vector gather in a shard.
         dealt = rows.withColumn("shard", F.pmod(F.xxhash64("id", "v"), F.lit(count)).cast("int"))
 
         def post(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-            postings = Postings(part.id.to_numpy(), packed(part.v))
+            postings = Postings(part.id.to_numpy(), packed(part.v), window)
             return pd.DataFrame({"dim": [key[0]], "shard": [key[1]], "postings": [pickle.dumps(postings, 5)]})
 
         return cls(stored(dealt.groupBy("dim", "shard").applyInPandas(post, INDEX_SCHEMA), "maxscore"), count)
