@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from riskloom.entrypoints.oracle import compose
-from riskloom.session import prepare
+from riskloom.session import fit_partitions, prepare
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -30,7 +30,9 @@ def query(name: str, sql: str | None = None) -> Callable[[Run], Run]:
             raise ValueError(f"query {name} is registered twice")
 
         def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return run(prepare(spark), sf_dir.rstrip("/"))
+            folder = sf_dir.rstrip("/")
+            fit_partitions(prepare(spark), folder)
+            return run(spark, folder)
 
         QUERIES[name] = Query(prepared, compose(sql) if sql else None)
         return run

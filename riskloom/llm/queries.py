@@ -22,7 +22,7 @@ from riskloom.llm import (
     zone_negatives,
 )
 from riskloom.llm.common import table
-from riskloom.session import prepare
+from riskloom.session import prepare, release_partitions
 
 QUERIES: dict[str, Query] = {}
 
@@ -34,6 +34,7 @@ BATCH_ROWS, BATCH_BYTES = "500", "48m"
 def ready(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    release_partitions(spark)
     return prepare(spark)
 
 

@@ -11,6 +11,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from riskloom.sources.files import folder_bytes
+
 # Settings every job relies on.  Adaptive execution is what keeps the plans safe
 # under skew: it splits hot join and rebalance partitions, merges tiny ones and
 # turns a join into a broadcast only after it has measured the side at run time.
@@ -40,6 +42,31 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Shuffles start with a partition for so many bytes of the given tables, and adaptive execution merges them up to
+# the second size, so what a task holds does not grow with the tables. What the session states itself stands.
+PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+MERGED = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+PARTITION_BYTES, MERGED_BYTES = 4 << 20, str(16 << 20)
+_set: dict[str, str] = {}
+
+
+def fit_partitions(spark: SparkSession, folder: str) -> None:
+    """Let the number of shuffle partitions follow the size of the tables in a folder."""
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = {PARTITIONS: str(max(least, folder_bytes(spark, folder) // PARTITION_BYTES)), MERGED: MERGED_BYTES}
+    for name, value in wanted.items():
+        if spark.conf.get(name, None) in (None, _set.get(name)):
+            spark.conf.set(name, value)
+            _set[name] = value
+
+
+def release_partitions(spark: SparkSession) -> None:
+    """Take back what `fit_partitions` set."""
+    for name, value in _set.items():
+        if spark.conf.get(name, None) == value:
+            spark.conf.unset(name)
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: `spark.checkpoint.dir` of the session.
 

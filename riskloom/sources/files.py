@@ -35,3 +35,9 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     if not system.exists(folder):
         return []
     return sorted(status.getPath().getName() for status in system.listStatus(folder))
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder; 0 for a missing one."""
+    system, folder = _open(spark, path)
+    return system.getContentSummary(folder).getLength() if system.exists(folder) else 0
