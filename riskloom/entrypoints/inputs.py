@@ -20,12 +20,21 @@ def processed(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return star.latest_transactions(spark, sf_dir, columns or None)
 
 
-def typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transform(star.raw_transactions(spark, sf_dir)).drop("source_file", "processed_at")
+def typed(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Typed raw rows with the given raw columns (all without any); the timestamp is always there."""
+    names = [*dict.fromkeys([*columns, "event_timestamp"])] if columns else None
+    return transform(star.raw_transactions(spark, sf_dir, names)).drop("source_file", "processed_at")
 
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_latest(clean_filter(typed(spark, sf_dir)), KEY, NEWEST)
+    """Clean rows, the newest copy of each id; lines alone decide, so they are described when copies are gone."""
+    lines = transform(star.raw_lines(spark, sf_dir)).drop("source_file", "processed_at")
+    return described(spark, sf_dir, dedup_latest(clean_filter(lines), KEY, NEWEST), *star.RAW_COLUMNS, "event_date", "event_hour")
+
+
+def described(spark: SparkSession, sf_dir: str, kept: DataFrame, *columns: str) -> DataFrame:
+    """Columns of cleaned lines. An id that is left is the one its keys make, so only these are shuffled on."""
+    return star.describe(spark, sf_dir, kept, columns, set(kept.columns) - {"transaction_id", "source_offset"}, once=True)
 
 
 _DAILY = ["event_date", "amount", "is_fraud"]

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from riskloom.entrypoints.inputs import NEWEST, clean, feature, processed, table_once
+from riskloom.entrypoints.inputs import NEWEST, clean, described, feature, processed, table_once
 from riskloom.entrypoints.oracle import CTES
 from riskloom.entrypoints.registry import query
 from riskloom.functions.times import epoch_seconds, iso_utc
@@ -215,8 +215,8 @@ def m2(spark, d):
 def _canonical(spark, d):
     """Processed table with all fifteen columns, stored once."""
     def write(path):
-        rows = etl.clean_transactions(etl.transform(star.raw_transactions(spark, d)), NEWEST)
-        tables.write_partitioned(rows.select(*PROCESSED.fieldNames()), path)
+        kept = etl.clean_transactions(etl.transform(star.raw_lines(spark, d)), NEWEST)
+        tables.write_partitioned(described(spark, d, kept, *PROCESSED.fieldNames()), path)
 
     return table_once(spark, d, "canonical-table", write)
 
@@ -225,8 +225,8 @@ def _raw_once(spark, d):
     """Raw rows whose ids are unique, as CSV: the input a one-date run reads again and again."""
     def write(path):
         text = F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
-        rows = clean(spark, d).withColumn("event_timestamp", text).select(*RAW_TRANSACTION.fieldNames())
-        rows.write.csv(path, header=True)
+        rows = spark.read.parquet(_canonical(spark, d)).withColumn("event_timestamp", text)
+        rows.select(*RAW_TRANSACTION.fieldNames()).write.csv(path, header=True, compression="gzip")
 
     return scans.read_raw(spark, table_once(spark, d, "raw-csv", write), with_file=True)
 

@@ -66,53 +66,105 @@ _COLUMNS: dict[str, tuple[tuple[str, ...], callable]] = {
 _JOINS = {
     "orders": ("l_orderkey", "o_orderkey"),
     "customer": ("o_custkey", "c_custkey"),
-    "nation": ("c_nationkey", "n_nationkey"),
     "part": ("l_partkey", "p_partkey"),
+    "nation": ("c_nationkey", "n_nationkey"),
 }
 TRANSACTION_COLUMNS = list(_COLUMNS)
+RAW_COLUMNS = [
+    "transaction_id", "event_timestamp", "customer_id", "merchant_id", "amount", "currency", "country",
+    "merchant_category", "payment_method", "device_id", "is_fraud", "source_offset",
+]
+# Computed before lines are shuffled, as they take less room than what they are made of; texts are made last.
+_SMALL = ("event_timestamp", "event_date", "amount", "is_fraud")
+_LINE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
 def transactions(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None) -> DataFrame:
     """Typed transactions, one row per lineitem, copies of an id included."""
-    return _described(spark, sf_dir, table(spark, sf_dir, "lineitem"), list(columns or TRANSACTION_COLUMNS))
+    names = list(columns or TRANSACTION_COLUMNS)
+    small = [name for name in _SMALL if name in names]
+    lines = table(spark, sf_dir, "lineitem")
+    lines = lines.select(*_LINE_KEYS, *[_COLUMNS[name][1]().alias(name) for name in small])
+    return describe(spark, sf_dir, lines, names, small)
 
 
 def latest_transactions(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None) -> DataFrame:
-    """The newest copy of every transaction; copies go before anything is joined to them."""
-    keys = ["transaction_id", "event_timestamp", "source_offset"]
+    """The newest copy of every transaction; copies go before anything is joined to them.
+
+    An id joins the two keys that are known, so the first known one and the second say the same as its text.
+    """
+    names = list(columns or TRANSACTION_COLUMNS)
+    small = [name for name in _SMALL if name in names]
+    order = ["event_timestamp", "source_offset"]
     lines = table(spark, sf_dir, "lineitem")
-    lines = lines.select("*", *[_COLUMNS[name][1]().alias(f"_{name}") for name in keys])
-    newest = dedup_latest(lines, ["_transaction_id"], ["_event_timestamp", "_source_offset"])
-    return _described(spark, sf_dir, newest.drop(*[f"_{name}" for name in keys]), list(columns or TRANSACTION_COLUMNS))
+    number = lines.schema["l_linenumber"].dataType
+    known = F.col("l_orderkey").isNotNull()
+    lines = lines.select(
+        "l_partkey", "l_suppkey",
+        known.alias("_known"),
+        F.coalesce("l_orderkey", "l_linenumber").alias("_first"),
+        F.when(known, F.col("l_linenumber")).alias("_second"),
+        *[_COLUMNS[name][1]().alias(name) for name in dict.fromkeys([*order, *small])],
+    )
+    newest = dedup_latest(lines, ["_first", "_second"], order).select(
+        F.when(F.col("_known"), F.col("_first")).alias("l_orderkey"),
+        F.when(F.col("_known"), F.col("_second")).otherwise(F.col("_first").cast(number)).alias("l_linenumber"),
+        "l_partkey", "l_suppkey", *small,
+    )
+    return describe(spark, sf_dir, newest, names, small)
 
 
-def _described(spark: SparkSession, sf_dir: str, rows: DataFrame, names: list[str]) -> DataFrame:
-    """Columns of lines, with the tables joined that a named column needs."""
-    needed = {other for name in names for other in _COLUMNS[name][0]}
-    for other, (left, right) in _JOINS.items():
+def describe(
+    spark: SparkSession, sf_dir: str, rows: DataFrame, names: Iterable[str], made: Iterable[str] = (), once: bool = False,
+) -> DataFrame:
+    """Columns of lines, with the tables joined that a named column needs; those `made` are there already.
+
+    Customers are joined to orders, so that the many lines are shuffled for orders and parts only. `once` joins
+    one row per key, for rows that must not become more where a key repeats.
+    """
+    names, made = list(names), set(made)
+    needed = {other for name in names if name not in made for other in _COLUMNS[name][0]}
+
+    def joined(left_rows: DataFrame, other: str) -> DataFrame:
+        left, right = _JOINS[other]
+        found = table(spark, sf_dir, other)
+        if other == "orders" and "customer" in needed:
+            found = joined(found.dropDuplicates([right]) if once else found, "customer")
+        elif once:
+            found = found.dropDuplicates([right])
+        return left_rows.join(found, F.col(left) == F.col(right), "left")
+
+    for other in ("orders", "part", "nation"):
         if other in needed:
-            rows = rows.join(table(spark, sf_dir, other), F.col(left) == F.col(right), "left")
-    return rows.select(*[_COLUMNS[name][1]().alias(name) for name in names])
+            rows = joined(rows, other)
+    return rows.select(*[name if name in made else _COLUMNS[name][1]().alias(name) for name in names])
 
 
-def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_transactions(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None) -> DataFrame:
     """The same rows as raw text-timestamp input, with faults the tables lack.
 
     Line keys divisible by 97, 89, 83 and 79 lose the id, the amount, the sign of
     the amount and the timestamp.
     """
-    rows = transactions(spark, sf_dir)
+    return describe(spark, sf_dir, raw_lines(spark, sf_dir), list(columns or RAW_COLUMNS), RAW_LINE_COLUMNS)
+
+
+RAW_LINE_COLUMNS = ["transaction_id", "event_timestamp", "amount", "is_fraud", "source_offset"]
+
+
+def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What lines alone say of raw rows, faults included, beside the keys by which `describe` adds the rest."""
+    rows = table(spark, sf_dir, "lineitem")
+    rows = rows.select(*_LINE_KEYS, *[_COLUMNS[name][1]().alias(name) for name in RAW_LINE_COLUMNS])
     part = F.shiftright("source_offset", 32)
     iso = F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
     return rows.select(
+        *_LINE_KEYS,
         F.when(part % 97 != 0, F.col("transaction_id")).alias("transaction_id"),
         F.when(part % 79 == 0, "not-a-timestamp").otherwise(iso).alias("event_timestamp"),
-        "customer_id",
-        "merchant_id",
         F.when(part % 89 == 0, F.lit(None)).when(part % 83 == 0, -F.col("amount"))
         .otherwise(F.col("amount")).alias("amount"),
-        "currency", "country", "merchant_category", "payment_method", "device_id", "is_fraud",
-        "source_offset",
+        "is_fraud", "source_offset",
     )
 
 
