@@ -123,7 +123,7 @@ def n3(spark, d):
 def n6(spark, d):
     """One collection over what runs have stored; the processed table is not there, which is an observation, too."""
     folder = work_folder(spark, "results")
-    evaluate(typed(spark, d), "processed", [not_null("transaction_id"), not_null("event_date")]).write.json(f"{folder}/checks")
+    evaluate(typed(spark, d, "transaction_id"), "processed", [not_null("transaction_id"), not_null("event_date")]).write.json(f"{folder}/checks")
     tx = star.transactions(spark, d, ["transaction_id"])
     row = late_merge_row(tx.withColumn("amount", F.lit(1.0)), "-", "-", 1.0).first()
     tables.write_evidence(spark, {"event_date": "1998-07-04", **row.asDict()}, f"{folder}/merges")
