@@ -431,7 +431,8 @@ def _record_files(spark, d):
     """All records as files of a record stream, several per micro-batch; copies of an id are in one file."""
     repeats = (F.col("offset") % 25 == 0) & (F.col("offset") > 0)
     first = F.when(repeats, F.col("offset") - 1).otherwise(F.col("offset"))
-    write = lambda path: star.event_records(spark, d).repartition(12, first).write.parquet(path)
+    # Small row groups, so that the few files of a batch are parsed by more tasks than there are files.
+    write = lambda path: star.event_records(spark, d).repartition(12, first).write.option("parquet.block.size", 1 << 20).parquet(path)
     return table_once(spark, d, "records", write)
 
 
