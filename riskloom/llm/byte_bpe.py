@@ -5,8 +5,8 @@ sequence of tokens is the BPE encoding of its bytes exactly if its first token e
 every neighbouring pair does, so the merges compile into a transducer: a nondeterministic state is a
 place in the token trie together with the token before it, and for every prefix of a piece exactly one
 such path ends on a whole token.  The deterministic state is the set of paths still open; it is built
-the first time a byte leads to it.  A token is emitted as soon as all open paths agree on it, which is
-never later than the longest token after its end.
+the first time a byte leads to it.  The transducer puts out that whole token for every byte; the tokens of
+the piece are read back from its end.
 
 Defined results: a missing or empty text has no ids and decodes to the empty text; special-token strings
 are ordinary text; bytes that are no UTF-8 decode to U+FFFD as Python's decoder would; rows are
@@ -19,7 +19,7 @@ import base64
 import struct
 from array import array
 from collections.abc import Callable, Iterator
-from functools import cache, cached_property
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -27,15 +27,18 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import whole_text
+from riskloom.llm.common import whole_text, worker_model
 
 START = -1
+PLACE = 24                # bits of a place in the trie, and of a state's number
+PLACES = (1 << PLACE) - 1
 NEVER = 1 << 60
-MEMO_BYTES = 20_000_000   # estimated size of each of a worker's two generations of pieces; the older goes when the newer is full
+MEMO_BYTES = 30_000_000   # estimated size of each of a worker's two generations of pieces; the older goes when the newer is full
 ENTRY_BYTES = 200         # of a remembered piece besides its characters and ids
-MEMO_PAIRS = 100_000      # answers about token pairs kept by a worker
-MEMO_STATES = 60_000      # transitions kept by a worker; later ones are worked out each time they are needed
+MEMO_PAIRS = 200_000      # answers about token pairs kept by a worker
+MEMO_STATES = 500_000     # transitions kept by a worker; later ones are worked out each time they are needed
 MEMO_CHARS = 32           # longer pieces are not kept
+PACKERS = [struct.Struct(f"<{n}I").pack for n in range(41)]
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -49,6 +52,7 @@ class Transducer:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks, self.bytes_of = ranks, {rank: token for token, rank in ranks.items()}
+        self.sizes = {rank: len(token) for token, rank in ranks.items()}
         # The token trie: child[node * 256 + byte], whether a node has children, the token that ends there.
         self.child: dict[int, int] = {}
         self.inner, self.token_at = bytearray(1), array("i", [START])
@@ -61,13 +65,12 @@ class Transducer:
                     self.inner.append(0)
                     self.token_at.append(START)
             self.token_at[node] = rank
-        self.follows: dict[tuple[int, int], bool] = {}
+        self.follows: dict[int, bool] = {}            # by (token before << PLACE | token)
         self.halves: dict[int, tuple[int, int]] = {}
-        # A path: place in the trie, token before it, tokens not yet emitted.  A state is a set of paths.
-        self.states: list[tuple] = [((0, START, ()),)]
-        self.number: dict[tuple, int] = {self.states[0]: 0}
-        self.moves: list[dict[int, tuple[tuple[int, ...], int]]] = [{}]
-        self.kept = 0
+        # A path: the token before it << PLACE | its place in the trie.  A state is a set of paths.
+        self.states: list[tuple[int, ...]] = [(START << PLACE,)]
+        self.number: dict[tuple[int, ...], int] = {self.states[0]: 0}
+        self.moves: dict[int, int] = {}               # state << 8 | byte: the token that ends there << PLACE | next state
 
     def _halves(self, token: int) -> tuple[int, int]:
         """The two tokens whose merge made this one; a token that no merge makes has none (START, START)."""
@@ -95,7 +98,7 @@ class Transducer:
             return False
         if before == START:
             return True
-        known = self.follows.get((before, token))
+        known = self.follows.get(before << PLACE | token)
         if known is None:
             left, right = before, token
             done_left = done_right = NEVER       # rank of the merge that ended each piece's life
@@ -114,75 +117,68 @@ class Transducer:
                     break
             if len(self.follows) >= MEMO_PAIRS:
                 self.follows.clear()
-            self.follows[before, token] = known
+            self.follows[before << PLACE | token] = known
         return known
 
-    def _move(self, paths: tuple, byte: int) -> tuple[tuple[int, ...], tuple]:
+    def _move(self, paths: tuple[int, ...], byte: int) -> tuple[int, tuple[int, ...]]:
         """Determinise one step: advance every open path, add the one that just completed a token."""
-        open_paths, ended = [], None
-        for node, before, pending in paths:
-            to = self.child.get(node << 8 | byte)
+        open_paths, ended = [], START
+        child, token_at, inner, follows = self.child, self.token_at, self.inner, self.follows
+        for path in paths:
+            to = child.get((path & PLACES) << 8 | byte)
             if to is None:
                 continue
-            token = self.token_at[to]
-            if ended is None and token != START and self.may_follow(before, token):
-                ended = (0, token, (*pending, token))
-            if self.inner[to]:
-                open_paths.append((to, before, pending))
-        if ended is None:
+            before, token = path >> PLACE, token_at[to]
+            if token != START and ended == START:
+                fits = follows.get(before << PLACE | token)
+                if self.may_follow(before, token) if fits is None else fits:
+                    ended = token
+            if inner[to]:
+                open_paths.append(before << PLACE | to)
+        if ended == START:
             raise ValueError(f"byte {byte} is in no token")
-        agreed = len(ended[2])
-        for _, _, pending in open_paths:
-            same = 0
-            while same < agreed and same < len(pending) and pending[same] == ended[2][same]:
-                same += 1
-            agreed = same
-        open_paths.append(ended)
-        if agreed:
-            open_paths = [(node, before, pending[agreed:]) for node, before, pending in open_paths]
-        return ended[2][:agreed], tuple(open_paths)
-
-    def _learn(self, state: int, byte: int) -> tuple[tuple[int, ...], int]:
+        open_paths.append(ended << PLACE)
+        return ended, tuple(open_paths)
+
+    def _learn(self, state: int, byte: int) -> int:
         """A move that is met for the first time is kept, with the state it leads to."""
-        emitted, paths = self._move(self.states[state], byte)
+        token, paths = self._move(self.states[state], byte)
         at = self.number.get(paths)
         if at is None:
             at = self.number[paths] = len(self.states)
             self.states.append(paths)
-            self.moves.append({})
-        self.moves[state][byte] = emitted, at
-        self.kept += 1
-        return emitted, at
+        move = self.moves[state << 8 | byte] = token << PLACE | at
+        return move
 
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        out: list[int] = []
+        last: list[int] = []                          # the last token of each beginning of the piece
         state, moves = 0, self.moves
         for i, byte in enumerate(piece):
-            move = moves[state].get(byte)
+            move = moves.get(state << 8 | byte)
             if move is None:
-                if self.kept >= MEMO_STATES:
-                    return self._unkept(out, state, piece[i:])
+                if len(moves) >= MEMO_STATES:
+                    self._unkept(last, state, piece[i:])
+                    break
                 move = self._learn(state, byte)
-            emitted, state = move
-            if emitted:
-                out += emitted
-        return self._finish(out, self.states[state])
+            last.append(move >> PLACE)
+            state = move & PLACES
+        # Read back from the end: the token before one is the last token of what it leaves.
+        out, at, sizes = [], len(last), self.sizes
+        while at:
+            out.append(last[at - 1])
+            at -= sizes[out[-1]]
+        out.reverse()
+        return out
 
-    def _unkept(self, out: list[int], state: int, rest: bytes) -> list[int]:
+    def _unkept(self, last: list[int], state: int, rest: bytes) -> None:
         """The same machine for the rest of a piece, without keeping anything."""
         paths = self.states[state]
         for byte in rest:
-            emitted, paths = self._move(paths, byte)
-            out += emitted
-        return self._finish(out, paths)
-
-    @staticmethod
-    def _finish(out: list[int], paths: tuple) -> list[int]:
-        out += next(pending for node, _, pending in paths if node == 0)
-        return out
+            token, paths = self._move(paths, byte)
+            last.append(token)
 
 
 class Utf8Stream:
@@ -259,7 +255,7 @@ class Codec:
         packed = self.older.get(piece)
         if packed is None:
             ids = self.machine.encode(piece.encode("utf-8"))
-            packed = struct.pack(f"<{len(ids)}I", *ids)
+            packed = np.array(ids, "<u4").tobytes() if len(ids) > 40 else PACKERS[len(ids)](*ids)
         if len(piece) <= MEMO_CHARS:
             if self.held >= MEMO_BYTES:
                 self.older, self.memo, self.held = self.memo, {}, 0
@@ -293,9 +289,8 @@ class Codec:
         return "".join(out)
 
 
-@cache
 def _codec(raw: bytes, pattern: str) -> Codec:
-    return Codec({base64.b64decode(a): int(b) for a, b in map(bytes.split, raw.splitlines())}, pattern)
+    return worker_model((raw, pattern), lambda: Codec({base64.b64decode(a): int(b) for a, b in map(bytes.split, raw.splitlines())}, pattern))
 
 
 class ByteBpe:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Hashable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,3 +39,19 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     path = work_folder(spark, label)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+_model: dict[Hashable, object] = {}
+
+
+def worker_model(key: Hashable, make: Callable[[], object]):
+    """The model that a Python worker keeps from task to task: one at a time, as workers serve one operator after another."""
+    if key not in _model:
+        _model.clear()
+        _model[key] = make()
+    return _model[key]
+
+
+def release_model() -> None:
+    """Let go of the model an earlier operator left in this worker."""
+    _model.clear()

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import LOWER, UPPER, stored, whole_text
+from riskloom.llm.common import LOWER, UPPER, release_model, stored, whole_text
 
 WORDS = 5
 NUM, DEN = 75, 100        # similarity as a fraction
@@ -122,6 +122,7 @@ def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     A document: aux -1, its id, size and sketch (and -2, once more, if it had too few signatures from the
     start).  A signature: aux = 64 * slack + band; the other columns are null.
     """
+    release_model()
     for batch in batches:
         sigs, nodes, aux, docs = [], [], [], []
         for doc, t in zip(batch.id, batch.t):

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import ascii_lower, stored, whole_text
+from riskloom.llm.common import ascii_lower, release_model, stored, whole_text
 
 SLOTS = 4
 KICKS = 500
@@ -221,6 +221,7 @@ class LineIndex:
 
         @F.pandas_udf("array<boolean>")
         def maybe(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+            release_model()
             filters = {k: CuckooFilter.load(v) for k, v in sent.value.items()}
             for hashes, homes in batches:
                 lengths = hashes.map(len).to_numpy()

@@ -20,14 +20,13 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import stored, whole_text
+from riskloom.llm.common import release_model, stored, whole_text, worker_model
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 SYMBOLS = 27                       # 0 is a word boundary
@@ -51,6 +50,7 @@ THRESHOLD = 0.7
 LOGIT = math.log(THRESHOLD / (1 - THRESHOLD))
 MEMO = 60_000                      # spans, and words, that a worker keeps
 MEMO_CHARS = 100                   # a longer span is not kept
+GRAM_BLOCK = 1 << 19               # characters whose 4-grams are counted at once
 BLOCK = 4_096                      # characters after which the readings of a span are packed into strings
 
 # Three or more letters, digits or leet symbols, each alone or repeated, parted by blanks or punctuation, which may also stand
@@ -75,12 +75,31 @@ def gram_counts(texts: Iterator[str]) -> np.ndarray:
     """Counts of letter 4-grams; everything between letters is one boundary."""
     code = np.zeros(256, np.uint8)
     code[[ord(c) for c in LETTERS]] = range(1, SYMBOLS)
-    symbols = code[np.frombuffer(fold("   " + "\n".join(texts) + " ").encode(), np.uint8)]
-    letter = symbols > 0
-    letter[1:] |= symbols[:-1] > 0            # letters and the first boundary after one
-    letter[:3] = True
-    s = symbols[letter].astype(np.int32)
-    return np.bincount(((s[:-3] * SYMBOLS + s[1:-2]) * SYMBOLS + s[2:-1]) * SYMBOLS + s[3:], minlength=CELLS)
+    total, before, tail = np.zeros(CELLS, np.int64), 0, np.zeros(3, np.int32)
+    for block in _blocks(texts):
+        symbols = code[np.frombuffer(fold(block).encode(), np.uint8)]
+        if not len(symbols):
+            continue
+        letter = symbols > 0
+        letter[1:] |= symbols[:-1] > 0        # letters and the first boundary after one
+        letter[0] |= before > 0
+        s = np.concatenate([tail, symbols[letter].astype(np.int32)])
+        total += np.bincount(((s[:-3] * SYMBOLS + s[1:-2]) * SYMBOLS + s[2:-1]) * SYMBOLS + s[3:], minlength=CELLS)
+        before, tail = symbols[-1], s[-3:]
+    return total
+
+
+def _blocks(texts: Iterator[str]) -> Iterator[str]:
+    """The texts joined by \\n, and a blank, in blocks of about GRAM_BLOCK characters; long texts are cut."""
+    held, size = [], 0
+    for i, text in enumerate(texts):
+        for start in range(0, max(1, len(text)), GRAM_BLOCK):
+            held.append(("\n" if i and not start else "") + text[start:start + GRAM_BLOCK])
+            size += len(held[-1])
+            if size >= GRAM_BLOCK:
+                yield "".join(held)
+                held, size = [], 0
+    yield "".join(held) + " "
 
 
 class Decoder:
@@ -312,14 +331,14 @@ class ToxicityModel:
         return docs.withColumn(restored, F.pandas_udf(run, "string")(whole_text(text)))
 
 
-@lru_cache(maxsize=2)
 def _decoder(raw: bytes) -> Decoder:
-    return Decoder(np.frombuffer(raw, np.int64))
+    return worker_model(raw, lambda: Decoder(np.frombuffer(raw, np.int64)))
 
 
 def corpus_counts(corpus: DataFrame, text: str) -> np.ndarray:
     """4-gram counts over every text, summed per partition and then by cell."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        release_model()
         total = np.zeros(CELLS, np.int64)
         for batch in batches:
             total += gram_counts(batch[text])

@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -9,7 +10,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from riskloom.llm import byte_bpe, html_blocks, license_scan, syncmers, toxicity
+from riskloom.llm import byte_bpe, common, html_blocks, license_scan, syncmers, toxicity
 
 RANKS = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
 ODD = ["", "a", " ", "\n\n", "naïve café 漢字 🙂🙂", "x" * 70_000, "ab " * 20_000, "it's we'll 12345 $$ \t\tend  ", "<|endoftext|>", "\x1c\x85　"]
@@ -312,3 +313,39 @@ def test_held_out_labels_are_found(spark):
     rows = got.filter("held_out").join(labels, "doc_id").groupBy("toxic", "predicted").count().collect()
     n = {(r.toxic, r.predicted): r["count"] for r in rows}
     assert n.get((1, 1), 0) >= 0.8 * (n.get((1, 1), 0) + n.get((1, 0), 0)) and n.get((0, 1), 0) <= 0.02 * n[0, 0]
+
+
+def test_bpe_remembers_the_moves_of_many_new_words(plain, monkeypatch):
+    rnd = random.Random(9)
+    parts = ["".join(rnd.choice("etaoinsrhdlcéß") for _ in range(rnd.randint(1, 5))) for _ in range(2_000)]
+    text = " ".join("".join(rnd.choice(parts) for _ in range(rnd.randint(2, 5))) for _ in range(20_000))
+    codec = byte_bpe.Codec(RANKS, public_tokenizers.PATTERN)
+    slow = []
+    unkept = codec.machine._unkept
+    monkeypatch.setattr(codec.machine, "_unkept", lambda *a: slow.append(a) or unkept(*a))
+    assert np.frombuffer(codec.encode(text), "<u4").tolist() == plain.encode_ordinary(text)
+    assert not slow      # words made of known parts lead through moves that are remembered
+
+
+def test_gram_counts_hold_one_block_at_a_time(monkeypatch):
+    texts = ["Ünïdiot 1d-iot\n.", "", "ab", "zz Ab", " end"]
+    whole = toxicity.gram_counts(iter(texts))
+    for size in (1, 2, 5):
+        monkeypatch.setattr(toxicity, "GRAM_BLOCK", size)
+        assert (toxicity.gram_counts(iter(texts)) == whole).all()
+    monkeypatch.undo()
+    long = ["many words of a long text " * 80_000] * 2
+    tracemalloc.start()
+    toxicity.gram_counts(iter(long))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40_000_000
+
+
+def test_a_worker_keeps_one_model():
+    toxicity._decoder(np.zeros(toxicity.CELLS, np.int64).tobytes())
+    codec = byte_bpe._codec(b"YQ== 0\n", "a")
+    assert byte_bpe._codec(b"YQ== 0\n", "a") is codec
+    assert list(common._model.values()) == [codec]
+    common.release_model()
+    assert not common._model
