@@ -18,7 +18,7 @@ from __future__ import annotations
 import base64
 import struct
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import cached_property
 
 import numpy as np
@@ -33,10 +33,10 @@ START = -1
 PLACE = 24                # bits of a place in the trie, and of a state's number
 PLACES = (1 << PLACE) - 1
 NEVER = 1 << 60
-MEMO_BYTES = 30_000_000   # estimated size of each of a worker's two generations of pieces; the older goes when the newer is full
+MEMO_BYTES = 20_000_000   # estimated size of each of a worker's two generations of pieces; the older goes when the newer is full
 ENTRY_BYTES = 200         # of a remembered piece besides its characters and ids
 MEMO_PAIRS = 200_000      # answers about token pairs kept by a worker
-MEMO_STATES = 500_000     # transitions kept by a worker; later ones are worked out each time they are needed
+MEMO_STATES = 400_000     # transitions kept by a worker; later ones are worked out each time they are needed
 MEMO_CHARS = 32           # longer pieces are not kept
 PACKERS = [struct.Struct(f"<{n}I").pack for n in range(41)]
 
@@ -68,8 +68,8 @@ class Transducer:
         self.follows: dict[int, bool] = {}            # by (token before << PLACE | token)
         self.halves: dict[int, tuple[int, int]] = {}
         # A path: the token before it << PLACE | its place in the trie.  A state is a set of paths.
-        self.states: list[tuple[int, ...]] = [(START << PLACE,)]
-        self.number: dict[tuple[int, ...], int] = {self.states[0]: 0}
+        self.states: list[bytes] = [array("q", [START << PLACE]).tobytes()]
+        self.number: dict[bytes, int] = {self.states[0]: 0}
         self.moves: dict[int, int] = {}               # state << 8 | byte: the token that ends there << PLACE | next state
 
     def _halves(self, token: int) -> tuple[int, int]:
@@ -120,7 +120,7 @@ class Transducer:
             self.follows[before << PLACE | token] = known
         return known
 
-    def _move(self, paths: tuple[int, ...], byte: int) -> tuple[int, tuple[int, ...]]:
+    def _move(self, paths: Iterable[int], byte: int) -> tuple[int, list[int]]:
         """Determinise one step: advance every open path, add the one that just completed a token."""
         open_paths, ended = [], START
         child, token_at, inner, follows = self.child, self.token_at, self.inner, self.follows
@@ -138,11 +138,12 @@ class Transducer:
         if ended == START:
             raise ValueError(f"byte {byte} is in no token")
         open_paths.append(ended << PLACE)
-        return ended, tuple(open_paths)
+        return ended, open_paths
 
     def _learn(self, state: int, byte: int) -> int:
         """A move that is met for the first time is kept, with the state it leads to."""
-        token, paths = self._move(self.states[state], byte)
+        token, open_paths = self._move(array("q", self.states[state]), byte)
+        paths = array("q", open_paths).tobytes()
         at = self.number.get(paths)
         if at is None:
             at = self.number[paths] = len(self.states)
@@ -175,7 +176,7 @@ class Transducer:
 
     def _unkept(self, last: list[int], state: int, rest: bytes) -> None:
         """The same machine for the rest of a piece, without keeping anything."""
-        paths = self.states[state]
+        paths = array("q", self.states[state])
         for byte in rest:
             token, paths = self._move(paths, byte)
             last.append(token)
