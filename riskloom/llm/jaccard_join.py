@@ -24,6 +24,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -38,6 +40,9 @@ SMALL_SEGMENTS = 3
 FREQUENT = 32             # signatures shared by more sets are left out where the pigeonhole allows it
 PIVOTS = 16               # pivots that a set of many signatures is compared with in the second round
 CELLS = 512               # counters of a sketch
+BUCKETS = 256             # parts that signatures are dealt to at least
+CHUNK_SIGNATURES = 2_000_000   # signatures packed together, of so many entries at most, which 16 bits number
+CHUNK_ENTRIES = 60_000
 SENT_IDS = 200_000        # ids sent to every task at most; more are joined by a shuffle
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -113,31 +118,105 @@ def signatures(tokens: np.ndarray, num: int = NUM, den: int = DEN) -> list[tuple
     return out
 
 
-PASS = "sig long, node long, aux int, id long, n long, bits binary"
+PASS = "part int, bucket int, chunk long, packed binary, id long, node long, n long, short boolean, bits binary"
+DOCUMENT, ENTRIES, SIGNATURES = range(3)   # what a row of PASS holds
+BITS = np.uint64(48)                       # a signature's lower bits are sent, its upper ones name its bucket
 
 
-def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One reading of the texts gives two kinds of rows.
+def _pack(low: np.ndarray, entry: np.ndarray) -> bytes:
+    """Signatures of ascending entries in eight bytes each: six of its own, two for the step from the entry before."""
+    steps = np.diff(entry, prepend=np.uint16(0)).view(np.uint8).reshape(-1, 2)
+    return low.view(np.uint8).reshape(-1, 8)[:, :6].tobytes() + steps[:, 0].tobytes() + steps[:, 1].tobytes()
 
-    A document: aux -1, its id, size and sketch (and -2, once more, if it had too few signatures from the
-    start).  A signature: aux = 64 * slack + band; the other columns are null.
+
+def _unpack(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = len(packed) // 8
+    low, steps = np.zeros((n, 8), np.uint8), np.empty((n, 2), np.uint8)
+    low[:, :6] = np.frombuffer(packed, np.uint8, 6 * n).reshape(n, 6)
+    steps[:, 0], steps[:, 1] = np.frombuffer(packed, np.uint8, 2 * n, 6 * n).reshape(2, n)
+    return low.view(np.uint64).ravel(), np.cumsum(steps.view(np.uint16).ravel(), dtype=np.uint16)
+
+
+def _chunk(sigs: list, nodes: list, aux: list, buckets: int) -> pd.DataFrame:
+    """One row says which sets (and bands) the entries are, one per bucket holds its signatures.
+
+    A chunk is named by what its entries are, so one that is made anew in another order is not taken for it.
+    """
+    names = np.array(nodes, np.int64).tobytes() + np.array(aux, np.int32).tobytes()
+    chunk = int.from_bytes(hashlib.blake2b(names, digest_size=8).digest(), "little", signed=True)
+    flat = np.concatenate(sigs)
+    bucket = ((flat >> BITS) % np.uint64(buckets)).astype(np.uint16)
+    order = np.argsort(bucket, kind="stable")
+    entry = np.repeat(np.arange(len(sigs), dtype=np.uint16), [len(s) for s in sigs])[order]
+    flat, bucket = flat[order], bucket[order].astype(np.int32)
+    at = np.flatnonzero(np.r_[True, np.diff(bucket) != 0, True])
+    packed = [_pack(flat[i:j], entry[i:j]) for i, j in zip(at, at[1:])]
+    return pd.DataFrame({"part": [ENTRIES] + [SIGNATURES] * len(packed), "bucket": [chunk % buckets, *bucket[at[:-1]]],
+                         "chunk": chunk, "packed": [names, *packed], "id": None, "node": None, "n": None, "short": None, "bits": None})
+
+
+def _signed(batches: Iterator[pd.DataFrame], buckets: int) -> Iterator[pd.DataFrame]:
+    """One reading of the texts gives rows of documents and chunks of packed signatures.
+
+    A document: its id, set, size, sketch, and whether it had too few signatures from the start.  An entry is a
+    set in a band, with aux = 64 * slack + band.
     """
     release_model()
+    sigs, nodes, aux, held, row = [], [], [], 0, 0
     for batch in batches:
-        sigs, nodes, aux, docs = [], [], [], []
+        docs = []
         for doc, t in zip(batch.id, batch.t):
             tokens = shingles(t)
             node, short = _node(tokens), False
             for band, own, slack in signatures(tokens):
                 short |= slack < 0
-                sigs.append(own.view(np.int64))
-                nodes.append(np.full(len(own), node, np.int64))
-                aux.append(np.full(len(own), 64 * max(slack, 0) + band, np.int32))
-            docs.append((node, node, -2 if short else -1, doc, len(tokens), _sketch(tokens)))
-        if sigs:
-            yield pd.DataFrame({"sig": np.concatenate(sigs), "node": np.concatenate(nodes), "aux": np.concatenate(aux),
-                                "id": None, "n": None, "bits": None})
-        yield pd.DataFrame(docs, columns=["sig", "node", "aux", "id", "n", "bits"])
+                sigs.append(own)
+                nodes.append(node)
+                aux.append(64 * max(slack, 0) + band)
+                held += len(own)
+            row += 1
+            docs.append((DOCUMENT, row % buckets, None, None, doc, node, len(tokens), short, _sketch(tokens)))
+            if held >= CHUNK_SIGNATURES or len(sigs) >= CHUNK_ENTRIES:
+                yield _chunk(sigs, nodes, aux, buckets)
+                sigs, nodes, aux, held = [], [], [], 0
+        yield pd.DataFrame(docs, columns=["part", "bucket", "chunk", "packed", "id", "node", "n", "short", "bits"])
+    if sigs:
+        yield _chunk(sigs, nodes, aux, buckets)
+
+
+def _shared(rows: pa.Table) -> pa.Table:
+    """Rows of one bucket, without the signatures that only one document has."""
+    packs = rows.filter(pc.equal(rows["part"], SIGNATURES))
+    if not packs.num_rows:
+        return rows
+    low, entry = zip(*map(_unpack, packs["packed"].to_pylist()))
+    flat = np.concatenate(low)
+    order = np.argsort(flat)
+    same = flat[order[1:]] == flat[order[:-1]]
+    met = np.zeros(len(flat), bool)
+    met[order[1:][same]] = met[order[:-1][same]] = True
+    kept = np.split(met, np.cumsum([len(x) for x in low])[:-1])
+    packed = [_pack(x[k], y[k]) for x, y, k in zip(low, entry, kept)]
+    at = packs.schema.get_field_index("packed")
+    packs = packs.set_column(at, packs.schema.field(at), pa.array(packed, packs.schema.field(at).type))
+    return pa.concat_tables([rows.filter(pc.not_equal(rows["part"], SIGNATURES)), packs.filter(pc.greater(pc.binary_length(packs["packed"]), 0))])
+
+
+def _named(rows: pa.Table) -> pa.Table:
+    """Signatures of one chunk with the sets they belong to."""
+    names = rows.filter(pc.equal(rows["part"], ENTRIES))["packed"].to_pylist()
+    packs = rows.filter(pc.equal(rows["part"], SIGNATURES))
+    out = {"sig": np.empty(0, np.int64), "node": np.empty(0, np.int64), "aux": np.empty(0, np.int32)}
+    if packs.num_rows:
+        if not names:
+            raise RuntimeError("a chunk of signatures lacks its entries: the documents came in another order when a lost task was run again")
+        n = len(names[0]) // 12
+        nodes, aux = np.frombuffer(names[0], np.int64, n), np.frombuffer(names[0], np.int32, n, 8 * n)
+        low, entry = zip(*map(_unpack, packs["packed"].to_pylist()))
+        bucket = np.repeat(packs["bucket"].to_numpy().astype(np.uint64), [len(x) for x in low])
+        entry = np.concatenate(entry)
+        out = {"sig": (np.concatenate(low) | bucket << BITS).view(np.int64), "node": nodes[entry], "aux": aux[entry]}
+    return pa.table(out)
 
 
 def _packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -202,13 +281,16 @@ class JaccardJoin:
 
     def __init__(self, docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"):
         self.docs = docs.select(F.col(doc_id).alias("id"), whole_text(text).alias("t"))
-        group = W.partitionBy("sig")
-        met = (self.docs.mapInPandas(_signed, PASS)
-               .withColumns({"low": F.min("node").over(group), "high": F.max("node").over(group)})
-               .filter("aux < 0 or low != high").drop("low", "high"))
-        # Most signatures are met by one set only and end here.
-        self.met = stored(met, "jaccard-met")
-        self.rows = self.met.filter("aux < 0").select("id", "node", "n", "bits")
+        # Buckets stay small as the session's shuffle does; upper bits of a signature name at most 65,536.
+        buckets = min(max(BUCKETS, 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), 1 << 16)
+        met = (self.docs.mapInPandas(lambda batches: _signed(batches, buckets), PASS)
+               .groupBy("bucket").applyInArrow(_shared, PASS))
+        # Most signatures are met by one document only and end here.
+        met = stored(met, "jaccard-met")
+        self.met = met.filter(F.col("part") != DOCUMENT).groupBy("chunk").applyInArrow(_named, "sig long, node long, aux int")
+        own = met.filter(F.col("part") == DOCUMENT)
+        self.short = own.filter("short").select("node")
+        self.rows = own.select("id", "node", "n", "bits")
         # One document stands for each distinct set.
         self.nodes = stored(self.rows.filter("n > 0").groupBy("node").agg(
             F.min("id").alias("id"), F.first("n").alias("n"), F.first("bits").alias("bits")), "jaccard-nodes")
@@ -261,8 +343,7 @@ class JaccardJoin:
 
     def run(self) -> JaccardJoin:
         group = W.partitionBy("sig")
-        met = self.met.filter("aux >= 0").select("sig", "node", "aux").dropDuplicates(["sig", "node"])
-        met = met.withColumn("c", F.count("*").over(group))
+        met = stored(self.met.dropDuplicates(["sig", "node"]).withColumn("c", F.count("*").over(group)).filter("c > 1"), "jaccard-counted")
         # The pivot of a signature is its set with the most company: the unedited one among its copies.
         central = met.groupBy("node").agg(F.sum("c").alias("company"))
         met = met.join(central, "node").withColumn("pivot", F.max(F.struct("company", "node")).over(group)["node"]).drop("company")
@@ -307,8 +388,7 @@ class JaccardJoin:
         """Sets that cannot spare their frequent signatures, or had too few from the start."""
         left_out = (known.filter(F.col("c") > FREQUENT).groupBy("node", "aux").agg(F.count("*").alias("k"))
                     .filter("k > aux div 64").select("node"))
-        few = self.met.filter("aux = -2").select("node")
-        return stored(left_out.unionAll(few).distinct(), "jaccard-short")
+        return stored(left_out.unionAll(self.short).distinct(), "jaccard-short")
 
     def _second_level(self, short: DataFrame) -> None:
         """Segments of one shingle each: every short set looks up its H + 1 rarest shingles among all short sets."""

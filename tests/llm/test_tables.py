@@ -7,6 +7,8 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -256,6 +258,37 @@ def test_pipeline_keeps_one_row_of_a_group_whatever_its_id(spark):
     assert collections.Counter(kept) == collections.Counter([(2, long + " end"), (9, other), (5, ""), (5, ""), (None, "")])
 
 
+def test_signatures_are_sent_packed_and_whole(monkeypatch):
+    monkeypatch.setattr(jaccard_join, "CHUNK_SIGNATURES", 5_000)
+    rows = pd.DataFrame(_near_copies(5, 600), columns=["id", "t"])
+    sent = pd.concat(list(jaccard_join._signed(iter([rows[:250], rows[250:]]), 7)))
+    packs = sent[sent.part == jaccard_join.SIGNATURES]
+    wanted, holders = collections.Counter(), collections.defaultdict(set)
+    for i, t in zip(rows.id, rows.t):
+        tokens = jaccard_join.shingles(t)
+        for band, sigs, slack in jaccard_join.signatures(tokens):
+            for sig in sigs:
+                holders[int(sig)].add(i)
+                wanted[int(sig), jaccard_join._node(tokens), 64 * max(slack, 0) + band] += 1
+    # Before, a signature and the name of its set took 8 bytes each, its band and slack 4 more.
+    assert packs.packed.map(len).sum() == 8 * sum(wanted.values()) and sent.chunk.nunique() > 1
+    types = pa.schema([("part", pa.int32()), ("bucket", pa.int32()), ("chunk", pa.int64()), ("packed", pa.binary()), ("id", pa.int64()),
+                       ("node", pa.int64()), ("n", pa.int64()), ("short", pa.bool_()), ("bits", pa.binary())])
+    met = [jaccard_join._shared(pa.Table.from_pandas(g, types, preserve_index=False)).to_pandas() for _, g in sent.groupby("bucket")]
+    met = pd.concat(met)
+    assert (met.part == jaccard_join.DOCUMENT).sum() == 600
+    mask, got = (1 << 48) - 1, collections.Counter()
+    for _, g in met[met.part != jaccard_join.DOCUMENT].groupby("chunk"):
+        columns = types.remove(8).remove(7).remove(6).remove(5).remove(4)
+        named = jaccard_join._named(pa.Table.from_pandas(g[columns.names], columns, preserve_index=False)).to_pandas()
+        got.update((s & mask, n, a) for s, n, a in named.itertuples(index=False))
+    expected = collections.Counter()
+    for (sig, node, aux), k in wanted.items():
+        if len(holders[sig]) > 1:
+            expected[sig & mask, node, aux] += k
+    assert got == expected
+
+
 def test_no_documents_no_links(spark, docs):
     assert jaccard_join.link_documents(docs([])).count() == 0
 
