@@ -14,7 +14,8 @@ compared with one of them, and what is connected by then is not compared again.
 Defined results: a missing or empty text and one without words has no shingles and is linked with nothing;
 fewer than WORDS words are one shingle; equal sets are always linked; every row is answered by itself, rows
 that repeat a doc_id share its smallest component; an empty table gives an empty one; extra columns are not
-read.  A missing doc_id never names a component unless all its members lack one.
+read.  A missing doc_id never names a component unless all its members lack one.  If a lost task is run again on rows in another
+order (those of files keep theirs), the join ends with an error, as signatures name their set by its place.
 """
 
 from __future__ import annotations
