@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import LOWER, UPPER, release_model, stored, whole_text
+from riskloom.llm.common import LOWER, UPPER, discard, release_model, stored, whole_text
 
 WORDS = 5
 NUM, DEN = 75, 100        # similarity as a fraction
@@ -220,6 +220,12 @@ def _named(rows: pa.Table) -> pa.Table:
     return pa.table(out)
 
 
+def _named_once(rows: pa.Table) -> pa.Table:
+    """The same, each signature of a set once, however many copies of it the chunk holds."""
+    found = _named(rows).group_by(["sig", "node"]).aggregate([("aux", "min")])
+    return found.rename_columns(["sig", "node", "aux"])
+
+
 def _packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         sets = [shingles(t) for t in batch.t]
@@ -267,14 +273,19 @@ def components(edges: DataFrame) -> DataFrame:
     """
     edges = stored(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
     labels = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("comp", F.col("node"))
+    used = [edges]
     while not edges.isEmpty():
-        hook = sent_if_small(stored(edges.groupBy(F.col("b").alias("from")).agg(F.min("a").alias("to")), "hooks"))
+        used.append(stored(edges.groupBy(F.col("b").alias("from")).agg(F.min("a").alias("to")), "hooks"))
+        hook = sent_if_small(used[-1])
         for end in ("a", "b"):
             edges = (edges.join(hook, F.col(end) == F.col("from"), "left")
                      .withColumn(end, F.coalesce("to", end)).drop("from", "to"))
         labels = labels.join(hook, F.col("comp") == F.col("from"), "left").select("node", F.coalesce("to", "comp").alias("comp"))
         edges = stored(edges.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
-    return stored(labels, "labels")
+        used.append(edges)
+    labels = stored(labels, "labels")
+    discard(*used)
+    return labels
 
 
 class JaccardJoin:
@@ -287,13 +298,12 @@ class JaccardJoin:
         met = (self.docs.mapInPandas(lambda batches: _signed(batches, buckets), PASS)
                .groupBy("bucket").applyInArrow(_shared, PASS))
         # Most signatures are met by one document only and end here.
-        met = stored(met, "jaccard-met")
-        self.met = met.filter(F.col("part") != DOCUMENT).groupBy("chunk").applyInArrow(_named, "sig long, node long, aux int")
-        own = met.filter(F.col("part") == DOCUMENT)
-        self.short = own.filter("short").select("node")
-        self.rows = own.select("id", "node", "n", "bits")
+        self.met = stored(met, "jaccard-met")
+        own = self.met.filter(F.col("part") == DOCUMENT)
+        self.rows = stored(own.select("id", "node", "n", "short"), "jaccard-rows")
+        self.short = self.rows.filter("short").select("node")
         # One document stands for each distinct set.
-        self.nodes = stored(self.rows.filter("n > 0").groupBy("node").agg(
+        self.nodes = stored(own.filter("n > 0").groupBy("node").agg(
             F.min("id").alias("id"), F.first("n").alias("n"), F.first("bits").alias("bits")), "jaccard-nodes")
         self.labels: DataFrame | None = None
 
@@ -327,28 +337,40 @@ class JaccardJoin:
         """Check pairs on their shingles; links join the components."""
         pairs = stored(pairs.select("a", "b"), "pairs")
         if pairs.isEmpty():
+            discard(pairs)
             return
-        sets = self._sets(pairs) if sets is None else sets
+        own = [] if sets is not None else [self._sets(pairs)]
+        sets = sets if not own else own[0]
         full = (pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a")
                 .join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b"))
         links = stored(full.filter(F.pandas_udf(_linked, "boolean")("sa", "sb")).select("a", "b"), "links")
+        discard(*own, pairs)
         # Only what is new is contracted: components so far are the nodes of the new edges.
         joined = self._comp(self._comp(links, "a", "ca"), "b", "cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")).filter("a != b")
         fresh = components(joined)
+        discard(links)
         if self.labels is not None:
             new = sent_if_small(fresh.select(F.col("node").alias("__was"), F.col("comp").alias("__is")))
             old = (self.labels.join(new, F.col("comp") == F.col("__was"), "left")
                    .select("node", F.coalesce("__is", "comp").alias("comp")))
-            fresh = stored(old.unionAll(fresh.join(self.labels.select("node"), "node", "left_anti")), "labels")
+            both = stored(old.unionAll(fresh.join(self.labels.select("node"), "node", "left_anti")), "labels")
+            discard(fresh, self.labels)
+            fresh = both
         self.labels = fresh
 
     def run(self) -> JaccardJoin:
+        """Find and verify all pairs. What is stored on the way goes when it has been read for the last time."""
         group = W.partitionBy("sig")
-        met = stored(self.met.dropDuplicates(["sig", "node"]).withColumn("c", F.count("*").over(group)).filter("c > 1"), "jaccard-counted")
+        named = self.met.filter(F.col("part") != DOCUMENT).groupBy("chunk").applyInArrow(_named_once, "sig long, node long, aux int")
+        # A signature comes once a chunk and set, so one shuffle by it serves both steps.
+        counted = named.repartition("sig").dropDuplicates(["sig", "node"]).withColumn("c", F.count("*").over(group)).filter("c > 1")
+        counted = stored(counted, "jaccard-counted")
+        discard(self.met)
         # The pivot of a signature is its set with the most company: the unedited one among its copies.
-        central = met.groupBy("node").agg(F.sum("c").alias("company"))
-        met = met.join(central, "node").withColumn("pivot", F.max(F.struct("company", "node")).over(group)["node"]).drop("company")
-        met = stored(met, "jaccard-groups")
+        central = stored(counted.groupBy("node").agg(F.sum("c").alias("company")), "jaccard-company")
+        met = counted.join(sent_if_small(central), "node").withColumn("pivot", F.max(F.struct("company", "node")).over(group)["node"])
+        met = stored(met.drop("company"), "jaccard-groups")
+        discard(counted, central)
         # First each set with the pivot it shares most signatures with, then the other pivots it is not joined to yet.
         stars = self._stars(met).groupBy("a", "b").agg(F.count("*").alias("shared"))
         stars = stored(self._plausible(stars), "jaccard-stars")
@@ -356,18 +378,22 @@ class JaccardJoin:
         best = W.partitionBy("b").orderBy(F.desc("shared"), "a")
         self._verify(stars.withColumn("r", F.row_number().over(best)).filter("r = 1"), sets)
         self._verify(self._apart(stars), sets)
+        discard(stars, sets)
         # Copies that are far from that pivot: once more with pivots that differ from signature to signature.
         open_rows = self._open(met)
+        discard(met)
         turn = F.struct(F.xxhash64(F.pmod(F.col("sig"), F.lit(PIVOTS)), "node"), "node")
         others = open_rows.withColumn("pivot", F.max(turn).over(group)["node"])
         self._verify(self._plausible(self._apart(self._stars(others).distinct()).select("a", "b")))
         known = self._open(open_rows.drop("comp"))
+        discard(open_rows)
         few = known.filter(F.col("c") <= FREQUENT)
         left = few.select("sig", F.col("node").alias("a"), F.col("comp").alias("ca"))
         right = few.select("sig", F.col("node").alias("b"), F.col("comp").alias("cb"))
         pairs = left.join(right, "sig").filter("a < b and ca != cb").select("a", "b").distinct()
         short = self._short_of_signatures(known)
         self._verify(self._plausible(pairs))
+        discard(known)
         self._second_level(short)
         return self
 
@@ -410,6 +436,7 @@ class JaccardJoin:
         enough = F.least("la", "lb") * (DEN + NUM) >= (F.col("na") + F.col("nb")) * NUM
         pairs = side("a").join(side("b"), "token").filter(F.expr("a < b and ca != cb") & enough).select("a", "b").distinct()
         self._verify(self._plausible(pairs))
+        discard(sized)
 
     def result(self, doc_id: str = "doc_id") -> DataFrame:
         """doc_id, n_shingles, component_id per document."""

@@ -5,6 +5,8 @@ import hashlib
 import itertools
 import random
 import re
+import time
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -13,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from riskloom.llm import jaccard_join, line_dedup, source_mix, url_rules, vptree
+from riskloom.llm import common, jaccard_join, line_dedup, source_mix, url_rules, vptree
 from tests.comparison import connect, difference
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -289,6 +291,33 @@ def test_signatures_are_sent_packed_and_whole(monkeypatch):
     assert got == expected
 
 
+def test_join_leaves_no_large_tables_and_no_shuffle_files(spark, docs, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "work_folder", lambda spark, label: f"{tmp_path}/{label}-{uuid.uuid4().hex}")
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    rows = [t for _, t in _near_copies(5, 60)]
+    frame = common.stored(docs(rows), "docs")
+    files = disk.getAllFiles().size()
+    linked = common.stored(jaccard_join.link_documents(frame), "linked")
+    left = {path.name.rsplit("-", 1)[0] for path in tmp_path.iterdir()}
+    assert left <= {"docs", "linked", "ids", "labels", "jaccard-rows", "jaccard-nodes", "jaccard-short"}
+    for _ in range(100):                      # Spark removes the files of a write soon after it
+        if disk.getAllFiles().size() <= files:
+            break
+        time.sleep(0.1)
+    assert disk.getAllFiles().size() <= files
+    assert linked.count() == len(rows) and spark.conf.get(common.SHUFFLE_CLEANUP) == "false"
+
+
+def test_copies_in_a_chunk_are_named_once():
+    rows = pd.DataFrame([(i, "one two three four five six seven eight nine ten " * 3) for i in range(20)], columns=["id", "t"])
+    sent = pd.concat(list(jaccard_join._signed(iter([rows]), 7)))
+    types = pa.schema([("part", pa.int32()), ("bucket", pa.int32()), ("chunk", pa.int64()), ("packed", pa.binary())])
+    chunk = pa.Table.from_pandas(sent[sent.part != jaccard_join.DOCUMENT][types.names], types, preserve_index=False)
+    every, once = jaccard_join._named(chunk), jaccard_join._named_once(chunk)
+    assert once.schema == every.schema and every.num_rows == 20 * once.num_rows
+    assert set(zip(*once.to_pydict().values())) == set(zip(*every.to_pydict().values()))
+
+
 def test_no_documents_no_links(spark, docs):
     assert jaccard_join.link_documents(docs([])).count() == 0
 
