@@ -42,7 +42,7 @@ FREQUENT = 32             # signatures shared by more sets are left out where th
 PIVOTS = 16               # pivots that a set of many signatures is compared with in the second round
 CELLS = 512               # counters of a sketch
 BUCKETS = 256             # parts that signatures are dealt to at least
-CHUNK_SIGNATURES = 2_000_000   # signatures packed together, of so many entries at most, which 16 bits number
+CHUNK_SIGNATURES = 400_000     # signatures packed together, of so many entries at most, which 16 bits number
 CHUNK_ENTRIES = 60_000
 SENT_IDS = 200_000        # ids sent to every task at most; more are joined by a shuffle
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())

@@ -318,6 +318,13 @@ def test_copies_in_a_chunk_are_named_once():
     assert set(zip(*once.to_pydict().values())) == set(zip(*every.to_pydict().values()))
 
 
+def test_chunks_of_signatures_stay_small():
+    texts = [" ".join(f"w{i}x{j}" for j in range(9_000)) for i in range(80)]
+    sent = pd.concat(list(jaccard_join._signed(iter([pd.DataFrame({"id": range(80), "t": texts})]), 16)))
+    packed = sent[sent.part == jaccard_join.SIGNATURES].groupby("chunk").packed.agg(lambda p: p.map(len).sum())
+    assert packed.sum() > 3_500_000 and packed.max() < 3_500_000     # a worker holds several times that
+
+
 def test_no_documents_no_links(spark, docs):
     assert jaccard_join.link_documents(docs([])).count() == 0
 
