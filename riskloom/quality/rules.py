@@ -52,8 +52,13 @@ def unique(*columns: str) -> Rule:
 
 def grain(*columns: str) -> Rule:
     """Rows beyond the number of distinct keys; null counts as a key like any other."""
-    present = F.struct(*columns)  # never null itself, so rows with null keys are counted
-    return Rule("grain_" + "_".join(columns), F.count(F.lit(1)) - F.count_distinct(present))
+    if len(columns) == 1:
+        # Counted as other rules count the column, so that Spark does not expand the rows once more for it.
+        missing = F.coalesce(F.max(F.col(columns[0]).isNull().cast("int")), F.lit(0))
+        keys = F.count_distinct(*columns) + missing
+    else:
+        keys = F.count_distinct(F.struct(*columns))  # never null itself, so rows with null keys are counted
+    return Rule("grain_" + "_".join(columns), F.count(F.lit(1)) - keys)
 
 
 def not_empty() -> Rule:
