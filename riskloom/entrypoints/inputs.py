@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskloom.operators.clean import clean_filter, dedup_latest, transform
 from riskloom.plans import features
-from riskloom.session import work_folder
+from riskloom.session import (
+    READ_AGAIN,
+    in_part,
+    parts_for,
+    scanned_bytes,
+    shuffles_end_with_the_run,
+    work_folder,
+)
 from riskloom.sources import star_schema as star
-from riskloom.sources.files import exists
+from riskloom.sources.files import delete_folder, exists, folder_bytes
 
 LIMIT = star.TABLE_THRESHOLD
 KEY = ["transaction_id"]
@@ -56,11 +66,51 @@ def high_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.high_risk(processed(spark, sf_dir), LIMIT)
 
 
-def stored(frame: DataFrame, label: str) -> DataFrame:
-    """Write a table once, as the batch run does with its features, and read it back."""
-    path = work_folder(frame.sparkSession, label)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+_folders: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+def stored(frame: DataFrame, label: str, *rest: DataFrame) -> DataFrame:
+    """Write a table once, as the batch run does with its features, and read it back; the rest of its rows one after another."""
+    spark, path = frame.sparkSession, work_folder(frame.sparkSession, label)
+    with shuffles_end_with_the_run(spark):
+        for rows in (frame, *rest):
+            rows.write.mode("append").parquet(path)
+    out = spark.read.schema(frame.schema).parquet(path)
+    _folders[out] = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Remove the files of frames that `stored` returned and nothing reads any more."""
+    for frame in frames:
+        delete_folder(frame.sparkSession, _folders.pop(frame))
+
+
+def stored_processed(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """`processed`, stored. The newest lines of large tables are stored first, and described by parts of the orders."""
+    parts = parts_for(folder_bytes(spark, f"{sf_dir}/lineitem.parquet"))
+    if parts == 1:
+        return stored(processed(spark, sf_dir, *columns), "processed")
+    names = columns or star.TRANSACTION_COLUMNS
+    lines = stored(star.newest_lines(spark, sf_dir, names), "newest-lines")
+
+    def part(i: int) -> DataFrame:
+        only = lambda key: in_part([F.col(key).cast("long")], i, parts)
+        return star.describe(spark, sf_dir, lines.where(only("l_orderkey")), names, star.MADE, only=only)
+
+    out = stored(part(0), "processed", *[part(i) for i in range(1, parts)])
+    discard(lines)
+    return out
+
+
+def stored_feature(fact: DataFrame, name: str) -> DataFrame:
+    """A feature table of a stored fact, stored; of a large fact by parts of the keys."""
+    table = features.FEATURE_TABLES[name]
+    parts = parts_for(scanned_bytes(fact) // READ_AGAIN)
+    if parts == 1:
+        return stored(table.build(fact, LIMIT), name)
+    first, *rest = (table.build(fact.where(in_part(list(table.keys), i, parts)), LIMIT) for i in range(parts))
+    return stored(first, name, *rest)
 
 
 _tables: dict[tuple[str, str, str], str] = {}

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Hashable
-from contextlib import contextmanager
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.session import work_folder
+from riskloom.session import SHUFFLE_CLEANUP as SHUFFLE_CLEANUP
+from riskloom.session import shuffles_end_with_the_run, work_folder
 from riskloom.sources.files import delete_folder
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -36,26 +36,14 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, BLANKS), lambda w: w != "")
 
 
-SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _folders: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
-@contextmanager
-def _shuffles_end_with_the_write(spark: SparkSession):
-    """Spark removes the shuffle files of a write when it is done; else they stay until the driver collects garbage."""
-    before = spark.conf.get(SHUFFLE_CLEANUP, None)
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
-    try:
-        yield
-    finally:
-        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
-
-
 def stored(frame: DataFrame, label: str) -> DataFrame:
     """Write rows once to the shared folder and read them back: cuts the lineage and survives lost executors."""
     spark = frame.sparkSession
     path = work_folder(spark, label)
-    with _shuffles_end_with_the_write(spark):
+    with shuffles_end_with_the_run(spark):
         frame.write.parquet(path)
     out = spark.read.schema(frame.schema).parquet(path)
     _folders[out] = path

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +45,7 @@ from riskloom.schemas import (
 )
 
 RATE_TOLERANCE = 0.000001
+Settle = Callable[[DataFrame], DataFrame]
 _NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:nan|inf|infinity))\s*$"
 
 
@@ -315,8 +316,13 @@ def contract_row(rows: DataFrame) -> DataFrame:
     )
 
 
-def warehouse_contract(tables: Mapping[str, DataFrame], expect: Mapping[str, Mapping], threshold: float) -> DataFrame:
-    """All six table contracts; `expect` holds the exact numbers per table (may be empty)."""
+def warehouse_contract(
+    tables: Mapping[str, DataFrame], expect: Mapping[str, Mapping], threshold: float, settle: Settle = lambda results: results,
+) -> DataFrame:
+    """All six table contracts; `expect` holds the exact numbers per table (may be empty).
+
+    `settle` can store the results of a table, so that the checks of one table are done before those of the next.
+    """
     build = {
         "processed_transactions": lambda t, e: processed_contract(t, **e),
         "daily_transaction_summary": lambda t, e: daily_contract(t, e.get("rows"), e.get("transactions")),
@@ -325,7 +331,7 @@ def warehouse_contract(tables: Mapping[str, DataFrame], expect: Mapping[str, Map
         "segment_risk_summary": lambda t, e: segment_contract(t, e.get("rows"), e.get("transactions")),
         "high_risk_transactions": lambda t, e: high_risk_contract(t, threshold, e.get("rows")),
     }
-    return union_all(*[build[name](table, expect.get(name, {})) for name, table in tables.items()])
+    return union_all(*[settle(build[name](table, expect.get(name, {}))) for name, table in tables.items()])
 
 
 # --- declared model checks ----------------------------------------------------------------
@@ -364,8 +370,11 @@ def stream_model_rules(event_types: list[str] = EVENT_TYPES) -> dict[str, list[R
     }
 
 
-def model_checks(tables: Mapping[str, DataFrame], rules: Mapping[str, list[Rule]]) -> DataFrame:
-    return union_all(*[evaluate(tables[name], name, rules[name]) for name in rules if name in tables])
+def model_checks(
+    tables: Mapping[str, DataFrame], rules: Mapping[str, list[Rule]], settle: Settle = lambda results: results,
+) -> DataFrame:
+    """The checks of every model; `settle` as in `warehouse_contract`."""
+    return union_all(*[settle(evaluate(tables[name], name, rules[name])) for name in rules if name in tables])
 
 
 def relationship(child: DataFrame, parent: DataFrame, key: str, table: str) -> DataFrame:

@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskloom.sources.files import folder_bytes
 
@@ -67,6 +69,49 @@ def release_partitions(spark: SparkSession) -> None:
             spark.conf.unset(name)
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_end_with_the_run(spark: SparkSession):
+    """Spark removes the shuffle files of a run when it is done; else they stay until the driver collects garbage.
+
+    Only for frames that are made and run inside: one that runs again would look for its files in vain.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
+# Rows of more stored bytes than this are shuffled in parts, one after another, so that only one part is on disk at once.
+# Where all rows are read again for every part, parts are larger by the second figure.
+PART_BYTES, READ_AGAIN = 512 << 20, 4
+
+
+def parts_for(size: int) -> int:
+    return 1 + size // PART_BYTES
+
+
+def in_part(columns: list[str | Column], part: int, parts: int) -> Column:
+    """Rows of one part; equal values of the columns are in the same one, null like any other."""
+    return F.pmod(F.xxhash64(*columns), F.lit(parts)) == part
+
+
+def scanned_bytes(rows: DataFrame) -> int:
+    """Estimated bytes of rows that are only read from files, narrowed, filtered and put together; 0 for any other plan."""
+    found = rows._jdf.queryExecution().optimizedPlan()
+    waiting = [found]
+    while waiting:
+        node = waiting.pop()
+        if node.getClass().getSimpleName() not in ("LogicalRelation", "Project", "Filter", "Union"):
+            return 0
+        waiting += [node.children().apply(i) for i in range(node.children().size())]
+    return int(str(found.stats().sizeInBytes()))
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: `spark.checkpoint.dir` of the session.
 

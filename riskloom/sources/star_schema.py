@@ -7,7 +7,7 @@ total therefore scans lineitem alone and shuffles nothing but its own groups.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,15 +36,18 @@ def _currency() -> Column:
     return currency
 
 
+def _time_of_day() -> Column:
+    return F.make_dt_interval(
+        secs=((F.col("l_partkey") * 7919 + F.col("l_suppkey") * 104729) % 86400).cast("decimal(18,6)")
+    )
+
+
 # column -> (tables it needs besides lineitem, expression)
 _COLUMNS: dict[str, tuple[tuple[str, ...], callable]] = {
     "transaction_id": ((), lambda: F.concat_ws("-", "l_orderkey", "l_linenumber")),
     "event_timestamp": (
         (),
-        lambda: F.col("l_shipdate").cast("timestamp")
-        + F.make_dt_interval(
-            secs=((F.col("l_partkey") * 7919 + F.col("l_suppkey") * 104729) % 86400).cast("decimal(18,6)")
-        ),
+        lambda: F.col("l_shipdate").cast("timestamp") + _time_of_day(),
     ),
     "event_date": ((), lambda: F.col("l_shipdate").cast("date")),
     "event_hour": (
@@ -76,6 +79,7 @@ RAW_COLUMNS = [
 ]
 # Computed before lines are shuffled, as they take less room than what they are made of; texts are made last.
 _SMALL = ("event_timestamp", "event_date", "amount", "is_fraud")
+MADE = ("amount", "is_fraud")
 _LINE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
@@ -89,38 +93,51 @@ def transactions(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None
 
 
 def latest_transactions(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None) -> DataFrame:
-    """The newest copy of every transaction; copies go before anything is joined to them.
+    """The newest copy of every transaction; copies go before anything is joined to them."""
+    names = list(columns or TRANSACTION_COLUMNS)
+    return describe(spark, sf_dir, newest_lines(spark, sf_dir, names), names, MADE)
 
-    An id joins the two keys that are known, so the first known one and the second say the same as its text.
+
+def newest_lines(spark: SparkSession, sf_dir: str, names: Iterable[str]) -> DataFrame:
+    """The line of every newest copy, with what `describe` needs for the named columns; those `MADE` are there already.
+
+    An id joins the two keys that are known, so the first known one and the second say the same as its text. Part, supplier
+    and ship date are not shuffled beside the order of copies, but made of it again; only those it does not tell go along.
     """
-    names = list(columns or TRANSACTION_COLUMNS)
-    small = [name for name in _SMALL if name in names]
+    small = [name for name in MADE if name in names]
     order = ["event_timestamp", "source_offset"]
     lines = table(spark, sf_dir, "lineitem")
-    number = lines.schema["l_linenumber"].dataType
-    known = F.col("l_orderkey").isNotNull()
+    kind = {name: lines.schema[name].dataType for name in ("l_linenumber", "l_partkey", "l_suppkey")}
+    known, low = F.col("l_orderkey").isNotNull(), F.lit(0xFFFFFFFF)
+    told = F.coalesce(F.col("l_partkey").isNotNull() & F.col("l_suppkey").between(F.lit(0), low), F.lit(False))
     lines = lines.select(
-        "l_partkey", "l_suppkey",
+        F.when(~told, F.col("l_partkey")).alias("_part"), F.when(~told, F.col("l_suppkey")).alias("_supp"),
+        F.when(_COLUMNS["event_timestamp"][1]().isNull(), F.col("l_shipdate").cast("timestamp")).alias("_ship"),
         known.alias("_known"),
         F.coalesce("l_orderkey", "l_linenumber").alias("_first"),
         F.when(known, F.col("l_linenumber")).alias("_second"),
-        *[_COLUMNS[name][1]().alias(name) for name in dict.fromkeys([*order, *small])],
+        *[_COLUMNS[name][1]().alias(name) for name in [*order, *small]],
     )
     newest = dedup_latest(lines, ["_first", "_second"], order).select(
         F.when(F.col("_known"), F.col("_first")).alias("l_orderkey"),
-        F.when(F.col("_known"), F.col("_second")).otherwise(F.col("_first").cast(number)).alias("l_linenumber"),
-        "l_partkey", "l_suppkey", *small,
+        F.when(F.col("_known"), F.col("_second")).otherwise(F.col("_first").cast(kind["l_linenumber"])).alias("l_linenumber"),
+        F.coalesce("_part", F.shiftright("source_offset", 32)).cast(kind["l_partkey"]).alias("l_partkey"),
+        F.coalesce("_supp", F.col("source_offset").bitwiseAND(low)).cast(kind["l_suppkey"]).alias("l_suppkey"),
+        "_ship", "event_timestamp", *small,
     )
-    return describe(spark, sf_dir, newest, names, small)
+    shipped = F.coalesce("_ship", F.col("event_timestamp") - _time_of_day()).alias("l_shipdate")
+    return newest.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", shipped, *small)
 
 
 def describe(
     spark: SparkSession, sf_dir: str, rows: DataFrame, names: Iterable[str], made: Iterable[str] = (), once: bool = False,
+    only: Callable[[str], Column] | None = None,
 ) -> DataFrame:
     """Columns of lines, with the tables joined that a named column needs; those `made` are there already.
 
     Customers are joined to orders, so that the many lines are shuffled for orders and parts only. `once` joins
-    one row per key, for rows that must not become more where a key repeats.
+    one row per key, for rows that must not become more where a key repeats. `only` tells the orders that lines can
+    refer to, where these are some of the lines.
     """
     names, made = list(names), set(made)
     needed = {other for name in names if name not in made for other in _COLUMNS[name][0]}
@@ -128,6 +145,8 @@ def describe(
     def joined(left_rows: DataFrame, other: str) -> DataFrame:
         left, right = _JOINS[other]
         found = table(spark, sf_dir, other)
+        if other == "orders" and only is not None:
+            found = found.where(only(right))
         if other == "orders" and "customer" in needed:
             found = joined(found.dropDuplicates([right]) if once else found, "customer")
         elif once:

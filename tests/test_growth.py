@@ -1,6 +1,8 @@
 """What must not grow faster than the tables: joins of lines, partitions of shuffles, row groups of records."""
 
 import re
+import time
+import uuid
 from datetime import datetime
 
 import pyarrow as pa
@@ -8,7 +10,9 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.entrypoints import inputs, storage, streams
+from riskloom.entrypoints import inputs, quality, storage, streams
+from riskloom.operators import merge
+from riskloom.operators.clean import dedup_latest
 from riskloom.quality import rules
 from riskloom.session import MERGED, PARTITION_BYTES, PARTITIONS, fit_partitions, release_partitions
 from riskloom.sources import star_schema as star
@@ -118,3 +122,67 @@ def test_grain_of_one_column_expands_nothing(spark):
     assert "Expand" not in found(["a"])._jdf.queryExecution().toString()
     assert [[r.failures for r in found(ids).collect()] for ids in (["a", "a", "b", None, None], ["a", "b"], [None], [])] == [
         [2, 0], [0, 0], [0, 1], [0, 1]]
+
+
+def _same(a, b):
+    key = lambda r: repr(r)
+    return sorted(map(tuple, a.collect()), key=key) == sorted(map(tuple, b.select(*a.columns).collect()), key=key)
+
+
+def _kept_in(monkeypatch, tmp_path):
+    for module in (inputs, storage, merge):
+        monkeypatch.setattr(module, "work_folder", lambda spark, label: f"{tmp_path}/kept/{label}-{uuid.uuid4().hex}")
+    return lambda: {path.name.rsplit("-", 1)[0] for path in (tmp_path / "kept").iterdir()}
+
+
+def _shuffle_files(spark):
+    return spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+
+
+def _no_more_shuffle_files_than(spark, files):
+    for _ in range(100):                      # Spark removes the files of a run soon after it
+        if _shuffle_files(spark) <= files:
+            return True
+        time.sleep(0.1)
+    return False
+
+
+@pytest.mark.parametrize("name", ["q9"])
+def test_checks_leave_no_tables_and_no_shuffle_files(spark, folder, tmp_path, monkeypatch, name):
+    left, files = _kept_in(monkeypatch, tmp_path), _shuffle_files(spark)
+    found = getattr(quality, name)(spark, folder)
+    assert left() == {"checks"}
+    assert _no_more_shuffle_files_than(spark, files)
+    assert found.count() > 20
+
+
+@pytest.mark.parametrize("name", ["q9"])
+def test_checks_by_parts_find_the_same(spark, folder, monkeypatch, name):
+    whole = getattr(quality, name)(spark, folder)
+    monkeypatch.setattr(inputs, "parts_for", lambda size: 3)
+    assert _same(whole, getattr(quality, name)(spark, folder))
+
+
+def test_the_stored_fact_is_described_by_parts(spark, folder, tmp_path, monkeypatch):
+    left = _kept_in(monkeypatch, tmp_path)
+    monkeypatch.setattr(inputs, "parts_for", lambda size: 3)
+    fact = inputs.stored_processed(spark, folder)
+    assert _same(inputs.processed(spark, folder), fact) and left() == {"processed"}
+    for name, feature in inputs.features.FEATURE_TABLES.items():
+        assert _same(feature.build(fact, inputs.LIMIT), inputs.stored_feature(fact, name))
+
+
+def test_lines_are_told_by_the_order_of_copies(spark, tmp_path):
+    """Part, supplier and ship date come back as they were, also where the order of copies does not tell them."""
+    parts, supps = [5, None, 5, None, 5, 5, -3, 0, 5, 5], [1, 1, None, None, -1, 1 << 32, (1 << 32) - 1, 0, 1, 1]
+    pq.write_table(pa.table({
+        "l_orderkey": pa.array([*range(9), 8], pa.int64()), "l_linenumber": pa.array([1] * 10, pa.int32()),
+        "l_partkey": pa.array(parts, pa.int64()), "l_suppkey": pa.array(supps, pa.int64()),
+        "l_quantity": pa.array([1.0] * 10), "l_extendedprice": pa.array([float(i) for i in range(10)]), "l_returnflag": pa.array(["R"] * 10),
+        "l_shipdate": pa.array([DAY, DAY, DAY, DAY, datetime(1998, 7, 4, 23, 59, 59, 5), DAY, DAY, DAY, DAY, None], pa.timestamp("us")),
+    }), f"{tmp_path}/lineitem.parquet")
+    names = ["transaction_id", "event_timestamp", "event_date", "event_hour", "merchant_id", "device_id", "amount", "source_offset"]
+    wanted = dedup_latest(star.transactions(spark, str(tmp_path), names), ["transaction_id"], ["event_timestamp", "source_offset"])
+    assert _same(wanted, star.latest_transactions(spark, str(tmp_path), names)) and wanted.count() == 9
+    lines = star.newest_lines(spark, str(tmp_path), names).orderBy("l_orderkey").collect()
+    assert [r.l_partkey for r in lines] == parts[:9] and [r.l_suppkey for r in lines] == supps[:9]
