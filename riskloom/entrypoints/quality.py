@@ -25,6 +25,7 @@ from riskloom.operators import compare
 from riskloom.plans import features, models
 from riskloom.quality import rulesets
 from riskloom.quality.rules import evaluate, row_rule, total_equals
+from riskloom.session import shuffles_end_with_the_run
 from riskloom.sources import star_schema as star
 
 # Faults for feature tables: valid in Spark SQL and in the oracle alike.
@@ -329,9 +330,9 @@ def _settled(results):
 
 def _clean_tables(spark, d):
     """The six stored tables, each written once from one stored fact."""
-    fact = stored(processed(spark, d), "processed")
+    fact = stored_processed(spark, d)
     tables = {"processed_transactions": fact}
-    tables |= {name: stored(t.build(fact, LIMIT), name) for name, t in features.FEATURE_TABLES.items()}
+    tables |= {name: stored_feature(fact, name) for name in features.FEATURE_TABLES}
     return tables | {"high_risk_transactions": stored(features.high_risk(fact, LIMIT), "high_risk")}
 
 
@@ -366,7 +367,8 @@ _WAREHOUSE = [
 
 @query("q8_warehouse_contract", " UNION ALL ".join(f"SELECT * FROM ({sql})" for sql in _WAREHOUSE))
 def q8(spark, d):
-    unique = processed(spark, d, "transaction_id").count()
+    with shuffles_end_with_the_run(spark):
+        unique = processed(spark, d, "transaction_id").count()
     expect = {
         "processed_transactions": {
             "rows": 100350, "dates": 31, "source_file": False, "fraud_rows": 500, "unique_ids": unique,
@@ -375,7 +377,10 @@ def q8(spark, d):
         "daily_transaction_summary": {"transactions": 100350},
         "segment_risk_summary": {"rows": 140},
     }
-    return rulesets.warehouse_contract(_clean_tables(spark, d), expect, LIMIT)
+    tables = _clean_tables(spark, d)
+    results = rulesets.warehouse_contract(tables, expect, LIMIT, _settled)
+    discard(*tables.values())
+    return results
 
 
 # Dimensions in which keys ending in 7 are missing and those ending in 3 are one; dates by their day of the month.

@@ -147,7 +147,7 @@ def _no_more_shuffle_files_than(spark, files):
     return False
 
 
-@pytest.mark.parametrize("name", ["q9"])
+@pytest.mark.parametrize("name", ["q8", "q9"])
 def test_checks_leave_no_tables_and_no_shuffle_files(spark, folder, tmp_path, monkeypatch, name):
     left, files = _kept_in(monkeypatch, tmp_path), _shuffle_files(spark)
     found = getattr(quality, name)(spark, folder)
@@ -156,7 +156,7 @@ def test_checks_leave_no_tables_and_no_shuffle_files(spark, folder, tmp_path, mo
     assert found.count() > 20
 
 
-@pytest.mark.parametrize("name", ["q9"])
+@pytest.mark.parametrize("name", ["q8", "q9"])
 def test_checks_by_parts_find_the_same(spark, folder, monkeypatch, name):
     whole = getattr(quality, name)(spark, folder)
     monkeypatch.setattr(inputs, "parts_for", lambda size: 3)
