@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
@@ -103,6 +104,16 @@ def stored_processed(spark: SparkSession, sf_dir: str, *columns: str) -> DataFra
     return out
 
 
+@contextmanager
+def processed_to_write(spark: SparkSession, sf_dir: str, *columns: str):
+    """`processed` for one write; of large tables stored before, so that nothing else is shuffled beside that write."""
+    if parts_for(folder_bytes(spark, f"{sf_dir}/lineitem.parquet")) == 1:
+        yield processed(spark, sf_dir, *columns)
+    else:
+        yield (rows := stored_processed(spark, sf_dir, *columns))
+        discard(rows)
+
+
 def stored_feature(fact: DataFrame, name: str) -> DataFrame:
     """A feature table of a stored fact, stored; of a large fact by parts of the keys."""
     table = features.FEATURE_TABLES[name]

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from riskloom.entrypoints.inputs import NEWEST, clean, described, feature, processed, table_once
+from riskloom.entrypoints.inputs import NEWEST, clean, described, feature, processed, processed_to_write, table_once
 from riskloom.entrypoints.oracle import CTES
 from riskloom.entrypoints.registry import query
 from riskloom.functions.times import epoch_seconds, iso_utc
@@ -42,7 +42,8 @@ def s1(spark, d):
 
 def _stored_processed(spark, d, **options):
     path = work_folder(spark, "processed")
-    tables.write_partitioned(processed(spark, d, *_COLUMNS), path, **options)
+    with processed_to_write(spark, d, *_COLUMNS) as rows:
+        tables.write_partitioned(rows, path, **options)
     return path
 
 

@@ -24,9 +24,9 @@ from riskloom.quality.rules import (
     require_all,
     row_rule,
 )
-from riskloom.session import work_folder
+from riskloom.session import parts_for, shuffles_end_with_the_run, work_folder
 from riskloom.sinks.tables import write_partitioned
-from riskloom.sources.files import child_names, delete_folder, exists, move_folder
+from riskloom.sources.files import child_names, delete_folder, exists, folder_bytes, move_folder
 
 KEY = "transaction_id"
 DATE = "event_date"
@@ -65,11 +65,12 @@ def touched_dates(target: DataFrame, stage: DataFrame, key: str = KEY) -> list:
     The list is bounded by the number of date partitions, which the driver knows anyway.
     """
     keys = stage.select(key)
-    if keys.count() <= SENT_KEYS:
-        keys = F.broadcast(keys)
-    old = target.select(key, DATE).join(keys, key, "left_semi").select(DATE)
-    dates = old.unionByName(stage.select(DATE)).distinct()
-    return sorted(row[0] for row in dates.collect())
+    with shuffles_end_with_the_run(stage.sparkSession):
+        if keys.count() <= SENT_KEYS:
+            keys = F.broadcast(keys)
+        old = target.select(key, DATE).join(keys, key, "left_semi").select(DATE)
+        dates = old.unionByName(stage.select(DATE)).distinct()
+        return sorted(row[0] for row in dates.collect())
 
 
 def merge_into(spark: SparkSession, path: str, stage: DataFrame, key: str = KEY) -> list:
@@ -80,17 +81,19 @@ def merge_into(spark: SparkSession, path: str, stage: DataFrame, key: str = KEY)
     """
     finish_merges(spark, path)
     staged_at = work_folder(spark, "merge-stage")
-    stage.write.parquet(staged_at)
+    with shuffles_end_with_the_run(spark):
+        stage.write.parquet(staged_at)
     stage = spark.read.schema(stage.schema).parquet(staged_at)
 
     target = spark.read.parquet(path)
     dates = touched_dates(target, stage, key)
-    # Literal dates prune the scan to the touched folders.
-    merged = merge_upsert(target.where(F.col(DATE).isin(dates)), stage, key)
     pending = f"{path}/{PENDING}{uuid.uuid4().hex}"
-    write_partitioned(merged, f"{pending}/new")
+    for i, some in enumerate(_groups(spark, path, dates)):
+        # Literal dates prune the scan to the touched folders.
+        here = F.col(DATE).isin(some)
+        write_partitioned(merge_upsert(target.where(here), stage, key).where(here), f"{pending}/new" + (f"-{i}" if i else ""))
     # Once this list is complete the merge is decided; until then it has not happened.
-    filled = set(child_names(spark, f"{pending}/new"))
+    filled = set(_new_folders(spark, pending))
     folders = [f"{DATE}={day.isoformat()}" for day in dates]
     listed = spark.createDataFrame([(name, name in filled) for name in folders], FOLDERS)
     listed.coalesce(1).write.json(f"{pending}/folders")
@@ -99,17 +102,38 @@ def merge_into(spark: SparkSession, path: str, stage: DataFrame, key: str = KEY)
     return dates
 
 
+def _groups(spark: SparkSession, path: str, dates: list) -> list[list]:
+    """Dates whose rows are merged together: all of them, or of a large table as many as fit into a part."""
+    if parts_for(folder_bytes(spark, path)) == 1:
+        return [dates]
+    groups, size = [[]], 0
+    for day in dates:
+        found = folder_bytes(spark, f"{path}/{DATE}={day.isoformat()}")
+        if groups[-1] and parts_for(size + found) > 1:
+            groups.append([])
+            size = 0
+        groups[-1].append(day)
+        size += found
+    return groups
+
+
+def _new_folders(spark: SparkSession, pending: str) -> dict[str, str]:
+    """Finished date folders of a merge and where they are."""
+    written = [name for name in child_names(spark, pending) if name == "new" or name.startswith("new-")]
+    return {name: f"{pending}/{at}/{name}" for at in written for name in child_names(spark, f"{pending}/{at}")}
+
+
 def _move_in(spark: SparkSession, path: str, pending: str) -> None:
     """Replace each listed date folder by the new one, or by nothing if all its rows moved elsewhere.
 
     Can be repeated at any point: a folder to be filled that is not among the new ones any more is in place.
     """
-    new = set(child_names(spark, f"{pending}/new"))
+    new = _new_folders(spark, pending)
     for name, filled in spark.read.schema(FOLDERS).json(f"{pending}/folders").collect():
         if name in new or not filled:
             delete_folder(spark, f"{path}/{name}")
         if name in new:
-            move_folder(spark, f"{pending}/new/{name}", f"{path}/{name}")
+            move_folder(spark, new[name], f"{path}/{name}")
     delete_folder(spark, pending)
 
 

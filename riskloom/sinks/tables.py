@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.times import iso_date
+from riskloom.session import READ_AGAIN, in_part, parts_for, scanned_bytes, shuffles_end_with_the_run
 from riskloom.sources.files import child_names, delete_folder, exists
 
 STRATEGIES = ("baseline", "repartitioned")
@@ -55,16 +56,23 @@ def write_partitioned(
     repartitioned  dates are gathered first
     dynamic        replace only the dates present in `rows`
     cluster_by     order of the rows inside each file
+
+    Many rows that are only read from files are gathered by parts of the dates, so that a part is shuffled at once.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown write strategy {strategy!r}")
-    out = by_partition(rows, partition_by) if strategy == "repartitioned" else rows
-    if cluster_by:
-        out = out.sortWithinPartitions(partition_by, *cluster_by)
-    mode = "dynamic" if dynamic else "static"
-    writer = out.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(partition_by)
-    with _small_write_tasks(rows.sparkSession):
-        writer.parquet(path)
+    gathered = strategy == "repartitioned"
+    parts = parts_for(scanned_bytes(rows) // READ_AGAIN) if gathered else 1
+    kind = "dynamic" if dynamic else "static"
+    with _small_write_tasks(rows.sparkSession), shuffles_end_with_the_run(rows.sparkSession):
+        for i in range(parts):
+            out = rows.where(in_part([partition_by], i, parts)) if parts > 1 else rows
+            if gathered:
+                out = by_partition(out, partition_by)
+            if cluster_by:
+                out = out.sortWithinPartitions(partition_by, *cluster_by)
+            mode = "append" if i and not dynamic else "overwrite"
+            out.write.mode(mode).option("partitionOverwriteMode", kind).partitionBy(partition_by).parquet(path)
 
 
 def write_counted(rows: DataFrame, path: str, **options) -> int:

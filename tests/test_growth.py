@@ -3,7 +3,7 @@
 import re
 import time
 import uuid
-from datetime import datetime
+from datetime import date, datetime
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -15,6 +15,7 @@ from riskloom.operators import merge
 from riskloom.operators.clean import dedup_latest
 from riskloom.quality import rules
 from riskloom.session import MERGED, PARTITION_BYTES, PARTITIONS, fit_partitions, release_partitions
+from riskloom.sinks import tables
 from riskloom.sources import star_schema as star
 
 DAY = datetime(1998, 7, 4)
@@ -170,6 +171,9 @@ def test_the_stored_fact_is_described_by_parts(spark, folder, tmp_path, monkeypa
     assert _same(inputs.processed(spark, folder), fact) and left() == {"processed"}
     for name, feature in inputs.features.FEATURE_TABLES.items():
         assert _same(feature.build(fact, inputs.LIMIT), inputs.stored_feature(fact, name))
+    with inputs.processed_to_write(spark, folder, "transaction_id", "event_date") as rows:
+        assert _same(inputs.processed(spark, folder, "transaction_id", "event_date"), rows)
+    assert not [name for name in left() if name == "newest-lines"]
 
 
 def test_lines_are_told_by_the_order_of_copies(spark, tmp_path):
@@ -186,3 +190,48 @@ def test_lines_are_told_by_the_order_of_copies(spark, tmp_path):
     assert _same(wanted, star.latest_transactions(spark, str(tmp_path), names)) and wanted.count() == 9
     lines = star.newest_lines(spark, str(tmp_path), names).orderBy("l_orderkey").collect()
     assert [r.l_partkey for r in lines] == parts[:9] and [r.l_suppkey for r in lines] == supps[:9]
+
+
+def _dated(spark, rows):
+    return spark.createDataFrame(rows, "transaction_id string, event_date string, amount int").withColumn(
+        "event_date", F.to_date("event_date"))
+
+
+@pytest.mark.parametrize("dynamic", [False, True])
+def test_dates_are_written_by_parts(spark, tmp_path, monkeypatch, dynamic):
+    path, source, parts = str(tmp_path / "t"), str(tmp_path / "s"), []
+    _dated(spark, [(f"t{i}", f"2026-01-{1 + i % 9:02d}" if i % 10 else None, i) for i in range(90)]).write.parquet(source)
+    tables.write_partitioned(_dated(spark, [("old", "2026-02-01", 1), ("old", "2026-01-01", 1)]), path)
+    monkeypatch.setattr(tables, "parts_for", lambda size: parts.append(size) or 4)
+    rows, files = spark.read.parquet(source), _shuffle_files(spark)
+    tables.write_partitioned(rows, path, dynamic=dynamic)
+    assert parts[0] > 0 and _no_more_shuffle_files_than(spark, files)
+    kept = _dated(spark, [("old", "2026-02-01", 1)] if dynamic else [])
+    assert _same(rows.unionByName(kept), spark.read.parquet(path))
+
+
+def test_merge_by_groups_of_dates(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    left, real = _kept_in(monkeypatch, tmp_path), merge.write_partitioned
+    tables.write_partitioned(_dated(spark, [(f"t{i}", f"2026-01-{1 + i % 9:02d}", i) for i in range(90)]), path)
+    stage = _dated(spark, [("t0", "2026-01-02", 100), ("t1", "2026-01-02", 101), ("new", "2026-01-30", 1), ("t8", "2026-01-01", 108)])
+    rows = lambda: {r.transaction_id: (r.amount, str(r.event_date)) for r in spark.read.parquet(path).collect()}
+    before = rows()
+    wanted = before | {"t0": (100, "2026-01-02"), "t1": (101, "2026-01-02"), "new": (1, "2026-01-30"), "t8": (108, "2026-01-01")}
+    monkeypatch.setattr(merge, "parts_for", lambda size: 2)      # every date is a group
+    written = []
+
+    def breaking(merged, to):
+        real(merged, to)
+        written.append(to)
+        if len(written) == 2:
+            raise OSError("broken off")
+
+    monkeypatch.setattr(merge, "write_partitioned", breaking)
+    with pytest.raises(OSError):
+        merge.merge_into(spark, path, stage)
+    assert rows() == before and merge.finish_merges(spark, path) == 1 and rows() == before
+    files = _shuffle_files(spark)
+    assert merge.merge_into(spark, path, stage) == [date(2026, 1, d) for d in (1, 2, 9, 30)]
+    assert _no_more_shuffle_files_than(spark, files)
+    assert len(written) == 6 and rows() == wanted and spark.read.parquet(path).count() == 91
