@@ -310,11 +310,10 @@ def f11(spark, d):
 
 @query("m4_incremental_fact", f"SELECT {_TX} FROM processed")
 def m4(spark, d):
-    fact = models.fct_select(
-        processed(spark, d).withColumns({"source_file": F.lit("table"), "processed_at": F.col("event_timestamp")})
-    )
     stored, path = work_folder(spark, "stg"), work_folder(spark, "fct")
-    tables.write_partitioned(fact, stored)
+    with processed_to_write(spark, d) as rows:
+        fact = rows.withColumns({"source_file": F.lit("table"), "processed_at": F.col("event_timestamp")})
+        tables.write_partitioned(models.fct_select(fact), stored)
     stg = models.fct_select(spark.read.parquet(stored))
     # Some later rows are there already in an earlier state, on another date; the second load corrects them.
     later = f"processed_at >= timestamp'{_SPLIT}'"
@@ -323,6 +322,7 @@ def m4(spark, d):
         "processed_at": F.lit(_SPLIT).cast("timestamp") - F.expr("interval 1 day")})
     merge.build_fct(spark, path, stg.where(f"not ({later})").unionByName(earlier))
     merge.build_fct(spark, path, stg)
+    delete_folder(spark, stored)
     return scans.read_processed(spark, path).select(*_COLUMNS)
 
 

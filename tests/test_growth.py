@@ -235,3 +235,12 @@ def test_merge_by_groups_of_dates(spark, tmp_path, monkeypatch):
     assert merge.merge_into(spark, path, stage) == [date(2026, 1, d) for d in (1, 2, 9, 30)]
     assert _no_more_shuffle_files_than(spark, files)
     assert len(written) == 6 and rows() == wanted and spark.read.parquet(path).count() == 91
+
+
+def test_incremental_fact_leaves_only_the_fact(spark, folder, tmp_path, monkeypatch):
+    left, files = _kept_in(monkeypatch, tmp_path), _shuffle_files(spark)
+    for module in (inputs, tables, merge):
+        monkeypatch.setattr(module, "parts_for", lambda size: 2)
+    fact = storage.m4(spark, folder)
+    assert left() == {"fct"} and _no_more_shuffle_files_than(spark, files)
+    assert _same(inputs.processed(spark, folder, *fact.columns).where("event_date is not null"), fact)
